@@ -7,7 +7,7 @@ rebuilds the stand-in views inline, so it checks the whole chain
 
 from __future__ import annotations
 
-from chainlens.constants import ROLLING_WINDOWS
+from chainlens.constants import ROLLING_WINDOWS, SEQUENCER_NAMES
 from chainlens.plans.sqlparts import ieee, nz, rnd, with_ctes
 
 TX_COLS = [
@@ -83,11 +83,215 @@ FROM q1 JOIN sequencer_labels l ON q1.from_address = l.sequencer_addresses"""
 ROLLUP_STANDINS = ["transactions", "blocks", "sequencer_labels"]
 
 
-def oracle_sql() -> dict[str, str]:
-    out: dict[str, str] = {}
+def _enrich_oracle(out: dict[str, str]) -> None:
     out["extend_txs_blocks"] = with_ctes(["transactions", "blocks"], q1_ctes(),
                                          "SELECT * FROM q1")
     out["extend_txs_blocks_mempool"] = with_ctes(
         ["transactions", "blocks", "mempool"], q1_ctes(mempool=True), "SELECT * FROM q1")
     out["label_rollups"] = with_ctes(ROLLUP_STANDINS, q3_ctes(), "SELECT * FROM q3")
+
+
+# --- rollup dashboard (Q4-Q17) ------------------------------------------------
+
+def q4_ctes(since: str, windows=None) -> list[tuple[str, str]]:
+    windows = list((ROLLING_WINDOWS if windows is None else windows))
+    avg = ", ".join(f"avg_base_fee_{k} * gas_used / 1e18 AS tx_gas_cost_avg_{k}" for k in windows)
+    dl = ", ".join(f"tx_gas_cost - tx_gas_cost_avg_{k} AS tx_gas_cost_delta_{k}" for k in windows)
+    return q3_ctes() + [
+        ("q4a", f"SELECT *, {avg} FROM q3 WHERE block_datetime >= TIMESTAMP '{since}'"),
+        ("q4", f"SELECT *, {dl} FROM q4a"),
+    ]
+
+
+def _pivot_cols(value: str, names, agg: str = "max", default: str = "0.0", wrap=None) -> str:
+    out = []
+    for n in names:
+        e = f"coalesce({agg}({value}) FILTER (WHERE sequencer_names = '{n}'), {default})"
+        out.append(f"{wrap(e) if wrap else e} AS {n}")
+    return ", ".join(out)
+
+
+def daily_pivot_ctes(per_bs_sql: str, names, name: str) -> list[tuple[str, str]]:
+    return [
+        (f"{name}_bs", per_bs_sql),
+        (f"{name}_ts", f"""
+SELECT CAST(block_datetime AS DATE) AS d, block_datetime, sequencer_names, avg(v) AS v
+FROM {name}_bs GROUP BY ALL"""),
+        (f"{name}_day", f"SELECT d, sequencer_names, sum(v) AS v FROM {name}_ts GROUP BY ALL"),
+        (name, f"""
+SELECT d AS block_datetime, {_pivot_cols('v', names, wrap=lambda e: rnd(e, 2))}
+FROM {name}_day GROUP BY d"""),
+    ]
+
+
+def tx_cost_avg_ctes(col: str, names, name: str) -> list[tuple[str, str]]:
+    return daily_pivot_ctes(f"""
+SELECT block_number, sequencer_names, max(block_datetime) AS block_datetime,
+       coalesce(sum({col}), 0) AS v
+FROM q4 GROUP BY block_number, sequencer_names""", names, name)
+
+
+def calldata_ctes(col: str, names, name: str) -> list[tuple[str, str]]:
+    agg = {
+        "sequencer_total_mbytes": "coalesce(sum(n_input_bytes), 0) / 1e6",
+        "sequencer_mb_gas_ratio": f"avg({ieee('n_input_bytes', 'gas_price_gwei')} / 1e6)",
+        "calldata_mb_block_gas_ratio": f"avg({ieee('block_calldata_kbytes', 'gas_price_gwei')} / 1e3)",
+    }[col]
+    return daily_pivot_ctes(f"""
+SELECT block_number, sequencer_names, max(block_datetime) AS block_datetime, {agg} AS v
+FROM q4 GROUP BY block_number, sequencer_names""", names, name)
+
+
+def monthly_sql(daily: str, sequencers) -> list[tuple[str, str]]:
+    means = ", ".join(
+        f"CAST(sum(CAST(round({s} * 100) AS BIGINT)) AS DOUBLE) / count({s}) / 100.0 AS {s}"
+        for s in sequencers)
+    return [
+        ("m_d", f"SELECT CAST(date_trunc('month', block_datetime) AS DATE) AS block_month, * FROM {daily}"),
+        ("m_mean", f"SELECT block_month, {means} FROM m_d GROUP BY block_month"),
+        ("m_months", """
+SELECT CAST(unnest(generate_series(min(block_month), max(block_month), INTERVAL 1 MONTH)) AS DATE)
+       AS block_month FROM m_d"""),
+        ("monthly", f"""
+SELECT mm.block_month, strftime(mm.block_month, '%b %Y') AS month_label,
+       {', '.join('mean.' + s + ' AS ' + s for s in sequencers)}
+FROM m_months mm LEFT JOIN m_mean mean ON mm.block_month = mean.block_month"""),
+    ]
+
+
+def blob_non_agg_sql(names) -> list[tuple[str, str]]:
+    cols = ", ".join(f"CAST(coalesce(sum(s) FILTER (WHERE sequencer_names = '{n}'), 0) AS BIGINT) AS {n}"
+                     for n in names)
+    return [
+        ("bna_bs", """
+SELECT block_number, sequencer_names, CAST(ceil(sum(n_input_bytes) / 128000.0) AS BIGINT) AS s
+FROM q4 GROUP BY block_number, sequencer_names"""),
+        ("blob_non_agg", f"SELECT block_number, {cols}, CAST(sum(s) AS BIGINT) AS blob_count "
+                         "FROM bna_bs GROUP BY block_number"),
+    ]
+
+
+BLOB_AGG_SQL = ("blob_agg", """
+SELECT block_number, max(block_datetime) AS block_datetime,
+       CAST(coalesce(sum(n_input_bytes), 0) AS BIGINT) AS sequencer_total_bytes,
+       CAST(ceil(coalesce(sum(n_input_bytes), 0) / 128000.0) AS BIGINT) AS blob_count
+FROM q4 GROUP BY block_number""")
+
+
+def blob_series_sql(counts: str, since: str, name: str) -> tuple[str, str]:
+    return (name, f"""
+SELECT b.block_number, CAST(coalesce(c.blob_count, 0) AS BIGINT) AS blob_count,
+       make_timestamp(b.timestamp * 1000000) AS datetime
+FROM blocks b LEFT JOIN {counts} c ON b.block_number = c.block_number
+WHERE b.timestamp >= CAST(epoch(TIMESTAMP '{since}') AS BIGINT)""")
+
+
+def q15_sql(windows=None) -> str:
+    windows = list((ROLLING_WINDOWS if windows is None else windows))
+    avg_bs = ", ".join(f"coalesce(sum(tx_gas_cost_avg_{k}), 0) AS avg_{k}" for k in windows)
+    avg_seq = ", ".join(f"{rnd(f'sum(avg_{k})', 2)} AS tx_cost_{k}_delta_eth" for k in windows)
+    return f"""
+, s_bs AS (
+SELECT block_number, sequencer_names, count(*) AS n, coalesce(sum(tx_gas_cost), 0) AS cost,
+       coalesce(sum(n_input_bytes), 0) AS inb, coalesce(sum(n_rlp_bytes), 0) AS rlp, {avg_bs}
+FROM q4 GROUP BY block_number, sequencer_names),
+s_seq AS (
+SELECT sequencer_names, CAST(count(*) AS DOUBLE) AS n_blocks, CAST(sum(n) AS DOUBLE) AS n_txs,
+       {rnd('sum(cost)', 2)} AS tota_cost_eth, {rnd('sum(inb) / 1e6', 2)} AS total_mbytes,
+       {rnd('sum(rlp) / 1e6', 2)} AS rlp_mb, {avg_seq}
+FROM s_bs GROUP BY sequencer_names)
+SELECT sequencer_names AS sequencer, n_blocks, n_txs, tota_cost_eth,
+       {rnd(ieee('rlp_mb', 'tota_cost_eth'), 2)} AS mb_per_eth, total_mbytes,
+       {', '.join(f'tx_cost_{k}_delta_eth' for k in windows)}
+FROM s_seq"""
+
+
+def histogram_sql(src: str, x: str, bins: int, by: str) -> str:
+    w = f"((hi - lo) / {float(bins)!r})"
+    return f"""
+, h_f AS (SELECT * FROM {src} WHERE {x} IS NOT NULL AND NOT isnan({x})),
+h_b AS (SELECT min({x}) AS lo, max({x}) AS hi FROM h_f),
+h_c AS (
+SELECT {by}, CAST(CASE WHEN {w} > 0 THEN least(floor(({x} - lo) / {w}), {bins - 1}) ELSE 0 END AS BIGINT) AS bin,
+       count(*) AS n, any_value(lo) AS lo, any_value({w}) AS w
+FROM h_f, h_b GROUP BY ALL)
+SELECT {by}, bin, lo + bin * w AS bin_lo, lo + (bin + 1) * w AS bin_hi, n FROM h_c"""
+
+
+SINCE = "1996-01-01"
+NAMES = list(SEQUENCER_NAMES)
+
+
+def _rollup_oracle(out: dict[str, str]) -> None:
+    q4 = q4_ctes(SINCE)
+    R = ROLLUP_STANDINS
+    out["tx_cost_deltas"] = with_ctes(R, q4, "SELECT * FROM q4")
+    out["summarize_dataset"] = with_ctes(R, q4, """
+SELECT min(block_number) AS first_block, max(block_number) AS last_block,
+       max(block_number) - min(block_number) AS block_range,
+       count(DISTINCT block_number) AS n_blocks, count(*) AS n_txs,
+       arg_min(block_datetime, block_number) AS first_block_datetime,
+       arg_max(block_datetime, block_number) AS last_block_datetime
+FROM q4""")
+    for k in ROLLING_WINDOWS:
+        out[f"tx_cost_avg_{k}"] = with_ctes(
+            R, q4 + tx_cost_avg_ctes(f"tx_gas_cost_delta_{k}", NAMES, "p"), "SELECT * FROM p")
+    out["calldata_posted_mb"] = with_ctes(
+        R, q4 + calldata_ctes("sequencer_total_mbytes", NAMES, "p"), "SELECT * FROM p")
+    out["calldata_gas_ratio"] = with_ctes(
+        R, q4 + calldata_ctes("sequencer_mb_gas_ratio", NAMES, "p"), "SELECT * FROM p")
+    out["monthly_chart_series"] = with_ctes(
+        R, q4 + calldata_ctes("sequencer_total_mbytes", NAMES, "p") + monthly_sql("p", NAMES),
+        "SELECT * FROM monthly")
+    out["calldata_cost_per_block"] = with_ctes(R, q4, f"""
+SELECT block_number, max(block_datetime) AS block_datetime, sequencer_names,
+       avg({ieee('block_calldata_kbytes', 'gas_price_gwei')}) AS calldata_block_gas_ratio,
+       max(block_calldata_kbytes) AS block_calldata_kbytes,
+       arg_min(gas_price_gwei, transaction_index) AS gas_price_gwei
+FROM q4 GROUP BY block_number, sequencer_names""")
+    out["blob_market_per_sequencer"] = with_ctes(R, q4, f"""
+SELECT block_number, max(block_datetime) AS block_datetime, max(sequencer_names) AS sequencer_names,
+       CAST(coalesce(sum(n_input_bytes), 0) AS BIGINT) AS sequencer_total_bytes,
+       CAST(ceil(coalesce(sum(n_input_bytes), 0) / 128000.0) AS BIGINT) AS blob_size_split
+FROM q4 WHERE sequencer_names = '{NAMES[0]}' GROUP BY block_number""")
+    na = blob_non_agg_sql(NAMES)
+    out["blob_market_non_agg"] = with_ctes(R, q4 + na, "SELECT * FROM blob_non_agg")
+    out["blob_market_agg"] = with_ctes(R, q4 + [BLOB_AGG_SQL], "SELECT * FROM blob_agg")
+    s_na = blob_series_sql("blob_non_agg", SINCE, "series_non_agg")
+    s_ag = blob_series_sql("blob_agg", SINCE, "series_agg")
+    out["blob_series_non_agg"] = with_ctes(R, q4 + na + [s_na], "SELECT * FROM series_non_agg")
+    out["blob_series_agg"] = with_ctes(R, q4 + [BLOB_AGG_SQL, s_ag], "SELECT * FROM series_agg")
+    out["blob_demand_buckets"] = _with_tail(R, q4 + na + [BLOB_AGG_SQL, s_na, s_ag], """
+, u AS (SELECT 'non_agg' AS market, blob_count FROM series_non_agg
+        UNION ALL SELECT 'agg' AS market, blob_count FROM series_agg)
+SELECT market, count(*) FILTER (WHERE blob_count = 0) AS zero_blobs,
+       count(*) FILTER (WHERE blob_count > 0 AND blob_count <= 3) AS one_to_three_blobs,
+       count(*) FILTER (WHERE blob_count > 3) AS more_than_3_blobs,
+       count(*) FILTER (WHERE blob_count > 6) AS more_than_6_blobs
+FROM u GROUP BY market""")
+    out["agg_sequencer_stats"] = _with_tail(R, q4, q15_sql())
+    gas = ("g", f"""
+SELECT block_number, sequencer_names,
+       {rnd('CAST(coalesce(sum(gas_used), 0) AS DOUBLE)', 0)} AS sequencer_gas_used_sum,
+       count(*) AS n_txs
+FROM q4 GROUP BY block_number, sequencer_names""")
+    gf = ("gf", "SELECT * FROM g WHERE sequencer_gas_used_sum < 1e8")
+    out["sequencer_gas_histogram"] = _with_tail(
+        R, q4 + [gas, gf], histogram_sql("gf", "sequencer_gas_used_sum", 50, "sequencer_names"))
+    out["sequencer_gas_share"] = with_ctes(R, q4, f"""
+SELECT block_number, sequencer_names,
+       {ieee('coalesce(sum(gas_used), 0)', 'max(gas_used_block)')} AS sequencer_gas_used_pct,
+       max(gas_used_block) AS total_gas_in_block
+FROM q4 GROUP BY block_number, sequencer_names""")
+
+
+def _with_tail(standins, ctes, tail: str) -> str:
+    """``tail`` starts with more CTEs (``, name AS (...) ... SELECT``)."""
+    return with_ctes(standins, ctes, tail)
+
+
+def oracle_sql() -> dict[str, str]:
+    out: dict[str, str] = {}
+    _enrich_oracle(out)
+    _rollup_oracle(out)
     return out

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chainlens.constants import ROLLING_WINDOWS, SEQUENCER_NAMES
 from chainlens.operators import extend
+from chainlens.operators import kalman as K
 from chainlens.operators import rollups as R
+from chainlens.operators import volatility as V
 from chainlens.session import tune_session
 from chainlens.sources import standins as S
 
@@ -74,6 +76,32 @@ def _rollup_queries() -> dict[str, Query]:
     return q
 
 
+VOL_N = 300  # the surveyed notebook's diff lag
+DEC = 6  # decimals of reported moments and Kalman outputs
+
+
+def volatility(spark: SparkSession, d: str) -> DataFrame:
+    return V.block_volatility(S.block_series(spark, d), n=VOL_N)
+
+
+def kalman(spark: SparkSession, d: str) -> DataFrame:
+    return K.kalman_fee_filter(S.block_series(spark, d), by=["series"], decimals=DEC)
+
+
+def _vol_queries() -> dict[str, Query]:
+    return {
+        "block_volatility": volatility,
+        "volatility_moments": lambda s, d: V.volatility_moments(volatility(s, d), decimals=DEC),
+        "fee_zscore_kurtosis": lambda s, d: V.fee_zscore_kurtosis(volatility(s, d), decimals=DEC),
+        "kalman_fee_filter": kalman,
+        "kalman_error_sums": lambda s, d: K.kalman_error_sums(kalman(s, d), ["series"], DEC),
+        "kalman_diff_histogram": lambda s, d: V.diff_histogram(
+            kalman(s, d), "base_fee_per_gas_diff", 10, by=["series"]),
+        "volatility_diff_histogram": lambda s, d: V.diff_histogram(
+            volatility(s, d), "base_fee_per_gas_gwei_diff", 1000, view=(-10.0, 10.0)),
+    }
+
+
 def _tuned(fn: Query) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
         tune_session(spark)
@@ -91,4 +119,5 @@ def queries() -> dict[str, Query]:
         "label_rollups": rollups,
     }
     q.update(_rollup_queries())
+    q.update(_vol_queries())
     return {k: _tuned(v) for k, v in q.items()}

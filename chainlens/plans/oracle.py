@@ -206,16 +206,20 @@ SELECT sequencer_names AS sequencer, n_blocks, n_txs, tota_cost_eth,
 FROM s_seq"""
 
 
-def histogram_sql(src: str, x: str, bins: int, by: str) -> str:
+def histogram_sql(src: str, x: str, bins: int, by: str | None = None,
+                  view: tuple[float, float] | None = None) -> str:
     w = f"((hi - lo) / {float(bins)!r})"
+    byc = f"{by}, " if by else ""
+    vf = f" WHERE bin_hi >= {float(view[0])!r} AND bin_lo <= {float(view[1])!r}" if view else ""
     return f"""
 , h_f AS (SELECT * FROM {src} WHERE {x} IS NOT NULL AND NOT isnan({x})),
 h_b AS (SELECT min({x}) AS lo, max({x}) AS hi FROM h_f),
 h_c AS (
-SELECT {by}, CAST(CASE WHEN {w} > 0 THEN least(floor(({x} - lo) / {w}), {bins - 1}) ELSE 0 END AS BIGINT) AS bin,
+SELECT {byc}CAST(CASE WHEN {w} > 0 THEN least(floor(({x} - lo) / {w}), {bins - 1}) ELSE 0 END AS BIGINT) AS bin,
        count(*) AS n, any_value(lo) AS lo, any_value({w}) AS w
-FROM h_f, h_b GROUP BY ALL)
-SELECT {by}, bin, lo + bin * w AS bin_lo, lo + (bin + 1) * w AS bin_hi, n FROM h_c"""
+FROM h_f, h_b GROUP BY ALL),
+h_o AS (SELECT {byc}bin, lo + bin * w AS bin_lo, lo + (bin + 1) * w AS bin_hi, n FROM h_c)
+SELECT * FROM h_o{vf}"""
 
 
 SINCE = "1996-01-01"
@@ -290,8 +294,117 @@ def _with_tail(standins, ctes, tail: str) -> str:
     return with_ctes(standins, ctes, tail)
 
 
+# --- volatility, moments, Kalman (Q18-Q23) ------------------------------------
+
+VOL_N = 300
+SAMPLE = 7600
+DEC = 6
+
+
+def q18_ctes(n: int = VOL_N) -> list[tuple[str, str]]:
+    return [("q18", f"""
+SELECT *, base_fee_per_gas / 1e9 AS base_fee_per_gas_gwei,
+       base_fee_per_gas / 1e9 - lag(base_fee_per_gas / 1e9, {n}) OVER (ORDER BY block_number)
+         AS base_fee_per_gas_gwei_diff,
+       gas_used - lag(gas_used, {n}) OVER (ORDER BY block_number) AS gas_used_diff
+FROM block_series""")]
+
+
+def _kstep(p: str, q: str, r: str) -> str:
+    """Gain for predicted covariance ``p`` (guarded like the Python filter)."""
+    return f"(CASE WHEN ({p}) + {r} <> 0 THEN ({p}) / (({p}) + {r}) ELSE 1.0 END)"
+
+
+def q21_ctes(sample: int = SAMPLE, dec: int = DEC) -> list[tuple[str, str]]:
+    lagw = "OVER (PARTITION BY series ORDER BY rn)"
+    vs = {"g": "gas_used", "f": "base_fee_per_gas"}
+    lag_cols = ", ".join(
+        f"CAST({c} AS DOUBLE) - lag({c}, 1) {lagw} AS d{k}, "
+        f"CAST(lag({c}, 1) {lagw} AS DOUBLE) - lag({c}, 2) {lagw} AS dp{k}"
+        for k, c in vs.items())
+    prm = ", ".join(
+        f"greatest(-coalesce(covar_pop(d{k}, dp{k}), 0.0), 0.0) AS r{k}, "
+        f"greatest(coalesce(var_pop(d{k}), 0.0) - 2 * greatest(-coalesce(covar_pop(d{k}, dp{k}), 0.0), 0.0), 0.0) AS q{k}"
+        for k in vs)
+    first = ", ".join(
+        f"CAST(s.{c} AS DOUBLE) AS x{k}, (1.0 - {_kstep('1.0', 'q' + k, 'p.r' + k)}) * 1.0 AS p{k}"
+        for k, c in vs.items())
+    step = ", ".join(
+        f"r.x{k} + {_kstep(f'r.p{k} + p.q{k}', 'p.q' + k, 'p.r' + k)} * (CAST(s.{c} AS DOUBLE) - r.x{k}) AS x{k}, "
+        f"(1.0 - {_kstep(f'r.p{k} + p.q{k}', 'p.q' + k, 'p.r' + k)}) * (r.p{k} + p.q{k}) AS p{k}"
+        for k, c in vs.items())
+    return [
+        ("k_s", """
+SELECT series, block_number, gas_used, base_fee_per_gas,
+       row_number() OVER (PARTITION BY series ORDER BY block_number) AS rn0,
+       count(*) OVER (PARTITION BY series) AS sz
+FROM block_series"""),
+        ("k_smp", f"""
+SELECT series, block_number, gas_used, base_fee_per_gas, rn0 - greatest(sz - {sample}, 0) AS rn
+FROM k_s WHERE rn0 > sz - {sample}"""),
+        ("k_lag", f"SELECT series, rn, {lag_cols} FROM k_smp"),
+        ("k_prm", f"SELECT series, {prm} FROM k_lag GROUP BY series"),
+        ("k_rec", f"""
+SELECT s.series, s.rn, {first}
+FROM k_smp s JOIN k_prm p ON s.series = p.series WHERE s.rn = 1
+UNION ALL
+SELECT r.series, r.rn + 1, {step}
+FROM k_rec r JOIN k_smp s ON s.series = r.series AND s.rn = r.rn + 1
+             JOIN k_prm p ON p.series = r.series"""),
+        ("q21", f"""
+SELECT s.series, s.block_number, {rnd('k.xg', dec)} AS gas_used_kalman,
+       {rnd('k.xf / 1e9', dec)} AS base_fee_per_gas_kalman, s.gas_used,
+       s.base_fee_per_gas / 1e9 AS base_fee_per_gas,
+       {rnd('k.xf / 1e9 - s.base_fee_per_gas / 1e9', dec)} AS base_fee_per_gas_diff
+FROM k_smp s JOIN k_rec k ON s.series = k.series AND s.rn = k.rn"""),
+    ]
+
+
+def _vol_oracle(out: dict[str, str]) -> None:
+    B = ["block_series"]
+    q18 = q18_ctes()
+    out["block_volatility"] = with_ctes(B, q18, "SELECT * FROM q18")
+    out["volatility_moments"] = with_ctes(B, q18 + [
+        ("m_x", "SELECT coalesce(base_fee_per_gas_gwei_diff, 0.0) AS x FROM q18"),
+        ("m_mu", "SELECT avg(x) AS mu FROM m_x"),
+        ("m_c", "SELECT avg(power(x - mu, 2)) AS m2, avg(power(x - mu, 3)) AS m3 FROM m_x, m_mu")],
+        f"""
+SELECT {rnd('(SELECT avg(x) FROM m_x)', DEC)} AS mean,
+       {rnd('(SELECT var_pop(x) FROM m_x)', DEC)} AS variance,
+       {rnd('(SELECT m3 / power(m2, 1.5) FROM m_c)', DEC)} AS skewness,
+       {rnd('(SELECT kurtosis_pop(x) FROM m_x)', DEC)} AS kurtosis""")
+    g1 = "(SELECT m3 / power(m2, 1.5) FROM z_c)"
+    g2 = "(SELECT kurtosis_pop(base_fee_per_gas_gwei) FROM q18)"
+    n = "(SELECT CAST(count(base_fee_per_gas_gwei) AS DOUBLE) FROM q18)"
+    out["fee_zscore_kurtosis"] = with_ctes(B, q18 + [
+        ("z_m", "SELECT avg(base_fee_per_gas_gwei) AS mu, stddev_pop(base_fee_per_gas_gwei) AS sd FROM q18"),
+        ("z_c", "SELECT avg(power(base_fee_per_gas_gwei - mu, 2)) AS m2, "
+                "avg(power(base_fee_per_gas_gwei - mu, 3)) AS m3 FROM q18, z_m")],
+        f"""
+SELECT {rnd('(SELECT kurtosis_pop((base_fee_per_gas_gwei - mu) / sd) FROM q18, z_m)', DEC)} AS zscore_kurtosis,
+       {rnd(f'({n} - 1) / (({n} - 2) * ({n} - 3)) * (({n} + 1) * {g2} + 6)', DEC)} AS kurt,
+       {rnd(f'{g1} * sqrt({n} * ({n} - 1)) / ({n} - 2)', DEC)} AS skew""")
+    q21 = q21_ctes()
+    out["kalman_fee_filter"] = with_ctes(B, q21, "SELECT * FROM q21")
+    s = 1e6
+
+    def tot(e: str) -> str:
+        return f"coalesce(CAST(sum(CAST(round({e} * {s!r}) AS BIGINT)) AS DOUBLE) / {s!r}, 0.0)"
+
+    d = "base_fee_per_gas_diff"
+    out["kalman_error_sums"] = with_ctes(B, q21, f"""
+SELECT series, {tot(d)} AS diff_sum,
+       {tot(f'CASE WHEN {d} > 0 THEN {d} END')} AS diff_pos_sum,
+       {tot(f'CASE WHEN {d} < 0 THEN {d} END')} AS diff_neg_sum
+FROM q21 GROUP BY series""")
+    out["kalman_diff_histogram"] = _with_tail(B, q21, histogram_sql("q21", d, 10, "series"))
+    out["volatility_diff_histogram"] = _with_tail(
+        B, q18, histogram_sql("q18", "base_fee_per_gas_gwei_diff", 1000, None, (-10.0, 10.0)))
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     _enrich_oracle(out)
     _rollup_oracle(out)
+    _vol_oracle(out)
     return out

@@ -39,4 +39,5 @@ def with_ctes(standins: list[str], ctes: list[tuple[str, str]], body: str) -> st
         add(n)
     parts = [f"{n} AS ({STANDIN_SQL[n]}\n)" for n in need]
     parts += [f"{n} AS (\n{s}\n)" for n, s in ctes]
-    return "WITH " + ",\n".join(parts) + "\n" + body
+    recursive = any(f" {n} " in f" {b} " or f"FROM {n} " in b for n, b in ctes)
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n" + body

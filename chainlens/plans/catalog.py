@@ -14,6 +14,7 @@ from chainlens.constants import ROLLING_WINDOWS, SEQUENCER_NAMES
 from chainlens.operators import extend
 from chainlens.operators import kalman as K
 from chainlens.operators import rollups as R
+from chainlens.operators import swaps as W
 from chainlens.operators import volatility as V
 from chainlens.session import tune_session
 from chainlens.sources import standins as S
@@ -102,6 +103,20 @@ def _vol_queries() -> dict[str, Query]:
     }
 
 
+def _swap_queries() -> dict[str, Query]:
+    from chainlens.constants import UNIV2_FACTORY
+
+    return {
+        "swap_net_amounts": lambda s, d: W.swap_net_amounts(S.univ2_swaps(s, d)),
+        "swaps_enriched": lambda s, d: W.swaps_enriched(
+            W.swap_net_amounts(S.univ2_swaps(s, d)), S.univ2_pools(s, d), S.univ2_tokens(s, d)),
+        "pool_token_list": lambda s, d: W.pool_token_list(S.univ2_pools(s, d)),
+        "decode_swap_logs": lambda s, d: W.decode_swap_logs(S.raw_swap_logs(s, d)),
+        "decode_pair_logs": lambda s, d: W.decode_pair_logs(
+            S.raw_pair_logs(s, d, UNIV2_FACTORY), UNIV2_FACTORY),
+    }
+
+
 def _tuned(fn: Query) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
         tune_session(spark)
@@ -120,4 +135,5 @@ def queries() -> dict[str, Query]:
     }
     q.update(_rollup_queries())
     q.update(_vol_queries())
+    q.update(_swap_queries())
     return {k: _tuned(v) for k, v in q.items()}

@@ -402,9 +402,48 @@ FROM q21 GROUP BY series""")
         B, q18, histogram_sql("q18", "base_fee_per_gas_gwei_diff", 1000, None, (-10.0, 10.0)))
 
 
+# --- swaps (Q24-Q27) ----------------------------------------------------------
+
+Q24_SQL = ("q24", """
+SELECT block_number, transaction_hash AS swaps_transaction_id, address AS swaps_pool_id,
+       event__to AS swaps_recipient, event__sender AS swaps_sender,
+       CASE WHEN event__amount0In_f64 > 0 THEN event__amount0In_f64 ELSE event__amount0Out_f64 * -1 END
+         AS swaps_amount0,
+       CASE WHEN event__amount1In_f64 > 0 THEN event__amount1In_f64 ELSE event__amount1Out_f64 * -1 END
+         AS swaps_amount1
+FROM univ2_swaps""")
+
+
+def _swap_oracle(out: dict[str, str]) -> None:
+    from chainlens.constants import (PAIR_CREATED_SIGNATURE, PAIR_CREATED_TOPIC0,
+                                     SWAP_SIGNATURE, SWAP_TOPIC0, UNIV2_FACTORY)
+    from chainlens.sources.logs import decode_logs_sql
+    from chainlens.sources.standins import raw_pair_logs_sql
+
+    out["swap_net_amounts"] = with_ctes(["univ2_swaps"], [Q24_SQL], "SELECT * FROM q24")
+    out["swaps_enriched"] = with_ctes(["univ2_swaps", "univ2_pools", "univ2_tokens"], [Q24_SQL], """
+SELECT q.*, p.event__token0, p.event__token1,
+       t0.name, t0.symbol, t0.decimals,
+       t1.name AS name_token1, t1.symbol AS symbol_token1, t1.decimals AS decimals_token1
+FROM q24 q
+LEFT JOIN univ2_pools p ON q.swaps_pool_id = p.event__pair
+LEFT JOIN univ2_tokens t0 ON p.event__token0 = t0.erc20
+LEFT JOIN univ2_tokens t1 ON p.event__token1 = t1.erc20""")
+    out["pool_token_list"] = with_ctes(["univ2_pools"], [], """
+SELECT event__token0 AS token FROM univ2_pools
+UNION SELECT event__token1 AS token FROM univ2_pools""")
+    out["decode_swap_logs"] = with_ctes(
+        ["raw_swap_logs"], [], decode_logs_sql("raw_swap_logs", SWAP_SIGNATURE, SWAP_TOPIC0))
+    out["decode_pair_logs"] = with_ctes(
+        [], [("raw_pair_logs", raw_pair_logs_sql(UNIV2_FACTORY))],
+        decode_logs_sql("raw_pair_logs", PAIR_CREATED_SIGNATURE, PAIR_CREATED_TOPIC0)
+        + f" AND lower(address) = '{UNIV2_FACTORY}'")
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     _enrich_oracle(out)
     _rollup_oracle(out)
     _vol_oracle(out)
+    _swap_oracle(out)
     return out

@@ -117,6 +117,87 @@ def _swap_queries() -> dict[str, Query]:
     }
 
 
+def _read_back(spark: SparkSession, path: str) -> DataFrame:
+    from chainlens.sources.files import read_dataset
+
+    return read_dataset(spark, path)
+
+
+def q_sync_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Q28 over file names derived from the stand-in batches."""
+    from pyspark.sql import functions as F
+
+    from chainlens.sources.files import batch_file_name, sync_batches
+
+    def files(df: DataFrame, dataset: str) -> DataFrame:
+        return df.select("block_batch").distinct().select(
+            batch_file_name(dataset, F.col("block_batch"), S.BLOCKS_PER_BATCH).alias("file_name"))
+
+    sb = sync_batches(files(S.transactions(spark, d), "ethereum__transactions"),
+                      files(S.blocks(spark, d), "ethereum__blocks"))
+    return sb.select("batch_end", F.array_join("files_a", ",").alias("files_a"),
+                     F.array_join("files_b", ",").alias("files_b"))
+
+
+def q_write_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """Q29 (batch): run the idempotent job twice into a fresh folder; the
+    second run finds nothing pending. Returns the written table."""
+    from chainlens.plans.jobs import scratch_path, write_rollups_incremental
+
+    out = scratch_path(spark, "rollups")
+    for _ in range(2):
+        write_rollups_incremental(spark, S.transactions(spark, d), S.blocks(spark, d),
+                                  S.sequencer_labels(spark, d), out)
+    return _read_back(spark, out)
+
+
+def q_combine_files(spark: SparkSession, d: str) -> DataFrame:
+    """Q30: compact a many-file copy of the swaps table; return the result."""
+    from chainlens.plans.jobs import combine_files, scratch_path
+
+    src, dst = scratch_path(spark, "swaps-src"), scratch_path(spark, "swaps-dst")
+    S.univ2_swaps(spark, d).repartition(16).write.parquet(src)
+    combine_files(spark, src, dst, target_file_bytes=1 << 20)
+    return spark.read.parquet(dst)
+
+
+def q_rollups_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Q29 (stream): batch-partitioned inputs -> availableNow stream -> table."""
+    from chainlens.plans.jobs import scratch_path, write_batches
+    from chainlens.streaming.incremental import start_rollups_stream
+
+    tx, bl = scratch_path(spark, "txs"), scratch_path(spark, "blocks")
+    write_batches(S.transactions(spark, d), tx)
+    write_batches(S.blocks(spark, d), bl)
+    out, ck = scratch_path(spark, "rollups"), scratch_path(spark, "ckpt")
+    start_rollups_stream(spark, tx, bl, S.sequencer_labels(spark, d), out, ck).awaitTermination()
+    return _read_back(spark, out)
+
+
+def q_daily_totals_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Q31: daily totals per sequencer from a streamed rollup table."""
+    from chainlens.plans.jobs import scratch_path, write_batches
+    from chainlens.streaming.incremental import start_daily_totals_stream
+
+    src = scratch_path(spark, "rollups")
+    write_batches(rollups(spark, d), src)
+    out, ck = scratch_path(spark, "daily"), scratch_path(spark, "ckpt")
+    start_daily_totals_stream(spark, src, out, ck, mode="complete").awaitTermination()
+    from pyspark.sql import functions as F
+
+    return spark.read.parquet(out).withColumn("day", F.col("day").cast("date"))
+
+
+def _job_queries() -> dict[str, Query]:
+    return {
+        "sync_batches": q_sync_batches,
+        "write_rollups_incremental": q_write_incremental,
+        "combine_files": q_combine_files,
+        "write_rollups_stream": q_rollups_stream,
+        "daily_totals_stream": q_daily_totals_stream,
+    }
+
+
 def _tuned(fn: Query) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
         tune_session(spark)
@@ -136,4 +217,5 @@ def queries() -> dict[str, Query]:
     q.update(_rollup_queries())
     q.update(_vol_queries())
     q.update(_swap_queries())
+    q.update(_job_queries())
     return {k: _tuned(v) for k, v in q.items()}

@@ -440,10 +440,38 @@ UNION SELECT event__token1 AS token FROM univ2_pools""")
         + f" AND lower(address) = '{UNIV2_FACTORY}'")
 
 
+# --- jobs and streams (Q28-Q31) ------------------------------------------------
+
+def _job_oracle(out: dict[str, str]) -> None:
+    from chainlens.sources.standins import BLOCKS_PER_BATCH as B
+
+    def files(src: str, ds: str) -> str:
+        return (f"SELECT printf('{ds}__%08d_to_%08d.parquet', block_batch * {B}, "
+                f"block_batch * {B} + {B - 1}) AS file_name FROM (SELECT DISTINCT block_batch FROM {src})")
+
+    def per(src: str, ds: str, side: str) -> str:
+        return (f"SELECT CAST(regexp_extract(file_name, 'to_(\\d+)', 1) AS BIGINT) AS batch_end, "
+                f"string_agg(file_name, ',' ORDER BY file_name) AS files_{side} "
+                f"FROM ({files(src, ds)}) GROUP BY 1")
+
+    out["sync_batches"] = with_ctes(["transactions", "blocks"], [
+        ("fa", per("transactions", "ethereum__transactions", "a")),
+        ("fb", per("blocks", "ethereum__blocks", "b"))],
+        "SELECT fa.batch_end, files_a, files_b FROM fa JOIN fb ON fa.batch_end = fb.batch_end")
+    out["write_rollups_incremental"] = out["label_rollups"]
+    out["write_rollups_stream"] = out["label_rollups"]
+    out["combine_files"] = with_ctes(["univ2_swaps"], [], "SELECT * FROM univ2_swaps")
+    out["daily_totals_stream"] = with_ctes(ROLLUP_STANDINS, q3_ctes(), """
+SELECT CAST(block_datetime AS DATE) AS day, sequencer_names, count(*) AS n_txs,
+       CAST(sum(gas_used) AS BIGINT) AS gas_used, CAST(sum(n_input_bytes) AS BIGINT) AS n_input_bytes
+FROM q3 GROUP BY 1, 2""")
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     _enrich_oracle(out)
     _rollup_oracle(out)
     _vol_oracle(out)
     _swap_oracle(out)
+    _job_oracle(out)
     return out

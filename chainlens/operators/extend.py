@@ -118,11 +118,11 @@ def extend_txs_blocks(
                       round_half_away("blockspace_percentile", 0))
           .withColumns(gwei)
           .drop("gas_price", "max_priority_fee_per_gas", "max_fee_per_gas",
-                "base_fee_per_gas", "block_encoded_bytes", "block_calldata_bytes",
-                CHUNK, LRN))
-    # dropDuplicates over all columns: its clustering is satisfied by the
-    # (block_batch, chunk) partitioning, so no extra exchange is planned.
-    return fill_nan(j).dropDuplicates()
+                "base_fee_per_gas", "block_encoded_bytes", "block_calldata_bytes", LRN))
+    # Full-row dedupe. ``_chunk`` (a function of block_number, so it changes
+    # nothing) stays in the key until after it: the grouping then contains the
+    # (block_batch, _chunk) partitioning and no extra exchange is planned.
+    return fill_nan(j).dropDuplicates().drop(CHUNK)
 
 
 def extend_txs_blocks_mempool(txs: DataFrame, blocks: DataFrame, mempool: DataFrame,

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chainlens.constants import WEI_PER_GWEI
-from chainlens.functions.numeric import round_half_away
+from chainlens.functions.numeric import ieee_div, round_half_away
 from chainlens.functions.series import chunk_col, lag_diff
 from chainlens.functions.stats import histogram, unbiased_kurt, unbiased_skew
 
@@ -60,7 +60,7 @@ def fee_zscore_kurtosis(vol: DataFrame, column: str = "base_fee_per_gas_gwei",
     x = F.col(column)
     mu = vol.select(F.avg(x)).scalar()
     sd = vol.select(F.stddev_pop(x)).scalar()
-    z = (x - mu) / sd
+    z = ieee_div(x - mu, sd)  # a constant series gives NaN, as SciPy does
     agg = vol.agg(F.kurtosis(z).alias("_kz"), F.kurtosis(x).alias("_k"),
                   F.skewness(x).alias("_s"), F.count(x).alias("_n"))
     return agg.select(

@@ -64,20 +64,23 @@ def add_positions(df: DataFrame, part_cols: Sequence[str], chunk: str,
     w = local_window(part_cols, chunk, order_cols)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     new = {LRN: F.row_number().over(w).cast("bigint")}
-    aggs = [F.count(F.lit(1)).alias("_tn")]
     if value is not None:
         st = _exact_sum_type(df.schema[value].dataType)
         v = F.col(value).cast(st)
         new["_lcs"] = F.coalesce(F.sum(v).over(run), F.lit(0).cast(st))
         new["_lcc"] = F.count(v).over(run)
-        aggs += [F.coalesce(F.sum(v), F.lit(0).cast(st)).alias("_ts"),
-                 F.count(v).alias("_tc")]
     local = df.withColumns(new)
 
-    # per-chunk totals -> exclusive offsets (a small table: one row per chunk)
+    # per-chunk totals -> exclusive offsets (a small table: one row per chunk).
+    # Totals are read off the running values of ``local`` itself (the last row
+    # of a chunk holds them), so both branches start from the same exchange
+    # and Spark reuses it instead of evaluating the input twice.
     wo = (Window.partitionBy(*part_cols).orderBy(chunk)
           .rowsBetween(Window.unboundedPreceding, -1))
-    totals = df.groupBy(*part_cols, chunk).agg(*aggs)
+    aggs = [F.max(LRN).alias("_tn")]
+    if value is not None:
+        aggs += [F.max("_lcs").alias("_ts"), F.max("_lcc").alias("_tc")]
+    totals = local.groupBy(*part_cols, chunk).agg(*aggs)
     offs = {"_on": F.coalesce(F.sum("_tn").over(wo), F.lit(0))}
     if value is not None:
         offs["_os"] = F.coalesce(F.sum("_ts").over(wo), F.lit(0).cast(st))

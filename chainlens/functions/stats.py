@@ -27,8 +27,11 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = (),
         d = d.filter(x >= F.lit(float(lo)))
     if hi is not None:
         d = d.filter(x <= F.lit(float(hi)))
-    lo_c = F.lit(float(lo)) if lo is not None else d.select(F.min(x)).scalar()
-    hi_c = F.lit(float(hi)) if hi is not None else d.select(F.max(x)).scalar()
+    if lo is None or hi is None:
+        # one scalar subquery for both bounds: a single extra pass, not two
+        span = d.select(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    lo_c = F.lit(float(lo)) if lo is not None else span.getField("lo")
+    hi_c = F.lit(float(hi)) if hi is not None else span.getField("hi")
     width = (hi_c - lo_c) / F.lit(float(bins))
     b = F.when(width > 0, F.least(F.floor((x - lo_c) / width), F.lit(bins - 1))) \
          .otherwise(F.lit(0)).cast("bigint")

@@ -58,8 +58,8 @@ def fee_zscore_kurtosis(vol: DataFrame, column: str = "base_fee_per_gas_gwei",
     Mean and standard deviation are scalar subqueries: computed once,
     inlined as values, no join."""
     x = F.col(column)
-    mu = vol.select(F.avg(x)).scalar()
-    sd = vol.select(F.stddev_pop(x)).scalar()
+    m = vol.select(F.struct(F.avg(x).alias("mu"), F.stddev_pop(x).alias("sd"))).scalar()
+    mu, sd = m.getField("mu"), m.getField("sd")
     z = ieee_div(x - mu, sd)  # a constant series gives NaN, as SciPy does
     agg = vol.agg(F.kurtosis(z).alias("_kz"), F.kurtosis(x).alias("_k"),
                   F.skewness(x).alias("_s"), F.count(x).alias("_n"))

@@ -69,8 +69,7 @@ def _rollup_queries() -> dict[str, Query]:
         S.blocks(s, d), R.blob_market_non_agg(explore(s, d), NAMES), SINCE)
     q["blob_series_agg"] = lambda s, d: R.blob_series(
         S.blocks(s, d), R.blob_market_agg(explore(s, d)), SINCE)
-    q["blob_demand_buckets"] = lambda s, d: R.blob_demand_buckets({
-        "non_agg": q["blob_series_non_agg"](s, d), "agg": q["blob_series_agg"](s, d)})
+    q["blob_demand_buckets"] = lambda s, d: R.blob_demand(explore(s, d), S.blocks(s, d), SINCE)
     q["agg_sequencer_stats"] = lambda s, d: R.agg_sequencer_stats(explore(s, d))
     q["sequencer_gas_histogram"] = lambda s, d: R.sequencer_gas_histogram(explore(s, d))
     q["sequencer_gas_share"] = lambda s, d: R.sequencer_gas_share(explore(s, d))

@@ -80,9 +80,29 @@ def test_lag_diff_matches_shift(spark):
     assert ((m["d"].isna() & m["d_e"].isna()) | (m["d"] == m["d_e"])).all()
 
 
-def test_no_single_partition_exchange(spark):
+def test_no_single_partition_exchange_in_keyed_series(spark):
+    """Keyed series (batch, series key) never funnel rows into one task.
+    (A partitionless series ranks its chunk totals, one row per chunk, in one
+    small window; rows themselves stay spread over chunks and halo buckets.)"""
     from chainlens.plans.catalog import queries
 
-    for name in ("extend_txs_blocks", "block_volatility"):
+    for name in ("extend_txs_blocks", "kalman_fee_filter"):
         plan = queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "SinglePartition" not in plan, name
+
+
+def test_wide_rows_shuffle_once_in_enrichment(spark):
+    """The full transaction rows are exchanged once, on (block_batch, _chunk);
+    the per-block windows, row numbering and the final full-row dedupe reuse
+    that partitioning (no exchange keyed on all output columns)."""
+    import re
+
+    from chainlens.operators.extend import extend_txs_blocks
+    from chainlens.sources import standins as S
+
+    d = "/root/testdata/sf0.001"
+    df = extend_txs_blocks(S.transactions(spark, d), S.blocks(spark, d))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert keys, plan
+    assert not any("tx_gas_cost" in k for k in keys), keys

@@ -104,3 +104,18 @@ def epoch_of(value: str) -> int:
 def blob_count(total_bytes, blob_bytes: int) -> Column:
     """Blobs needed for ``total_bytes``: ceil(bytes / blob size)."""
     return F.ceil(_c(total_bytes).cast("double") / float(blob_bytes)).cast("bigint")
+
+
+def ordered_sum(c) -> Column:
+    """Sum of the non-null values in ascending order (a fixed float summation
+    order: the result does not depend on partitioning or engine). Only for
+    bounded groups (per block, per day), as it holds the group's values."""
+    vals = F.array_sort(F.collect_list(_c(c).cast("double")))
+    return F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x)
+
+
+def ordered_mean(c) -> Column:
+    """Mean with the summation order of ``ordered_sum``; null for no values."""
+    vals = F.array_sort(F.collect_list(_c(c).cast("double")))
+    return F.when(F.size(vals) > 0,
+                  F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x) / F.size(vals))

@@ -5,6 +5,9 @@ transaction). Conventions kept from the surveyed dashboard, with the reasons:
 
 * sums over empty / all-null groups are 0 (``sum0``), so later means count them;
 * rounding is half away from zero (``round_half_away``);
+* float means and sums inside bounded groups (a block, a datetime, a day) add
+  the values in sorted order (``ordered_mean`` / ``ordered_sum``), so results
+  do not depend on partitioning;
 * ``first()`` of a block-constant column is ``max`` (any value is the same);
   ``first()`` of a per-transaction column is the value at the lowest
   ``transaction_index`` (``min_by``), which makes it deterministic;
@@ -36,6 +39,8 @@ from chainlens.functions.numeric import (
     epoch_of,
     epoch_to_datetime,
     ieee_div,
+    ordered_mean,
+    ordered_sum,
     round_half_away,
     round_numeric,
     sum0,
@@ -86,8 +91,8 @@ def _daily_pivot(per_block_seq: DataFrame, value: str, names: Sequence[str]) ->
     One repartition by date serves all three aggregations and the pivot
     (a date holds at most a day of blocks)."""
     d = per_block_seq.withColumn("_date", F.to_date(DT)).repartition("_date")
-    per_ts = d.groupBy("_date", DT, SEQ).agg(F.avg(value).alias("_v"))
-    per_day = per_ts.groupBy("_date", SEQ).agg(F.sum("_v").alias("_v"))
+    per_ts = d.groupBy("_date", DT, SEQ).agg(ordered_mean(value).alias("_v"))
+    per_day = per_ts.groupBy("_date", SEQ).agg(ordered_sum("_v").alias("_v"))
     wide = (per_day.groupBy("_date").pivot(SEQ, list(names)).agg(F.first("_v"))
                    .withColumnRenamed("_date", DT))
     wide = wide.fillna(0.0, subset=list(names))
@@ -97,8 +102,8 @@ def _daily_pivot(per_block_seq: DataFrame, value: str, names: Sequence[str]) ->
 def tx_cost_avg_transform(explore: DataFrame, pivot_column: str,
                           names: Sequence[str] = SEQUENCER_NAMES) -> DataFrame:
     """Q6: daily total of the per-block cost delta, one column per sequencer."""
-    per_bs = explore.groupBy(BLK, SEQ).agg(F.max(DT).alias(DT),
-                                            sum0(pivot_column).alias(pivot_column))
+    per_bs = explore.groupBy(BLK, SEQ).agg(
+        F.max(DT).alias(DT), F.coalesce(ordered_sum(pivot_column), F.lit(0.0)).alias(pivot_column))
     return _daily_pivot(per_bs, pivot_column, names)
 
 
@@ -108,8 +113,8 @@ def calldata_size_transform(explore: DataFrame, pivot_column: str,
     ``sequencer_mb_gas_ratio`` (MB per gwei of gas price), daily by sequencer."""
     aggs = {
         "sequencer_total_mbytes": (sum0("n_input_bytes") / F.lit(1e6)),
-        "sequencer_mb_gas_ratio": F.avg(ieee_div("n_input_bytes", "gas_price_gwei") / F.lit(1e6)),
-        "calldata_mb_block_gas_ratio": F.avg(
+        "sequencer_mb_gas_ratio": ordered_mean(ieee_div("n_input_bytes", "gas_price_gwei") / F.lit(1e6)),
+        "calldata_mb_block_gas_ratio": ordered_mean(
             ieee_div("block_calldata_kbytes", "gas_price_gwei") / F.lit(1e3)),
     }
     per_bs = explore.groupBy(BLK, SEQ).agg(F.max(DT).alias(DT),
@@ -143,7 +148,7 @@ def calldata_cost_per_block(explore: DataFrame) -> DataFrame:
         F.max(DT).alias(DT),
         F.max("block_calldata_kbytes").alias("block_calldata_kbytes"),
         F.min_by("gas_price_gwei", "transaction_index").alias("gas_price_gwei"),
-        F.avg(ieee_div("block_calldata_kbytes", "gas_price_gwei")).alias("calldata_block_gas_ratio"),
+        ordered_mean(ieee_div("block_calldata_kbytes", "gas_price_gwei")).alias("calldata_block_gas_ratio"),
     ).select(BLK, DT, SEQ, "calldata_block_gas_ratio", "block_calldata_kbytes", "gas_price_gwei")
 
 

@@ -8,7 +8,7 @@ rebuilds the stand-in views inline, so it checks the whole chain
 from __future__ import annotations
 
 from chainlens.constants import ROLLING_WINDOWS, SEQUENCER_NAMES
-from chainlens.plans.sqlparts import ieee, nz, rnd, with_ctes
+from chainlens.plans.sqlparts import ieee, nz, omean, osum, rnd, with_ctes
 
 TX_COLS = [
     "block_number", "transaction_index", "transaction_hash", "from_address", "gas_used",
@@ -115,9 +115,9 @@ def daily_pivot_ctes(per_bs_sql: str, names, name: str) -> list[tuple[str, str]]
     return [
         (f"{name}_bs", per_bs_sql),
         (f"{name}_ts", f"""
-SELECT CAST(block_datetime AS DATE) AS d, block_datetime, sequencer_names, avg(v) AS v
+SELECT CAST(block_datetime AS DATE) AS d, block_datetime, sequencer_names, {omean('v')} AS v
 FROM {name}_bs GROUP BY ALL"""),
-        (f"{name}_day", f"SELECT d, sequencer_names, sum(v) AS v FROM {name}_ts GROUP BY ALL"),
+        (f"{name}_day", f"SELECT d, sequencer_names, {osum('v')} AS v FROM {name}_ts GROUP BY ALL"),
         (name, f"""
 SELECT d AS block_datetime, {_pivot_cols('v', names, wrap=lambda e: rnd(e, 2))}
 FROM {name}_day GROUP BY d"""),
@@ -127,15 +127,15 @@ FROM {name}_day GROUP BY d"""),
 def tx_cost_avg_ctes(col: str, names, name: str) -> list[tuple[str, str]]:
     return daily_pivot_ctes(f"""
 SELECT block_number, sequencer_names, max(block_datetime) AS block_datetime,
-       coalesce(sum({col}), 0) AS v
+       coalesce({osum(col)}, 0.0) AS v
 FROM q4 GROUP BY block_number, sequencer_names""", names, name)
 
 
 def calldata_ctes(col: str, names, name: str) -> list[tuple[str, str]]:
     agg = {
         "sequencer_total_mbytes": "coalesce(sum(n_input_bytes), 0) / 1e6",
-        "sequencer_mb_gas_ratio": f"avg({ieee('n_input_bytes', 'gas_price_gwei')} / 1e6)",
-        "calldata_mb_block_gas_ratio": f"avg({ieee('block_calldata_kbytes', 'gas_price_gwei')} / 1e3)",
+        "sequencer_mb_gas_ratio": omean(f"{ieee('n_input_bytes', 'gas_price_gwei')} / 1e6"),
+        "calldata_mb_block_gas_ratio": omean(f"{ieee('block_calldata_kbytes', 'gas_price_gwei')} / 1e3"),
     }[col]
     return daily_pivot_ctes(f"""
 SELECT block_number, sequencer_names, max(block_datetime) AS block_datetime, {agg} AS v
@@ -249,7 +249,7 @@ FROM q4""")
         "SELECT * FROM monthly")
     out["calldata_cost_per_block"] = with_ctes(R, q4, f"""
 SELECT block_number, max(block_datetime) AS block_datetime, sequencer_names,
-       avg({ieee('block_calldata_kbytes', 'gas_price_gwei')}) AS calldata_block_gas_ratio,
+       {omean(ieee('block_calldata_kbytes', 'gas_price_gwei'))} AS calldata_block_gas_ratio,
        max(block_calldata_kbytes) AS block_calldata_kbytes,
        arg_min(gas_price_gwei, transaction_index) AS gas_price_gwei
 FROM q4 GROUP BY block_number, sequencer_names""")

@@ -41,3 +41,15 @@ def with_ctes(standins: list[str], ctes: list[tuple[str, str]], body: str) -> st
     parts += [f"{n} AS (\n{s}\n)" for n, s in ctes]
     recursive = any(f" {n} " in f" {b} " or f"FROM {n} " in b for n, b in ctes)
     return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n" + body
+
+
+def osum(x: str) -> str:
+    """Sum of non-null values in ascending order (matches ``ordered_sum``)."""
+    lst = f"list_sort(list(CAST({x} AS DOUBLE)) FILTER (WHERE ({x}) IS NOT NULL))"
+    return f"list_reduce(list_prepend(0.0, {lst}), lambda a, b: a + b)"
+
+
+def omean(x: str) -> str:
+    lst = f"list_sort(list(CAST({x} AS DOUBLE)) FILTER (WHERE ({x}) IS NOT NULL))"
+    return (f"(CASE WHEN len({lst}) > 0 THEN "
+            f"list_reduce(list_prepend(0.0, {lst}), lambda a, b: a + b) / len({lst}) END)")

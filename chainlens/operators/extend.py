@@ -34,7 +34,7 @@ from chainlens.functions.series import LRN, chunk_col, local_window, rolling_mea
 
 BATCH = "block_batch"
 CHUNK = "_chunk"
-DEFAULT_CHUNK_BLOCKS = 256
+DEFAULT_CHUNK_BLOCKS = 1024
 
 
 def _suffix_clashes(right: DataFrame, left_cols, keys, suffix: str) -> DataFrame:

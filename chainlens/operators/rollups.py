@@ -82,6 +82,25 @@ def summarize_dataset(explore: DataFrame) -> DataFrame:
     )
 
 
+def summary_text(summary: DataFrame) -> DataFrame:
+    """The dashboard's three summary lines from ``summarize_dataset``
+    (numbers stay raw in the summary; formatting is the last step)."""
+    n = lambda c: F.format_number(F.col(c), 0)
+    return summary.select(
+        F.concat(F.lit("block range: "), n("first_block"), F.lit(" to "), n("last_block"),
+                 F.lit(" = "), n("block_range"), F.lit(" range")).alias("block_range_info"),
+        F.concat(F.lit("blocks in dataset: "), n("n_blocks"), F.lit(", total txs: "),
+                 n("n_txs")).alias("blocks_dataset_info"),
+        F.concat(F.lit("block date range: "), F.col("first_block_datetime").cast("string"),
+                 F.lit(" to "), F.col("last_block_datetime").cast("string")).alias("block_date_range_info"),
+    )
+
+
+def sequencer_list(explore: DataFrame) -> DataFrame:
+    """The sorted distinct sequencer names (the dashboard's selector)."""
+    return explore.select(SEQ).distinct().orderBy(SEQ)
+
+
 # --- pivoted daily tables (Q6, Q7) -------------------------------------------
 
 def _daily_pivot(per_block_seq: DataFrame, value: str, names: Sequence[str]) -> DataFrame:

@@ -51,6 +51,7 @@ def _rollup_queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "tx_cost_deltas": explore,
         "summarize_dataset": lambda s, d: R.summarize_dataset(explore(s, d)),
+        "sequencer_list": lambda s, d: R.sequencer_list(explore(s, d)),
     }
     for k in ROLLING_WINDOWS:
         q[f"tx_cost_avg_{k}"] = (lambda kk: lambda s, d: R.tx_cost_avg_transform(

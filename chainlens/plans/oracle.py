@@ -237,6 +237,7 @@ SELECT min(block_number) AS first_block, max(block_number) AS last_block,
        arg_min(block_datetime, block_number) AS first_block_datetime,
        arg_max(block_datetime, block_number) AS last_block_datetime
 FROM q4""")
+    out["sequencer_list"] = with_ctes(R, q4, "SELECT DISTINCT sequencer_names FROM q4")
     for k in ROLLING_WINDOWS:
         out[f"tx_cost_avg_{k}"] = with_ctes(
             R, q4 + tx_cost_avg_ctes(f"tx_gas_cost_delta_{k}", NAMES, "p"), "SELECT * FROM p")

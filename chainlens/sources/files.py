@@ -37,10 +37,17 @@ def batch_range_of_filename(name: Column) -> Column:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    """Whether a dataset folder exists (a metadata-only listing; no data read)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet") \
+             .option("recursiveFileLookup", "true").load(path).select("path").limit(0)
+        return True
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return False
+        raise
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
@@ -107,3 +114,11 @@ def batch_file_name(dataset: str, batch: Column, blocks_per_batch: int) -> Colum
     start = batch * F.lit(blocks_per_batch)
     end = start + F.lit(blocks_per_batch - 1)
     return F.format_string(f"{dataset}__%08d_to_%08d.parquet", start, end)
+
+
+def sequencer_labels_table(spark: SparkSession) -> DataFrame:
+    """The rollup sequencer label dimension (8 fixed rows) as a DataFrame."""
+    from chainlens.constants import SEQUENCER_ADDRESSES, SEQUENCER_NAMES
+
+    return spark.createDataFrame(list(zip(SEQUENCER_ADDRESSES, SEQUENCER_NAMES)),
+                                 "sequencer_addresses string, sequencer_names string")

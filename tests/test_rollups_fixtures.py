@@ -75,3 +75,29 @@ def test_constant_series_moments_guarded(spark):
     assert m["variance"] == 0.0
     z = fee_zscore_kurtosis(vol).collect()[0]  # sd = 0: no error, NaN/null result
     assert z["zscore_kurtosis"] is None or math.isnan(z["zscore_kurtosis"])
+
+
+def test_summary_text_and_labels(spark):
+    from chainlens.sources.files import select_blocks, sequencer_labels_table
+
+    lab = sequencer_labels_table(spark)
+    assert lab.count() == 8 and lab.filter("sequencer_names = 'base'").count() == 1
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1000, t), (3500, t), (3500, t)], "block_number long, block_datetime timestamp_ntz")
+    line = R.summary_text(R.summarize_dataset(df)).collect()[0]
+    assert line["block_range_info"] == "block range: 1,000 to 3,500 = 2,500 range"
+    assert line["blocks_dataset_info"] == "blocks in dataset: 2, total txs: 3"
+    assert select_blocks(df, 1000, 1000).count() == 1
+    assert select_blocks(df, lo=2000).count() == 2
+    assert select_blocks(df, latest=True).count() == 2
+
+
+def test_copy_batches_skips_existing(spark):
+    from chainlens.plans.jobs import copy_batches, scratch_path
+    from chainlens.sources import standins as S
+
+    b = S.blocks(spark, "/root/testdata/sf0.001")
+    out = scratch_path(spark, "test-copy")
+    assert copy_batches(spark, b.filter("block_number < 5000"), out).count() == 1
+    assert copy_batches(spark, b, out).count() == 0  # sf0.001 has one batch only
+    assert spark.read.parquet(out).count() == b.count()

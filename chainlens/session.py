@@ -50,7 +50,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app: str = "chainlens") -> SparkSession:
+              app: str = "chainlens", conf: dict | None = None) -> SparkSession:
     b = SparkSession.builder.appName(app)
     master = master or os.environ.get("CHAINLENS_MASTER")
     if master:
@@ -60,7 +60,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
           .config("spark.ui.showConsoleProgress", "false"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in TUNED_CONFS.items():
+    for k, v in {**TUNED_CONFS, **(conf or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -82,7 +82,10 @@ def extend_txs_blocks(
     b = b.repartition(BATCH, CHUNK)
     j = t.join(b, keys, "left")
 
-    order = ["block_number", "transaction_index", "transaction_hash"]
+    # (block_number, transaction_index) is the row key of valid chain data, and
+    # the rolled value (base fee) is constant within a block, so no wider
+    # tie-breaker is needed; the narrow rows stay all-long.
+    order = ["block_number", "transaction_index"]
     w_block = Window.partitionBy(BATCH, CHUNK, "block_number")
     j = j.withColumns({
         "transaction_index_max": F.max("transaction_index").over(w_block),

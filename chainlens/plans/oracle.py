@@ -27,7 +27,7 @@ SELECT {tcols}, t.gas_price, t.max_priority_fee_per_gas, t.max_fee_per_gas{mcols
        b.timestamp, b.base_fee_per_gas, b.gas_used AS gas_used_block
 FROM transactions t{mjoin}
 LEFT JOIN blocks b ON t.block_batch = b.block_batch AND t.block_number = b.block_number"""
-    order = "block_number, transaction_index, transaction_hash"
+    order = "block_number, transaction_index"
     wins, defs = [], ["pb AS (PARTITION BY block_batch, block_number)"]
     for k, n in windows.items():
         defs.append(f"r_{k} AS (PARTITION BY block_batch ORDER BY {order} "

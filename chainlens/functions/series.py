@@ -87,7 +87,10 @@ def add_positions(df: DataFrame, part_cols: Sequence[str], chunk: str,
         offs["_oc"] = F.coalesce(F.sum("_tc").over(wo), F.lit(0))
     offsets = totals.withColumns(offs).drop("_tn", "_ts", "_tc")
 
-    out = local.join(offsets, [*part_cols, chunk], "inner")
+    # every chunk has an offsets row, so "left" equals "inner" here; a left
+    # join infers no IsNotNull filter on ``local``, which keeps this branch's
+    # plan identical to the totals branch and lets Spark reuse its exchange
+    out = local.join(offsets, [*part_cols, chunk], "left")
     res = {RN: (F.col("_on") + F.col(LRN)).cast("bigint")}
     drop = ["_on"]
     if value is not None:

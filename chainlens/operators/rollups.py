@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainlens.constants import (
@@ -152,13 +152,18 @@ def monthly_chart_series(daily: DataFrame, sequencers: Sequence[str]) -> DataFra
     aggs = [(F.sum(F.round(F.col(s) * 100).cast("bigint")).cast("double")
              / F.count(s) / F.lit(100.0)).alias(s) for s in sequencers]
     monthly = d.groupBy("block_month").agg(*aggs)
-    # the month span comes from the (small) monthly table, not another pass
-    span = monthly.agg(F.min("block_month").alias("lo"), F.max("block_month").alias("hi"))
-    months = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH")))
-                         .alias("block_month"))
-    return (months.join(monthly, "block_month", "left")
-                  .withColumn("month_label", F.date_format("block_month", "MMM yyyy"))
-                  .select("block_month", "month_label", *sequencers))
+    # Empty months: each present month also emits the months up to the next
+    # present one, with null values. The lead() runs over the monthly table
+    # (one row per month: small), so there is no second pass and no join.
+    nxt = F.lead("block_month").over(Window.orderBy("block_month"))
+    upto = F.coalesce(F.add_months(F.col("_next"), -1), F.col("block_month"))
+    filled = monthly.withColumn("_next", nxt).select(
+        "*", F.posexplode(F.sequence("block_month", upto, F.expr("INTERVAL 1 MONTH")))
+             .alias("_k", "_m"))
+    return filled.select(
+        F.col("_m").alias("block_month"),
+        F.date_format("_m", "MMM yyyy").alias("month_label"),
+        *[F.when(F.col("_k") == 0, F.col(s)).alias(s) for s in sequencers])
 
 
 def calldata_cost_per_block(explore: DataFrame) -> DataFrame:

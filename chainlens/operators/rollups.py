@@ -191,13 +191,15 @@ def blob_market_per_sequencer(explore: DataFrame, sequencer: str,
 def blob_market_non_agg(explore: DataFrame, names: Sequence[str] = SEQUENCER_NAMES,
                         blob_bytes: int = BLOB_BYTES) -> DataFrame:
     """Q11: per block, blobs per sequencer when each fills its own (wide),
-    and their total ``blob_count``. One exchange (by block) serves both
-    aggregations and the pivot."""
-    per_bs = (explore.select(BLK, SEQ, "n_input_bytes").repartition(BLK)
-                     .groupBy(BLK, SEQ)
-                     .agg(blob_count(sum0("n_input_bytes"), blob_bytes).alias("_split")))
-    wide = per_bs.groupBy(BLK).pivot(SEQ, list(names)).agg(F.sum("_split"))
-    wide = wide.fillna(0, subset=list(names))
+    and their total ``blob_count``.
+
+    The reference's pivot of per-(block, sequencer) sums is one aggregation
+    keyed by block with a conditional byte sum per sequencer: map-side
+    combined before its single exchange."""
+    by_seq = explore.groupBy(BLK).agg(*[
+        F.sum(F.when(F.col(SEQ) == n, F.col("n_input_bytes"))).alias(n) for n in names])
+    wide = by_seq.select(BLK, *[F.coalesce(blob_count(F.col(n), blob_bytes), F.lit(0))
+                                .cast("bigint").alias(n) for n in names])
     total = sum((F.col(n) for n in names[1:]), F.col(names[0]))
     return wide.withColumn("blob_count", total.cast("bigint"))
 
@@ -240,17 +242,20 @@ def blob_demand_buckets(series: dict[str, DataFrame]) -> DataFrame:
 
 
 def blob_demand(explore: DataFrame, blocks: DataFrame, since: str = DEFAULT_SINCE,
-                blob_bytes: int = BLOB_BYTES) -> DataFrame:
+                blob_bytes: int = BLOB_BYTES, names: Sequence[str] = SEQUENCER_NAMES) -> DataFrame:
     """Q14 in one pass: per block, the non-aggregated count (sum over
     sequencers of their own blobs) and the aggregated count (shared blobs)
-    come out of one aggregation; all blocks since ``since`` are then counted
-    into the buckets of both markets. Same result as ``blob_demand_buckets``
-    over the two ``blob_series``."""
-    per_bs = (explore.select(BLK, SEQ, "n_input_bytes").repartition(BLK)
-                     .groupBy(BLK, SEQ).agg(sum0("n_input_bytes").alias("_b")))
-    per_b = per_bs.groupBy(BLK).agg(
-        F.sum(blob_count("_b", blob_bytes)).cast("bigint").alias("non_agg"),
-        blob_count(F.sum("_b"), blob_bytes).alias("agg"))
+    come out of one map-side-combined aggregation; all blocks since ``since``
+    are then counted into the buckets of both markets. Same result as
+    ``blob_demand_buckets`` over the two ``blob_series``."""
+    per_b = explore.groupBy(BLK).agg(
+        sum0("n_input_bytes").alias("_all"),
+        *[F.sum(F.when(F.col(SEQ) == n, F.col("n_input_bytes"))).alias(f"_s{i}")
+          for i, n in enumerate(names)])
+    non_agg = sum((F.coalesce(blob_count(F.col(f"_s{i}"), blob_bytes), F.lit(0))
+                   for i in range(len(names))), F.lit(0))
+    per_b = per_b.select(BLK, non_agg.cast("bigint").alias("non_agg"),
+                         blob_count("_all", blob_bytes).alias("agg"))
     b = blocks.filter(F.col("timestamp") >= F.lit(epoch_of(since))).select(BLK)
     s = b.join(per_b, BLK, "left").fillna(0, subset=["non_agg", "agg"])
     long = s.select(F.explode(F.array(

@@ -25,10 +25,17 @@ from chainlens.sources.files import BATCH
 
 def start_rollups_stream(spark: SparkSession, txs_path: str, blocks_path: str,
                          labels: DataFrame, out_path: str, checkpoint: str,
-                         available_now: bool = True, **extend_kw) -> StreamingQuery:
-    """Incremental, exactly-once rollup job over ``block_batch`` folders."""
+                         available_now: bool = True, max_files_per_trigger: int | None = None,
+                         **extend_kw) -> StreamingQuery:
+    """Incremental, exactly-once rollup job over ``block_batch`` folders.
+
+    ``max_files_per_trigger`` bounds a micro-batch when a large backlog is
+    caught up (``availableNow`` still drains it, in several micro-batches)."""
     schema = spark.read.parquet(txs_path).schema
-    arriving = spark.readStream.schema(schema).parquet(txs_path)
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    arriving = r.parquet(txs_path)
 
     def process(micro: DataFrame, epoch_id: int) -> None:
         # re-list both folders each micro-batch: files that arrived are seen

@@ -68,9 +68,11 @@ def extend_txs_blocks(
     stay. Duplicate rows are removed last.
     """
     windows = dict(ROLLING_WINDOWS if windows is None else windows)
+    if (BATCH in txs.columns) != (BATCH in blocks.columns):
+        raise ValueError("block_batch must be on both inputs or on neither "
+                         "(read both with sources.files.read_dataset)")
     if BATCH not in txs.columns:
         txs = txs.withColumn(BATCH, F.lit(0).cast("bigint"))
-    if BATCH not in blocks.columns:
         blocks = blocks.withColumn(BATCH, F.lit(0).cast("bigint"))
 
     txs = join_mempool(txs, mempool)

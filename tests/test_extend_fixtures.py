@@ -82,3 +82,20 @@ def test_label_join_keeps_labelled_only(spark):
     out = label_rollups(ext, labels).collect()
     assert len(out) == 1 and out[0]["sequencer_names"] == "arbitrum"
     assert "timestamp" not in label_rollups(ext, labels).columns
+
+
+def test_mempool_clashing_columns_get_suffix(spark):
+    t = spark.createDataFrame([tx(1, 0)], TX)
+    b = spark.createDataFrame([(1, 0, 50, 1, 0)], BL)
+    m = spark.createDataFrame([("0x1-0", 999)], "hash string, gas_used long")
+    r = extend_txs_blocks(t, b, m, windows={"m": 1}).collect()[0]
+    assert r["gas_used"] == 21000 and r["gas_used_mempool"] == 999 and r["gas_used_block"] == 1
+
+
+def test_batch_on_one_side_only_is_rejected(spark):
+    t = spark.createDataFrame([tx(1, 0)], TX)
+    b = spark.createDataFrame([(1, 0, 50, 1, 0)], BL).drop("block_batch")
+    with pytest.raises(ValueError):
+        extend_txs_blocks(t, b)
+    r = extend_txs_blocks(t.drop("block_batch"), b, windows={"m": 1}).collect()[0]
+    assert r["block_batch"] == 0 and r["avg_base_fee_m"] == 50.0

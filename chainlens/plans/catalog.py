@@ -33,7 +33,8 @@ def _q2(spark: SparkSession, d: str) -> DataFrame:
 
 def rollups(spark: SparkSession, d: str) -> DataFrame:
     """Q3 over the stand-ins: the labelled rollup table every dashboard reads."""
-    return extend.label_rollups(_q1(spark, d), S.sequencer_labels(spark, d))
+    return extend.rollup_transactions(S.transactions(spark, d), S.blocks(spark, d),
+                                      S.sequencer_labels(spark, d))
 
 
 # The driver's orders span 1995-2001, so the dashboard's 2023 floor would keep

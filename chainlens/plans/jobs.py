@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainlens.operators.extend import extend_txs_blocks, label_rollups
+from chainlens.operators.extend import rollup_transactions
 from chainlens.session import checkpoint_dir
 from chainlens.sources.files import BATCH, _exists, list_files
 
@@ -58,7 +58,7 @@ def write_rollups_incremental(spark: SparkSession, txs: DataFrame, blocks: DataF
     todo = pending_batches(txs, blocks, done_batches(spark, out_path))
     t = txs.join(todo, BATCH, "left_semi")
     b = blocks.join(todo, BATCH, "left_semi")
-    out = label_rollups(extend_txs_blocks(t, b, mempool, **extend_kw), labels)
+    out = rollup_transactions(t, b, labels, mempool, **extend_kw)
     write_batches(out, out_path)
     return todo
 

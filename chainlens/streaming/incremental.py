@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from chainlens.operators.extend import extend_txs_blocks, label_rollups
+from chainlens.operators.extend import rollup_transactions
 from chainlens.plans.jobs import write_batches
 from chainlens.sources.files import BATCH
 
@@ -43,7 +43,7 @@ def start_rollups_stream(spark: SparkSession, txs_path: str, blocks_path: str,
         ids = micro.select(BATCH).distinct()
         t = s.read.parquet(txs_path).join(ids, BATCH, "left_semi")
         b = s.read.parquet(blocks_path).join(ids, BATCH, "left_semi")
-        write_batches(label_rollups(extend_txs_blocks(t, b, **extend_kw), labels), out_path)
+        write_batches(rollup_transactions(t, b, labels, **extend_kw), out_path)
 
     w = arriving.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

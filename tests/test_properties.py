@@ -33,3 +33,16 @@ def test_result_independent_of_shuffle_partitions_and_input_order(spark):
         assert run(3, False) == run(11, True)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_fused_rollups_equal_label_after_extend(spark):
+    from chainlens.operators.extend import label_rollups, rollup_transactions
+
+    d = "/root/testdata/sf0.01"
+    t, b, l = S.transactions(spark, d), S.blocks(spark, d), S.sequencer_labels(spark, d)
+    fused = rollup_transactions(t, b, l)
+    plain = label_rollups(extend_txs_blocks(t, b), l)
+    cols = sorted(plain.columns)
+    assert sorted(fused.columns) == cols
+    assert fused.count() == plain.count()
+    assert fused.select(*cols).exceptAll(plain.select(*cols)).count() == 0

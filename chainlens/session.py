@@ -40,12 +40,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when the session has none (local tests) is a private folder made.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    try:  # classic sessions; Spark Connect has no SparkContext
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="chainlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if sc is not None:
+        sc.setCheckpointDir(d)
     return d
 
 

@@ -71,8 +71,8 @@ def main() -> None:
         return time.perf_counter() - t0, df
 
     times, exch = {}, {}
-    for n in names[:2] + [m for m in ("kalman_fee_filter",) if m in names]:
-        run(n)  # warm-up: JVM JIT, file metadata, Python workers
+    for n in names[:6] + [m for m in ("kalman_fee_filter",) if m in names]:
+        run(n)  # warm-up: JVM JIT of the big plans, file metadata, Python workers
     for n in names:
         ts = []
         for _ in range(repeats):

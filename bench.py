@@ -41,9 +41,14 @@ HEADLINE = [
 
 
 def _exchanges(df) -> int:
+    """Distinct shuffle exchanges of the plan. A scalar subquery is printed at
+    each of its uses, so exchanges are told apart by their text (partitioning
+    keys with attribute ids), not counted per printed line."""
     plan = df._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
-    return len(re.findall(r"\bExchange (?:hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", final))
+    found = re.findall(r"(?<!Reused)Exchange ((?:hashpartitioning|rangepartitioning|SinglePartition|"
+                       r"RoundRobin)[^\n]*?)(?:, \[plan_id=\d+\]|$)", final, flags=re.M)
+    return len(set(found))
 
 
 def main() -> None:

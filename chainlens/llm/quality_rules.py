@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from chainlens.llm.common import SPACE, SPACE_RUN, materialize
 
 #: limits of the document rules, and how much narrower they are for a distrusted host
-SYMBOLS_PER_WORD, DUP_LINE_SHARE, WORD_CHARS, STRICT = 0.3, 0.3, (2.0, 15.0), 0.5
+SYMBOLS_PER_WORD, DUP_LINE_SHARE, WORD_CHARS, STRICT = 0.3, 0.6, (2.0, 15.0), 0.5
 DISTRUST_RATE = 0.5
 
 
@@ -128,9 +128,9 @@ m AS (
   FROM t LEFT JOIN rep USING (doc_id)),
 f AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-         n_symbols / greatest(n_words, 1) > 0.3 OR n_dup_lines / greatest(n_lines, 1) > 0.3
+         n_symbols / greatest(n_words, 1) > 0.3 OR n_dup_lines / greatest(n_lines, 1) > 0.6
            OR abs(word_chars / greatest(n_words, 1) - 8.5) > 6.5 AS fails,
-         n_symbols / greatest(n_words, 1) > 0.15 OR n_dup_lines / greatest(n_lines, 1) > 0.15
+         n_symbols / greatest(n_words, 1) > 0.15 OR n_dup_lines / greatest(n_lines, 1) > 0.3
            OR abs(word_chars / greatest(n_words, 1) - 8.5) > 4.875 AS strictly
   FROM m),
 h AS (SELECT host, count(*) AS n, count(*) FILTER (WHERE base_failed OR fails) AS k FROM f GROUP BY host),

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from chainlens.llm import line_dedup, pii, quality_rules, simhash_dedup
+from chainlens.llm import decontam, line_dedup, pii, quality_rules, sentencepiece_lattice, simhash_dedup, toxicity
 
 
 def queries() -> dict:
     return {
+        "op2_benchmark_decontamination": decontam.op2_benchmark_decontamination,
+        "op4_sentencepiece": sentencepiece_lattice.op4_sentencepiece,
         "op5_pii": pii.op5_pii,
         "op6_line_dedup": line_dedup.op6_line_dedup,
         "op7_simhash_near_dedup": simhash_dedup.op7_simhash_near_dedup,
+        "op9_toxicity": toxicity.op9_toxicity,
         "op10_quality_rules": quality_rules.op10_quality_rules,
     }
 

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from chainlens.llm import decontam, line_dedup, pii, quality_rules, sentencepiece_lattice, simhash_dedup, toxicity
+from chainlens.llm import chat, decontam, html_extract, line_dedup, pii, quality_classifier, quality_rules, sentencepiece_lattice, simhash_dedup, toxicity
 
 
 def queries() -> dict:
     return {
+        "op1_chat_formatting": chat.op1_chat_formatting,
         "op2_benchmark_decontamination": decontam.op2_benchmark_decontamination,
+        "op3_html_extraction": html_extract.op3_html_extraction,
         "op4_sentencepiece": sentencepiece_lattice.op4_sentencepiece,
         "op5_pii": pii.op5_pii,
         "op6_line_dedup": line_dedup.op6_line_dedup,
         "op7_simhash_near_dedup": simhash_dedup.op7_simhash_near_dedup,
+        "op8_quality_classifier": quality_classifier.op8_quality_classifier,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_quality_rules": quality_rules.op10_quality_rules,
     }

@@ -47,12 +47,12 @@ AGAINST = frozenset((
     "disclaimer contentinfo complementary").split())
 FOR = frozenset("article content post entry story main body text page hentry prose markdown copy blog news".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-N_FEATURES = 18
+N_FEATURES = 19
 MAX_PAGES, MADE_PAGES, ROUNDS = 300, 300, 300
 
 
 class Node:
-    __slots__ = ("tag", "parent", "against", "favour", "out", "text", "chars", "link_chars", "links", "in_article", "truth")
+    __slots__ = ("tag", "parent", "against", "favour", "out", "text", "chars", "link_chars", "under", "in_article", "truth")
 
     def __init__(self, tag, parent, nodes, names=""):
         up = nodes[parent] if parent >= 0 else None
@@ -63,7 +63,9 @@ class Node:
         self.in_article = tag in ("article", "main") or bool(up and up.in_article)
         self.out = tag in OUT or bool(up and up.out) or (tag in ("header", "footer") and not self.in_article)
         self.text = None
-        self.chars = self.link_chars = self.links = 0
+        #: in an element whose names speak against content (body and mixed names aside)
+        self.under = bool(up and up.under) or (self.against and not self.favour and tag not in ("html", "body"))
+        self.chars = self.link_chars = 0
         self.truth = None
 
 
@@ -165,7 +167,7 @@ def features(n: Node) -> list[float]:
             float(n.tag in ("p", "blockquote", "pre", "figcaption")), float(n.tag in HEADINGS), share,
             math.log1p(n.chars) / 8 if leaf else 0.0, math.log1p(n.chars) / 8 if not leaf else 0.0,
             float(leaf and words < 4), float(leaf and n.text[-1] in ".!?…\"”»"), float(leaf and n.text[0] in "©®"),
-            float(n.tag in ("div", "section")), float(n.tag in ("body", "html"))]
+            float(n.tag in ("div", "section")), float(n.tag in ("body", "html")), float(n.under)]
 
 
 def marginals(nodes: list[Node], w: np.ndarray, pair: np.ndarray) -> list[float]:
@@ -343,7 +345,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", m
     def run(frames):
         for f in frames:
             texts = [main_text(h or "", *shared.value) for h in f["html"]]
-            yield pd.DataFrame({"id": f["id"], "url": f["url"], "text": texts})
+            yield pd.DataFrame({"id": f["id"].astype(object), "url": f["url"].astype(object), "text": pd.Series(texts, dtype=object, index=f.index)})
 
     src = pages.select(F.col(id_col).cast("string").alias("id"), F.col("url"), F.col(html_col).alias("html"))
     out = src.mapInPandas(run, "id string, url string, text string")

@@ -78,7 +78,7 @@ def sample(docs: DataFrame, labels: DataFrame, label_id: str = "doc_id", label:
 
     def keys(frames):
         for f in frames:
-            yield f.assign(c=[cluster_key(t) for t in f.text])
+            yield f.assign(text=f.text.astype(object), c=[cluster_key(t) for t in f.text])
 
     rows = rows.select("did", "text", "y").mapInPandas(keys, "did long, text string, y int, c long")
     return materialize(rows, "toxic-sample"), sizes
@@ -91,7 +91,7 @@ def vocabulary(rows: DataFrame, sizes: dict) -> list[str]:
     def explode(frames):
         for f in frames:
             for text, y, c in zip(f.text, f.y, f.c):
-                yield pd.DataFrame({"term": list(terms_of(text)), "y": int(y), "c": c})
+                yield pd.DataFrame({"term": pd.Series(list(terms_of(text)), dtype=object), "y": int(y), "c": int(c)})
 
     seen = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism).mapInPandas(
         explode, "term string, y int, c long").distinct()

@@ -19,8 +19,6 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-# One query per operator family (the rest share these plans); keeps the
-# per-round bench to about ten minutes.
 HEADLINE = [
     "extend_txs_blocks",
     "extend_txs_blocks_mempool",
@@ -37,6 +35,14 @@ HEADLINE = [
     "swaps_enriched",
     "decode_swap_logs",
     "sync_batches",
+    "tx_cost_deltas",
+    "calldata_posted_mb",
+    "calldata_cost_per_block",
+    "blob_market_non_agg",
+    "blob_market_agg",
+    "sequencer_gas_share",
+    "fee_zscore_kurtosis",
+    "swap_net_amounts",
 ]
 
 

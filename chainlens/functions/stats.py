@@ -21,9 +21,9 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = (),
     outside ``[lo, hi]`` are left out. The top edge falls in the last bin.
     Returns ``(*by, bin, bin_lo, bin_hi, n)`` for non-empty bins.
 
-    The input is first reduced to counts per distinct ``(by, value)`` (map-side
-    combined). Both the bounds subquery and the binning read that one
-    exchange, so the upstream plan runs once, not once per pass.
+    Two passes over the input: the bounds are a plain min / max, and values are
+    binned before the exchange, so both combine map-side and only bins are
+    shuffled. Give it a stored table where the input is dear to compute.
     """
     x = F.col(value).cast("double")
     d = df.filter(x.isNotNull() & ~F.isnan(x))
@@ -31,18 +31,15 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = (),
         d = d.filter(x >= F.lit(float(lo)))
     if hi is not None:
         d = d.filter(x <= F.lit(float(hi)))
-    g = d.groupBy(*by, x.alias("_x")).agg(F.count(F.lit(1)).alias("_n"))
+    d = d.select(*by, x.alias("_x"))
     if lo is None or hi is None:
-        # reference _n so the subquery's aggregate is the same as the main one
-        # (column pruning would otherwise make the exchanges differ)
-        xs = F.when(F.col("_n") > 0, F.col("_x"))
-        span = g.select(F.struct(F.min(xs).alias("lo"), F.max(xs).alias("hi"))).scalar()
+        span = d.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi"))).scalar()
     lo_c = F.lit(float(lo)) if lo is not None else span.getField("lo")
     hi_c = F.lit(float(hi)) if hi is not None else span.getField("hi")
     width = (hi_c - lo_c) / F.lit(float(bins))
     b = F.when(width > 0, F.least(F.floor((F.col("_x") - lo_c) / width), F.lit(bins - 1))) \
          .otherwise(F.lit(0)).cast("bigint")
-    out = g.groupBy(*by, b.alias("bin")).agg(F.sum("_n").alias("n"))
+    out = d.groupBy(*by, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     return out.withColumns({
         "bin_lo": lo_c + F.col("bin") * width,
         "bin_hi": lo_c + (F.col("bin") + 1) * width,

@@ -37,18 +37,25 @@ from chainlens.constants import WEI_PER_GWEI
 from chainlens.functions.numeric import round_half_away
 from chainlens.functions.series import RN, add_positions, chunk_col, lag_positions
 
-SAMPLE_SIZE = 7600
+#: rows of a series that one task filters; the filter itself spans all chunks
+CHUNK_ROWS = 65_536
 P0 = 1.0
 VARS = ("gas_used", "base_fee_per_gas")
 
 
+def numbered(df: DataFrame, by: Sequence[str], order: str = "block_number",
+             chunk_blocks: int = 4096) -> DataFrame:
+    """All rows of each ``by`` group with ``_rn``, their 1-based position in ``order``."""
+    d = df.withColumn("_chunk", chunk_col(order, chunk_blocks))
+    return add_positions(d, list(by), "_chunk", [order]).drop("_chunk", "_lrn")
+
+
 def tail_sample(df: DataFrame, by: Sequence[str], n: int, order: str = "block_number",
                 chunk_blocks: int = 4096) -> DataFrame:
     """The last ``n`` rows of each ``by`` group in ``order`` (a sampling
     operator: the limit is the feature). Adds ``_rn`` (1-based in group)."""
     by = list(by)
-    d = df.withColumn("_chunk", chunk_col(order, chunk_blocks))
-    pos = add_positions(d, by, "_chunk", [order]).drop("_chunk", "_lrn")
+    pos = numbered(df, by, order, chunk_blocks)
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
     return (pos.join(sizes, by, "inner")
                .filter(F.col(RN) > F.col("_size") - n)
@@ -75,55 +82,126 @@ def noise_params(sample: DataFrame, by: Sequence[str], cols: Sequence[str] = VAR
     return m.withColumns(out).select(*by, *out.keys())
 
 
-def local_level_filter(y: np.ndarray, q: float, r: float, p0: float = P0) -> np.ndarray:
-    """Filtered state means of one series (float64, sequential recursion)."""
-    out = np.empty(len(y), dtype=np.float64)
-    if len(y) == 0:
-        return out
-    x = float(y[0])
-    p = p0
-    for t in range(len(y)):
+def variance_before(start: int, q: float, r: float, p0: float = P0) -> float:
+    """Posterior variance of the row before row ``start`` (0-based, at least 1).
+
+    The variance does not depend on the data: a step maps p to r(p+q)/(p+q+r), a
+    Moebius map, so ``start - 1`` steps are one power of its matrix.
+    """
+    p = p0 * r / (p0 + r) if p0 + r != 0.0 else 0.0
+    power, step, left = np.eye(2), np.array([[r, r * q], [1.0, q + r]]), start - 1
+    while left:
+        if left & 1:
+            power = power @ step
+            power /= max(np.abs(power).max(), 1e-300)
+        step = step @ step
+        step /= max(np.abs(step).max(), 1e-300)
+        left >>= 1
+    over, under = power @ np.array([p, 1.0])
+    return float(over / under) if under != 0.0 else 0.0
+
+
+def gains(start: int, n: int, q: float, r: float, p0: float = P0) -> list[float]:
+    """Kalman gains of rows start .. start+n-1 of a series."""
+    p = p0 if start == 0 else variance_before(start, q, r, p0)
+    out = []
+    for t in range(start, start + n):
         if t > 0:
             p = p + q
         s = p + r
         k = p / s if s != 0.0 else 1.0
-        x = x + k * (float(y[t]) - x)
         p = (1.0 - k) * p
+        out.append(k)
+    return out
+
+
+def local_level_filter(y: np.ndarray, q: float, r: float, p0: float = P0,
+                       start: int = 0, x: float | None = None) -> np.ndarray:
+    """Filtered state means (float64) of a series, or of its rows from ``start`` on
+    when the state ``x`` of the row before is given."""
+    out = np.empty(len(y), dtype=np.float64)
+    if len(y) and x is None:
+        x = float(y[0])
+    for t, k in enumerate(gains(start, len(y), q, r, p0)):
+        x = x + k * (float(y[t]) - x)
         out[t] = x
     return out
 
 
+def chunk_map(y: np.ndarray, q: float, r: float, start: int) -> tuple[float, float]:
+    """(a, b): the chunk takes a state x before it to a*x + b after it."""
+    a, b = (1.0, 0.0) if start else (0.0, float(y[0]))
+    for t, k in enumerate(gains(start, len(y), q, r)):
+        a, b = (1.0 - k) * a, b + k * (float(y[t]) - b)
+    return a, b
+
+
 def kalman_filter(sample: DataFrame, params: DataFrame, by: Sequence[str],
-                  cols: Sequence[str] = VARS) -> DataFrame:
-    """K1: grouped-map filter; one bounded group (a series sample) per call."""
+                  cols: Sequence[str] = VARS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """K1 over whole series of any length, in chunks of ``chunk_rows`` rows.
+
+    The state update is affine and the gains follow from the row number, so every
+    chunk is reduced to one affine map; the maps are composed along the series (one
+    row per chunk), and each chunk then filters its rows from its own start state.
+    A task holds one chunk, never a series. ``sample`` carries ``_rn``.
+    """
     by = list(by)
-    d = sample.join(params, by, "inner")
+    chunk = F.floor((F.col(RN) - 1) / chunk_rows).cast("bigint").alias("_kc")
+    prm = [f"{v}_{c}" for c in cols for v in ("q", "r")]
+    d = sample.join(params, by, "inner").select(*by, "block_number", *cols, RN, *prm, chunk)
+    keys = T.StructType([T.StructField(c, d.schema[c].dataType, True) for c in [*by, "_kc"]])
+    maps = T.StructType(list(keys) + [T.StructField(f"{v}_{c}", T.DoubleType(), True) for c in cols for v in ("a", "b")])
+    states = T.StructType(list(keys) + [T.StructField(f"x_{c}", T.DoubleType(), True) for c in cols])
+
+    def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(RN, kind="stable")
+        out = pdf[[*by, "_kc"]].head(1).copy()
+        for c in cols:
+            out[f"a_{c}"], out[f"b_{c}"] = chunk_map(
+                pdf[c].to_numpy(dtype=np.float64), float(pdf[f"q_{c}"].iloc[0]),
+                float(pdf[f"r_{c}"].iloc[0]), int(pdf[RN].iloc[0]) - 1)
+        return out
+
+    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_kc", kind="stable")
+        out = pdf[[*by, "_kc"]].copy()
+        for c in cols:
+            x, before = 0.0, []
+            for a, b in zip(pdf[f"a_{c}"], pdf[f"b_{c}"]):
+                before.append(x)
+                x = a * x + b
+            out[f"x_{c}"] = before
+        return out
+
+    start = d.groupBy(*by, "_kc").applyInPandas(reduce, maps).groupBy(*by).applyInPandas(compose, states)
     keep = [*by, "block_number", *cols]
-    fields = [d.schema[c] for c in keep]
     schema = T.StructType(
-        [T.StructField(f.name, f.dataType, True) for f in fields]
+        [T.StructField(c, d.schema[c].dataType, True) for c in keep]
         + [T.StructField(f"{c}_kalman", T.DoubleType(), True) for c in cols])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(RN, kind="stable")
+        first = int(pdf[RN].iloc[0]) - 1
         res = pdf[keep].copy()
         for c in cols:
-            y = pdf[c].to_numpy(dtype=np.float64)
             res[f"{c}_kalman"] = local_level_filter(
-                y, float(pdf[f"q_{c}"].iloc[0]), float(pdf[f"r_{c}"].iloc[0]))
+                pdf[c].to_numpy(dtype=np.float64), float(pdf[f"q_{c}"].iloc[0]), float(pdf[f"r_{c}"].iloc[0]),
+                start=first, x=float(pdf[f"x_{c}"].iloc[0]) if first else None)
         return res
 
-    sel = d.select(*keep, RN, *[f"q_{c}" for c in cols], *[f"r_{c}" for c in cols])
-    return sel.groupBy(*by).applyInPandas(run, schema)
+    return d.join(start, [*by, "_kc"], "inner").groupBy(*by, "_kc").applyInPandas(run, schema)
 
 
 def kalman_fee_filter(blocks: DataFrame, by: Sequence[str] = ("series",),
-                      sample_size: int = SAMPLE_SIZE, decimals: int | None = 6) -> DataFrame:
-    """Q21: filter the last ``sample_size`` blocks of each series; report the
-    filtered and actual base fee in gwei and their difference."""
+                      sample_size: int | None = None, decimals: int | None = 6,
+                      chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Q21: filter each whole series, or with ``sample_size`` its last rows
+    (``tail_sample``); report the filtered and actual base fee in gwei and their
+    difference."""
     by = list(by)
-    s = tail_sample(blocks.select(*by, "block_number", *VARS), by, sample_size)
-    k = kalman_filter(s, noise_params(s, by), by)
+    rows = blocks.select(*by, "block_number", *VARS)
+    s = numbered(rows, by) if sample_size is None else tail_sample(rows, by, sample_size)
+    k = kalman_filter(s, noise_params(s, by), by, chunk_rows=chunk_rows)
     g = F.lit(WEI_PER_GWEI)
     rd = (lambda c: round_half_away(c, decimals)) if decimals is not None else (lambda c: c)
     kal = F.col("base_fee_per_gas_kalman") / g

@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 
 from chainlens.constants import (
     BLOB_BYTES,
-    DEFAULT_SINCE,
     ROLLING_WINDOWS,
     SEQUENCER_NAMES,
     WEI_PER_ETH,
@@ -54,11 +53,11 @@ DT = "block_datetime"
 
 # --- Q4 / Q5 ---------------------------------------------------------------
 
-def tx_cost_deltas(rollups: DataFrame, since: str = DEFAULT_SINCE,
+def tx_cost_deltas(rollups: DataFrame, since: str | None = None,
                    windows: Sequence[str] = tuple(ROLLING_WINDOWS)) -> DataFrame:
     """Cost at each rolling average fee, and actual minus that (positive:
     the transaction paid more than the average)."""
-    df = rollups.filter(F.col(DT) >= datetime_literal(since))
+    df = rollups if since is None else rollups.filter(F.col(DT) >= datetime_literal(since))
     df = df.withColumns({
         f"tx_gas_cost_avg_{k}": F.col(f"avg_base_fee_{k}") * F.col("gas_used") / F.lit(WEI_PER_ETH)
         for k in windows
@@ -212,12 +211,17 @@ def blob_market_agg(explore: DataFrame, blob_bytes: int = BLOB_BYTES) -> DataFra
                    .withColumn("blob_count", blob_count("sequencer_total_bytes", blob_bytes)))
 
 
-def blob_series(blocks: DataFrame, counts: DataFrame, since: str = DEFAULT_SINCE) -> DataFrame:
+def _since(blocks: DataFrame, since: str | None) -> DataFrame:
+    """Blocks from the date floor on (None: all); on the raw epoch column, so it is pushed."""
+    return blocks if since is None else blocks.filter(F.col("timestamp") >= F.lit(epoch_of(since)))
+
+
+def blob_series(blocks: DataFrame, counts: DataFrame, since: str | None = None) -> DataFrame:
     """Q13: every block since ``since`` with its blob count (0 if none).
 
     The date floor is applied to the raw epoch column, so it is pushed into
     the parquet scan of the blocks table."""
-    b = blocks.filter(F.col("timestamp") >= F.lit(epoch_of(since))).select(BLK, "timestamp")
+    b = _since(blocks, since).select(BLK, "timestamp")
     c = counts.select(BLK, "blob_count")
     return (b.join(c, BLK, "left")
              .fillna(0, subset=["blob_count"])
@@ -241,7 +245,7 @@ def blob_demand_buckets(series: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def blob_demand(explore: DataFrame, blocks: DataFrame, since: str = DEFAULT_SINCE,
+def blob_demand(explore: DataFrame, blocks: DataFrame, since: str | None = None,
                 blob_bytes: int = BLOB_BYTES, names: Sequence[str] = SEQUENCER_NAMES) -> DataFrame:
     """Q14 in one pass: per block, the non-aggregated count (sum over
     sequencers of their own blobs) and the aggregated count (shared blobs)
@@ -256,7 +260,7 @@ def blob_demand(explore: DataFrame, blocks: DataFrame, since: str = DEFAULT_SINC
                    for i in range(len(names))), F.lit(0))
     per_b = per_b.select(BLK, non_agg.cast("bigint").alias("non_agg"),
                          blob_count("_all", blob_bytes).alias("agg"))
-    b = blocks.filter(F.col("timestamp") >= F.lit(epoch_of(since))).select(BLK)
+    b = _since(blocks, since).select(BLK)
     s = b.join(per_b, BLK, "left").fillna(0, subset=["non_agg", "agg"])
     long = s.select(F.explode(F.array(
         F.struct(F.lit("non_agg").alias("market"), F.col("non_agg").alias("blob_count")),

@@ -66,10 +66,10 @@ def pool_token_list(pools: DataFrame) -> DataFrame:
 
 def decode_swap_logs(raw_logs: DataFrame, contracts: list[str] | None = None) -> DataFrame:
     """Uniswap V2 ``Swap`` logs -> decoded swap table."""
-    return decode_logs(raw_logs, SWAP_SIGNATURE, SWAP_TOPIC0, contracts)
+    return decode_logs(raw_logs, SWAP_SIGNATURE, SWAP_TOPIC0, contracts, lower_hex=True)
 
 
 def decode_pair_logs(raw_logs: DataFrame, factory: str | None = None) -> DataFrame:
     """``PairCreated`` logs of the factory -> pool table."""
     return decode_logs(raw_logs, PAIR_CREATED_SIGNATURE, PAIR_CREATED_TOPIC0,
-                       [factory] if factory else None)
+                       [factory] if factory else None, lower_hex=True)

@@ -40,6 +40,7 @@ def rollups(spark: SparkSession, d: str) -> DataFrame:
 # The driver's orders span 1995-2001, so the dashboard's 2023 floor would keep
 # nothing; the stand-in queries use this floor instead (a parameter).
 SINCE = "1996-01-01"
+TAIL = 500
 NAMES = list(SEQUENCER_NAMES)
 
 
@@ -96,11 +97,14 @@ def _vol_queries() -> dict[str, Query]:
         "volatility_moments": lambda s, d: V.volatility_moments(volatility(s, d), decimals=DEC),
         "fee_zscore_kurtosis": lambda s, d: V.fee_zscore_kurtosis(volatility(s, d), decimals=DEC),
         "kalman_fee_filter": kalman,
+        "kalman_tail_sample": lambda s, d: K.tail_sample(
+            S.block_series(s, d).select("series", "block_number", *K.VARS), ["series"], TAIL)
+            .withColumnRenamed("_rn", "rn"),
         "kalman_error_sums": lambda s, d: K.kalman_error_sums(kalman(s, d), ["series"], DEC),
         "kalman_diff_histogram": lambda s, d: V.diff_histogram(
             kalman(s, d), "base_fee_per_gas_diff", 10, by=["series"]),
         "volatility_diff_histogram": lambda s, d: V.diff_histogram(
-            volatility(s, d), "base_fee_per_gas_gwei_diff", 1000, view=(-10.0, 10.0)),
+            volatility(s, d), "base_fee_per_gas_gwei_diff", 1000),
     }
 
 

@@ -36,10 +36,22 @@ def write_batches(df: DataFrame, path: str, compression: str = "zstd") -> None:
        .parquet(path))
 
 
+def finished_path(path: str) -> str:
+    """The record of finished batch ids, beside the table."""
+    return f"{path.rstrip('/')}__finished"
+
+
+def mark_finished(todo: DataFrame, path: str) -> None:
+    """Record batches after their data is committed; a batch without any output row is finished too."""
+    todo.select(BATCH).coalesce(1).write.mode("append").parquet(finished_path(path))
+
+
 def done_batches(spark: SparkSession, path: str) -> DataFrame:
-    if not _exists(spark, path):
-        return spark.createDataFrame([], f"{BATCH} bigint")
-    return spark.read.parquet(path).select(BATCH).distinct()
+    """Finished batch ids: the record; for a table written without one, its batches."""
+    for place in (finished_path(path), path):
+        if _exists(spark, place):
+            return spark.read.parquet(place).select(BATCH).distinct()
+    return spark.createDataFrame([], f"{BATCH} bigint")
 
 
 def pending_batches(txs: DataFrame, blocks: DataFrame, done: DataFrame) -> DataFrame:
@@ -60,6 +72,7 @@ def write_rollups_incremental(spark: SparkSession, txs: DataFrame, blocks: DataF
     b = blocks.join(todo, BATCH, "left_semi")
     out = rollup_transactions(t, b, labels, mempool, **extend_kw)
     write_batches(out, out_path)
+    mark_finished(todo, out_path)
     return todo
 
 

@@ -298,7 +298,7 @@ def _with_tail(standins, ctes, tail: str) -> str:
 # --- volatility, moments, Kalman (Q18-Q23) ------------------------------------
 
 VOL_N = 300
-SAMPLE = 7600
+TAIL = 500
 DEC = 6
 
 
@@ -316,7 +316,7 @@ def _kstep(p: str, q: str, r: str) -> str:
     return f"(CASE WHEN ({p}) + {r} <> 0 THEN ({p}) / (({p}) + {r}) ELSE 1.0 END)"
 
 
-def q21_ctes(sample: int = SAMPLE, dec: int = DEC) -> list[tuple[str, str]]:
+def q21_ctes(dec: int = DEC) -> list[tuple[str, str]]:
     lagw = "OVER (PARTITION BY series ORDER BY rn)"
     vs = {"g": "gas_used", "f": "base_fee_per_gas"}
     lag_cols = ", ".join(
@@ -335,14 +335,10 @@ def q21_ctes(sample: int = SAMPLE, dec: int = DEC) -> list[tuple[str, str]]:
         f"(1.0 - {_kstep(f'r.p{k} + p.q{k}', 'p.q' + k, 'p.r' + k)}) * (r.p{k} + p.q{k}) AS p{k}"
         for k, c in vs.items())
     return [
-        ("k_s", """
+        ("k_smp", """
 SELECT series, block_number, gas_used, base_fee_per_gas,
-       row_number() OVER (PARTITION BY series ORDER BY block_number) AS rn0,
-       count(*) OVER (PARTITION BY series) AS sz
+       row_number() OVER (PARTITION BY series ORDER BY block_number) AS rn
 FROM block_series"""),
-        ("k_smp", f"""
-SELECT series, block_number, gas_used, base_fee_per_gas, rn0 - greatest(sz - {sample}, 0) AS rn
-FROM k_s WHERE rn0 > sz - {sample}"""),
         ("k_lag", f"SELECT series, rn, {lag_cols} FROM k_smp"),
         ("k_prm", f"SELECT series, {prm} FROM k_lag GROUP BY series"),
         ("k_rec", f"""
@@ -398,9 +394,13 @@ SELECT series, {tot(d)} AS diff_sum,
        {tot(f'CASE WHEN {d} > 0 THEN {d} END')} AS diff_pos_sum,
        {tot(f'CASE WHEN {d} < 0 THEN {d} END')} AS diff_neg_sum
 FROM q21 GROUP BY series""")
+    out["kalman_tail_sample"] = with_ctes(B, [], f"""
+SELECT series, block_number, gas_used, base_fee_per_gas, rn FROM (
+  SELECT *, row_number() OVER (PARTITION BY series ORDER BY block_number)
+            - greatest(count(*) OVER (PARTITION BY series) - {TAIL}, 0) AS rn FROM block_series) WHERE rn > 0""")
     out["kalman_diff_histogram"] = _with_tail(B, q21, histogram_sql("q21", d, 10, "series"))
     out["volatility_diff_histogram"] = _with_tail(
-        B, q18, histogram_sql("q18", "base_fee_per_gas_gwei_diff", 1000, None, (-10.0, 10.0)))
+        B, q18, histogram_sql("q18", "base_fee_per_gas_gwei_diff", 1000, None))
 
 
 # --- swaps (Q24-Q27) ----------------------------------------------------------

@@ -37,7 +37,8 @@ def tune_session(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a private folder made.
+    A local session without the setting gets a private folder; elsewhere executors
+    would not share it, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:  # classic sessions; Spark Connect has no SparkContext
@@ -47,6 +48,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="chainlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None:

@@ -67,16 +67,19 @@ def _is_numeric(t: str) -> bool:
 
 def decode_logs(logs: DataFrame, signature: str, topic0: str | None = None,
                 contracts: list[str] | None = None,
-                keep: tuple[str, ...] = ("block_number", "transaction_hash", "address")) -> DataFrame:
+                keep: tuple[str, ...] = ("block_number", "transaction_hash", "address"),
+                lower_hex: bool = False) -> DataFrame:
     """Select logs of one event (by ``topic0`` and optional contract list) and
-    decode its arguments into ``event__*`` columns. Filters come first, so they
-    reach the parquet scan."""
+    decode its arguments into ``event__*`` columns. With ``lower_hex`` (hex is lower
+    case in storage) the filters compare bare columns and are pushed to the parquet
+    scan; otherwise case does not count."""
     _, params = parse_signature(signature)
     d = logs
+    hexed = F.col if lower_hex else (lambda c: F.lower(F.col(c)))
     if topic0 is not None:
-        d = d.filter(F.lower(F.col("topic0")) == topic0.lower())
+        d = d.filter(hexed("topic0") == topic0.lower())
     if contracts:
-        d = d.filter(F.lower(F.col("address")).isin([c.lower() for c in contracts]))
+        d = d.filter(hexed("address").isin([c.lower() for c in contracts]))
     data = _hex_body(F.col("data"))
     cols = [F.col(k) for k in keep]
     ti, wi = 1, 0

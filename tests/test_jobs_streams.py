@@ -120,3 +120,19 @@ def test_daily_totals_watermark_drops_late_rows(spark):
     got = {r["day"]: r["gas_used"] for r in spark.read.parquet(out).collect()}
     assert got.get(dt.date(2024, 1, 1)) == 1       # late row dropped, day not reopened
     assert got.get(dt.date(2024, 1, 2)) == 2
+
+
+def test_batch_without_labelled_rows_is_finished_once(spark):
+    from pyspark.sql import functions as F
+
+    from chainlens.plans.jobs import finished_path, scratch_path, write_rollups_incremental
+
+    out = scratch_path(spark, "test-empty-batch")
+    t, b, l = S.transactions(spark, D), S.blocks(spark, D), S.sequencer_labels(spark, D)
+    bare = t.select(F.max("block_batch")).first()[0]
+    labelled = [r[0] for r in l.select(l.columns[0]).collect()] + [r[0] for r in l.select(l.columns[-1]).collect()]
+    t = t.filter((F.col("block_batch") != bare) | ~F.col("from_address").isin(labelled))
+    first = write_rollups_incremental(spark, t, b, l, out).count()
+    done = {r[0] for r in spark.read.parquet(finished_path(out)).collect()}
+    assert bare in done and len(done) == first
+    assert write_rollups_incremental(spark, t, b, l, out).count() == 0

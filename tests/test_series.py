@@ -106,3 +106,38 @@ def test_wide_rows_shuffle_once_in_enrichment(spark):
     keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     assert keys, plan
     assert not any("tx_gas_cost" in k for k in keys), keys
+
+
+def test_kalman_chunks_equal_one_pass(spark):
+    """A series longer than any sample, in many chunks, against the plain recursion."""
+    import numpy as np
+
+    from chainlens.operators import kalman as K
+
+    rng = np.random.default_rng(3)
+    n = 9000
+    y = np.cumsum(rng.normal(size=n)) + rng.normal(size=n)
+    rows = [("a", i, float(v), float(-v)) for i, v in enumerate(y)]
+    df = spark.createDataFrame(rows, "series string, block_number long, gas_used double, base_fee_per_gas double")
+    s = K.numbered(df, ["series"])
+    prm = K.noise_params(s, ["series"])
+    p = prm.first()
+    got = K.kalman_filter(s, prm, ["series"], chunk_rows=1000).orderBy("block_number").toPandas()
+    x, var, want = y[0], K.P0, []
+    for t in range(n):
+        var = var + p.q_gas_used if t else var
+        k = var / (var + p.r_gas_used)
+        x, var = x + k * (y[t] - x), (1 - k) * var
+        want.append(x)
+    assert len(got) == n
+    assert np.allclose(got.gas_used_kalman, want, rtol=1e-9, atol=1e-9)
+    assert np.allclose(got.base_fee_per_gas_kalman, -np.array(want), rtol=1e-9, atol=1e-9)
+    assert K.kalman_fee_filter(df, ["series"]).count() == n
+
+
+def test_kalman_variance_by_matrix_power():
+    from chainlens.operators.kalman import gains
+
+    for q, r in ((0.3, 2.0), (0.0, 1.0), (5.0, 0.0), (0.0, 0.0), (1e9, 3e8)):
+        whole = gains(0, 500, q, r)
+        assert all(abs(a - b) <= 1e-9 * max(1.0, abs(a)) for a, b in zip(whole[400:], gains(400, 100, q, r)))

@@ -53,3 +53,14 @@ def test_decode_topics_and_data(spark):
     r = decode_logs(logs, "E(address indexed a, uint x, address b)", "0xt").collect()[0]
     assert r["event__a"] == "0x" + "ab" * 20 and r["event__b"] == "0x" + "ab" * 20
     assert r["event__x_f64"] == 7.0
+
+
+def test_log_filters_reach_the_scan(spark, tmp_path):
+    from chainlens.operators.swaps import decode_swap_logs
+    from chainlens.sources import standins as S
+
+    path = str(tmp_path / "logs")
+    S.raw_swap_logs(spark, "/root/testdata/sf0.001").limit(50).write.parquet(path)
+    df = decode_swap_logs(spark.read.parquet(path))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(topic0," in plan and df.count() == 50

@@ -149,25 +149,30 @@ def step_ids(shares: np.ndarray) -> np.ndarray:
     return (1 << HASH_BITS) + 8 * np.arange(len(VOTERS))[None, :] + np.digitize(np.nan_to_num(shares), _STEPS)
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray, float, float]]) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic scorer of (hash ids, shares, target, weight) rows: full gradient with step sizes of its own for each weight."""
+def train(ids: np.ndarray, val: np.ndarray, at: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and bias of a logistic scorer: full gradient, with a step size of its own for each weight.
+
+    Row i has the hash ids and shares at[i]:at[i+1], target y[i] and weight[i]. The
+    gradient is summed over blocks of rows, so that memory stays with the input's.
+    """
     w, bias = np.zeros(_WEIGHTS), 0.0
-    if not rows:
+    if not len(y):
         return w, bias
-    ids = np.concatenate([r[0] for r in rows])
-    val = np.concatenate([r[1] for r in rows])
-    row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
-    y, weight = np.array([r[2] for r in rows]), np.array([r[3] for r in rows])
-    weight /= weight.sum()
+    weight = weight / weight.sum()
     seen, bseen = np.full(_WEIGHTS, 1e-10), 1e-10
+    blocks = [(lo, min(lo + 256, len(y))) for lo in range(0, len(y), 256)]
     for _ in range(EPOCHS):
-        z = np.bincount(row, weights=val * w[ids], minlength=len(rows)) + bias
-        err = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
-        g = np.bincount(ids, weights=val * err[row], minlength=len(w)) + RIDGE * w / len(rows)
+        g, gb = RIDGE * w / len(y), 0.0
+        for lo, hi in blocks:
+            i, v = ids[at[lo]:at[hi]], val[at[lo]:at[hi]]
+            z = np.add.reduceat(v * w[i], at[lo:hi] - at[lo]) + bias
+            err = weight[lo:hi] * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[lo:hi])
+            g += np.bincount(i, weights=v * np.repeat(err, np.diff(at[lo:hi + 1])), minlength=len(w))
+            gb += float(err.sum())
         seen += g * g
         w -= RATE * g / np.sqrt(seen)
-        bseen += err.sum() ** 2
-        bias -= RATE * err.sum() / np.sqrt(bseen)
+        bseen += gb * gb
+        bias -= RATE * gb / np.sqrt(bseen)
     return w, float(bias)
 
 
@@ -246,12 +251,16 @@ def fit(hashed: DataFrame, judged: DataFrame) -> tuple[np.ndarray, float]:
                     [pa.array([ids.astype(np.int32)], pa.list_(pa.int32())), pa.array([share.astype(np.float32)], pa.list_(pa.float32())),
                      b.column(1).slice(k, 1), b.column(2).slice(k, 1)], ["ids", "val", "posterior", "did"])
 
-    got = rows.select("text", "posterior", "did").mapInArrow(grams, "ids array<int>, val array<float>, posterior double, did long").toPandas()
-    got = got.sort_values(["did", "posterior"], kind="stable")
-    taken = {s: max(1, int(((got.posterior >= 0.5) == s).sum())) for s in (True, False)}
-    data = [(np.asarray(i, dtype=np.int64), np.asarray(v, dtype=np.float64), float(p), sides.get(bool(p >= 0.5), 0) / taken[bool(p >= 0.5)])
-            for i, v, p in zip(got.ids, got.val, got.posterior)]
-    return train(data)
+    got = (rows.select("text", "posterior", "did").mapInArrow(grams, "ids array<int>, val array<float>, posterior double, did long")
+           .toArrow().combine_chunks().sort_by([("did", "ascending"), ("posterior", "ascending")]).combine_chunks())
+    post = got["posterior"].to_numpy()
+    if not len(post):
+        return train(np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(1, np.int64), post, post)
+    flat, val = got["ids"].chunk(0).flatten().to_numpy(), got["val"].chunk(0).flatten().to_numpy()
+    at = np.concatenate([[0], np.cumsum(got["ids"].chunk(0).value_lengths().to_numpy())])
+    good = post >= 0.5
+    scale = np.where(good, sides.get(True, 0) / max(1, good.sum()), sides.get(False, 0) / max(1, (~good).sum()))
+    return train(flat, val, at, post, scale)
 
 
 def op8_quality_classifier(spark, sf_dir: str) -> DataFrame:

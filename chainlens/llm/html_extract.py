@@ -313,8 +313,12 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> tu
     Pages are taken by the order of the hash of their html, and at most 200,000 code
     points of each (this bounds the training sample only).
     """
-    rows = (pages.select(F.left(F.coalesce(html_col, F.lit("")), F.lit(200_000)).alias("h"))
-            .orderBy(F.xxhash64("h"), "h").limit(MAX_PAGES).collect())
+    src = pages.select(F.coalesce(html_col, F.lit("")).alias("h")).withColumn("k", F.xxhash64("h"))
+    # only numbers go through the ordering; the pages themselves are then MAX_PAGES at most
+    picked = src.select("k").distinct().orderBy("k").limit(MAX_PAGES)
+    rows = (src.join(F.broadcast(picked), "k").select("k", F.left("h", F.lit(200_000)).alias("h"))
+            .groupBy("k").agg(F.min("h").alias("h")).collect())
+    rows.sort(key=lambda r: r.k)
     labelled, words = [], []
     for r in rows:
         nodes = tagged_page(r.h)

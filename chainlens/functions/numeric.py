@@ -106,16 +106,25 @@ def blob_count(total_bytes, blob_bytes: int) -> Column:
     return F.ceil(_c(total_bytes).cast("double") / float(blob_bytes)).cast("bigint")
 
 
-def ordered_sum(c) -> Column:
-    """Sum of the non-null values in ascending order (a fixed float summation
-    order: the result does not depend on partitioning or engine). Only for
-    bounded groups (per block, per day), as it holds the group's values."""
-    vals = F.array_sort(F.collect_list(_c(c).cast("double")))
-    return F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x)
+def exact_sum(c) -> Column:
+    """Sum of the non-null values that does not depend on their order, combined before
+    the shuffle: finite values below 1e15 are added as decimals of 12 places; if any
+    other value is present (inf, NaN, larger), the plain sum of those; null for no values."""
+    x = _c(c).cast("double")
+    plain = F.abs(x) < 1e15
+    return F.coalesce(F.sum(F.when(~plain | F.isnan(x), x)),
+                      F.sum(F.when(plain, x).cast("decimal(38,12)")).cast("double"))
+
+
+def exact_mean(c) -> Column:
+    """``exact_sum`` by the number of non-null values; null for no values."""
+    n = F.count(_c(c))
+    return F.when(n > 0, exact_sum(c) / n)
 
 
 def ordered_mean(c) -> Column:
-    """Mean with the summation order of ``ordered_sum``; null for no values."""
+    """Mean over the values in ascending order (a fixed float summation order); null for no
+    values. Only for groups bounded by a block, as it holds the group's values."""
     vals = F.array_sort(F.collect_list(_c(c).cast("double")))
     return F.when(F.size(vals) > 0,
                   F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x) / F.size(vals))

@@ -91,16 +91,17 @@ def extend_txs_blocks(
     b = b.repartition(BATCH, CHUNK)
     j = t.join(b, keys, "left")
 
-    # (block_number, transaction_index) is the row key of valid chain data, and
-    # the rolled value (base fee) is constant within a block, so no wider
-    # tie-breaker is needed; the narrow rows stay all-long.
-    order = ["block_number", "transaction_index"]
+    # The rolled value depends on the first three columns alone, so the narrow
+    # rows stay all-long. Rows that tie in them (a hash sighted twice, a repeated
+    # transaction) are numbered by all other columns: a retried task numbers them alike.
+    order = ["block_number", "transaction_index", "base_fee_per_gas"]
+    ties = [c for c, t in j.dtypes if c not in {BATCH, CHUNK, *order} and "map<" not in t]
     w_block = Window.partitionBy(BATCH, CHUNK, "block_number")
     j = j.withColumns({
         "transaction_index_max": F.max("transaction_index").over(w_block),
         "block_encoded_bytes": F.sum("n_rlp_bytes").over(w_block),
         "block_calldata_bytes": F.sum("n_input_bytes").over(w_block),
-        LRN: F.row_number().over(local_window([BATCH], CHUNK, order)).cast("bigint"),
+        LRN: F.row_number().over(local_window([BATCH], CHUNK, [*order, *ties])).cast("bigint"),
     })
 
     means = None

@@ -38,8 +38,9 @@ from chainlens.functions.numeric import (
     epoch_of,
     epoch_to_datetime,
     ieee_div,
+    exact_mean,
+    exact_sum,
     ordered_mean,
-    ordered_sum,
     round_half_away,
     round_numeric,
     sum0,
@@ -106,13 +107,11 @@ def _daily_pivot(per_block_seq: DataFrame, value: str, names: Sequence[str]) ->
     """(block, seq) values -> mean per (datetime, seq) -> sum per (date, seq)
     -> pivot to one column per sequencer -> 0 for missing -> round(2).
 
-    One repartition by date serves all three aggregations and the pivot
-    (a date holds at most a day of blocks)."""
-    d = per_block_seq.withColumn("_date", F.to_date(DT)).repartition("_date")
-    per_ts = d.groupBy("_date", DT, SEQ).agg(ordered_mean(value).alias("_v"))
-    per_day = per_ts.groupBy("_date", SEQ).agg(ordered_sum("_v").alias("_v"))
-    wide = (per_day.groupBy("_date").pivot(SEQ, list(names)).agg(F.first("_v"))
-                   .withColumnRenamed("_date", DT))
+    Every step is an exact sum that is combined before its shuffle, so a long
+    date is not one task's work; the pivot is one aggregate by date."""
+    per_ts = per_block_seq.groupBy(DT, SEQ).agg(exact_mean(value).alias("_v"))
+    wide = per_ts.groupBy(F.to_date(DT).alias(DT)).agg(
+        *[exact_sum(F.when(F.col(SEQ) == n, F.col("_v"))).alias(n) for n in names])
     wide = wide.fillna(0.0, subset=list(names))
     return round_numeric(wide, 2)
 
@@ -121,7 +120,7 @@ def tx_cost_avg_transform(explore: DataFrame, pivot_column: str,
                           names: Sequence[str] = SEQUENCER_NAMES) -> DataFrame:
     """Q6: daily total of the per-block cost delta, one column per sequencer."""
     per_bs = explore.groupBy(BLK, SEQ).agg(
-        F.max(DT).alias(DT), F.coalesce(ordered_sum(pivot_column), F.lit(0.0)).alias(pivot_column))
+        F.max(DT).alias(DT), F.coalesce(exact_sum(pivot_column), F.lit(0.0)).alias(pivot_column))
     return _daily_pivot(per_bs, pivot_column, names)
 
 
@@ -131,8 +130,8 @@ def calldata_size_transform(explore: DataFrame, pivot_column: str,
     ``sequencer_mb_gas_ratio`` (MB per gwei of gas price), daily by sequencer."""
     aggs = {
         "sequencer_total_mbytes": (sum0("n_input_bytes") / F.lit(1e6)),
-        "sequencer_mb_gas_ratio": ordered_mean(ieee_div("n_input_bytes", "gas_price_gwei") / F.lit(1e6)),
-        "calldata_mb_block_gas_ratio": ordered_mean(
+        "sequencer_mb_gas_ratio": exact_mean(ieee_div("n_input_bytes", "gas_price_gwei") / F.lit(1e6)),
+        "calldata_mb_block_gas_ratio": exact_mean(
             ieee_div("block_calldata_kbytes", "gas_price_gwei") / F.lit(1e3)),
     }
     per_bs = explore.groupBy(BLK, SEQ).agg(F.max(DT).alias(DT),
@@ -287,18 +286,18 @@ def agg_sequencer_stats(explore: DataFrame,
     divides two already rounded numbers."""
     per_bs = explore.groupBy(BLK, SEQ).agg(
         F.count(F.lit(1)).alias("_n"),
-        sum0("tx_gas_cost").alias("_cost"),
+        F.coalesce(exact_sum("tx_gas_cost"), F.lit(0.0)).alias("_cost"),
         sum0("n_input_bytes").alias("_in"),
         sum0("n_rlp_bytes").alias("_rlp"),
-        *[sum0(f"tx_gas_cost_avg_{k}").alias(f"_avg_{k}") for k in windows],
+        *[F.coalesce(exact_sum(f"tx_gas_cost_avg_{k}"), F.lit(0.0)).alias(f"_avg_{k}") for k in windows],
     )
     per_seq = per_bs.groupBy(SEQ).agg(
         F.count(F.lit(1)).cast("double").alias("n_blocks"),
         F.sum("_n").cast("double").alias("n_txs"),
-        round_half_away(F.sum("_cost"), 2).alias("tota_cost_eth"),
+        round_half_away(exact_sum("_cost"), 2).alias("tota_cost_eth"),
         round_half_away(F.sum("_in") / F.lit(1e6), 2).alias("total_mbytes"),
         round_half_away(F.sum("_rlp") / F.lit(1e6), 2).alias("_rlp_mb"),
-        *[round_half_away(F.sum(f"_avg_{k}"), 2).alias(f"tx_cost_{k}_delta_eth") for k in windows],
+        *[round_half_away(exact_sum(f"_avg_{k}"), 2).alias(f"tx_cost_{k}_delta_eth") for k in windows],
     )
     return (per_seq
             .withColumn("mb_per_eth", round_half_away(ieee_div("_rlp_mb", "tota_cost_eth"), 2))

@@ -8,7 +8,7 @@ rebuilds the stand-in views inline, so it checks the whole chain
 from __future__ import annotations
 
 from chainlens.constants import ROLLING_WINDOWS, SEQUENCER_NAMES
-from chainlens.plans.sqlparts import ieee, nz, omean, osum, rnd, with_ctes
+from chainlens.plans.sqlparts import emean, esum, ieee, nz, omean, rnd, with_ctes
 
 TX_COLS = [
     "block_number", "transaction_index", "transaction_hash", "from_address", "gas_used",
@@ -27,7 +27,7 @@ SELECT {tcols}, t.gas_price, t.max_priority_fee_per_gas, t.max_fee_per_gas{mcols
        b.timestamp, b.base_fee_per_gas, b.gas_used AS gas_used_block
 FROM transactions t{mjoin}
 LEFT JOIN blocks b ON t.block_batch = b.block_batch AND t.block_number = b.block_number"""
-    order = "block_number, transaction_index"
+    order = "block_number, transaction_index" + (", seen_at NULLS FIRST" if mempool else "")
     wins, defs = [], ["pb AS (PARTITION BY block_batch, block_number)"]
     for k, n in windows.items():
         defs.append(f"r_{k} AS (PARTITION BY block_batch ORDER BY {order} "
@@ -115,9 +115,9 @@ def daily_pivot_ctes(per_bs_sql: str, names, name: str) -> list[tuple[str, str]]
     return [
         (f"{name}_bs", per_bs_sql),
         (f"{name}_ts", f"""
-SELECT CAST(block_datetime AS DATE) AS d, block_datetime, sequencer_names, {omean('v')} AS v
+SELECT CAST(block_datetime AS DATE) AS d, block_datetime, sequencer_names, {emean('v')} AS v
 FROM {name}_bs GROUP BY ALL"""),
-        (f"{name}_day", f"SELECT d, sequencer_names, {osum('v')} AS v FROM {name}_ts GROUP BY ALL"),
+        (f"{name}_day", f"SELECT d, sequencer_names, {esum('v')} AS v FROM {name}_ts GROUP BY ALL"),
         (name, f"""
 SELECT d AS block_datetime, {_pivot_cols('v', names, wrap=lambda e: rnd(e, 2))}
 FROM {name}_day GROUP BY d"""),
@@ -127,15 +127,15 @@ FROM {name}_day GROUP BY d"""),
 def tx_cost_avg_ctes(col: str, names, name: str) -> list[tuple[str, str]]:
     return daily_pivot_ctes(f"""
 SELECT block_number, sequencer_names, max(block_datetime) AS block_datetime,
-       coalesce({osum(col)}, 0.0) AS v
+       coalesce({esum(col)}, 0.0) AS v
 FROM q4 GROUP BY block_number, sequencer_names""", names, name)
 
 
 def calldata_ctes(col: str, names, name: str) -> list[tuple[str, str]]:
     agg = {
         "sequencer_total_mbytes": "coalesce(sum(n_input_bytes), 0) / 1e6",
-        "sequencer_mb_gas_ratio": omean(f"{ieee('n_input_bytes', 'gas_price_gwei')} / 1e6"),
-        "calldata_mb_block_gas_ratio": omean(f"{ieee('block_calldata_kbytes', 'gas_price_gwei')} / 1e3"),
+        "sequencer_mb_gas_ratio": emean(f"{ieee('n_input_bytes', 'gas_price_gwei')} / 1e6"),
+        "calldata_mb_block_gas_ratio": emean(f"{ieee('block_calldata_kbytes', 'gas_price_gwei')} / 1e3"),
     }[col]
     return daily_pivot_ctes(f"""
 SELECT block_number, sequencer_names, max(block_datetime) AS block_datetime, {agg} AS v
@@ -188,16 +188,16 @@ WHERE b.timestamp >= CAST(epoch(TIMESTAMP '{since}') AS BIGINT)""")
 
 def q15_sql(windows=None) -> str:
     windows = list((ROLLING_WINDOWS if windows is None else windows))
-    avg_bs = ", ".join(f"coalesce(sum(tx_gas_cost_avg_{k}), 0) AS avg_{k}" for k in windows)
-    avg_seq = ", ".join(f"{rnd(f'sum(avg_{k})', 2)} AS tx_cost_{k}_delta_eth" for k in windows)
+    avg_bs = ", ".join(f"coalesce({esum('tx_gas_cost_avg_' + k)}, 0) AS avg_{k}" for k in windows)
+    avg_seq = ", ".join(f"{rnd(esum(f'avg_{k}'), 2)} AS tx_cost_{k}_delta_eth" for k in windows)
     return f"""
 , s_bs AS (
-SELECT block_number, sequencer_names, count(*) AS n, coalesce(sum(tx_gas_cost), 0) AS cost,
+SELECT block_number, sequencer_names, count(*) AS n, coalesce({esum('tx_gas_cost')}, 0) AS cost,
        coalesce(sum(n_input_bytes), 0) AS inb, coalesce(sum(n_rlp_bytes), 0) AS rlp, {avg_bs}
 FROM q4 GROUP BY block_number, sequencer_names),
 s_seq AS (
 SELECT sequencer_names, CAST(count(*) AS DOUBLE) AS n_blocks, CAST(sum(n) AS DOUBLE) AS n_txs,
-       {rnd('sum(cost)', 2)} AS tota_cost_eth, {rnd('sum(inb) / 1e6', 2)} AS total_mbytes,
+       {rnd(esum('cost'), 2)} AS tota_cost_eth, {rnd('sum(inb) / 1e6', 2)} AS total_mbytes,
        {rnd('sum(rlp) / 1e6', 2)} AS rlp_mb, {avg_seq}
 FROM s_bs GROUP BY sequencer_names)
 SELECT sequencer_names AS sequencer, n_blocks, n_txs, tota_cost_eth,
@@ -416,11 +416,15 @@ FROM univ2_swaps""")
 
 
 def _swap_oracle(out: dict[str, str]) -> None:
-    from chainlens.constants import (PAIR_CREATED_SIGNATURE, PAIR_CREATED_TOPIC0,
-                                     SWAP_SIGNATURE, SWAP_TOPIC0, UNIV2_FACTORY)
-    from chainlens.sources.logs import decode_logs_sql
+    from chainlens.constants import PAIR_CREATED_TOPIC0, SWAP_TOPIC0, UNIV2_FACTORY
     from chainlens.sources.standins import raw_pair_logs_sql
 
+    def amount(k: int, name: str) -> str:
+        # the stand-in amounts fit the low 8 bytes of their 32-byte word
+        word = f"substr(data, {3 + 64 * k}, 64)"
+        return (f"'0x' || {word} AS event__{name}, "
+                f"CAST(('0x' || right({word}, 16))::UBIGINT AS DOUBLE) AS event__{name}_f64")
+
     out["swap_net_amounts"] = with_ctes(["univ2_swaps"], [Q24_SQL], "SELECT * FROM q24")
     out["swaps_enriched"] = with_ctes(["univ2_swaps", "univ2_pools", "univ2_tokens"], [Q24_SQL], """
 SELECT q.*, p.event__token0, p.event__token1,
@@ -434,11 +438,18 @@ LEFT JOIN univ2_tokens t1 ON p.event__token1 = t1.erc20""")
 SELECT event__token0 AS token FROM univ2_pools
 UNION SELECT event__token1 AS token FROM univ2_pools""")
     out["decode_swap_logs"] = with_ctes(
-        ["raw_swap_logs"], [], decode_logs_sql("raw_swap_logs", SWAP_SIGNATURE, SWAP_TOPIC0))
+        ["raw_swap_logs"], [], f"""
+SELECT block_number, transaction_hash, address,
+       '0x' || right(topic1, 40) AS event__sender, '0x' || right(topic2, 40) AS event__to,
+       {amount(0, 'amount0In')}, {amount(1, 'amount1In')}, {amount(2, 'amount0Out')}, {amount(3, 'amount1Out')}
+FROM raw_swap_logs WHERE topic0 = '{SWAP_TOPIC0}'""")
     out["decode_pair_logs"] = with_ctes(
         [], [("raw_pair_logs", raw_pair_logs_sql(UNIV2_FACTORY))],
-        decode_logs_sql("raw_pair_logs", PAIR_CREATED_SIGNATURE, PAIR_CREATED_TOPIC0)
-        + f" AND lower(address) = '{UNIV2_FACTORY}'")
+        f"""
+SELECT block_number, transaction_hash, address,
+       '0x' || right(topic1, 40) AS event__token0, '0x' || right(topic2, 40) AS event__token1,
+       '0x' || substr(data, 27, 40) AS event__pair, {amount(1, 'arg3')}
+FROM raw_pair_logs WHERE topic0 = '{PAIR_CREATED_TOPIC0}' AND address = '{UNIV2_FACTORY}'""")
 
 
 # --- jobs and streams (Q28-Q31) ------------------------------------------------

@@ -43,10 +43,13 @@ def with_ctes(standins: list[str], ctes: list[tuple[str, str]], body: str) -> st
     return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n" + body
 
 
-def osum(x: str) -> str:
-    """Sum of non-null values in ascending order (matches ``ordered_sum``)."""
-    lst = f"list_sort(list(CAST({x} AS DOUBLE)) FILTER (WHERE ({x}) IS NOT NULL))"
-    return f"list_reduce(list_prepend(0.0, {lst}), lambda a, b: a + b)"
+def esum(x: str) -> str:
+    """Sum of finite values as decimals of 12 places (matches ``exact_sum``)."""
+    return f"CAST(sum(CAST({x} AS DECIMAL(38,12))) AS DOUBLE)"
+
+
+def emean(x: str) -> str:
+    return f"({esum(x)} / count({x}))"
 
 
 def omean(x: str) -> str:

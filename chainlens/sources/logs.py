@@ -98,34 +98,3 @@ def decode_logs(logs: DataFrame, signature: str, topic0: str | None = None,
             if _is_numeric(p.type):
                 cols.append(word_to_double(word).alias(out + "_f64"))
     return d.select(*cols)
-
-
-# DuckDB spelling of the same decoding, for the oracle.
-
-def decode_logs_sql(src: str, signature: str, topic0: str,
-                    keep: tuple[str, ...] = ("block_number", "transaction_hash", "address")) -> str:
-    _, params = parse_signature(signature)
-    data = "lower(regexp_replace(data, '^0x', ''))"
-    cols = list(keep)
-    ti, wi = 1, 0
-    for p in params:
-        if p.indexed:
-            word = f"lower(regexp_replace(topic{ti}, '^0x', ''))"
-            ti += 1
-        else:
-            word = f"substring({data}, {1 + 64 * wi}, 64)"
-            wi += 1
-        out = f"event__{p.name}"
-        if p.type == "address":
-            cols.append(f"'0x' || substring({word}, 25, 40) AS {out}")
-        else:
-            cols.append(f"'0x' || {word} AS {out}")
-            if _is_numeric(p.type):
-                terms = [f"CAST(('0x' || substring({word}, {1 + 16 * i}, 16))::UBIGINT AS DOUBLE)"
-                         f" * {float(2 ** (64 * (3 - i)))!r}" for i in range(4)]
-                acc = terms[0]
-                for t in terms[1:]:
-                    acc = f"({acc} + {t})"
-                cols.append(f"{acc} AS {out}_f64")
-    return (f"SELECT {', '.join(cols)} FROM {src} "
-            f"WHERE lower(topic0) = '{topic0.lower()}'")

@@ -36,7 +36,7 @@ def blocks(spark: SparkSession, sf_dir: str, per_batch: int = BLOCKS_PER_BATCH)
     return o.select(
         F.col("o_orderkey").alias("block_number"),
         to_epoch_seconds("o_orderdate").alias("timestamp"),
-        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("base_fee_per_gas"),
+        (F.round(F.col("o_totalprice") * 100).cast("bigint") * 1000).alias("base_fee_per_gas"),
         ((F.col("o_custkey") + 1) * 1000).alias("gas_used"),
         _batch("o_orderkey", per_batch).alias("block_batch"),
     )
@@ -56,14 +56,14 @@ def _tx_hash() -> F.Column:
 def transactions(spark: SparkSession, sf_dir: str, per_batch: int = BLOCKS_PER_BATCH,
                  extra: bool = False) -> DataFrame:
     li = _lineitem_indexed(spark, sf_dir)
-    gas_price = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    gas_price = F.round(F.col("l_extendedprice") * 100).cast("bigint") * 1000
     n_in = (F.col("l_partkey") % 2000) * 997
     cols = [
         F.col("l_orderkey").alias("block_number"),
         F.col("idx").alias("transaction_index"),
         _tx_hash().alias("transaction_hash"),
         F.col("l_suppkey").cast("string").alias("from_address"),
-        (F.col("l_quantity") * 1000).cast("bigint").alias("gas_used"),
+        (F.col("l_quantity") * 3000000).cast("bigint").alias("gas_used"),
         gas_price.alias("gas_price"),
         F.round(F.col("l_tax") * 100).cast("bigint").alias("max_priority_fee_per_gas"),
         F.when(F.col("l_returnflag") == "A", F.lit(None).cast("bigint"))
@@ -90,9 +90,10 @@ def sequencer_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mempool(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = transactions(spark, sf_dir, extra=True)
-    return (t.filter(F.col("l_returnflag") == "R")
-             .select(F.col("transaction_hash").alias("hash"),
-                     F.col("l_shipdate").alias("seen_at")))
+    seen = t.filter(F.col("l_returnflag") == "R").select(
+        F.col("transaction_hash").alias("hash"), F.col("l_shipdate").alias("seen_at"), "transaction_index")
+    again = seen.filter("transaction_index % 3 = 0").withColumn("seen_at", F.expr("seen_at + INTERVAL 1 DAY"))
+    return seen.unionByName(again).drop("transaction_index")
 
 
 def block_series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +155,7 @@ def raw_swap_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = univ2_swaps(spark, sf_dir)
     return s.select(
         "block_number", "transaction_hash", "address",
-        F.lit(SWAP_TOPIC0).alias("topic0"),
+        F.when(F.col("block_number") % 10 == 3, F.lit(PAIR_CREATED_TOPIC0)).otherwise(F.lit(SWAP_TOPIC0)).alias("topic0"),
         F.concat(F.lit("0x"), _word(F.col("event__sender"))).alias("topic1"),
         F.concat(F.lit("0x"), _word(F.col("event__to"))).alias("topic2"),
         F.concat(F.lit("0x"),
@@ -171,7 +172,7 @@ def raw_pair_logs(spark: SparkSession, sf_dir: str, factory: str) -> DataFrame:
     return p.select(
         k.alias("block_number"),
         F.concat(F.lit("0xpair-"), k.cast("string")).alias("transaction_hash"),
-        F.lit(factory).alias("address"),
+        F.when(k % 10 == 4, F.lit("0x" + "0" * 40)).otherwise(F.lit(factory)).alias("address"),
         F.lit(PAIR_CREATED_TOPIC0).alias("topic0"),
         F.concat(F.lit("0x"), _word(k % 25)).alias("topic1"),
         F.concat(F.lit("0x"), _word((k % 25 + 1 + k % 7) % 25)).alias("topic2"),
@@ -196,7 +197,7 @@ STANDIN_SQL = {
     "blocks": f"""
 SELECT o_orderkey AS block_number,
        CAST(epoch(o_orderdate) AS BIGINT) AS timestamp,
-       CAST(round(o_totalprice * 100) AS BIGINT) AS base_fee_per_gas,
+       CAST(round(o_totalprice * 100) AS BIGINT) * 1000 AS base_fee_per_gas,
        (o_custkey + 1) * 1000 AS gas_used,
        CAST(floor(o_orderkey / {BLOCKS_PER_BATCH}) AS BIGINT) AS block_batch
 FROM orders""",
@@ -208,11 +209,11 @@ SELECT l_orderkey AS block_number,
        CAST(idx AS BIGINT) AS transaction_index,
        concat('0x', CAST(l_orderkey AS VARCHAR), '-', CAST(idx AS VARCHAR)) AS transaction_hash,
        CAST(l_suppkey AS VARCHAR) AS from_address,
-       CAST(l_quantity * 1000 AS BIGINT) AS gas_used,
-       CAST(round(l_extendedprice * 100) AS BIGINT) AS gas_price,
+       CAST(l_quantity * 3000000 AS BIGINT) AS gas_used,
+       CAST(round(l_extendedprice * 100) AS BIGINT) * 1000 AS gas_price,
        CAST(round(l_tax * 100) AS BIGINT) AS max_priority_fee_per_gas,
        CASE WHEN l_returnflag = 'A' THEN NULL
-            ELSE CAST(round(l_extendedprice * 100) AS BIGINT) * 2 END AS max_fee_per_gas,
+            ELSE CAST(round(l_extendedprice * 100) AS BIGINT) * 2000 END AS max_fee_per_gas,
        (l_partkey % 2000) * 997 AS n_input_bytes,
        l_partkey % 2000 AS n_input_zero_bytes,
        (l_partkey % 2000) * 997 - l_partkey % 2000 AS n_input_nonzero_bytes,
@@ -226,7 +227,10 @@ SELECT CAST(s_suppkey AS VARCHAR) AS sequencer_addresses,
 FROM supplier WHERE s_suppkey < {len(SEQUENCER_NAMES)}""",
     "mempool": """
 SELECT transaction_hash AS hash, l_shipdate AS seen_at
-FROM transactions WHERE l_returnflag = 'R'""",
+FROM transactions WHERE l_returnflag = 'R'
+UNION ALL
+SELECT transaction_hash, l_shipdate + INTERVAL 1 DAY
+FROM transactions WHERE l_returnflag = 'R' AND transaction_index % 3 = 0""",
     "block_series": """
 SELECT event_id AS block_number, ts AS block_datetime,
        CAST(round(value * 100) AS BIGINT) * 10000000 AS base_fee_per_gas,
@@ -255,7 +259,7 @@ SELECT CAST(n_nationkey AS VARCHAR) AS erc20, n_name AS name,
 FROM nation""",
     "raw_swap_logs": f"""
 SELECT block_number, transaction_hash, address,
-       '{SWAP_TOPIC0}' AS topic0,
+       CASE WHEN block_number % 10 = 3 THEN '{PAIR_CREATED_TOPIC0}' ELSE '{SWAP_TOPIC0}' END AS topic0,
        '0x' || {_word_sql('event__sender')} AS topic1,
        '0x' || {_word_sql('event__to')} AS topic2,
        '0x' || {_word_sql('event__amount0In_f64')} || {_word_sql('event__amount1In_f64')}
@@ -268,7 +272,7 @@ def raw_pair_logs_sql(factory: str) -> str:
     return f"""
 SELECT p_partkey AS block_number,
        concat('0xpair-', CAST(p_partkey AS VARCHAR)) AS transaction_hash,
-       '{factory}' AS address,
+       CASE WHEN p_partkey % 10 = 4 THEN '0x{"0" * 40}' ELSE '{factory}' END AS address,
        '{PAIR_CREATED_TOPIC0}' AS topic0,
        '0x' || {_word_sql('p_partkey % 25')} AS topic1,
        '0x' || {_word_sql('(p_partkey % 25 + 1 + p_partkey % 7) % 25')} AS topic2,

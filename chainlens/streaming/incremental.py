@@ -1,8 +1,8 @@
 """Structured Streaming forms of the rollup job (T1 / Q29 stream, T2 / Q31).
 
-T1: new transaction files arrive in a ``block_batch``-partitioned folder; each
-micro-batch names the batches it touched, and those batches are re-read *in
-full* from both datasets (the rolling windows and block aggregates need whole
+T1: new transaction and block files arrive in two ``block_batch``-partitioned
+folders, in any order; each micro-batch names the batches that either side touched,
+and those that both sides hold are re-read *in full* from both datasets (the rolling windows and block aggregates need whole
 batches), enriched, labelled and written with dynamic partition overwrite.
 Replaying a micro-batch after a failure rewrites the same partitions, so the
 sink is exactly-once. No batch id is collected to the driver: the ids are a
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chainlens.operators.extend import rollup_transactions
-from chainlens.plans.jobs import write_batches
+from chainlens.plans.jobs import pending_batches, write_batches
 from chainlens.sources.files import BATCH
 
 
@@ -31,18 +31,22 @@ def start_rollups_stream(spark: SparkSession, txs_path: str, blocks_path: str,
 
     ``max_files_per_trigger`` bounds a micro-batch when a large backlog is
     caught up (``availableNow`` still drains it, in several micro-batches)."""
-    schema = spark.read.parquet(txs_path).schema
-    r = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    arriving = r.parquet(txs_path)
+    def touched(path: str) -> DataFrame:
+        r = spark.readStream.schema(spark.read.parquet(path).schema)
+        if max_files_per_trigger:
+            r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+        return r.parquet(path).select(BATCH)
+
+    arriving = touched(txs_path).unionByName(touched(blocks_path))
 
     def process(micro: DataFrame, epoch_id: int) -> None:
         # re-list both folders each micro-batch: files that arrived are seen
         s = micro.sparkSession
         ids = micro.select(BATCH).distinct()
-        t = s.read.parquet(txs_path).join(ids, BATCH, "left_semi")
-        b = s.read.parquet(blocks_path).join(ids, BATCH, "left_semi")
+        # a batch whose other side is still missing waits: that side's files name it again
+        t, b = s.read.parquet(txs_path), s.read.parquet(blocks_path)
+        ids = pending_batches(t, b, s.createDataFrame([], f"{BATCH} bigint")).join(ids, BATCH, "left_semi")
+        t, b = t.join(ids, BATCH, "left_semi"), b.join(ids, BATCH, "left_semi")
         write_batches(rollup_transactions(t, b, labels, **extend_kw), out_path)
 
     w = arriving.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -66,31 +67,27 @@ def branches(messages: DataFrame, top: int = 1) -> DataFrame:
         "tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), "score")
     leaves = m.select("tree", "node").join(
         m.where("up is not null").select("tree", F.col("up").alias("node")).distinct(), ["tree", "node"], "left_anti")
-    # jump k leads 2^k messages up (null beyond the root); steps and total count what was passed
-    jump = materialize(m.select("tree", "node", "up", F.lit(1).cast("long").alias("steps"), F.col("score").alias("total")), "jump")
-    jumps = [jump]
+    # jump k leads 2^k messages up (null beyond the root); steps and total count what was passed.
+    # Level k + 1 holds only the messages that level k did not bring beyond their root.
+    jumps = [materialize(m.select("tree", "node", "up", F.lit(1).cast("long").alias("steps"), F.col("score").alias("total")), "jump")]
     most = m.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
-    while 2 ** (len(jumps) - 1) <= most and not jump.where("up is not null").isEmpty():
-        over = jump.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"),
-                           F.col("steps").alias("steps2"), F.col("total").alias("total2"))
-        jump = jump.join(over, ["tree", "up"], "left").select(
-            "tree", "node", F.col("up2").alias("up"),
-            (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"),
-            (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"))
-        jump = materialize(jump, "jump")
-        jumps.append(jump)
-    rooted = jump.where("up is null")  # the rest is on or under a cycle
+    while 2 ** (len(jumps) - 1) <= most and not jumps[-1].where("up is not null").isEmpty():
+        landing = reduce(DataFrame.unionByName, [jumps[-1], *[j.where("up is null") for j in jumps[:-1]]]).select(
+            "tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("steps").alias("steps2"), F.col("total").alias("total2"))
+        jumps.append(materialize(jumps[-1].where("up is not null").join(landing, ["tree", "up"]).select(
+            "tree", "node", F.col("up2").alias("up"), (F.col("steps") + F.col("steps2")).alias("steps"),
+            (F.col("total") + F.col("total2")).alias("total")), "jump"))
+    rooted = reduce(DataFrame.unionByName, [j.where("up is null") for j in jumps])  # the rest is on or under a cycle
     ranked = leaves.join(rooted.select("tree", "node", "steps", "total"), ["tree", "node"])
     rank = Window.partitionBy("tree").orderBy(F.desc("total"), F.desc("steps"), "node")
     path = (ranked.withColumn("branch", F.row_number().over(rank)).where(F.col("branch") <= top)
             .select("tree", "branch", F.col("steps").alias("depth"), "node"))
-    path = materialize(path, "path")
+    found = [materialize(path, "path")]
     # from the longest jump to the shortest: each message found adds the one that far up
-    for k, j in reversed(list(enumerate(jumps))):
-        more = path.join(j.where("up is not null").select("tree", "node", "up"), ["tree", "node"])
-        path = materialize(path.unionByName(more.select("tree", "branch", (F.col("depth") - 2 ** k).alias("depth"),
-                                                        F.col("up").alias("node"))), "path")
-    return path
+    for k, j in reversed(list(enumerate(jumps[:-1]))):
+        more = reduce(DataFrame.unionByName, found).join(j.where("up is not null").select("tree", "node", "up"), ["tree", "node"])
+        found.append(materialize(more.select("tree", "branch", (F.col("depth") - 2 ** k).alias("depth"), F.col("up").alias("node")), "path"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def format_trees(messages: DataFrame, top: int = 1) -> DataFrame:

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_BUCKET_ROWS = 1 << 16
+GROUP_CHUNKS = 4096
 
 RN, LRN, CS, CC = "_rn", "_lrn", "_cs", "_cc"
 
@@ -51,6 +52,28 @@ def _exact_sum_type(dt: T.DataType) -> str:
     return "double"
 
 
+def _exclusive_sums(totals: DataFrame, part_cols: Sequence[str], chunk: str,
+                    sums: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """(*part_cols, chunk, *sums): for each ``out -> (column, type)`` the sum over the
+    earlier chunks. Without ``part_cols`` it works in two levels, so that one task
+    ranks groups of ``GROUP_CHUNKS`` chunks and not the chunks themselves."""
+    def before(col: str, kind: str, w):
+        frame = w.rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(col).over(frame), F.lit(0)).cast(kind)
+
+    if part_cols:
+        w = Window.partitionBy(*part_cols).orderBy(chunk)
+        return totals.select(*part_cols, chunk, *[before(c, k, w).alias(o) for o, (c, k) in sums.items()])
+    t = totals.withColumn("_grp", chunk_col(chunk, GROUP_CHUNKS))
+    groups = t.groupBy("_grp").agg(*[F.sum(c).alias(c) for c, _ in sums.values()])
+    groups = groups.select("_grp", *[before(c, k, Window.orderBy("_grp")).alias(f"{o}_grp")
+                                     for o, (c, k) in sums.items()])
+    w = Window.partitionBy("_grp").orderBy(chunk)
+    inner = t.select("_grp", chunk, *[before(c, k, w).alias(o) for o, (c, k) in sums.items()])
+    return inner.join(groups, "_grp", "left").select(
+        chunk, *[(F.col(o) + F.col(f"{o}_grp")).cast(k).alias(o) for o, (_, k) in sums.items()])
+
+
 def add_positions(df: DataFrame, part_cols: Sequence[str], chunk: str,
                   order_cols: Sequence[str], value: str | None = None) -> DataFrame:
     """Add ``_lrn`` (row number in chunk), ``_rn`` (1-based row number in
@@ -75,17 +98,12 @@ def add_positions(df: DataFrame, part_cols: Sequence[str], chunk: str,
     # Totals are read off the running values of ``local`` itself (the last row
     # of a chunk holds them), so both branches start from the same exchange
     # and Spark reuses it instead of evaluating the input twice.
-    wo = (Window.partitionBy(*part_cols).orderBy(chunk)
-          .rowsBetween(Window.unboundedPreceding, -1))
-    aggs = [F.max(LRN).alias("_tn")]
+    aggs, offs = [F.max(LRN).alias("_tn")], {"_on": ("_tn", "bigint")}
     if value is not None:
         aggs += [F.max("_lcs").alias("_ts"), F.max("_lcc").alias("_tc")]
+        offs |= {"_os": ("_ts", st), "_oc": ("_tc", "bigint")}
     totals = local.groupBy(*part_cols, chunk).agg(*aggs)
-    offs = {"_on": F.coalesce(F.sum("_tn").over(wo), F.lit(0))}
-    if value is not None:
-        offs["_os"] = F.coalesce(F.sum("_ts").over(wo), F.lit(0).cast(st))
-        offs["_oc"] = F.coalesce(F.sum("_tc").over(wo), F.lit(0))
-    offsets = totals.withColumns(offs).drop("_tn", "_ts", "_tc")
+    offsets = _exclusive_sums(totals, part_cols, chunk, offs)
 
     # every chunk has an offsets row, so "left" equals "inner" here; a left
     # join infers no IsNotNull filter on ``local``, which keeps this branch's

@@ -327,3 +327,11 @@ def sequencer_gas_share(explore: DataFrame) -> DataFrame:
         ieee_div(sum0("gas_used"), F.max("gas_used_block")).alias("sequencer_gas_used_pct"),
         F.max("gas_used_block").alias("total_gas_in_block"),
     )
+
+
+def top_rows(df: DataFrame, by: str, n: int, ties: Sequence[str] = ()) -> DataFrame:
+    """The first ``n`` rows by ``by`` descending (nulls first), ``ties``
+    ascending, numbered in ``rank``. Each task keeps n rows; the rank sees n rows."""
+    order = [F.col(by).desc_nulls_first(), *[F.col(c) for c in ties]]
+    head = df.orderBy(*order).limit(n)
+    return head.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))

@@ -67,6 +67,15 @@ def fee_zscore_kurtosis(vol: DataFrame, column: str = "base_fee_per_gas_gwei",
     )
 
 
+def fee_zscore(vol: DataFrame, column: str = "base_fee_per_gas_gwei",
+               decimals: int | None = None) -> DataFrame:
+    """The z-score of ``column`` over the whole table as ``zscore`` (null for a
+    constant series); mean and deviation are scalar subqueries."""
+    b = vol.agg(F.avg(column).alias("m"), F.stddev_pop(column).alias("s"))
+    z = (F.col(column) - b.select("m").scalar()) / F.nullif(b.select("s").scalar(), F.lit(0.0))
+    return vol.withColumn("zscore", _r(z, decimals))
+
+
 def diff_histogram(df: DataFrame, column: str, bins: int,
                    view: tuple[float, float] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Q23: equi-width histogram of a difference column. Bins span the data;

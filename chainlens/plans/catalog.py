@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chainlens.constants import ROLLING_WINDOWS, SEQUENCER_NAMES
 from chainlens.operators import extend
@@ -41,6 +42,7 @@ def rollups(spark: SparkSession, d: str) -> DataFrame:
 # nothing; the stand-in queries use this floor instead (a parameter).
 SINCE = "1996-01-01"
 TAIL = 500
+TOP = 100
 NAMES = list(SEQUENCER_NAMES)
 
 
@@ -75,6 +77,8 @@ def _rollup_queries() -> dict[str, Query]:
     q["blob_demand_buckets"] = lambda s, d: R.blob_demand(explore(s, d), S.blocks(s, d), SINCE)
     q["agg_sequencer_stats"] = lambda s, d: R.agg_sequencer_stats(explore(s, d))
     q["sequencer_gas_histogram"] = lambda s, d: R.sequencer_gas_histogram(explore(s, d))
+    q["sequencer_gas_share_top"] = lambda s, d: R.top_rows(
+        R.sequencer_gas_share(explore(s, d)), "sequencer_gas_used_pct", TOP, ["block_number", "sequencer_names"])
     q["sequencer_gas_share"] = lambda s, d: R.sequencer_gas_share(explore(s, d))
     return q
 
@@ -95,7 +99,10 @@ def _vol_queries() -> dict[str, Query]:
     return {
         "block_volatility": volatility,
         "volatility_moments": lambda s, d: V.volatility_moments(volatility(s, d), decimals=DEC),
-        "fee_zscore_kurtosis": lambda s, d: V.fee_zscore_kurtosis(volatility(s, d), decimals=DEC),
+        "fee_zscore_kurtosis": lambda s, d: V.fee_zscore_kurtosis(S.block_series(s, d).select(
+            (F.col("base_fee_per_gas") / 1e9).alias("base_fee_per_gas_gwei")), decimals=DEC),
+        "fee_zscore": lambda s, d: V.fee_zscore(S.block_series(s, d).withColumn(
+            "base_fee_per_gas_gwei", F.col("base_fee_per_gas") / 1e9), decimals=DEC),
         "kalman_fee_filter": kalman,
         "kalman_tail_sample": lambda s, d: K.tail_sample(
             S.block_series(s, d).select("series", "block_number", *K.VARS), ["series"], TAIL)
@@ -130,8 +137,6 @@ def _read_back(spark: SparkSession, path: str) -> DataFrame:
 
 def q_sync_batches(spark: SparkSession, d: str) -> DataFrame:
     """Q28 over file names derived from the stand-in batches."""
-    from pyspark.sql import functions as F
-
     from chainlens.sources.files import batch_file_name, sync_batches
 
     def files(df: DataFrame, dataset: str) -> DataFrame:
@@ -169,8 +174,6 @@ def q_combine_files(spark: SparkSession, d: str) -> DataFrame:
 def q_rollups_stream(spark: SparkSession, d: str) -> DataFrame:
     """Q29 (stream): batch-partitioned inputs -> availableNow stream -> table. The blocks
     of odd batches arrive after their transactions were seen, which triggers a second run."""
-    from pyspark.sql import functions as F
-
     from chainlens.plans.jobs import scratch_path, write_batches
     from chainlens.streaming.incremental import start_rollups_stream
 
@@ -192,8 +195,6 @@ def q_daily_totals_stream(spark: SparkSession, d: str) -> DataFrame:
     write_batches(rollups(spark, d), src)
     out, ck = scratch_path(spark, "daily"), scratch_path(spark, "ckpt")
     start_daily_totals_stream(spark, src, out, ck, mode="complete").awaitTermination()
-    from pyspark.sql import functions as F
-
     return spark.read.parquet(out).withColumn("day", F.col("day").cast("date"))
 
 

@@ -283,11 +283,16 @@ FROM q4 GROUP BY block_number, sequencer_names""")
     gf = ("gf", "SELECT * FROM g WHERE sequencer_gas_used_sum < 1e8")
     out["sequencer_gas_histogram"] = _with_tail(
         R, q4 + [gas, gf], histogram_sql("gf", "sequencer_gas_used_sum", 50, "sequencer_names"))
-    out["sequencer_gas_share"] = with_ctes(R, q4, f"""
+    share = f"""
 SELECT block_number, sequencer_names,
        {ieee('coalesce(sum(gas_used), 0)', 'max(gas_used_block)')} AS sequencer_gas_used_pct,
        max(gas_used_block) AS total_gas_in_block
-FROM q4 GROUP BY block_number, sequencer_names""")
+FROM q4 GROUP BY block_number, sequencer_names"""
+    out["sequencer_gas_share"] = with_ctes(R, q4, share)
+    out["sequencer_gas_share_top"] = with_ctes(R, q4, f"""
+SELECT * FROM (SELECT *, row_number() OVER (ORDER BY sequencer_gas_used_pct DESC NULLS FIRST,
+                                            block_number, sequencer_names) AS rank
+               FROM ({share})) WHERE rank <= {TOP}""")
 
 
 def _with_tail(standins, ctes, tail: str) -> str:
@@ -299,6 +304,7 @@ def _with_tail(standins, ctes, tail: str) -> str:
 
 VOL_N = 300
 TAIL = 500
+TOP = 100
 DEC = 6
 
 
@@ -381,6 +387,10 @@ SELECT {rnd('(SELECT avg(x) FROM m_x)', DEC)} AS mean,
 SELECT {rnd('(SELECT kurtosis_pop((base_fee_per_gas_gwei - mu) / sd) FROM q18, z_m)', DEC)} AS zscore_kurtosis,
        {rnd(f'({n} - 1) / (({n} - 2) * ({n} - 3)) * (({n} + 1) * {g2} + 6)', DEC)} AS kurt,
        {rnd(f'{g1} * sqrt({n} * ({n} - 1)) / ({n} - 2)', DEC)} AS skew""")
+    out["fee_zscore"] = with_ctes(B, [
+        ("z_s", "SELECT *, base_fee_per_gas / 1e9 AS base_fee_per_gas_gwei FROM block_series"),
+        ("z_m", "SELECT avg(base_fee_per_gas_gwei) AS mu, stddev_pop(base_fee_per_gas_gwei) AS sd FROM z_s")],
+        f"SELECT z_s.*, {rnd('(base_fee_per_gas_gwei - mu) / sd', DEC)} AS zscore FROM z_s, z_m")
     q21 = q21_ctes()
     out["kalman_fee_filter"] = with_ctes(B, q21, "SELECT * FROM q21")
     s = 1e6

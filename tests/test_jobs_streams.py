@@ -136,3 +136,22 @@ def test_batch_without_labelled_rows_is_finished_once(spark):
     done = {r[0] for r in spark.read.parquet(finished_path(out)).collect()}
     assert bare in done and len(done) == first
     assert write_rollups_incremental(spark, t, b, l, out).count() == 0
+
+
+def test_stream_waits_for_late_blocks(spark):
+    from chainlens.operators.extend import rollup_transactions
+    from chainlens.plans.jobs import scratch_path, write_batches
+    from chainlens.streaming.incremental import start_rollups_stream
+
+    t, b, l = S.transactions(spark, D, 300), S.blocks(spark, D, 300), S.sequencer_labels(spark, D)
+    tx, bl, out, ck = (scratch_path(spark, f"late-{k}") for k in ("txs", "blocks", "out", "ck"))
+    write_batches(t, tx)
+    write_batches(b.filter("block_batch % 2 = 0"), bl)
+    start_rollups_stream(spark, tx, bl, l, out, ck).awaitTermination()
+    assert {r[0] for r in spark.read.parquet(out).select("block_batch").distinct().collect()} == {0, 2, 4}
+    write_batches(b.filter("block_batch % 2 = 1"), bl)
+    start_rollups_stream(spark, tx, bl, l, out, ck).awaitTermination()
+    got, want = spark.read.parquet(out), rollup_transactions(t, b, l)
+    cols = sorted(want.columns)
+    assert got.filter("block_datetime is null").isEmpty()
+    assert got.count() == want.count() and got.select(cols).exceptAll(want.select(cols)).isEmpty()

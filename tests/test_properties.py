@@ -46,3 +46,38 @@ def test_fused_rollups_equal_label_after_extend(spark):
     assert sorted(fused.columns) == cols
     assert fused.count() == plain.count()
     assert fused.select(*cols).exceptAll(plain.select(*cols)).count() == 0
+
+
+def test_mempool_join_with_repeated_hashes_is_deterministic(spark):
+    from pyspark.sql import functions as F
+
+    from chainlens.operators.extend import extend_txs_blocks
+    from chainlens.sources import standins as S
+
+    d = "/root/testdata/sf0.001"
+    t, b, m = S.transactions(spark, d), S.blocks(spark, d), S.mempool(spark, d)
+    one = extend_txs_blocks(t.repartition(4), b, m.repartition(3)).collect()
+    two = extend_txs_blocks(t.repartition(9), b, m.orderBy(F.desc("seen_at"))).collect()
+    assert len(one) > t.count() and sorted(map(repr, one)) == sorted(map(repr, two))
+
+
+def test_exact_sum_order_and_special_values(spark):
+    from chainlens.functions.numeric import exact_mean, exact_sum
+
+    inf = float("inf")
+    rows = ([("a", 0.1)] * 10 + [("b", 1e16), ("b", 1.0), ("c", inf), ("c", 2.0), ("d", None), ("e", float("nan")),
+            ("f", inf), ("f", -inf), ("g", 3.0), ("g", None)])
+    df = spark.createDataFrame(rows, "k string, x double").repartition(7)
+    got = {r.k: (r.s, r.m) for r in df.groupBy("k").agg(exact_sum("x").alias("s"), exact_mean("x").alias("m")).collect()}
+    assert got["a"] == (1.0, 0.1) and got["b"][0] == 1e16 and got["c"][0] == inf and got["d"] == (None, None)
+    assert all(got[k][0] != got[k][0] for k in "ef") and got["g"] == (3.0, 3.0)
+
+
+def test_checked_queries_have_no_constant_measures(spark):
+    """The stand-ins are of a size that lets a wrong sign or window show."""
+    from chainlens.plans.catalog import queries
+
+    for name in ("tx_cost_avg_daily", "tx_cost_avg_hourly", "tx_cost_avg_minute", "agg_sequencer_stats"):
+        got = queries()[name](spark, "/root/testdata/sf0.01").toPandas()
+        for c in got.select_dtypes("number").columns:
+            assert got[c].nunique() > 1 and abs(got[c]).max() < float("inf"), (name, c)

@@ -82,8 +82,8 @@ def test_lag_diff_matches_shift(spark):
 
 def test_no_single_partition_exchange_in_keyed_series(spark):
     """Keyed series (batch, series key) never funnel rows into one task.
-    (A partitionless series ranks its chunk totals, one row per chunk, in one
-    small window; rows themselves stay spread over chunks and halo buckets.)"""
+    (A partitionless series ranks groups of 4,096 chunks in one small window;
+    rows and chunk totals stay spread.)"""
     from chainlens.plans.catalog import queries
 
     for name in ("extend_txs_blocks", "kalman_fee_filter"):
@@ -141,3 +141,18 @@ def test_kalman_variance_by_matrix_power():
     for q, r in ((0.3, 2.0), (0.0, 1.0), (5.0, 0.0), (0.0, 0.0), (1e9, 3e8)):
         whole = gains(0, 500, q, r)
         assert all(abs(a - b) <= 1e-9 * max(1.0, abs(a)) for a, b in zip(whole[400:], gains(400, 100, q, r)))
+
+
+def test_positions_without_keys_across_chunk_groups(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from chainlens.functions import series
+
+    monkeypatch.setattr(series, "GROUP_CHUNKS", 3)
+    df = spark.range(1000).select((F.col("id") * 3).alias("b"), (F.col("id") % 7).alias("v"))
+    df = df.withColumn("_chunk", series.chunk_col("b", 100)).repartition(5)
+    got = series.add_positions(df, [], "_chunk", ["b"], "v").orderBy("b").collect()
+    total = 0
+    for k, r in enumerate(got):
+        total += k % 7
+        assert (r[series.RN], r[series.CS], r[series.CC]) == (k + 1, total, k + 1)

@@ -44,6 +44,8 @@ SINCE = "1996-01-01"
 TAIL = 500
 TOP = 100
 NAMES = list(SEQUENCER_NAMES)
+BLOCK_RANGE = (500, 1499)
+BLOCK_COLS = ["block_number", "timestamp", "base_fee_per_gas", "gas_used", "block_batch"]
 
 
 def explore(spark: SparkSession, d: str) -> DataFrame:
@@ -55,6 +57,7 @@ def _rollup_queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "tx_cost_deltas": explore,
         "summarize_dataset": lambda s, d: R.summarize_dataset(explore(s, d)),
+        "summary_text": lambda s, d: R.summary_text(R.summarize_dataset(explore(s, d))),
         "sequencer_list": lambda s, d: R.sequencer_list(explore(s, d)),
     }
     for k in ROLLING_WINDOWS:
@@ -149,6 +152,38 @@ def q_sync_batches(spark: SparkSession, d: str) -> DataFrame:
                      F.array_join("files_b", ",").alias("files_b"))
 
 
+def q_list_batch_files(spark: SparkSession, d: str) -> DataFrame:
+    """S8-S10 over a real folder: each batch is written below its layout name, then listed."""
+    from chainlens.plans.jobs import scratch_path
+    from chainlens.sources.files import batch_file_name, batch_of_filename, batch_range_of_filename, list_files
+
+    out = scratch_path(spark, "listing")
+    name = batch_file_name("ethereum__blocks", F.col("block_batch"), S.BLOCKS_PER_BATCH)
+    S.blocks(spark, d).withColumn("file", name).write.partitionBy("file").parquet(out)
+    found = list_files(spark, out).select(F.regexp_extract("path", "/file=([^/]+)/", 1).alias("file_name")).distinct()
+    return found.select("file_name", batch_of_filename(F.col("file_name")).alias("batch_end"),
+                        batch_range_of_filename(F.col("file_name")).alias("batch_range"))
+
+
+def q_select_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """A closed block range, and the latest block."""
+    from chainlens.sources.files import select_blocks
+
+    b = S.blocks(spark, d).select(*BLOCK_COLS)
+    return (select_blocks(b, *BLOCK_RANGE).withColumn("selection", F.lit("range"))
+            .unionByName(select_blocks(b, latest=True).withColumn("selection", F.lit("latest"))))
+
+
+def q_copy_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Copy the blocks twice into a fresh folder; the second copy finds nothing to do."""
+    from chainlens.plans.jobs import copy_batches, scratch_path
+
+    out = scratch_path(spark, "copy")
+    for _ in range(2):
+        copy_batches(spark, S.blocks(spark, d).select(*BLOCK_COLS), out)
+    return _read_back(spark, out).select(*BLOCK_COLS)
+
+
 def q_write_incremental(spark: SparkSession, d: str) -> DataFrame:
     """Q29 (batch): run the idempotent job twice into a fresh folder; the
     second run finds nothing pending. Returns the written table."""
@@ -201,6 +236,9 @@ def q_daily_totals_stream(spark: SparkSession, d: str) -> DataFrame:
 def _job_queries() -> dict[str, Query]:
     return {
         "sync_batches": q_sync_batches,
+        "list_batch_files": q_list_batch_files,
+        "select_blocks": q_select_blocks,
+        "copy_batches": q_copy_batches,
         "write_rollups_incremental": q_write_incremental,
         "combine_files": q_combine_files,
         "write_rollups_stream": q_rollups_stream,

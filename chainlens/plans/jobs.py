@@ -61,15 +61,31 @@ def pending_batches(txs: DataFrame, blocks: DataFrame, done: DataFrame) -> DataF
     return both.join(done, BATCH, "left_anti")
 
 
+def id_range(ids: DataFrame) -> tuple[int | None, int | None]:
+    """(smallest, largest) batch id, two numbers on the driver; (None, None) without ids."""
+    return tuple(ids.agg(F.min(BATCH), F.max(BATCH)).first())
+
+
+def only_batches(df: DataFrame, ids: DataFrame, lo: int, hi: int) -> DataFrame:
+    """Rows of the batches ``ids``, all within ``lo`` to ``hi``. The literal range prunes
+    folders (or files) before anything is read; new batches lie together at the end."""
+    return df.filter(F.col(BATCH).between(lo, hi)).join(ids, BATCH, "left_semi")
+
+
 def write_rollups_incremental(spark: SparkSession, txs: DataFrame, blocks: DataFrame,
                               labels: DataFrame, out_path: str,
                               mempool: DataFrame | None = None, **extend_kw) -> DataFrame:
     """Q29 (batch): label new block batches and append them to ``out_path``.
 
-    Returns the pending-batch frame that was processed (lazy)."""
-    todo = pending_batches(txs, blocks, done_batches(spark, out_path))
-    t = txs.join(todo, BATCH, "left_semi")
-    b = blocks.join(todo, BATCH, "left_semi")
+    The ids are computed once and stored under the checkpoint folder; with nothing
+    pending no data is read. Returns the pending-batch frame that was processed."""
+    path = scratch_path(spark, "pending")
+    pending_batches(txs, blocks, done_batches(spark, out_path)).write.parquet(path)
+    todo = spark.read.schema(f"{BATCH} bigint").parquet(path)
+    lo, hi = id_range(todo)
+    if lo is None:
+        return todo
+    t, b = only_batches(txs, todo, lo, hi), only_batches(blocks, todo, lo, hi)
     out = rollup_transactions(t, b, labels, mempool, **extend_kw)
     write_batches(out, out_path)
     mark_finished(todo, out_path)

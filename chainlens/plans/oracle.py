@@ -236,6 +236,14 @@ SELECT min(block_number) AS first_block, max(block_number) AS last_block,
        count(DISTINCT block_number) AS n_blocks, count(*) AS n_txs,
        arg_min(block_datetime, block_number) AS first_block_datetime,
        arg_max(block_datetime, block_number) AS last_block_datetime
+FROM q4""")
+    out["summary_text"] = with_ctes(R, q4, """
+SELECT 'block range: ' || format('{:,}', min(block_number)) || ' to ' || format('{:,}', max(block_number))
+         || ' = ' || format('{:,}', max(block_number) - min(block_number)) || ' range' AS block_range_info,
+       'blocks in dataset: ' || format('{:,}', count(DISTINCT block_number)) || ', total txs: '
+         || format('{:,}', count(*)) AS blocks_dataset_info,
+       'block date range: ' || CAST(arg_min(block_datetime, block_number) AS VARCHAR) || ' to '
+         || CAST(arg_max(block_datetime, block_number) AS VARCHAR) AS block_date_range_info
 FROM q4""")
     out["sequencer_list"] = with_ctes(R, q4, "SELECT DISTINCT sequencer_names FROM q4")
     for k in ROLLING_WINDOWS:
@@ -480,6 +488,14 @@ def _job_oracle(out: dict[str, str]) -> None:
         ("fa", per("transactions", "ethereum__transactions", "a")),
         ("fb", per("blocks", "ethereum__blocks", "b"))],
         "SELECT fa.batch_end, files_a, files_b FROM fa JOIN fb ON fa.batch_end = fb.batch_end")
+    out["list_batch_files"] = with_ctes(["blocks"], [("lf", files("blocks", "ethereum__blocks"))], """
+SELECT file_name, CAST(regexp_extract(file_name, 'to_([0-9]+)', 1) AS BIGINT) AS batch_end,
+       regexp_extract(file_name, '__([0-9]+_to_[0-9]+)', 1) AS batch_range FROM lf""")
+    cols = "block_number, timestamp, base_fee_per_gas, gas_used, block_batch"
+    out["select_blocks"] = with_ctes(["blocks"], [], f"""
+SELECT {cols}, 'range' AS selection FROM blocks WHERE block_number BETWEEN 500 AND 1499
+UNION ALL SELECT {cols}, 'latest' FROM blocks WHERE block_number = (SELECT max(block_number) FROM blocks)""")
+    out["copy_batches"] = with_ctes(["blocks"], [], f"SELECT {cols} FROM blocks")
     out["write_rollups_incremental"] = out["label_rollups"]
     out["write_rollups_stream"] = out["label_rollups"]
     out["combine_files"] = with_ctes(["univ2_swaps"], [], "SELECT * FROM univ2_swaps")

@@ -5,8 +5,8 @@ folders, in any order; each micro-batch names the batches that either side touch
 and those that both sides hold are re-read *in full* from both datasets (the rolling windows and block aggregates need whole
 batches), enriched, labelled and written with dynamic partition overwrite.
 Replaying a micro-batch after a failure rewrites the same partitions, so the
-sink is exactly-once. No batch id is collected to the driver: the ids are a
-DataFrame used in a ``left_semi`` join.
+sink is exactly-once. Only the smallest and largest batch id reach the driver (they
+prune folders); the ids themselves are a DataFrame used in a ``left_semi`` join.
 
 T2: per-day totals per sequencer over an arriving rollup table, with a
 watermark on the event time and tumbling one-day windows.
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chainlens.operators.extend import rollup_transactions
-from chainlens.plans.jobs import pending_batches, write_batches
+from chainlens.plans.jobs import id_range, only_batches, pending_batches, write_batches
 from chainlens.sources.files import BATCH
 
 
@@ -46,7 +46,10 @@ def start_rollups_stream(spark: SparkSession, txs_path: str, blocks_path: str,
         # a batch whose other side is still missing waits: that side's files name it again
         t, b = s.read.parquet(txs_path), s.read.parquet(blocks_path)
         ids = pending_batches(t, b, s.createDataFrame([], f"{BATCH} bigint")).join(ids, BATCH, "left_semi")
-        t, b = t.join(ids, BATCH, "left_semi"), b.join(ids, BATCH, "left_semi")
+        lo, hi = id_range(ids)
+        if lo is None:
+            return
+        t, b = only_batches(t, ids, lo, hi), only_batches(b, ids, lo, hi)
         write_batches(rollup_transactions(t, b, labels, **extend_kw), out_path)
 
     w = arriving.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)

@@ -155,3 +155,16 @@ def test_stream_waits_for_late_blocks(spark):
     cols = sorted(want.columns)
     assert got.filter("block_datetime is null").isEmpty()
     assert got.count() == want.count() and got.select(cols).exceptAll(want.select(cols)).isEmpty()
+
+
+def test_pending_batches_prune_folders(spark):
+    from chainlens.plans.jobs import id_range, only_batches, scratch_path, write_batches
+
+    path = scratch_path(spark, "test-prune")
+    write_batches(S.blocks(spark, D, 300), path)
+    ids = spark.createDataFrame([(1,), (3,)], "block_batch bigint")
+    got = only_batches(read_dataset(spark, path), ids, *id_range(ids))
+    filters = [x for x in got._jdf.queryExecution().executedPlan().toString().split("\n") if "PartitionFilters" in x]
+    assert filters and ">= 1" in filters[0] and "<= 3" in filters[0]
+    assert {r[0] for r in got.select("block_batch").distinct().collect()} == {1, 3}
+    assert id_range(ids.limit(0)) == (None, None)

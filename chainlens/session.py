@@ -34,12 +34,17 @@ def tune_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: the folder of local sessions that name none (the setting itself cannot be changed at run time)
+_private: str | None = None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A local session without the setting gets a private folder; elsewhere executors
     would not share it, so that is an error.
     """
+    global _private
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:  # classic sessions; Spark Connect has no SparkContext
         sc = spark.sparkContext
@@ -48,11 +53,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        master = spark.conf.get("spark.master", "local")
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        d = tempfile.mkdtemp(prefix="chainlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if sc is not None:
+        _private = _private or tempfile.mkdtemp(prefix="chainlens-ckpt-")
+        d = _private
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
 

@@ -8,12 +8,13 @@ empty result with the same schema.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chainlens.session import checkpoint_dir
+
 #: ASCII white space, the word separators of all contracts.
 SPACE = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -26,13 +27,7 @@ def scratch_dir(spark: SparkSession) -> str:
     Where the setting is absent, a local session gets a private folder; on a
     cluster that folder would not be shared, so there it is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="chainlens-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/llm"
+    return f"{checkpoint_dir(spark).rstrip('/')}/llm"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -60,15 +60,15 @@ def fingerprint(text: str, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(did, fp long), one row per input row."""
+    """(did, th long, fp long), one row per input row; ``th`` is the hash of the text."""
 
     def run(batches):
         for b in batches:
             fps = [fingerprint(t.as_py(), shingle) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64), pa.int64())], ["did", "fp"])
+                [b.column(0), b.column(2), pa.array(np.array(fps, dtype=np.uint64).view(np.int64), pa.int64())], ["did", "th", "fp"])
 
-    return keyed(docs, id_col, text_col).mapInArrow(run, "did long, fp long")
+    return keyed(docs, id_col, text_col).withColumn("th", F.xxhash64("text")).mapInArrow(run, "did long, th long, fp long")
 
 
 def ball_patterns(radius: int) -> list[list[int]]:
@@ -134,9 +134,11 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """(doc_id, fp long, component_id): every input row with its fingerprint and near-duplicate group.
+    """(doc_id, th long, fp long, root long, component_id): every input row with its fingerprint and near-duplicate group.
 
-    ``component_id`` is the smallest id reachable over links, itself included. Texts
+    ``component_id`` is the smallest id reachable over links, itself included; as the
+    texts of one id may lie in several groups, ``root`` (a fingerprint) is what tells
+    groups apart, and ``th`` (the hash of the text) tells rows of one id apart. Texts
     without words (null, empty, white space) have fingerprint zero and are linked like
     any other. Repeated rows come back as often as they came in. Null ids are the
     smallest id and come back as null. An empty table gives an empty result.
@@ -148,8 +150,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     comp = nodes.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root"))
     lows = comp.groupBy("root").agg(F.min("low").alias("component"))
-    named = comp.join(lows, "root").select("fp", "component")
-    return rows.join(named, "fp").select(real_id(F.col("did")).alias("doc_id"), "fp",
+    named = comp.join(lows, "root").select("fp", "root", "component")
+    return rows.join(named, "fp").select(real_id(F.col("did")).alias("doc_id"), "th", "fp", "root",
                                          real_id(F.col("component")).alias("component_id"))
 
 

@@ -35,3 +35,18 @@ def test_pipeline(spark):
     assert out.columns == ["doc_id", "ids", "n_pieces", "round_trip"]
     assert sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in kept.collect())
     assert out.where("not round_trip").count() == 0
+
+
+def test_dedup_near_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline as P
+
+    text = lambda k: " ".join(f"topic{k}word{j}" for j in range(40))
+    rows = [(None, text(0), "a"), (None, text(1), "a"), (None, text(2), "a"),  # null ids, groups of their own
+            (9, text(0), "a"), (8, text(3), "a"),  # 9 is a copy of a null-id row
+            (5, text(4), "a"), (5, text(5), "a"), (6, text(5), "a"),  # one id with two texts, one of them copied
+            (7, text(4), "a"), (8, text(3), "a"), (8, text(3), "b")]  # repeated rows, one with another source
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    want = sorted([(None, text(0)), (None, text(1)), (None, text(2)), (8, text(3)), (5, text(4)), (5, text(5))], key=repr)
+    got = [P.dedup_near(spark, d, SF).collect() for d in (df, df.orderBy("text", "source"), df.coalesce(1))]
+    assert all(sorted([(r.doc_id, r.text) for r in g], key=repr) == want for g in got)
+    assert len({tuple(sorted(map(repr, g))) for g in got}) == 1

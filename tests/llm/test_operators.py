@@ -208,6 +208,25 @@ def test_decontamination(spark, odd, empty):
     assert contaminated(odd, bench).count() == 0
 
 
+def leaks(spark, items, texts):
+    from chainlens.llm.decontam import contaminated
+
+    got = contaminated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"),
+                       spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    return {(r.doc_id, r.item_id) for r in got.collect()}
+
+
+def test_decontamination_of_items_poor_in_words(spark):
+    sums = "Compute 17 + 25 - 9 + 4 * 3 = 62"
+    names = "Also ask Anna Boris Carla Dieter Emil Frieda Gustav Hanna Ida Jakob Karl Lena about it"
+    mixed = "The shop sold on day one 12 7 9 31 44 6 8 15 21 apples and on day two it sold far more pears than that"
+    texts = [f"See here: {sums}. Done.", "Compute 18 + 24 - 9 + 4 * 3 = 62", f"Before it. {names}, and after.",
+             "Dieter Emil Frieda Gustav Hanna Ida Jakob Karl Lena about it", "so red apples it was", "red pears and apples",
+             "sold on day one 12 7 9 31 44 6 8 15 21 apples and on", mixed.replace("31", "32")]
+    got = leaks(spark, [sums, names, "Red apples", mixed], texts)
+    assert got == {(0, 0), (2, 1), (4, 2), (6, 3), (7, 3)}
+
+
 def test_slots_must_agree():
     from chainlens.llm.decontam import judge
 

@@ -227,6 +227,17 @@ def test_decontamination_of_items_poor_in_words(spark):
     assert got == {(0, 0), (2, 1), (4, 2), (6, 3), (7, 3)}
 
 
+def test_decontamination_of_copies_in_other_case_and_punctuation(spark):
+    item = "A train leaves the old station with 12 wagons and the driver called Anna counts 7 km until the next bridge over the river."
+    german = "Der Zug verlässt den alten Bahnhof mit 12 Wagen. Die Fahrerin Anna zählt danach 7 Kilometer bis zur Brücke über den Fluss."
+    bare = lambda t: t.replace(".", "").replace(",", "")
+    texts = []
+    for t in (item, german):
+        texts += [t.upper(), t.lower(), bare(t), t.title(), bare(t).lower(), t.replace("12", "3.5"), t.replace("12", "1,250.75")]
+    texts.append("A train with 3.5 wagons and a driver called Anna.")
+    assert leaks(spark, [item, german], texts) == {(k, k // 7) for k in range(14)}
+
+
 def test_slots_must_agree():
     from chainlens.llm.decontam import judge
 

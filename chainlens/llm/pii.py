@@ -3,11 +3,13 @@
 Base entities (email, ip, card, phone) are found by regular expressions that run
 in linear time on any text (possessive groups; a match may only start where a run
 starts or where the last match ended). Every occurrence of an entity value is a
-redaction site. Over all sites of the corpus the co-occurrence of terms and
-entities gives log2(P(entity | term) / P(entity)), the bits a term nearby still
-tells about the removed entity; as a share of the entity's -log2 P it is the
-term's disclosure. Terms over the threshold are generalised, and those that as
-good as name the entity are removed.
+redaction site. The documents of the whole corpus that hold a term, and those of
+them that hold an entity, anywhere, give log2(P(entity | term) / P(entity)), the
+bits a term of the document still tells about the removed entity; as a share of the
+entity's -log2 P it is the term's disclosure. P(entity | term) is shrunk towards
+P(entity) by the weight of one document, so a term seen once tells less than one
+seen often, but no number of documents is asked for. Terms over the threshold are
+generalised, and those that as good as name the entity are removed.
 """
 
 from __future__ import annotations
@@ -29,9 +31,10 @@ PATTERNS = {
 #: a cheap test that a text can hold the kind at all
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
-CONTEXT_CHARS, MIN_TERM, MIN_DOCS = 80, 4, 3
+#: documents that the prior P(entity) weighs as much as
+PRIOR_DOCS = 1.0
 GENERALISE, REMOVE = 0.8, 0.95
-TERM = (r"(?<![\p{L}\p{N}@._%+-])\p{L}{" + str(MIN_TERM) + r",}+(?!\.?[\p{L}\p{N}@_%+-])")
+TERM = r"(?<![\p{L}\p{N}@._%+-])\p{L}++(?!\.?[\p{L}\p{N}@_%+-])"
 _BLOCK = 256
 _NO_SPANS = "array<struct<start:bigint,end:bigint,value:string,left:string,right:string>>"
 
@@ -93,54 +96,87 @@ VALID = {
 }
 
 
+def _any_span():
+    return F.greatest(*(F.size(k) for k in KINDS)) > 0
+
+
+def _terms(text: Column) -> Column:
+    """The hashes of the distinct terms of a text, in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda m: F.xxhash64(F.lower(m))))
+
+
 def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(did, th, email, ip, card, phone): per row the valid spans of each kind, in order."""
+    """(did, th, email, ip, card, phone, words): per row the valid spans of each kind, in order,
+    and, where there are any, the hashes of the text's terms."""
     d = keyed(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
     d = d.withColumn("_digit", F.col("text").rlike("[0-9]"))
     for kind in KINDS:
         possible = F.contains("text", F.lit(NEEDS[kind])) if NEEDS[kind] else F.lit(True)
         if kind != "email":
             possible = possible & F.col("_digit")
-        d = match_spans(d, "text", PATTERNS[kind], kind, possible, VALID[kind], CONTEXT_CHARS)
-    return d.select("did", "th", *KINDS)
+        d = match_spans(d, "text", PATTERNS[kind], kind, possible, VALID[kind])
+    words = F.when(_any_span(), _terms(F.col("text"))).otherwise(F.array().cast("array<bigint>"))
+    return d.select("did", "th", *KINDS, words.alias("words"))
+
+
+def term_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
+    """((term, n_t): the documents of each term), and their number; repeated rows are one document.
+
+    Only the ids of repeated rows go through the shuffle with their terms; the terms of
+    all others are counted before it.
+    """
+    d = keyed(docs, id_col, text_col).select("did", F.xxhash64("text").alias("th"), "text")
+    rows = materialize(d.groupBy("did", "th").agg(F.count("*").alias("n")), "pii-rows")
+    repeated = rows.where("n > 1").select("did", "th", F.lit(True).alias("again"))
+    words = d.join(repeated, ["did", "th"], "left").select(
+        F.when(F.col("again"), F.struct("did", "th")).alias("doc"), F.explode(_terms(F.col("text"))).alias("term"))
+    n = words.groupBy("term", "doc").agg(F.count("*").alias("n"))
+    return n.groupBy("term").agg(F.sum(F.when(F.col("doc").isNull(), F.col("n")).otherwise(1)).alias("n_t")), rows.count()
 
 
-def disclosing_terms(base: DataFrame) -> DataFrame:
+def disclosing_terms(base: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(did, th, terms array<struct<start, end, removed>>): terms over the disclosure threshold.
 
-    Counts are distinct documents per (entity, term), so copies within a document do
-    not add up; a term needs ``MIN_DOCS`` documents. The aggregates combine before
-    their shuffles, and every join has one row per key on its small side.
+    Counts are documents (id and text), so copies within a document do not add up.
+    Entities that stand in the same documents are one class, so a list of many values
+    is paired with the terms around it once; pairs that cannot reach the threshold by
+    the term's number of documents are not made.
     """
-    sites = None
+    ents = None
     for kind in KINDS:
-        s = base.select("did", "th", F.explode(kind).alias("s")).select(
-            "did", "th", F.xxhash64(F.lit(kind), F.lower("s.value")).alias("entity"),
-            F.explode(F.array(
-                F.struct(F.col("s.left").alias("text"), (F.col("s.start") - F.char_length("s.left")).alias("at"),
-                         F.lit(True).alias("is_left")),
-                F.struct(F.col("s.right").alias("text"), F.col("s.end").alias("at"), F.lit(False).alias("is_left")))).alias("c"))
-        s = s.select("did", "th", "entity", "c.*")
-        sites = s if sites is None else sites.unionByName(s)
-    sites = match_spans(sites, "text", TERM, "found", F.col("text") != "")
-    full = F.char_length("text") == CONTEXT_CHARS  # the outer end may cut a term
-    sites = (sites.withColumn("f", F.explode("found"))
-             .where(~(full & F.col("is_left") & (F.col("f.start") == 0)))
-             .where(~(full & ~F.col("is_left") & (F.col("f.end") == CONTEXT_CHARS)))
-             .select("did", "th", "entity", F.xxhash64(F.lower("f.value")).alias("term"),
-                     (F.col("at") + F.col("f.start")).alias("start"), (F.col("at") + F.col("f.end")).alias("end")))
-    sites = materialize(sites, "pii-sites")
-    pair_docs = sites.select("entity", "term", "did").distinct()
-    pairs = materialize(pair_docs.groupBy("entity", "term").agg(F.count("*").alias("n_et")), "pii-pairs")
-    ents = sites.select("entity", "did").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    terms = pairs.groupBy("term").agg(F.sum("n_et").alias("n_t"))
-    total = sites.select("entity", "did").distinct().count()
-    likely = pairs.where(F.col("n_et") >= MIN_DOCS).join(ents, "entity").join(terms, "term")
-    p_e, p_et = F.col("n_e") / max(total, 1), F.col("n_et") / F.col("n_t")
-    share = F.when(p_e < 1, F.log2(p_et / p_e) / -F.log2(p_e)).otherwise(0.0)
-    flagged = likely.select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
-    hits = sites.join(flagged, ["entity", "term"])
-    return (hits.groupBy("did", "th", "start", "end").agg((F.max("share") >= REMOVE).alias("removed"))
+        e = base.select("did", "th", F.explode(kind).alias("s")).select(
+            "did", "th", F.xxhash64(F.lit(kind), F.lower("s.value")).alias("entity"))
+        ents = e if ents is None else ents.unionByName(e)
+    ents = materialize(ents.distinct(), "pii-entities")
+    classes = ents.groupBy("entity").agg(F.count("*").alias("n_e"), F.bit_xor(F.xxhash64("did", "th")).alias("_x"))
+    classes = classes.select("entity", "n_e", F.xxhash64("n_e", "_x").alias("class"))
+    held = materialize(ents.join(classes, "entity").select("did", "th", "class", "n_e").distinct(), "pii-classes")
+    counts, total = term_documents(docs, id_col, text_col)
+    p_e = F.col("n_e") / max(total, 1)
+    # (n_e + a p) / (n_t + a) >= p ** (1 - GENERALISE), solved for n_t; the last digit is left to the test below
+    most = F.greatest(F.col("n_e") * 1.0, (F.col("n_e") + PRIOR_DOCS * p_e) * F.pow(p_e, F.lit(GENERALISE - 1)) - PRIOR_DOCS + 1e-6)
+    limit = held.agg(F.max(most)).first()[0] or 0.0
+    near = base.select("did", "th", F.explode("words").alias("term")).join(counts.where(F.col("n_t") <= limit), "term").distinct()
+    pairs = near.join(held, ["did", "th"]).where(F.col("n_t") <= most)
+    pairs = materialize(pairs.select("did", "th", "class", "n_e", "term", "n_t"), "pii-pairs")
+    p_et = (F.count("*") + PRIOR_DOCS * F.first("n_e") / max(total, 1)) / (F.first("n_t") + PRIOR_DOCS)
+    likely = pairs.groupBy("class", "term").agg(p_et.alias("p_et"), (F.first("n_e") / max(total, 1)).alias("p_e"))
+    share = F.when(F.col("p_e") < 1, F.log2(F.col("p_et") / F.col("p_e")) / -F.log2("p_e")).otherwise(0.0)
+    flagged = likely.select("class", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
+    flagged = materialize(pairs.join(flagged, ["class", "term"]).groupBy("did", "th", "term").agg(
+        (F.max("share") >= REMOVE).alias("removed")), "pii-flagged")
+    texts = keyed(docs, id_col, text_col).withColumn("th", F.xxhash64("text")).join(
+        flagged.select("did", "th").distinct(), ["did", "th"], "left_semi").dropDuplicates(["did", "th"])
+    # a running sum over the pieces of a document stays linear in its length
+    pieces = texts.select("did", "th", F.posexplode(F.arrays_zip(
+        F.split("text", TERM, -1).alias("gap"), F.regexp_extract_all("text", F.lit(TERM), F.lit(0)).alias("word"))).alias("pos", "s"))
+    size = F.char_length(F.coalesce("s.word", F.lit(""))).cast("long")
+    pieces = pieces.select("did", "th", "pos", (F.char_length("s.gap") + size).alias("step"), size.alias("size"),
+                           F.xxhash64(F.lower("s.word")).alias("term"))
+    end = F.sum("step").over(Window.partitionBy("did", "th").orderBy("pos"))
+    sites = pieces.withColumn("end", end).where("size > 0").select("did", "th", "term", (F.col("end") - F.col("size")).alias("start"), "end")
+    hits = sites.join(flagged, ["did", "th", "term"])
+    return (hits.groupBy("did", "th", "start", "end").agg(F.max("removed").alias("removed"))
             .groupBy("did", "th").agg(F.sort_array(F.collect_list(F.struct("start", "end", "removed"))).alias("terms")))
 
 
@@ -152,8 +188,8 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     corpus statistics. An empty table gives an empty result.
     """
     base = materialize(base_spans(docs, id_col, text_col), "pii-base")
-    terms = disclosing_terms(base)
-    return base.join(terms, ["did", "th"], "left").withColumn(
+    terms = disclosing_terms(base, docs, id_col, text_col)
+    return base.drop("words").join(terms, ["did", "th"], "left").withColumn(
         "terms", F.coalesce("terms", F.array().cast("array<struct<start:bigint,end:bigint,removed:boolean>>")))
 
 

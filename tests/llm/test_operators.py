@@ -138,6 +138,23 @@ def test_disclosing_terms_and_sanitise(spark):
     assert texts[12] == "ordinary words around here. [EMAIL] ordinary text"
 
 
+def test_disclosing_terms_of_few_documents(spark):
+    from chainlens.llm.pii import find_pii
+
+    filler = " ".join(["ordinary words around"] * 12)  # more than 80 code points
+    rows = [(0, f"Zarquon {filler} a@one.example"), (1, f"Bo {filler} b@two.example and common"), (1, f"Bo {filler} b@two.example and common"),
+            (None, f"Xu {filler} 10.1.2.3"), (None, f"Yi {filler} 10.1.2.4"), (3, f"Quent {filler} c@x.example c@y.example"), (4, f"Quent {filler} c@x.example c@y.example tail tail")]
+    rows += [(100 + i, f"{filler} and common text") for i in range(60)] + [(200, "Zarquons")]
+    found = find_pii(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert len(found) == len(rows)
+    texts = {r.th: r.text for r in spark.createDataFrame(rows, "doc_id long, text string").selectExpr("text", "xxhash64(text) th").collect()}
+    got = {}
+    for r in found:
+        got.setdefault(r.did, set()).update(texts[r.th][s.start:s.end] for s in r.terms)
+    assert got[0] == {"Zarquon"} and got[1] == {"Bo"} and got[-2**63] == {"Xu", "Yi"}
+    assert got[3] == {"Quent"} and got[4] == {"Quent", "tail"} and not any(got[100 + i] for i in range(60))
+
+
 # --- SimHash ---------------------------------------------------------------------
 
 def simhash(text):

@@ -108,12 +108,13 @@ def blob_count(total_bytes, blob_bytes: int) -> Column:
 
 def exact_sum(c) -> Column:
     """Sum of the non-null values that does not depend on their order, combined before
-    the shuffle: finite values below 1e15 are added as decimals of 12 places; if any
-    other value is present (inf, NaN, larger), the plain sum of those; null for no values."""
+    the shuffle: finite values below 1e15 are added as decimals of 12 places, any others
+    (inf, NaN, larger) as they are, and the two sums are added; null for no values."""
     x = _c(c).cast("double")
     plain = F.abs(x) < 1e15
-    return F.coalesce(F.sum(F.when(~plain | F.isnan(x), x)),
-                      F.sum(F.when(plain, x).cast("decimal(38,12)")).cast("double"))
+    rest = F.sum(F.when(~plain | F.isnan(x), x))
+    small = F.sum(F.when(plain, x).cast("decimal(38,12)")).cast("double")
+    return F.coalesce(rest + small, rest, small)
 
 
 def exact_mean(c) -> Column:

@@ -33,3 +33,11 @@ def test_epoch_literal():
     from chainlens.functions.numeric import epoch_of
 
     assert epoch_of("1970-01-02") == 86400
+
+
+def test_exact_sum_adds_large_and_small_values(spark):
+    from chainlens.functions.numeric import exact_mean, exact_sum
+
+    df = spark.createDataFrame([("a", 2e15), ("a", 4e14), ("a", 6e14), ("b", 1.5), ("b", None), ("c", math.inf), ("c", 1.0), ("d", None)], "k string, x double")
+    got = {r.k: (r.s, r.m) for r in df.groupBy("k").agg(exact_sum("x").alias("s"), exact_mean("x").alias("m")).collect()}
+    assert got == {"a": (3e15, 1e15), "b": (1.5, 1.5), "c": (math.inf, math.inf), "d": (None, None)}

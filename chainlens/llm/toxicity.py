@@ -237,7 +237,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             for t in f.text:
                 ids, counts = vector(t, matcher, len(words)) if words else (np.zeros(0, int),) * 2
                 s, i, c = idx.score(ids, counts)
-                out.append((s, [words[k].strip() for k in ids[:20]],
+                out.append((s, [words[k].strip() for k in ids],
                             [{"doc_id": int(idx.did[a]), "label": int(idx.y[a]), "cosine": float(b)} for a, b in zip(i, c)]))
             score, found, evidence = zip(*out) if out else ((), (), ())
             yield pd.DataFrame({"did": f.did, "th": f.th, "score": score, "terms": found, "evidence": evidence})

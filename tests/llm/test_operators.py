@@ -328,6 +328,17 @@ def test_toxicity(spark, odd, empty):
     assert {r.score for r in toxicity(odd, lab.where("doc_id = 9999")).collect()} == {0.0}
 
 
+def test_toxicity_names_all_terms_found(spark):
+    from chainlens.llm.toxicity import toxicity
+
+    bad = [f"{a}{b}{c}" for a in ("nas", "vil", "gro") for b in ("ty", "en", "so") for c in ("zek", "rup", "mol")]
+    rows = [(i, " ".join(bad) if i % 4 == 0 else f"plain text number {'abcdefgh'[i % 8]} of the day {i}") for i in range(160)]
+    lab = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    rows = [(i, t + f" tail{i} more{i * 7}x end{i}") for i, t in rows]
+    got = toxicity(spark.createDataFrame(rows, "doc_id long, text string"), lab).where("doc_id = 0").first()
+    assert set(bad) <= set(got.terms)
+
+
 def test_quality_classifier(spark, odd, empty):
     from chainlens.llm.quality_classifier import quality, weak_model
 

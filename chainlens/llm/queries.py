@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chainlens.llm import chat, decontam, html_extract, line_dedup, pii, quality_classifier, quality_rules, sentencepiece_lattice, simhash_dedup, toxicity
+from chainlens.llm import chat, decontam, exact_dedup, html_extract, line_dedup, pii, quality_classifier, quality_rules, sentencepiece_lattice, simhash_dedup, toxicity
 
 
 def queries() -> dict:
@@ -17,8 +17,10 @@ def queries() -> dict:
         "op8_quality_classifier": quality_classifier.op8_quality_classifier,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_quality_rules": quality_rules.op10_quality_rules,
+        "op12_exact_dedup": exact_dedup.op12_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_line_dedup": line_dedup.ORACLE_SQL, "op10_quality_rules": quality_rules.ORACLE_SQL}
+    return {"op6_line_dedup": line_dedup.ORACLE_SQL, "op10_quality_rules": quality_rules.ORACLE_SQL,
+            "op12_exact_dedup": exact_dedup.ORACLE_SQL}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chainlens.llm import chat, decontam, exact_dedup, html_extract, line_dedup, pii, quality_classifier, quality_rules, sentencepiece_lattice, simhash_dedup, toxicity
+from chainlens.llm import chat, decontam, exact_dedup, html_extract, line_dedup, period_runs, pii, quality_classifier, quality_rules, sentencepiece_lattice, simhash_dedup, toxicity
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_quality_rules": quality_rules.op10_quality_rules,
         "op12_exact_dedup": exact_dedup.op12_exact_dedup,
+        "op13_period_runs": period_runs.op13_period_runs,
     }
 
 

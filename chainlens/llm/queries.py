@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chainlens.llm import chat, decontam, exact_dedup, html_extract, line_dedup, period_runs, pii, quality_classifier, quality_rules, sentencepiece_lattice, simhash_dedup, toxicity
+from chainlens.llm import chat, decontam, exact_dedup, html_extract, line_dedup, period_runs, pii, quality_classifier, quality_rules, sentencepiece_lattice, simhash_dedup, token_align, toxicity
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_quality_classifier": quality_classifier.op8_quality_classifier,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_quality_rules": quality_rules.op10_quality_rules,
+        "op11_token_alignment": token_align.op11_token_alignment,
         "op12_exact_dedup": exact_dedup.op12_exact_dedup,
         "op13_period_runs": period_runs.op13_period_runs,
     }
@@ -24,4 +25,5 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {"op6_line_dedup": line_dedup.ORACLE_SQL, "op10_quality_rules": quality_rules.ORACLE_SQL,
-            "op12_exact_dedup": exact_dedup.ORACLE_SQL}
+            "op11_token_alignment": token_align.op11_token_alignment,
+        "op12_exact_dedup": exact_dedup.ORACLE_SQL}

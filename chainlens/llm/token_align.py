@@ -37,8 +37,8 @@ MODEL_A, MODEL_B = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_b
 MARK = "▁"
 #: bytes of text aligned together (a longer text goes alone); pairs of documents, or bytes, that close a block
 SLICE_BYTES, BLOCK_PAIRS, BLOCK_BYTES = 1 << 21, 1 << 21, 1 << 24
-#: chunks that a task keeps, and their length at most
-KEPT, KEPT_CHARS = 100_000, 40
+#: chunks that a task keeps, in each of two generations, and their length at most
+KEPT, KEPT_CHARS = 150_000, 40
 #: a single space between two characters that are surely no white space, nor its mark, for any tokenizer
 _CUT = re.compile(f"(?<=[^\\s\u180e{MARK}]) (?=[^\\s\u180e{MARK}])")
 
@@ -88,7 +88,8 @@ class Pair:
         self.a.encode_special_tokens = True  # their strings in a text are plain text
         self.b = sentencepiece.SentencePieceProcessor(model_proto=loaded["model"])
         self.chunked = loaded["chunked"]
-        self.kept: dict[str, tuple[list[int], list[int]]] = {}
+        self.young: dict[str, tuple[list[int], list[int]]] = {}
+        self.old: dict[str, tuple[list[int], list[int]]] = {}
 
     def _plain(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         a = [e.ids for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
@@ -103,12 +104,15 @@ class Pair:
             p = _CUT.split(" " + t)
             p[0] = p[0][1:]
             parts.append(p)
-        if len(self.kept) > KEPT:
-            self.kept.clear()
-        new = list(set().union(*parts).difference(self.kept)) if parts else []
+        wanted = set().union(*parts)
+        if len(self.young) > KEPT:  # chunks that no longer occur go with the old generation
+            self.young, self.old = {}, self.young
+        self.young.update((c, self.old[c]) for c in wanted.difference(self.young).intersection(self.old))
+        new = list(wanted.difference(self.young))
         fresh = dict(zip(new, self._plain(new)))
-        self.kept.update((c, ids) for c, ids in fresh.items() if len(c) <= KEPT_CHARS)
-        known = self.kept if len(new) == sum(len(c) <= KEPT_CHARS for c in new) else self.kept | fresh
+        self.young.update((c, ids) for c, ids in fresh.items() if len(c) <= KEPT_CHARS)
+        long = {c: ids for c, ids in fresh.items() if len(c) > KEPT_CHARS}
+        known = self.young | long if long else self.young
         out = []
         for p in parts:
             a: list[int] = []

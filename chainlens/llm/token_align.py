@@ -21,6 +21,7 @@ checked), so a worker keeps the ids of short chunks between such spaces.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import re
 
@@ -36,11 +37,13 @@ from chainlens.llm.common import keyed, materialize, real_id
 MODEL_A, MODEL_B = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: bytes of text aligned together (a longer text goes alone); pairs of documents, or bytes, that close a block
-SLICE_BYTES, BLOCK_PAIRS, BLOCK_BYTES = 1 << 21, 1 << 21, 1 << 24
-#: chunks that a task keeps, in each of two generations, and their length at most
-KEPT, KEPT_CHARS = 150_000, 40
+SLICE_BYTES, BLOCK_PAIRS, BLOCK_BYTES = 1 << 20, 1 << 21, 1 << 24
+#: characters of chunks that a task keeps, and of chunks that are encoded as one text
+KEPT_CHARS, JOINED_CHARS = 2_500_000, 100_000
 #: a single space between two characters that are surely no white space, nor its mark, for any tokenizer
 _CUT = re.compile(f"(?<=[^\\s\u180e{MARK}]) (?=[^\\s\u180e{MARK}])")
+#: what a chunk that stands between two others neither begins nor ends with, and the mark anywhere
+_EDGE = re.compile(f"^[\\s\u180e]|[\\s\u180e]\\Z|{MARK}")
 
 
 def byte_letters() -> dict[str, int]:
@@ -75,9 +78,9 @@ def load_tokenizers(model_a: str = MODEL_A, model_b: str = MODEL_B) -> dict:
 
 
 class Pair:
-    """The two tokenizers of a task."""
+    """The two tokenizers of a task, and the ids of the chunks they met: (pool, place, count) for A and B."""
 
-    def __init__(self, loaded: dict):
+    def __init__(self, loaded: dict, length: list[np.ndarray]):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core
@@ -87,57 +90,97 @@ class Pair:
         self.a = Tokenizer.from_str(loaded["json"])
         self.a.encode_special_tokens = True  # their strings in a text are plain text
         self.b = sentencepiece.SentencePieceProcessor(model_proto=loaded["model"])
-        self.chunked = loaded["chunked"]
-        self.young: dict[str, tuple[list[int], list[int]]] = {}
-        self.old: dict[str, tuple[list[int], list[int]]] = {}
-
-    def _plain(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        a = [e.ids for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
-        return list(zip(a, self.b.encode(texts, num_threads=1)))
-
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """(ids of A for space + text, ids of B for text, which adds the space) of every text."""
-        if not self.chunked:
-            return self._plain(texts)
-        parts = []
+        self.chunked, self.length = loaded["chunked"], length
+        self._start([], [(np.zeros(0, np.int32), np.zeros(0, np.int64))] * 2)
+
+    def _start(self, names: list[str], lists: list[tuple[np.ndarray, np.ndarray]]):
+        self.names, self.number, self.chars, self.ids = [], {}, 0, [(np.zeros(0, np.int32), *[np.zeros(0, np.int64)] * 2)] * 2
+        self._add(names, lists)
+
+    def _add(self, names: list[str], lists: list[tuple[np.ndarray, np.ndarray]]):
+        """Keep chunks with their (ids, counts) of A and of B."""
+        self.number.update(zip(names, range(len(self.names), len(self.names) + len(names))))
+        self.names += names
+        self.chars += sum(map(len, names))
+        self.ids = [(np.concatenate([pool, ids]), np.concatenate([place, len(pool) + np.cumsum(n) - n]), np.concatenate([count, n]))
+                    for (pool, place, count), (ids, n) in zip(self.ids, lists)]
+
+    def _of(self, k: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(ids, counts) of A and of B for the chunks with these numbers."""
+        return [(pool[ranges(place[k], count[k])], count[k]) for pool, place, count in self.ids]
+
+    def _alone(self, chunks: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        a = [e.ids for e in self.a.encode_batch([" " + t for t in chunks], add_special_tokens=False)]
+        return [(np.array(list(itertools.chain.from_iterable(x)), dtype=np.int32), np.array([len(y) for y in x], dtype=np.int64))
+                for x in (a, self.b.encode(chunks, num_threads=1))]
+
+    def _joined(self, chunks: list[str]) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """As _alone, for chunks that may stand side by side: one text, cut again where the chunks end."""
+        text = " ".join(chunks)
+        want = np.cumsum([len(c.encode("utf-8", "surrogatepass")) + 1 for c in chunks])
+        out = []
+        for ids, length in zip((self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)), self.length):
+            ids = np.array(ids, dtype=np.int32)
+            end = np.cumsum(length[ids])
+            at = np.searchsorted(end, want)
+            if at[-1] != len(end) - 1 or (end[at] != want).any():
+                return None
+            out.append((ids, np.diff(at, prepend=-1)))
+        return out
+
+    def _learn(self, new: list[str]):
+        plain = [bool(c) and not _EDGE.search(c) for c in new] if self.chunked else [False] * len(new)
+        odd = [c for c, ok in zip(new, plain) if not ok]
+        new = [c for c, ok in zip(new, plain) if ok]
+        for lo, hi in slices([len(c) for c in new], JOINED_CHARS):
+            self._add(new[lo:hi], self._joined(new[lo:hi]) or self._alone(new[lo:hi]))
+        if odd:
+            self._add(odd, self._alone(odd))
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(ids of all texts, number of each text's) of A for space + text and of B for text, which adds the space."""
+        chunks: list[str] = []
+        first = [0]
         for t in texts:
-            p = _CUT.split(" " + t)
-            p[0] = p[0][1:]
-            parts.append(p)
-        wanted = set().union(*parts)
-        if len(self.young) > KEPT:  # chunks that no longer occur go with the old generation
-            self.young, self.old = {}, self.young
-        self.young.update((c, self.old[c]) for c in wanted.difference(self.young).intersection(self.old))
-        new = list(wanted.difference(self.young))
-        fresh = dict(zip(new, self._plain(new)))
-        self.young.update((c, ids) for c, ids in fresh.items() if len(c) <= KEPT_CHARS)
-        long = {c: ids for c, ids in fresh.items() if len(c) > KEPT_CHARS}
-        known = self.young | long if long else self.young
+            if self.chunked:
+                parts = _CUT.split(" " + t)
+                parts[0] = parts[0][1:]
+                chunks += parts
+            else:
+                chunks.append(t)
+            first.append(len(chunks))
+        if self.chars > KEPT_CHARS:  # keep what the texts before had
+            k = np.unique(self.last)
+            names = [self.names[i] for i in k.tolist()]
+            few = sum(map(len, names)) <= KEPT_CHARS // 2
+            self._start(names if few else [], self._of(k if few else k[:0]))
+        self._learn(list(set(chunks).difference(self.number)))
+        self.last = np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))
         out = []
-        for p in parts:
-            a: list[int] = []
-            b: list[int] = []
-            for x, y in map(known.__getitem__, p):
-                a += x
-                b += y
-            out.append((a, b))
+        for ids, count in self._of(self.last):
+            out.append((ids, np.diff(np.concatenate([[0], np.cumsum(count)])[first])))
         return out
 
 
-def flat(lists: list[list[int]]) -> tuple[pa.Array, np.ndarray]:
+def ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers start, start+1, ... (count of them) of all pairs in a row."""
+    total = int(count.sum())
+    return np.arange(total) + np.repeat(start - (np.cumsum(count) - count), count)
+
+
+def flat(ids: np.ndarray, count: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     """(all ids, their parent document) of a list per document."""
-    col = pa.array(lists, pa.list_(pa.int32()))
+    col = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32()), pa.array(ids, pa.int32()))
     return pc.list_flatten(col), pc.list_parent_indices(col).to_numpy(zero_copy_only=False)
 
 
 def ends(ids: pa.Array, parent: np.ndarray, n: int, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(end of every token counted from its document's start, bytes of every document)."""
     total = np.cumsum(length[ids.to_numpy()])
-    size = np.bincount(parent, minlength=n)
-    upto = np.cumsum(size)
-    whole = np.where(upto > 0, np.append(total, 0)[upto - 1], 0) if len(total) else np.zeros(n, np.int64)
-    before = np.concatenate([[0], whole[:-1]]).astype(np.int64)
-    return total - before[parent], np.diff(np.concatenate([[0], whole]))
+    upto = np.cumsum(np.bincount(parent, minlength=n))
+    whole = np.concatenate([[0], total])[upto]
+    before = np.concatenate([[0], whole[:-1]])
+    return total - before[parent], whole - before
 
 
 def spelled(ids: pa.Array, surface: pa.Array) -> bytes:
@@ -164,22 +207,22 @@ def align(texts: list[str], pair: Pair, length_a: np.ndarray, length_b: np.ndarr
     """Tokens, groups and links of some texts: arrays n_a, n_b, n_groups per text, sha256 per text, and per
     link its text and ids (doc, a, b). Texts that are empty, or that a tokenizer does not spell out, have none."""
     n = len(texts)
-    got = pair.encode(texts)
-    a_lists, b_lists = [x if t else [] for (x, _), t in zip(got, texts)], [y if t else [] for (_, y), t in zip(got, texts)]
+    lists = pair.encode(texts)
     want = [b" " + t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+    good = np.array([bool(t) for t in texts])
     for _ in range(2):
-        a, doc_a = flat(a_lists)
-        b, doc_b = flat(b_lists)
+        lists = [(ids[np.repeat(good, count)], count * good) for ids, count in lists]
+        a, doc_a = flat(*lists[0])
+        b, doc_b = flat(*lists[1])
         end_a, size_a = ends(a, doc_a, n, length_a)
         end_b, size_b = ends(b, doc_b, n, length_b)
-        said_a, said_b, whole = spelled(a, surface_a), spelled(b, surface_b), b"".join(want)
-        if said_a == whole and said_b == whole:
+        said_a, said_b = spelled(a, surface_a), spelled(b, surface_b)
+        if said_a == said_b == b"".join(w for w, ok in zip(want, good) if ok):
             break
         at_a, at_b = (np.concatenate([[0], np.cumsum(s)]) for s in (size_a, size_b))
-        good = [said_a[at_a[i]:at_a[i + 1]] == w and said_b[at_b[i]:at_b[i + 1]] == w for i, w in enumerate(want)]
-        a_lists, b_lists, want = ([x if ok else type(x)() for x, ok in zip(col, good)] for col in (a_lists, b_lists, want))
+        good &= np.array([said_a[at_a[i]:at_a[i + 1]] == w and said_b[at_b[i]:at_b[i + 1]] == w for i, w in enumerate(want)], dtype=bool)
     ia, ib = common_ends(doc_a, end_a, doc_b, end_b)
-    n_a, n_b = np.bincount(doc_a, minlength=n), np.bincount(doc_b, minlength=n)
+    n_a, n_b = lists[0][1], lists[1][1]
     n_groups = np.bincount(doc_a[ia], minlength=n)
     # the text a1,a2|b1;a3|b2,b3: tokens of A and B in turn by group, each with the sign behind it
     of_a = np.searchsorted(ia, np.arange(len(a)))  # group of each token
@@ -199,7 +242,7 @@ def align(texts: list[str], pair: Pair, length_a: np.ndarray, length_b: np.ndarr
     data = memoryview(written.buffers()[2]) if len(index) else memoryview(b"")
     sha = [hashlib.sha256(data[off[hi - k]:off[hi] - 1]).hexdigest() if k else "" for hi, k in zip(upto.tolist(), (n_a + n_b).tolist())]
     return {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "sha": sha, "doc": doc_a[ia],
-            "a": a.to_numpy()[ia], "b": b.to_numpy()[ib], "ids_a": a_lists, "ids_b": b_lists}
+            "a": a.to_numpy()[ia], "b": b.to_numpy()[ib], "ids": lists}
 
 
 def tables(loaded: dict):
@@ -210,6 +253,7 @@ def tables(loaded: dict):
     return length[0], length[1], surface[0], surface[1], (pa.array(signs, pa.large_string()),)
 
 
+NONE = (np.zeros(0, np.int32), np.zeros(1, np.int64))
 STORE = ("block long, did long, n_a long, n_b long, n_groups long, groups_sha256 string, ids_a array<int>, ids_b array<int>, "
          "pairs array<long>, counts array<int>")
 
@@ -221,7 +265,8 @@ def tokens(docs: DataFrame, loaded: dict, id_col: str, text_col: str, keep_ids:
     shared = base.sparkSession.sparkContext.broadcast(loaded)
 
     def run(batches):
-        pair, tabs = Pair(shared.value), tables(shared.value)
+        tabs = tables(shared.value)
+        pair = Pair(shared.value, list(tabs[:2]))
         task, number, seen = TaskContext.get().partitionId(), 0, []
         held = read = 0
 
@@ -232,14 +277,15 @@ def tokens(docs: DataFrame, loaded: dict, id_col: str, text_col: str, keep_ids:
         def close():
             """The row of a finished block: partial counts of its pairs."""
             t = pa.concat_tables(seen).group_by("pair", use_threads=False).aggregate([("n", "sum")])
-            return rows([None], [None], [None], [None], [None], [[]], [[]],
+            return rows([None], [None], [None], [None], [None], [NONE, NONE],
                         np.array([0, t.num_rows]), t["pair"].combine_chunks(), t["n_sum"].combine_chunks())
 
-        def rows(did, n_a, n_b, n_groups, sha, ids_a, ids_b, at, pairs, counts):
+        def rows(did, n_a, n_b, n_groups, sha, ids, at, pairs, counts):
             k = len(did)
+            ids_a, ids_b = (pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(c)]), pa.int32()), pa.array(x, pa.int32())) for x, c in ids)
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.full(k, (task << 32) + number)), pa.array(did, pa.int64()), pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()),
-                 pa.array(n_groups, pa.int64()), pa.array(sha, pa.string()), pa.array(ids_a, pa.list_(pa.int32())), pa.array(ids_b, pa.list_(pa.int32())),
+                 pa.array(n_groups, pa.int64()), pa.array(sha, pa.string()), ids_a, ids_b,
                  pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(pairs, pa.int64())),
                  pa.ListArray.from_arrays(pa.array(at, pa.int32()), pc.cast(pa.array(counts), pa.int32()))],
                 ["block", "did", "n_a", "n_b", "n_groups", "groups_sha256", "ids_a", "ids_b", "pairs", "counts"])
@@ -247,14 +293,14 @@ def tokens(docs: DataFrame, loaded: dict, id_col: str, text_col: str, keep_ids:
         for b in batches:
             dids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             size = pc.binary_length(b.column(1)).to_pylist()
-            for lo, hi in slices(size):
+            for lo, hi in slices(size, SLICE_BYTES):
                 r = align(texts[lo:hi], pair, *tabs)
                 doc, key, n = counted(r["doc"], (r["a"].astype(np.int64) << 32) | r["b"])
                 by = np.lexsort((key, doc))
                 doc, key, n = doc[by], key[by], n[by]
                 at = np.searchsorted(doc, np.arange(hi - lo + 1))
-                yield rows(dids[lo:hi], r["n_a"], r["n_b"], r["n_groups"], r["sha"], *(
-                    (r["ids_a"], r["ids_b"]) if keep_ids else ([[]] * (hi - lo),) * 2), at, key, n)
+                none = (NONE[0], np.zeros(hi - lo, np.int64))
+                yield rows(dids[lo:hi], r["n_a"], r["n_b"], r["n_groups"], r["sha"], r["ids"] if keep_ids else [none, none], at, key, n)
                 t = pa.table({"pair": key, "n": n}).group_by("pair", use_threads=False).aggregate([("n", "sum")])
                 seen.append(t.rename_columns(["pair", "n"]))
                 held, read = held + len(key), read + sum(size[lo:hi])
@@ -267,10 +313,11 @@ def tokens(docs: DataFrame, loaded: dict, id_col: str, text_col: str, keep_ids:
     return base.mapInArrow(run, STORE)
 
 
-def slices(sizes: list[int]):
+def slices(sizes: list[int], most: int):
+    """(from, to) of consecutive rows of at most ``most`` in sum (a larger row stands alone)."""
     lo = total = 0
     for i, n in enumerate(sizes):
-        if i > lo and total + n > SLICE_BYTES:
+        if i > lo and total + n > most:
             yield lo, i
             lo, total = i, 0
         total += n

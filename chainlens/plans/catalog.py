@@ -138,29 +138,40 @@ def _read_back(spark: SparkSession, path: str) -> DataFrame:
     return read_dataset(spark, path)
 
 
-def q_sync_batches(spark: SparkSession, d: str) -> DataFrame:
-    """Q28 over file names derived from the stand-in batches."""
-    from chainlens.sources.files import batch_file_name, sync_batches
+def _laid_out(spark: SparkSession, df: DataFrame, dataset: str) -> str:
+    """Write the keys of a dataset with each batch below its layout name; returns the folder."""
+    from chainlens.plans.jobs import scratch_path
+    from chainlens.sources.files import batch_file_name
+
+    out = scratch_path(spark, "listing")
+    name = batch_file_name(dataset, F.col("block_batch"), S.BLOCKS_PER_BATCH)
+    df.select("block_number", name.alias("file")).write.partitionBy("file").parquet(out)
+    return out
+
+
+def _layout_names(spark: SparkSession, path: str) -> DataFrame:
+    """The layout names in the listing of a folder that ``_laid_out`` wrote."""
+    from chainlens.sources.files import list_files
+
+    return list_files(spark, path).select(F.regexp_extract("path", "/file=([^/]+)/", 1).alias("file_name")).distinct()
 
-    def files(df: DataFrame, dataset: str) -> DataFrame:
-        return df.select("block_batch").distinct().select(
-            batch_file_name(dataset, F.col("block_batch"), S.BLOCKS_PER_BATCH).alias("file_name"))
 
-    sb = sync_batches(files(S.transactions(spark, d), "ethereum__transactions"),
-                      files(S.blocks(spark, d), "ethereum__blocks"))
+def q_sync_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Q28 over the listings of two real folders."""
+    from chainlens.sources.files import sync_batches
+
+    txs = _laid_out(spark, S.transactions(spark, d), "ethereum__transactions")
+    blocks = _laid_out(spark, S.blocks(spark, d), "ethereum__blocks")
+    sb = sync_batches(_layout_names(spark, txs), _layout_names(spark, blocks))
     return sb.select("batch_end", F.array_join("files_a", ",").alias("files_a"),
                      F.array_join("files_b", ",").alias("files_b"))
 
 
 def q_list_batch_files(spark: SparkSession, d: str) -> DataFrame:
     """S8-S10 over a real folder: each batch is written below its layout name, then listed."""
-    from chainlens.plans.jobs import scratch_path
-    from chainlens.sources.files import batch_file_name, batch_of_filename, batch_range_of_filename, list_files
+    from chainlens.sources.files import batch_of_filename, batch_range_of_filename
 
-    out = scratch_path(spark, "listing")
-    name = batch_file_name("ethereum__blocks", F.col("block_batch"), S.BLOCKS_PER_BATCH)
-    S.blocks(spark, d).withColumn("file", name).write.partitionBy("file").parquet(out)
-    found = list_files(spark, out).select(F.regexp_extract("path", "/file=([^/]+)/", 1).alias("file_name")).distinct()
+    found = _layout_names(spark, _laid_out(spark, S.blocks(spark, d), "ethereum__blocks"))
     return found.select("file_name", batch_of_filename(F.col("file_name")).alias("batch_end"),
                         batch_range_of_filename(F.col("file_name")).alias("batch_range"))
 
@@ -176,23 +187,26 @@ def q_select_blocks(spark: SparkSession, d: str) -> DataFrame:
 
 def q_copy_batches(spark: SparkSession, d: str) -> DataFrame:
     """Copy the blocks twice into a fresh folder; the second copy finds nothing to do."""
-    from chainlens.plans.jobs import copy_batches, scratch_path
+    from chainlens.plans.jobs import copy_batches, scratch_path, write_batches
 
-    out = scratch_path(spark, "copy")
+    src, out = scratch_path(spark, "blocks"), scratch_path(spark, "copy")
+    write_batches(S.blocks(spark, d), src)
     for _ in range(2):
-        copy_batches(spark, S.blocks(spark, d).select(*BLOCK_COLS), out)
+        copy_batches(spark, src, out, BLOCK_COLS)
     return _read_back(spark, out).select(*BLOCK_COLS)
 
 
 def q_write_incremental(spark: SparkSession, d: str) -> DataFrame:
-    """Q29 (batch): run the idempotent job twice into a fresh folder; the
-    second run finds nothing pending. Returns the written table."""
-    from chainlens.plans.jobs import scratch_path, write_rollups_incremental
-
-    out = scratch_path(spark, "rollups")
-    for _ in range(2):
-        write_rollups_incremental(spark, S.transactions(spark, d), S.blocks(spark, d),
-                                  S.sequencer_labels(spark, d), out)
+    """Q29 (batch): the job over two folders, run when the blocks of even batches are there,
+    when all are, and once more with nothing pending. Returns the written table."""
+    from chainlens.plans.jobs import process_new_batches, scratch_path, write_batches
+
+    txs, blocks, out = (scratch_path(spark, k) for k in ("txs", "blocks", "rollups"))
+    write_batches(S.transactions(spark, d), txs)
+    for rest in (0, 1, None):
+        if rest is not None:
+            write_batches(S.blocks(spark, d).filter(F.col("block_batch") % 2 == rest), blocks)
+        process_new_batches(spark, txs, blocks, S.sequencer_labels(spark, d), out)
     return _read_back(spark, out)
 
 

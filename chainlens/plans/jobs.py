@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from chainlens.operators.extend import rollup_transactions
 from chainlens.session import checkpoint_dir
+from chainlens.sources.batches import (batch_files, batch_states, common_batches, pending_states, read_batches,
+                                       record)
 from chainlens.sources.files import BATCH, _exists, list_files
 
 DEFAULT_FILE_BYTES = 512 * 1024 * 1024
@@ -47,11 +49,10 @@ def mark_finished(todo: DataFrame, path: str) -> None:
 
 
 def done_batches(spark: SparkSession, path: str) -> DataFrame:
-    """Finished batch ids: the record; for a table written without one, its batches."""
-    for place in (finished_path(path), path):
-        if _exists(spark, place):
-            return spark.read.parquet(place).select(BATCH).distinct()
-    return spark.createDataFrame([], f"{BATCH} bigint")
+    """Finished batch ids: the record; for a table written without one, the batches in its listing."""
+    if _exists(spark, finished_path(path)):
+        return spark.read.parquet(finished_path(path)).select(BATCH).distinct()
+    return batch_files(spark, path).select(BATCH).distinct()
 
 
 def pending_batches(txs: DataFrame, blocks: DataFrame, done: DataFrame) -> DataFrame:
@@ -92,10 +93,50 @@ def write_rollups_incremental(spark: SparkSession, txs: DataFrame, blocks: DataF
     return todo
 
 
-def copy_batches(spark: SparkSession, src: DataFrame, out_path: str) -> DataFrame:
-    """Pass-through copy of a batched dataset, skipping batches present."""
-    todo = src.select(BATCH).distinct().join(done_batches(spark, out_path), BATCH, "left_anti")
-    write_batches(src.join(todo, BATCH, "left_semi"), out_path)
+def commits(todo: DataFrame, per_commit: int):
+    """The rows of ``todo`` (one per batch) in lists of at most ``per_commit``, by batch."""
+    after = None
+    while True:
+        part = todo if after is None else todo.filter(F.col(BATCH) > after)
+        rows = part.orderBy(BATCH).limit(per_commit).collect()
+        if not rows:
+            return
+        yield rows
+        after = rows[-1][BATCH]
+
+
+def process_new_batches(spark: SparkSession, txs_path: str, blocks_path: str, labels: DataFrame, out_path: str,
+                        mempool: DataFrame | None = None, per_commit: int = 1000, refresh: bool = False,
+                        **extend_kw) -> DataFrame:
+    """Q29 (batch) over dataset folders: label the batches that both hold and the table lacks.
+
+    Batches are found in the file listings and in the records of earlier commits, so no
+    job runs over the rows to find them, and with nothing pending no data file is opened.
+    At most ``per_commit`` batches are read, written and recorded at a time: a lost job
+    repeats one commit at most. With ``refresh`` batches whose input files changed are
+    written again. Returns the states of the batches that were done."""
+    path = scratch_path(spark, "pending")
+    pending_states(spark, common_batches(spark, txs_path, blocks_path), out_path, refresh).write.parquet(path)
+    todo = spark.read.parquet(path)
+    for rows in commits(todo, per_commit):
+        ids = [r[BATCH] for r in rows]
+        t, b = read_batches(spark, txs_path, ids), read_batches(spark, blocks_path, ids)
+        write_batches(rollup_transactions(t, b, labels, mempool, **extend_kw), out_path)
+        record(spark.createDataFrame(rows, todo.schema), out_path)
+    return todo
+
+
+def copy_batches(spark: SparkSession, src_path: str, out_path: str, columns: list[str] | None = None,
+                 per_commit: int = 1000) -> DataFrame:
+    """Pass-through copy of a batched dataset (or some of its columns), skipping
+    batches present. With nothing pending no data is read and nothing is written."""
+    path = scratch_path(spark, "copying")
+    pending_states(spark, batch_states(batch_files(spark, src_path)), out_path).write.parquet(path)
+    todo = spark.read.parquet(path)
+    for rows in commits(todo, per_commit):
+        df = read_batches(spark, src_path, [r[BATCH] for r in rows])
+        write_batches(df.select(*dict.fromkeys([*(columns or df.columns), BATCH])), out_path)
+        record(spark.createDataFrame(rows, todo.schema), out_path)
     return todo
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,11 +22,15 @@ from chainlens.sources.files import BATCH, _exists, batch_of_filename, list_file
 STATE = ("files", "bytes", "newest")
 
 
+def batch_of_path(path: Column) -> Column:
+    """The batch of a file: its ``block_batch=N`` folder, else the ``to_N`` of its name; null if it has neither."""
+    folder = F.nullif(F.regexp_extract(path, rf"/{BATCH}=(\d+)/", 1), F.lit("")).cast("bigint")
+    return F.coalesce(folder, batch_of_filename(F.element_at(F.split(path, "/"), -1)))
+
+
 def batch_files(spark: SparkSession, path: str) -> DataFrame:
     """(block_batch, path, length, modificationTime) of every file that belongs to a batch."""
-    folder = F.nullif(F.regexp_extract("path", rf"/{BATCH}=(\d+)/", 1), F.lit("")).cast("bigint")
-    name = F.coalesce(batch_of_filename(F.col("file_name")), batch_of_filename(F.col("path")))
-    return (list_files(spark, path).select(F.coalesce(folder, name).alias(BATCH), "path", "length", "modificationTime")
+    return (list_files(spark, path).select(batch_of_path(F.col("path")).alias(BATCH), "path", "length", "modificationTime")
             .filter(F.col(BATCH).isNotNull()))
 
 

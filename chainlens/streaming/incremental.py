@@ -1,12 +1,14 @@
 """Structured Streaming forms of the rollup job (T1 / Q29 stream, T2 / Q31).
 
-T1: new transaction and block files arrive in two ``block_batch``-partitioned
-folders, in any order; each micro-batch names the batches that either side touched,
-and those that both sides hold are re-read *in full* from both datasets (the rolling windows and block aggregates need whole
-batches), enriched, labelled and written with dynamic partition overwrite.
-Replaying a micro-batch after a failure rewrites the same partitions, so the
-sink is exactly-once. Only the smallest and largest batch id reach the driver (they
-prune folders); the ids themselves are a DataFrame used in a ``left_semi`` join.
+T1: transaction and block files arrive in two ``block_batch``-partitioned folders, in any
+order. Two streams of file listings (one row per new file, contents unread) are keyed by
+batch; the state of a batch is which of the two sides has come. A micro-batch emits the
+batches that got a file and whose sides are both there, and those alone are read, in
+full (rolling windows and block aggregates need whole batches), enriched, labelled and
+written with dynamic partition overwrite. The state lives in the checkpoint, so a late
+side is matched after a restart too, and replaying a micro-batch after a failure
+rewrites the same partitions: the sink is exactly-once. What reaches the driver is the
+ids of one micro-batch, whose files the driver lists anyway.
 
 T2: per-day totals per sequencer over an arriving rollup table, with a
 watermark on the event time and tumbling one-day windows.
@@ -14,45 +16,66 @@ watermark on the event time and tumbling one-day windows.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from chainlens.operators.extend import rollup_transactions
-from chainlens.plans.jobs import id_range, only_batches, pending_batches, write_batches
+from chainlens.plans.jobs import write_batches
+from chainlens.sources.batches import batch_of_path, read_batches
 from chainlens.sources.files import BATCH
 
+TXS, BLOCKS = "txs", "blocks"
+
+
+def arriving_files(spark: SparkSession, path: str, side: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A stream of (block_batch, side), one row per new file of a batched folder. The
+    binary source names a file without opening it, as its content is not selected."""
+    r = (spark.readStream.format("binaryFile")
+         .schema("path string, modificationTime timestamp, length long, content binary")
+         .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet"))
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    files = r.load(path).select(batch_of_path(F.col("path")).alias(BATCH), F.lit(side).alias("side"))
+    return files.filter(F.col(BATCH).isNotNull())
+
+
+def paired_batches(arriving: DataFrame) -> DataFrame:
+    """A stream of the batches that got a file and whose two sides have both come (keyed state: two flags a batch)."""
+    def pair(key, frames, state):
+        seen = set(state.get[0].split()) if state.exists else set()
+        for f in frames:
+            seen |= set(f["side"])
+        state.update((" ".join(sorted(seen)),))
+        if {TXS, BLOCKS} <= seen:
+            yield pd.DataFrame({BATCH: [key[0]]})
+
+    return arriving.groupBy(BATCH).applyInPandasWithState(
+        pair, f"{BATCH} long", "seen string", "append", GroupStateTimeout.NoTimeout)
+
 
 def start_rollups_stream(spark: SparkSession, txs_path: str, blocks_path: str,
                          labels: DataFrame, out_path: str, checkpoint: str,
-                         available_now: bool = True, max_files_per_trigger: int | None = None,
+                         available_now: bool = True, max_files_per_trigger: int | None = 10_000,
                          **extend_kw) -> StreamingQuery:
     """Incremental, exactly-once rollup job over ``block_batch`` folders.
 
-    ``max_files_per_trigger`` bounds a micro-batch when a large backlog is
-    caught up (``availableNow`` still drains it, in several micro-batches)."""
-    def touched(path: str) -> DataFrame:
-        r = spark.readStream.schema(spark.read.parquet(path).schema)
-        if max_files_per_trigger:
-            r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-        return r.parquet(path).select(BATCH)
-
-    arriving = touched(txs_path).unionByName(touched(blocks_path))
+    ``max_files_per_trigger`` bounds a micro-batch, per side, when a large backlog is
+    caught up (``availableNow`` still drains it, in several micro-batches). A batch that
+    gets more files later is written again, whole."""
+    files = arriving_files(spark, txs_path, TXS, max_files_per_trigger).unionByName(
+        arriving_files(spark, blocks_path, BLOCKS, max_files_per_trigger))
 
     def process(micro: DataFrame, epoch_id: int) -> None:
-        # re-list both folders each micro-batch: files that arrived are seen
         s = micro.sparkSession
-        ids = micro.select(BATCH).distinct()
-        # a batch whose other side is still missing waits: that side's files name it again
-        t, b = s.read.parquet(txs_path), s.read.parquet(blocks_path)
-        ids = pending_batches(t, b, s.createDataFrame([], f"{BATCH} bigint")).join(ids, BATCH, "left_semi")
-        lo, hi = id_range(ids)
-        if lo is None:
-            return
-        t, b = only_batches(t, ids, lo, hi), only_batches(b, ids, lo, hi)
-        write_batches(rollup_transactions(t, b, labels, **extend_kw), out_path)
-
-    w = arriving.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+        ids = sorted(r[0] for r in micro.collect())
+        if ids:
+            t, b = read_batches(s, txs_path, ids), read_batches(s, blocks_path, ids)
+            write_batches(rollup_transactions(t, b, labels, **extend_kw), out_path)
+
+    w = paired_batches(files).writeStream.outputMode("append").foreachBatch(process).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 

@@ -157,6 +157,46 @@ def test_stream_waits_for_late_blocks(spark):
     assert got.count() == want.count() and got.select(cols).exceptAll(want.select(cols)).isEmpty()
 
 
+def test_micro_batch_reads_its_own_batches_only(spark):
+    """Files of finished batches are spoiled in place; a new batch and a late side still go through."""
+    import glob
+
+    from chainlens.plans.jobs import scratch_path, write_batches
+    from chainlens.streaming.incremental import start_rollups_stream
+
+    t, b, l = S.transactions(spark, D, 300), S.blocks(spark, D, 300), S.sequencer_labels(spark, D)
+    tx, bl, out, ck = (scratch_path(spark, f"own-{k}") for k in ("txs", "blocks", "out", "ck"))
+    write_batches(t.filter("block_batch < 3"), tx)
+    write_batches(b.filter("block_batch in (0, 1)"), bl)
+    start_rollups_stream(spark, tx, bl, l, out, ck, max_files_per_trigger=2).awaitTermination()
+    assert {r[0] for r in spark.read.parquet(out).select("block_batch").distinct().collect()} == {0, 1}
+    for i in (0, 1):
+        for f in glob.glob(f"{tx}/block_batch={i}/*.parquet") + glob.glob(f"{bl}/block_batch={i}/*.parquet"):
+            with open(f, "wb") as h:
+                h.write(b"spoiled")
+        for f in glob.glob(f"{tx}/block_batch={i}/.*.crc") + glob.glob(f"{bl}/block_batch={i}/.*.crc"):
+            os.remove(f)
+    write_batches(b.filter("block_batch in (2, 4)"), bl)  # 2 is the late side of a known batch
+    write_batches(t.filter("block_batch = 4"), tx)
+    query = start_rollups_stream(spark, tx, bl, l, out, ck)
+    query.awaitTermination()
+    assert {r[0] for r in spark.read.parquet(out).select("block_batch").distinct().collect()} == {0, 1, 2, 4}
+    n_files = len(glob.glob(f"{bl}/block_batch=[24]/*.parquet") + glob.glob(f"{tx}/block_batch=4/*.parquet"))
+    assert sum(p["numInputRows"] for p in query.recentProgress) == n_files  # a row per file, not per row of data
+
+
+def test_daily_totals_differ_without_watermark(spark, monkeypatch):
+    """The registered query drops the late rows; with an endless watermark it would keep them."""
+    from chainlens.plans import catalog
+    from chainlens.streaming import incremental
+
+    start = incremental.start_daily_totals_stream
+    kept = catalog.q_daily_totals_stream(spark, D).agg(F.sum("n_txs"), F.max("day")).first()
+    monkeypatch.setattr(incremental, "start_daily_totals_stream", lambda *a, **k: start(*a, **{**k, "mode": "complete"}))
+    whole = catalog.q_daily_totals_stream(spark, D).filter("sequencer_names <> 'closing'").agg(F.sum("n_txs"), F.max("day")).first()
+    assert kept[0] < whole[0] and kept[1] == whole[1]
+
+
 def test_pending_batches_prune_folders(spark):
     from chainlens.plans.jobs import id_range, only_batches, scratch_path, write_batches
 

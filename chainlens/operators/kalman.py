@@ -17,14 +17,17 @@ difference d of each series (K2), native aggregates with no UDF:
 This does not reproduce the EM fit's numbers; it is the standard moment
 estimator for the same model family.
 
-Scale: the filter runs on the last ``sample_size`` blocks of each series (the
-reference's 7,600-block sample), selected with chunked row positions rather
-than a per-series window. Each ``applyInPandas`` group therefore holds at most
-``sample_size`` rows, whatever the size of the series.
+Scale: the filter spans whole series of any length. The gains do not depend on the data
+and have a closed form in the row number, and a step is an affine map of the state, so a
+chunk of a series is filtered by an associative scan over numpy arrays (no loop over
+rows), and chunks are composed along the series (one row per chunk). Each
+``applyInPandas`` group holds one chunk. ``tail_sample`` is the surveyed 7,600-block
+sample, for callers that want it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -82,58 +85,61 @@ def noise_params(sample: DataFrame, by: Sequence[str], cols: Sequence[str] = VAR
     return m.withColumns(out).select(*by, *out.keys())
 
 
-def variance_before(start: int, q: float, r: float, p0: float = P0) -> float:
-    """Posterior variance of the row before row ``start`` (0-based, at least 1).
+def gains(start: int, n: int, q: float, r: float, p0: float = P0) -> np.ndarray:
+    """Kalman gains of rows start .. start+n-1 of a series, in closed form.
 
-    The variance does not depend on the data: a step maps p to r(p+q)/(p+q+r), a
-    Moebius map, so ``start - 1`` steps are one power of its matrix.
-    """
-    p = p0 * r / (p0 + r) if p0 + r != 0.0 else 0.0
-    power, step, left = np.eye(2), np.array([[r, r * q], [1.0, q + r]]), start - 1
-    while left:
-        if left & 1:
-            power = power @ step
-            power /= max(np.abs(power).max(), 1e-300)
-        step = step @ step
-        step /= max(np.abs(step).max(), 1e-300)
-        left >>= 1
-    over, under = power @ np.array([p, 1.0])
-    return float(over / under) if under != 0.0 else 0.0
-
-
-def gains(start: int, n: int, q: float, r: float, p0: float = P0) -> list[float]:
-    """Kalman gains of rows start .. start+n-1 of a series."""
-    p = p0 if start == 0 else variance_before(start, q, r, p0)
-    out = []
-    for t in range(start, start + n):
-        if t > 0:
-            p = p + q
-        s = p + r
-        k = p / s if s != 0.0 else 1.0
-        p = (1.0 - k) * p
-        out.append(k)
-    return out
+    The posterior variance goes from p to r(p+q)/(p+q+r), a Moebius map with fixed points
+    a > 0 > b (the roots of p^2 + qp - qr); (p-a)/(p-b) shrinks by the same factor in
+    every step. Without process noise (q = 0) 1/p grows by 1/r instead."""
+    k = np.ones(n)
+    if r <= 0.0 or not n:  # no observation noise: every observation is the state
+        return k
+    t = np.arange(start, start + n, dtype=np.float64)  # steps before the row; row 0 has no prediction
+    first = p0 * r / (p0 + r)  # posterior variance of row 0
+    if q <= 0.0:
+        prior = 1.0 / (1.0 / first + (t - 1) / r) if first > 0.0 else np.zeros(n)
+    else:
+        root = math.sqrt(q * q + 4.0 * q * r)
+        a, b = 2.0 * q * r / (q + root), -(q + root) / 2.0
+        z = (first - a) / (first - b) * (r / (a + q + r)) ** (2.0 * np.maximum(t - 1, 0.0))
+        prior = (a - b * z) / (1.0 - z) + q
+    k = prior / (prior + r)
+    if start == 0:
+        k[0] = p0 / (p0 + r)
+    return k
+
+
+def scan(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The maps x -> a*x + b composed from the first to each: log2(n) rounds over whole arrays."""
+    a, b, step = a.copy(), b.copy(), 1
+    while step < len(a):
+        b[step:] = a[step:] * b[:-step] + b[step:]
+        a[step:] = a[step:] * a[:-step]
+        step *= 2
+    return a, b
+
+
+def step_maps(y: np.ndarray, q: float, r: float, start: int, p0: float = P0) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b) of rows start .. of a series: each takes the state x before its row to a*x + b."""
+    k = gains(start, len(y), q, r, p0)
+    a, b = 1.0 - k, k * y
+    if start == 0 and len(y):  # the state starts at the first observation
+        a[0], b[0] = 0.0, y[0]
+    return a, b
 
 
 def local_level_filter(y: np.ndarray, q: float, r: float, p0: float = P0,
                        start: int = 0, x: float | None = None) -> np.ndarray:
     """Filtered state means (float64) of a series, or of its rows from ``start`` on
     when the state ``x`` of the row before is given."""
-    out = np.empty(len(y), dtype=np.float64)
-    if len(y) and x is None:
-        x = float(y[0])
-    for t, k in enumerate(gains(start, len(y), q, r, p0)):
-        x = x + k * (float(y[t]) - x)
-        out[t] = x
-    return out
+    a, b = scan(*step_maps(np.asarray(y, dtype=np.float64), q, r, start, p0))
+    return b if x is None else a * x + b
 
 
 def chunk_map(y: np.ndarray, q: float, r: float, start: int) -> tuple[float, float]:
     """(a, b): the chunk takes a state x before it to a*x + b after it."""
-    a, b = (1.0, 0.0) if start else (0.0, float(y[0]))
-    for t, k in enumerate(gains(start, len(y), q, r)):
-        a, b = (1.0 - k) * a, b + k * (float(y[t]) - b)
-    return a, b
+    a, b = scan(*step_maps(y, q, r, start))
+    return float(a[-1]), float(b[-1])
 
 
 def kalman_filter(sample: DataFrame, params: DataFrame, by: Sequence[str],
@@ -166,11 +172,8 @@ def kalman_filter(sample: DataFrame, params: DataFrame, by: Sequence[str],
         pdf = pdf.sort_values("_kc", kind="stable")
         out = pdf[[*by, "_kc"]].copy()
         for c in cols:
-            x, before = 0.0, []
-            for a, b in zip(pdf[f"a_{c}"], pdf[f"b_{c}"]):
-                before.append(x)
-                x = a * x + b
-            out[f"x_{c}"] = before
+            after = scan(pdf[f"a_{c}"].to_numpy(), pdf[f"b_{c}"].to_numpy())[1]
+            out[f"x_{c}"] = np.concatenate([[0.0], after[:-1]])  # the first chunk has no state before it
         return out
 
     start = d.groupBy(*by, "_kc").applyInPandas(reduce, maps).groupBy(*by).applyInPandas(compose, states)

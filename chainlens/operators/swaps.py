@@ -64,12 +64,13 @@ def pool_token_list(pools: DataFrame) -> DataFrame:
                  .distinct())
 
 
-def decode_swap_logs(raw_logs: DataFrame, contracts: list[str] | None = None) -> DataFrame:
-    """Uniswap V2 ``Swap`` logs -> decoded swap table."""
-    return decode_logs(raw_logs, SWAP_SIGNATURE, SWAP_TOPIC0, contracts, lower_hex=True)
+def decode_swap_logs(raw_logs: DataFrame, contracts: list[str] | None = None, lower_hex: bool = False) -> DataFrame:
+    """Uniswap V2 ``Swap`` logs -> decoded swap table. The case of hex does not
+    count; ``lower_hex`` says that it is lower in storage (``sources.logs.ingest_logs``)."""
+    return decode_logs(raw_logs, SWAP_SIGNATURE, SWAP_TOPIC0, contracts, lower_hex=lower_hex)
 
 
-def decode_pair_logs(raw_logs: DataFrame, factory: str | None = None) -> DataFrame:
+def decode_pair_logs(raw_logs: DataFrame, factory: str | None = None, lower_hex: bool = False) -> DataFrame:
     """``PairCreated`` logs of the factory -> pool table."""
     return decode_logs(raw_logs, PAIR_CREATED_SIGNATURE, PAIR_CREATED_TOPIC0,
-                       [factory] if factory else None, lower_hex=True)
+                       [factory] if factory else None, lower_hex=lower_hex)

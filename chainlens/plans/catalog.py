@@ -118,6 +118,14 @@ def _vol_queries() -> dict[str, Query]:
     }
 
 
+def _ingested(logs: DataFrame) -> DataFrame:
+    """Logs of any case, stored in lower case with statistics that selections use."""
+    from chainlens.plans.jobs import scratch_path
+    from chainlens.sources.logs import ingest_logs
+
+    return ingest_logs(logs, scratch_path(logs.sparkSession, "logs"))
+
+
 def _swap_queries() -> dict[str, Query]:
     from chainlens.constants import UNIV2_FACTORY
 
@@ -128,7 +136,7 @@ def _swap_queries() -> dict[str, Query]:
         "pool_token_list": lambda s, d: W.pool_token_list(S.univ2_pools(s, d)),
         "decode_swap_logs": lambda s, d: W.decode_swap_logs(S.raw_swap_logs(s, d)),
         "decode_pair_logs": lambda s, d: W.decode_pair_logs(
-            S.raw_pair_logs(s, d, UNIV2_FACTORY), UNIV2_FACTORY),
+            _ingested(S.raw_pair_logs(s, d, UNIV2_FACTORY)), UNIV2_FACTORY, lower_hex=True),
     }
 
 

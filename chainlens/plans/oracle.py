@@ -460,14 +460,14 @@ UNION SELECT event__token1 AS token FROM univ2_pools""")
 SELECT block_number, transaction_hash, address,
        '0x' || right(topic1, 40) AS event__sender, '0x' || right(topic2, 40) AS event__to,
        {amount(0, 'amount0In')}, {amount(1, 'amount1In')}, {amount(2, 'amount0Out')}, {amount(3, 'amount1Out')}
-FROM raw_swap_logs WHERE topic0 = '{SWAP_TOPIC0}'""")
+FROM raw_swap_logs WHERE lower(topic0) = '{SWAP_TOPIC0}'""")
     out["decode_pair_logs"] = with_ctes(
         [], [("raw_pair_logs", raw_pair_logs_sql(UNIV2_FACTORY))],
         f"""
-SELECT block_number, transaction_hash, address,
+SELECT block_number, transaction_hash, lower(address) AS address,
        '0x' || right(topic1, 40) AS event__token0, '0x' || right(topic2, 40) AS event__token1,
        '0x' || substr(data, 27, 40) AS event__pair, {amount(1, 'arg3')}
-FROM raw_pair_logs WHERE topic0 = '{PAIR_CREATED_TOPIC0}' AND address = '{UNIV2_FACTORY}'""")
+FROM raw_pair_logs WHERE lower(topic0) = '{PAIR_CREATED_TOPIC0}' AND lower(address) = lower('{UNIV2_FACTORY}')""")
 
 
 # --- jobs and streams (Q28-Q31) ------------------------------------------------

@@ -65,14 +65,34 @@ def _is_numeric(t: str) -> bool:
     return t.startswith("uint") or t.startswith("int") or t == "bool"
 
 
+#: hex columns of a raw log
+HEX_COLUMNS = ("transaction_hash", "address", "topic0", "topic1", "topic2", "topic3", "data")
+
+
+def ingest_logs(logs: DataFrame, path: str) -> DataFrame:
+    """Write raw logs for selection by event and contract, and read them back.
+
+    All hex is stored in lower case, so that ``decode_logs(..., lower_hex=True)`` compares
+    bare columns. Rows are sorted by (topic0, address) within each file: the statistics of
+    a row group then span few events, and Bloom filters on both columns rule out the row
+    groups whose span holds a value that they do not have. Sorting is local; nothing is
+    shuffled."""
+    low = {c: F.lower(c) for c in HEX_COLUMNS if c in logs.columns}
+    w = logs.withColumns(low).sortWithinPartitions("topic0", "address").write.mode("overwrite")
+    for c in ("topic0", "address"):
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    w.option("compression", "zstd").parquet(path)
+    return logs.sparkSession.read.schema(logs.schema).parquet(path)
+
+
 def decode_logs(logs: DataFrame, signature: str, topic0: str | None = None,
                 contracts: list[str] | None = None,
                 keep: tuple[str, ...] = ("block_number", "transaction_hash", "address"),
                 lower_hex: bool = False) -> DataFrame:
     """Select logs of one event (by ``topic0`` and optional contract list) and
     decode its arguments into ``event__*`` columns. With ``lower_hex`` (hex is lower
-    case in storage) the filters compare bare columns and are pushed to the parquet
-    scan; otherwise case does not count."""
+    case in storage, see ``ingest_logs``) the filters compare bare columns and are pushed
+    to the parquet scan; otherwise case does not count."""
     _, params = parse_signature(signature)
     d = logs
     hexed = F.col if lower_hex else (lambda c: F.lower(F.col(c)))

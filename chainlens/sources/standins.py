@@ -145,6 +145,11 @@ def univ2_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_case(value: str) -> str:
+    """A hex string with its first half in capital letters (some logs come that way)."""
+    return "0x" + value[2:len(value) // 2].upper() + value[len(value) // 2:]
+
+
 def _word(c: F.Column) -> F.Column:
     """A non-negative integer as one 32-byte ABI word: 64 lower-case hex chars."""
     return F.lpad(F.lower(F.hex(c.cast("bigint"))), 64, "0")
@@ -155,7 +160,8 @@ def raw_swap_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = univ2_swaps(spark, sf_dir)
     return s.select(
         "block_number", "transaction_hash", "address",
-        F.when(F.col("block_number") % 10 == 3, F.lit(PAIR_CREATED_TOPIC0)).otherwise(F.lit(SWAP_TOPIC0)).alias("topic0"),
+        F.when(F.col("block_number") % 10 == 3, F.lit(PAIR_CREATED_TOPIC0))
+         .when(F.col("block_number") % 10 == 7, F.lit(mixed_case(SWAP_TOPIC0))).otherwise(F.lit(SWAP_TOPIC0)).alias("topic0"),
         F.concat(F.lit("0x"), _word(F.col("event__sender"))).alias("topic1"),
         F.concat(F.lit("0x"), _word(F.col("event__to"))).alias("topic2"),
         F.concat(F.lit("0x"),
@@ -172,7 +178,8 @@ def raw_pair_logs(spark: SparkSession, sf_dir: str, factory: str) -> DataFrame:
     return p.select(
         k.alias("block_number"),
         F.concat(F.lit("0xpair-"), k.cast("string")).alias("transaction_hash"),
-        F.when(k % 10 == 4, F.lit("0x" + "0" * 40)).otherwise(F.lit(factory)).alias("address"),
+        F.when(k % 10 == 4, F.lit("0x" + "0" * 40)).when(k % 10 == 7, F.lit(mixed_case(factory)))
+         .otherwise(F.lit(factory)).alias("address"),
         F.lit(PAIR_CREATED_TOPIC0).alias("topic0"),
         F.concat(F.lit("0x"), _word(k % 25)).alias("topic1"),
         F.concat(F.lit("0x"), _word((k % 25 + 1 + k % 7) % 25)).alias("topic2"),
@@ -259,7 +266,8 @@ SELECT CAST(n_nationkey AS VARCHAR) AS erc20, n_name AS name,
 FROM nation""",
     "raw_swap_logs": f"""
 SELECT block_number, transaction_hash, address,
-       CASE WHEN block_number % 10 = 3 THEN '{PAIR_CREATED_TOPIC0}' ELSE '{SWAP_TOPIC0}' END AS topic0,
+       CASE WHEN block_number % 10 = 3 THEN '{PAIR_CREATED_TOPIC0}'
+            WHEN block_number % 10 = 7 THEN '{mixed_case(SWAP_TOPIC0)}' ELSE '{SWAP_TOPIC0}' END AS topic0,
        '0x' || {_word_sql('event__sender')} AS topic1,
        '0x' || {_word_sql('event__to')} AS topic2,
        '0x' || {_word_sql('event__amount0In_f64')} || {_word_sql('event__amount1In_f64')}
@@ -272,7 +280,8 @@ def raw_pair_logs_sql(factory: str) -> str:
     return f"""
 SELECT p_partkey AS block_number,
        concat('0xpair-', CAST(p_partkey AS VARCHAR)) AS transaction_hash,
-       CASE WHEN p_partkey % 10 = 4 THEN '0x{"0" * 40}' ELSE '{factory}' END AS address,
+       CASE WHEN p_partkey % 10 = 4 THEN '0x{"0" * 40}' WHEN p_partkey % 10 = 7 THEN '{mixed_case(factory)}'
+            ELSE '{factory}' END AS address,
        '{PAIR_CREATED_TOPIC0}' AS topic0,
        '0x' || {_word_sql('p_partkey % 25')} AS topic1,
        '0x' || {_word_sql('(p_partkey % 25 + 1 + p_partkey % 7) % 25')} AS topic2,

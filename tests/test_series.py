@@ -135,12 +135,32 @@ def test_kalman_chunks_equal_one_pass(spark):
     assert K.kalman_fee_filter(df, ["series"]).count() == n
 
 
-def test_kalman_variance_by_matrix_power():
-    from chainlens.operators.kalman import gains
+def test_kalman_gains_and_scan_equal_the_recursion():
+    import numpy as np
+
+    from chainlens.operators import kalman as K
 
-    for q, r in ((0.3, 2.0), (0.0, 1.0), (5.0, 0.0), (0.0, 0.0), (1e9, 3e8)):
-        whole = gains(0, 500, q, r)
-        assert all(abs(a - b) <= 1e-9 * max(1.0, abs(a)) for a, b in zip(whole[400:], gains(400, 100, q, r)))
+    def plain(y, q, r):
+        p, x, k, out, all_k = K.P0, y[0], 1.0, [], []
+        for t, v in enumerate(y):
+            p = p + q if t else p
+            k = p / (p + r) if p + r else 1.0
+            x, p = x + k * (v - x), (1 - k) * p
+            out.append(x)
+            all_k.append(k)
+        return np.array(out), np.array(all_k)
+
+    rng = np.random.default_rng(8)
+    for q, r in ((0.3, 2.0), (0.0, 1.0), (5.0, 0.0), (0.0, 0.0), (1e9, 3e8), (1e-9, 1e6), (1e12, 1e-3), (2.0, 1e-300)):
+        y = np.cumsum(rng.normal(size=700)) * 1e3
+        want, k = plain(y, q, r)
+        assert np.allclose(K.gains(0, 700, q, r), k, rtol=1e-12, atol=0)
+        assert np.allclose(K.gains(400, 300, q, r), k[400:], rtol=1e-12, atol=0)
+        assert np.allclose(K.local_level_filter(y, q, r), want, rtol=1e-11, atol=1e-9)
+        assert np.allclose(K.local_level_filter(y[400:], q, r, start=400, x=want[399]), want[400:], rtol=1e-11, atol=1e-9)
+        a, b = K.chunk_map(y[400:], q, r, 400)
+        assert abs(a * want[399] + b - want[-1]) <= 1e-9 * max(1, abs(want[-1]))
+    assert len(K.gains(5, 0, 1.0, 1.0)) == 0 and K.local_level_filter(np.array([4.0]), 1.0, 1.0).tolist() == [4.0]
 
 
 def test_positions_without_keys_across_chunk_groups(spark, monkeypatch):

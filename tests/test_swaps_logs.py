@@ -56,11 +56,32 @@ def test_decode_topics_and_data(spark):
 
 
 def test_log_filters_reach_the_scan(spark, tmp_path):
+    """On any 50 rows: the logs of the event are kept whatever their case, and the filters are pushed."""
+    from chainlens.constants import SWAP_TOPIC0
     from chainlens.operators.swaps import decode_swap_logs
     from chainlens.sources import standins as S
-
-    path = str(tmp_path / "logs")
-    S.raw_swap_logs(spark, "/root/testdata/sf0.001").limit(50).write.parquet(path)
-    df = decode_swap_logs(spark.read.parquet(path))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(topic0," in plan and df.count() == 50
+    from chainlens.sources.logs import ingest_logs
+
+    all_logs = S.raw_swap_logs(spark, "/root/testdata/sf0.001").cache()
+    for seed in (1, 2):
+        some = all_logs.orderBy(F.xxhash64("transaction_hash", F.lit(seed))).limit(50).cache()
+        want = some.filter(F.lower("topic0") == SWAP_TOPIC0)
+        assert 0 < want.count() < 50 and want.filter(F.col("topic0") != SWAP_TOPIC0).count() > 0
+        logs = ingest_logs(some, str(tmp_path / f"logs-{seed}"))
+        df = decode_swap_logs(logs, [some.first()["address"]], lower_hex=True)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "EqualTo(topic0," in plan and "IsNotNull(address)" in plan.split("PushedFilters")[1]
+        assert decode_swap_logs(logs, lower_hex=True).count() == want.count() == decode_swap_logs(some).count()
+
+
+def test_mixed_case_is_kept_without_ingest(spark):
+    from chainlens.constants import PAIR_CREATED_TOPIC0
+    from chainlens.operators.swaps import decode_pair_logs
+
+    word = "0x" + "0" * 24 + "AB" * 20
+    rows = [(1, "h", "0xAbC", t, word, word, "0x" + "0" * 24 + "cd" * 20 + "0" * 63 + "1") for t in (
+        PAIR_CREATED_TOPIC0, "0x" + PAIR_CREATED_TOPIC0[2:].upper())]
+    logs = spark.createDataFrame(rows, "block_number long, transaction_hash string, address string, topic0 string, "
+                                       "topic1 string, topic2 string, data string")
+    got = decode_pair_logs(logs, "0xaBc").collect()
+    assert [r["event__token0"] for r in got] == ["0x" + "ab" * 20] * 2

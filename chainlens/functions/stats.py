@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = (),
-              lo: float | None = None, hi: float | None = None) -> DataFrame:
+              lo: float | None = None, hi: float | None = None, store: str | None = None) -> DataFrame:
     """Equi-width histogram of ``value`` (nulls and NaN skipped).
 
     Bounds default to the data's min / max; with explicit view limits values
@@ -23,7 +23,9 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = (),
 
     Two passes over the input: the bounds are a plain min / max, and values are
     binned before the exchange, so both combine map-side and only bins are
-    shuffled. Give it a stored table where the input is dear to compute.
+    shuffled. Where the input is dear to compute, name a folder as ``store``: the
+    groups and values alone are written there first (now, not lazily), so that the
+    input runs once and both passes read these columns.
     """
     x = F.col(value).cast("double")
     d = df.filter(x.isNotNull() & ~F.isnan(x))
@@ -32,6 +34,9 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = (),
     if hi is not None:
         d = d.filter(x <= F.lit(float(hi)))
     d = d.select(*by, x.alias("_x"))
+    if store is not None:
+        d.write.mode("overwrite").parquet(store)
+        d = df.sparkSession.read.schema(d.schema).parquet(store)
     if lo is None or hi is None:
         span = d.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi"))).scalar()
     lo_c = F.lit(float(lo)) if lo is not None else span.getField("lo")
@@ -46,12 +51,6 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = (),
     }).select(*by, "bin", "bin_lo", "bin_hi", "n")
 
 
-def central_moments(x: Column) -> list[Column]:
-    """Aggregates for mean, population variance, biased skewness and excess
-    kurtosis (SciPy defaults); Spark's skewness / kurtosis are population."""
-    return [F.avg(x), F.var_pop(x), F.skewness(x), F.kurtosis(x), F.count(x)]
-
-
 def unbiased_skew(g1: Column, n: Column) -> Column:
     """pandas ``skew``: G1 = g1 * sqrt(n (n-1)) / (n-2)."""
     n = n.cast("double")

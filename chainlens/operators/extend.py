@@ -13,7 +13,9 @@ Plan shape (``extend_txs_blocks``), designed for hundreds of billions of rows:
   joined back on ``(block_batch, chunk, _lrn)``. No task ever holds more than
   one chunk or one halo bucket, so a hot batch is split, not serialised;
 * only narrow rows (a handful of longs) take the extra shuffles; the wide
-  transaction rows are shuffled once.
+  transaction rows are shuffled once;
+* with a mempool, the hashes and places of transactions go to the sightings and the
+  sightings come back to the partitioning of the wide rows.
 """
 
 from __future__ import annotations
@@ -42,12 +44,13 @@ def _suffix_clashes(right: DataFrame, left_cols, keys, suffix: str) -> DataFrame
     return right.withColumnsRenamed(ren) if ren else right
 
 
-def join_mempool(txs: DataFrame, mempool: DataFrame | None) -> DataFrame:
-    """Left join mempool sightings on transaction_hash = hash (suffix _mempool)."""
-    if mempool is None:
-        return txs
+def mempool_sightings(txs: DataFrame, mempool: DataFrame) -> DataFrame:
+    """(block_batch, _chunk, transaction_hash, the mempool's columns): sightings at the place of
+    their transactions. Only the hash and place of a transaction travel to the mempool."""
     m = _suffix_clashes(mempool, set(txs.columns), {"hash"}, "_mempool")
-    return txs.join(m, txs["transaction_hash"] == m["hash"], "left").drop(m["hash"])
+    places = txs.select("transaction_hash", BATCH, CHUNK).filter(F.col("transaction_hash").isNotNull())
+    places = places.repartition("transaction_hash").dropDuplicates()  # the join below needs no other exchange
+    return places.join(m, places["transaction_hash"] == m["hash"], "inner").drop(m["hash"])
 
 
 def extend_txs_blocks(
@@ -82,12 +85,14 @@ def extend_txs_blocks(
         txs = txs.withColumn(BATCH, F.lit(0).cast("bigint"))
         blocks = blocks.withColumn(BATCH, F.lit(0).cast("bigint"))
 
-    txs = join_mempool(txs, mempool)
     keys = [BATCH, CHUNK, "block_number"]
     t = txs.withColumn(CHUNK, chunk_col("block_number", chunk_blocks))
-    b = _suffix_clashes(blocks, set(txs.columns), set(keys), "_block")
-    b = b.withColumn(CHUNK, chunk_col("block_number", chunk_blocks))
+    sightings = None if mempool is None else mempool_sightings(t, mempool)
     t = t.repartition(BATCH, CHUNK)
+    if sightings is not None:  # brought to the rows, not the rows to them
+        t = t.join(sightings.repartition(BATCH, CHUNK), [BATCH, CHUNK, "transaction_hash"], "left")
+    b = _suffix_clashes(blocks, set(t.columns), set(keys), "_block")
+    b = b.withColumn(CHUNK, chunk_col("block_number", chunk_blocks))
     b = b.repartition(BATCH, CHUNK)
     j = t.join(b, keys, "left")
 

@@ -6,7 +6,7 @@ transaction). Conventions kept from the surveyed dashboard, with the reasons:
 * sums over empty / all-null groups are 0 (``sum0``), so later means count them;
 * rounding is half away from zero (``round_half_away``);
 * float means and sums inside bounded groups (a block, a datetime, a day) add
-  the values in sorted order (``ordered_mean`` / ``ordered_sum``), so results
+  the values in sorted order (``ordered_mean`` / ``ordered_mean``), so results
   do not depend on partitioning;
 * ``first()`` of a block-constant column is ``max`` (any value is the same);
   ``first()`` of a per-transaction column is the value at the lowest
@@ -314,11 +314,11 @@ def sequencer_gas_per_block(explore: DataFrame) -> DataFrame:
 
 
 def sequencer_gas_histogram(explore: DataFrame, bins: int = 50,
-                            upper: float = 1e8) -> DataFrame:
+                            upper: float = 1e8, store: str | None = None) -> DataFrame:
     """Q16: histogram of per-block sequencer gas (< ``upper``), by sequencer,
-    on bins shared by all sequencers."""
+    on bins shared by all sequencers. ``store``: see ``stats.histogram``."""
     g = sequencer_gas_per_block(explore).filter(F.col("sequencer_gas_used_sum") < upper)
-    return histogram(g, "sequencer_gas_used_sum", bins, by=[SEQ])
+    return histogram(g, "sequencer_gas_used_sum", bins, by=[SEQ], store=store)
 
 
 def sequencer_gas_share(explore: DataFrame) -> DataFrame:

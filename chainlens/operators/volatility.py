@@ -77,10 +77,11 @@ def fee_zscore(vol: DataFrame, column: str = "base_fee_per_gas_gwei",
 
 
 def diff_histogram(df: DataFrame, column: str, bins: int,
-                   view: tuple[float, float] | None = None, by: Sequence[str] = ()) -> DataFrame:
+                   view: tuple[float, float] | None = None, by: Sequence[str] = (), store: str | None = None) -> DataFrame:
     """Q23: equi-width histogram of a difference column. Bins span the data;
-    ``view`` (axis limits) only keeps the bins that overlap it."""
-    h = histogram(df, column, bins, by=by)
+    ``view`` (axis limits) only keeps the bins that overlap it. ``store``: see
+    ``stats.histogram``."""
+    h = histogram(df, column, bins, by=by, store=store)
     if view is not None:
         h = h.filter((F.col("bin_hi") >= view[0]) & (F.col("bin_lo") <= view[1]))
     return h

@@ -53,6 +53,13 @@ def explore(spark: SparkSession, d: str) -> DataFrame:
     return R.tx_cost_deltas(rollups(spark, d), since=SINCE)
 
 
+def _store(spark: SparkSession) -> str:
+    """A fresh folder for the narrow columns that a histogram reads twice."""
+    from chainlens.plans.jobs import scratch_path
+
+    return scratch_path(spark, "histogram")
+
+
 def _rollup_queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "tx_cost_deltas": explore,
@@ -79,7 +86,7 @@ def _rollup_queries() -> dict[str, Query]:
         S.blocks(s, d), R.blob_market_agg(explore(s, d)), SINCE)
     q["blob_demand_buckets"] = lambda s, d: R.blob_demand(explore(s, d), S.blocks(s, d), SINCE)
     q["agg_sequencer_stats"] = lambda s, d: R.agg_sequencer_stats(explore(s, d))
-    q["sequencer_gas_histogram"] = lambda s, d: R.sequencer_gas_histogram(explore(s, d))
+    q["sequencer_gas_histogram"] = lambda s, d: R.sequencer_gas_histogram(explore(s, d), store=_store(s))
     q["sequencer_gas_share_top"] = lambda s, d: R.top_rows(
         R.sequencer_gas_share(explore(s, d)), "sequencer_gas_used_pct", TOP, ["block_number", "sequencer_names"])
     q["sequencer_gas_share"] = lambda s, d: R.sequencer_gas_share(explore(s, d))
@@ -112,9 +119,9 @@ def _vol_queries() -> dict[str, Query]:
             .withColumnRenamed("_rn", "rn"),
         "kalman_error_sums": lambda s, d: K.kalman_error_sums(kalman(s, d), ["series"], DEC),
         "kalman_diff_histogram": lambda s, d: V.diff_histogram(
-            kalman(s, d), "base_fee_per_gas_diff", 10, by=["series"]),
+            kalman(s, d), "base_fee_per_gas_diff", 10, by=["series"], store=_store(s)),
         "volatility_diff_histogram": lambda s, d: V.diff_histogram(
-            volatility(s, d), "base_fee_per_gas_gwei_diff", 1000),
+            volatility(s, d), "base_fee_per_gas_gwei_diff", 1000, store=_store(s)),
     }
 
 

@@ -108,6 +108,44 @@ def test_wide_rows_shuffle_once_in_enrichment(spark):
     assert not any("tx_gas_cost" in k for k in keys), keys
 
 
+def test_wide_rows_shuffle_once_with_mempool(spark):
+    """Of the exchanges, one carries the transactions' fees: that on (block_batch, _chunk)."""
+    import re
+
+    from chainlens.operators.extend import extend_txs_blocks
+    from chainlens.plans.jobs import scratch_path, write_batches
+    from chainlens.sources import standins as S
+
+    d, path = "/root/testdata/sf0.001", scratch_path(spark, "wide")
+    write_batches(S.transactions(spark, d), path)
+    txs = spark.read.parquet(path)  # a stored table: the stand-in sorts its rows, which would count
+    df = extend_txs_blocks(txs, S.blocks(spark, d), S.mempool(spark, d))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "repartition" in plan.lower()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = extend_txs_blocks(txs, S.blocks(spark, d), S.mempool(spark, d))._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    wide = [x for x in re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\n]*)\]\nArguments: ([^\n]*)", text) if "max_fee_per_gas" in x[0]]
+    assert {re.sub(r"#\d+L?", "", a).split("),")[0] for _, a in wide} <= {"hashpartitioning(block_batch, _chunk, 4"} and wide, wide
+
+
+def test_histogram_store_runs_the_input_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from chainlens.functions.stats import histogram
+
+    df = spark.range(1000).select((F.col("id") % 7).alias("g"), (F.col("id") * 0.5).alias("v"))
+    key = lambda h: sorted(map(tuple, h.collect()))
+    stored = histogram(df, "v", 9, ["g"], store=str(tmp_path / "h"))
+    assert key(stored) == key(histogram(df, "v", 9, ["g"]))
+    assert "Range" not in stored._jdf.queryExecution().executedPlan().toString()
+    empty = histogram(df.filter("v < 0"), "v", 9, store=str(tmp_path / "e"))
+    assert empty.count() == 0
+
+
 def test_kalman_chunks_equal_one_pass(spark):
     """A series longer than any sample, in many chunks, against the plain recursion."""
     import numpy as np

@@ -1,19 +1,21 @@
 """Toxicity by nearest labelled examples.
 
-A bounded sample of labelled rows gives (a) a vocabulary: words and character
-5-grams that label 1 favours, by the likelihood ratio over distinct example
-clusters, so that groups of copies count once, and (b) the examples, as TF-IDF
-vectors over that vocabulary in an inverted index with block maxima. Every document
-finds its exact nearest examples by cosine: blocks are visited by falling upper bound
-until no bound can beat the k-th best. Similarity-weighted votes, shrunk towards the
-base rate, are the score; the examples themselves are the evidence.
+A bounded sample of labelled rows gives the examples. All their terms (words, and the
+five-letter starts of longer words) are indexed; idf is counted over every document of
+the table, and a term that label 1 favours weighs more, by its likelihood ratio over
+distinct example clusters, so that groups of copies count once. Examples are unit TF-IDF
+vectors in an inverted index with block maxima. Every document finds its exact nearest
+examples by cosine: blocks are visited by falling upper bound until no bound can beat
+the k-th best. Similarity-weighted votes, shrunk towards the base rate, are calibrated
+by a monotone fit to the votes that each quarter of the examples gets from the others;
+the neighbours themselves are the evidence.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 
-import ahocorasick
 import numpy as np
 import pandas as pd
 import xxhash
@@ -24,26 +26,25 @@ from chainlens.llm.common import keyed, materialize, real_id
 
 #: the sample of labelled rows: at most so many of label 1 and of label 0
 MAX_TOXIC, MAX_CLEAN = 2000, 4000
-MAX_TERMS, MIN_RATIO, NEIGHBOURS, BLOCK, SHRINK, THRESHOLD = 4096, 15.0, 15, 64, 0.25, 0.3
+NEIGHBOURS, BLOCK, SHRINK, THRESHOLD = 15, 64, 0.02, 0.3
+#: letters of a word's start that is a term of its own; the likelihood ratio (one in twenty by chance) that weighs nothing
+START, CHANCE = 5, 3.84
+#: parts of the sample, each scored by the others for the calibration
+FOLDS = 4
+#: blocks that a search visits one by one before it adds up the postings of all that are left
+FEW = 3
 #: bytes to bytes: ASCII letters and whatever is beyond ASCII stay, the rest is a space
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
-_GRAM = 5
 
 
-def normal(text: str) -> str:
-    """In lower case, with spaces around and for every ASCII byte that is no letter."""
-    return f" {text.lower().encode().translate(_LETTERS).decode()} "
-
-
-def terms_of(text: str) -> set[str]:
-    """Whole words (with their spaces) and the 5-grams of the words with theirs."""
-    out = set()
-    for w in set(normal(text).split()):
-        p = f" {w} "
-        if 3 <= len(w) <= 24:
-            out.add(p)
-        out.update(p[k:k + _GRAM] for k in range(len(p) - _GRAM + 1))
-    return out
+def terms_of(text: str) -> Counter:
+    """Counts of the words (lower case; every ASCII byte that is no letter separates) and of the starts of longer words."""
+    words = Counter(text.lower().encode("utf-8", "surrogatepass").translate(_LETTERS).decode("utf-8", "surrogatepass").split(" "))
+    words.pop("", None)
+    for w, n in list(words.items()):
+        if len(w) > START:
+            words["^" + w[:START]] += n
+    return words
 
 
 def cluster_key(text: str) -> int:
@@ -58,23 +59,23 @@ def held_out(did):
 
 
 def sample(docs: DataFrame, labels: DataFrame, label_id: str = "doc_id", label: str = "toxic") -> tuple[DataFrame, dict]:
-    """(did, text, y) of at most MAX_TOXIC + MAX_CLEAN labelled rows outside the held-out part, and class sizes.
+    """(did, text, y, c) of at most MAX_TOXIC + MAX_CLEAN labelled rows outside the held-out part, and class sizes.
 
-    Rows are taken by the order of the hash of their id. Of several labels of an id the
-    largest counts; null labels do not.
+    Rows are taken by the order of the hash of id and text. Of several labels of an id
+    the largest counts; null labels do not. ``c`` tells clusters of copies.
     """
     known = (labels.select(F.col(label_id).cast("long").alias("did"), F.col(label).cast("int").alias("y"))
              .where("did is not null and y is not null").where(~held_out(F.col("did")))
              .groupBy("did").agg(F.max("y").alias("y")))
     known = known.join(docs.select("did").distinct(), "did", "left_semi")
     sizes = {r.y: r.n for r in known.groupBy("y").agg(F.count("*").alias("n")).where("y in (0, 1)").collect()}
-    picked = None
+    rows = None
     for y, most in ((1, MAX_TOXIC), (0, MAX_CLEAN)):
-        part = known.where(F.col("y") == y).orderBy(F.xxhash64("did"), "did").limit(most)
-        picked = part if picked is None else picked.unionByName(part)
-    # bounded by MAX_TOXIC + MAX_CLEAN rows of two numbers
-    rows = docs.join(F.broadcast(picked), "did").dropDuplicates(["did", "text"])
-
+        picked = known.where(F.col("y") == y).orderBy(F.xxhash64("did"), "did").limit(most)
+        # bounded by ``most`` rows of two numbers; an id may have any number of texts, so rows are bounded again
+        part = docs.join(F.broadcast(picked), "did").dropDuplicates(["did", "text"])
+        part = part.orderBy(F.xxhash64("did", "text"), "did").limit(most)
+        rows = part if rows is None else rows.unionByName(part)
 
     def keys(frames):
         for f in frames:
@@ -84,169 +85,270 @@ def sample(docs: DataFrame, labels: DataFrame, label_id: str = "doc_id", label:
     return materialize(rows, "toxic-sample"), sizes
 
 
-def vocabulary(rows: DataFrame, sizes: dict) -> list[str]:
-    """At most MAX_TERMS terms, by the likelihood ratio G2, of those that are commoner in
-    label 1 and, scaled from the sample to all labelled rows, mostly occur there."""
-
+def term_counts(rows: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(terms, counts, totals) of the sample: how many clusters of label y and fold f hold each term,
+    counts[f, y, term], and how many there are, totals[f, y]. Copies lie in one fold."""
     def explode(frames):
         for f in frames:
             for text, y, c in zip(f.text, f.y, f.c):
                 yield pd.DataFrame({"term": pd.Series(list(terms_of(text)), dtype=object), "y": int(y), "c": int(c)})
 
-    seen = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism).mapInPandas(
-        explode, "term string, y int, c long").distinct()
-    totals = {0: 0, 1: 0}
+    seen = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism).mapInPandas(explode, "term string, y int, c long")
+    cells = [(f, y) for f in range(FOLDS) for y in (0, 1)]
+    at = F.col("c") % FOLDS * 2 + F.col("y")
+    got = seen.distinct().groupBy("term").agg(*[F.count_if(at == 2 * f + y).alias(f"n{f}{y}") for f, y in cells]).toArrow().sort_by("term")
+    counts = np.array([got[f"n{f}{y}"].to_numpy() for f, y in cells], dtype=np.int64).reshape(FOLDS, 2, -1)
+    totals = np.zeros((FOLDS, 2), dtype=np.int64)
+    for r in rows.select("y", "c").distinct().groupBy("y", (F.col("c") % FOLDS).alias("f")).count().collect():
+        totals[r.f, r.y] = r["count"]
+    return got["term"].to_pylist(), counts, totals
+
 
-    for r in rows.select("y", "c").distinct().groupBy("y").count().collect():
-        totals[r.y] = r["count"]
-    n1, n0 = totals[1], totals[0]
+def document_counts(docs: DataFrame, terms: list[str]) -> tuple[np.ndarray, int]:
+    """In how many of all documents each term occurs, and how many documents there are."""
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
+
+    def count(frames):
+        number = {t: i for i, t in enumerate(shared.value)}
+        df, n = np.zeros(len(number) + 1, dtype=np.int64), 0
+        for f in frames:
+            for t in f.text:
+                df[vector(t, number)[0]] += 1
+            n += len(f)
+        df[-1] = n
+        at = np.nonzero(df)[0]
+        yield pd.DataFrame({"id": at, "n": df[at]})
+
+    got = docs.select("text").mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(len(terms) + 1, dtype=np.int64)
+    df[got["id"].to_numpy()] = got["n"].to_numpy()
+    return df[:-1], int(df[-1])
+
+
+def favour(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """What label 1 adds to a term's weight: the root of its likelihood ratio beyond chance if it
+    is commoner in label 1 (a of n1 clusters) than in label 0 (b of n0), else 0."""
+    a, b = a.astype(np.float64), b.astype(np.float64)
     if not n1 or not n0:
-        return []
-    counts = seen.groupBy("term").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
-    a, b = F.col("a"), F.col("b")
-    e1, e0 = (a + b) * n1 / (n1 + n0), (a + b) * n0 / (n1 + n0)
-    part = lambda o, e: F.when(o > 0, o * F.log(o / e)).otherwise(0.0)
-    c, d = n1 - a, n0 - b
-    g = 2 * (part(a, e1) + part(b, e0) + part(c, n1 - e1) + part(d, n0 - e0))
-    mostly = a * (sizes[1] / n1) > b * (sizes[0] / n0)
-    best = counts.where((a > e1) & mostly).select("term", F.round(g, 6).alias("g")).where(F.col("g") >= MIN_RATIO)
-    return [r.term for r in best.orderBy(F.desc("g"), "term").limit(MAX_TERMS).collect()]
-
-
-def automaton(terms: list[str]):
-    a = ahocorasick.Automaton()
-    for i, t in enumerate(terms):
-        a.add_word(t, i)
-    a.make_automaton()
-    return a
-
-
-def vector(text: str, matcher, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(term ids, counts) of the vocabulary in a text."""
-    ids = [i for _, i in matcher.iter(normal(text))]
-    c = np.bincount(np.array(ids, dtype=np.int64), minlength=1) if ids else np.zeros(0, np.int64)
-    at = np.nonzero(c)[0]
-    return at, c[at]
+        return np.zeros(len(a))
+    share = n1 / (n1 + n0)
+    e1, e0 = (a + b) * share, (a + b) * (1 - share)
+
+    def part(o, e):
+        return o * np.log(np.where(o > 0, o, 1.0) / np.where(o > 0, np.maximum(e, 1e-300), 1.0))
+
+    g = 2 * (part(a, e1) + part(b, e0) + part(n1 - a, n1 - e1) + part(n0 - b, n0 - e0))
+    return np.sqrt(np.maximum(0.0, np.where(a > e1, g, 0.0) - CHANCE))
+
+
+def vector(text: str, number: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(term ids, counts) of the index terms in a text, by id."""
+    found = terms_of(text)
+    ids = np.fromiter((number.get(t, -1) for t in found), np.int64, len(found))
+    counts = np.fromiter(found.values(), np.int64, len(found))
+    known = ids >= 0
+    ids, counts = ids[known], counts[known]
+    by = np.argsort(ids)
+    return ids[by], counts[by]
 
 
 class Index:
-    """Examples as unit TF-IDF vectors, in blocks of 64, with the maximum of each term by block."""
-
-    def __init__(self, examples: list, n_terms: int, class_sizes: dict):
-        """examples: (did, y, term ids, counts)."""
-        df = np.zeros(n_terms, dtype=np.int64)
-        for _, _, ids, _ in examples:
-            df[ids] += 1
-        self.idf = np.log((1 + len(examples)) / (1 + df)) + 1
+    """Examples as unit TF-IDF vectors, in blocks of 64: by example, by term, and the maximum of each term by block."""
+
+    def __init__(self, examples: list, weight: np.ndarray, class_sizes: dict):
+        """examples: (did, y, term ids, counts); weight: idf and more of every term."""
+        self.term_weight = np.asarray(weight, dtype=np.float64)
         taken = {y: max(1, sum(e[1] == y for e in examples)) for y in (0, 1)}
         scale = {y: class_sizes.get(y, 0) / taken[y] for y in (0, 1)}  # rows that an example stands for
         total = sum(scale[e[1]] for e in examples)
         self.base = sum(scale[e[1]] for e in examples if e[1]) / total if total else 0.0
-        empty = [e for e in examples if not len(e[2])]
-        w = sum(scale[e[1]] for e in empty)
-        self.none = (sum(scale[e[1]] for e in empty if e[1]) + self.base) / (w + 1)
-        full = sorted((e for e in examples if len(e[2])), key=lambda e: (int(e[2][np.argmax(e[3] * self.idf[e[2]])]), e[0]))
+        unit = [self.unit(np.asarray(e[2], dtype=np.int64), np.asarray(e[3])) for e in examples]
+        top = [int(e[2][np.argmax(u)]) if len(u) and u.any() else -1 for e, u in zip(examples, unit)]
+        order = sorted((i for i in range(len(examples)) if top[i] >= 0), key=lambda i: (top[i], examples[i][0], i))
+        full = [examples[i] for i in order]
         self.did = np.array([e[0] for e in full], dtype=np.int64)
         self.y = np.array([e[1] for e in full], dtype=np.int64)
         self.weight = np.array([scale[e[1]] / max(scale[1], 1e-9) for e in full]) if scale[1] else np.ones(len(full))
-        rows = [self.unit(np.asarray(e[2]), np.asarray(e[3])) for e in full]
-        self.cols = np.concatenate([np.asarray(e[2]) for e in full]) if full else np.zeros(0, np.int64)
-        self.vals = np.concatenate(rows) if full else np.zeros(0)
-        self.rows = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
+        size = np.array([len(e[2]) for e in full], dtype=np.int64)
+        self.cols = np.concatenate([np.asarray(e[2], dtype=np.int32) for e in full]) if full else np.zeros(0, np.int32)
+        self.vals = np.concatenate([unit[i] for i in order]) if full else np.zeros(0)
+        self.rows = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
         self.n_blocks = -(-len(full) // BLOCK)
-        top: dict[int, dict[int, float]] = {}
-        for i, r in enumerate(rows):
-            for t, v in zip(full[i][2], r):
-                blocks = top.setdefault(int(t), {})
-                blocks[i // BLOCK] = max(blocks.get(i // BLOCK, 0.0), float(v))
-        self.top = {t: (np.array(list(b)), np.array(list(b.values()))) for t, b in top.items()}
+        by = np.argsort(self.cols, kind="stable")
+        self.post = np.repeat(np.arange(len(full), dtype=np.int32), size)[by]
+        self.post_vals = self.vals[by]
+        self.post_at = np.searchsorted(self.cols[by], np.arange(len(self.term_weight) + 1))
+        key = self.cols[by].astype(np.int64) * max(1, self.n_blocks) + self.post // BLOCK
+        first = np.nonzero(np.diff(key, prepend=-1))[0]
+        self.top = np.maximum.reduceat(self.post_vals, first) if len(first) else np.zeros(0)
+        self.top_block = (key[first] % max(1, self.n_blocks)).astype(np.int32)
+        self.top_at = np.searchsorted(key[first] // max(1, self.n_blocks), np.arange(len(self.term_weight) + 1))
 
     def unit(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        w = (1 + np.log(counts)) * self.idf[ids]
-        return w / math.sqrt(float(w @ w))
+        w = (1 + np.log(counts)) * self.term_weight[ids] if len(ids) else np.zeros(0)
+        norm = math.sqrt(float(w @ w))
+        return w / norm if norm else w
+
+    def _add(self, at: np.ndarray, where: np.ndarray, values: np.ndarray, ids: np.ndarray, q: np.ndarray, n: int) -> np.ndarray:
+        """Sums of q * value over the entries of the query's terms in a list by term."""
+        start, count = at[ids], at[ids + 1] - at[ids]
+        total = int(count.sum())
+        k = np.arange(total) + np.repeat(start - (np.cumsum(count) - count), count)
+        return np.bincount(where[k], np.repeat(q, count) * values[k], minlength=n)
 
     def search(self, ids: np.ndarray, counts: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """(example numbers, cosines) of the k nearest examples with a cosine above 0, exactly; ties by number."""
         q = self.unit(ids, counts)
-        bound = np.zeros(self.n_blocks)
-        for t, w in zip(ids.tolist(), q):
-            if t in self.top:
-                blocks, most = self.top[t]
-                bound[blocks] += w * most
-        dense = np.zeros(len(self.idf))
-        dense[ids] = q
         best_i, best_c = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best_c) == k and bound[b] + 1e-9 < best_c[-1]):
+        if not len(ids) or not self.n_blocks:
+            return best_i, best_c
+
+        def keep(i, c):
+            ok = c > 0
+            i, c = np.concatenate([best_i, i[ok]]), np.concatenate([best_c, np.round(c[ok], 12)])
+            if len(c) > 4 * k:
+                near = c >= np.partition(c, len(c) - k)[len(c) - k]
+                i, c = i[near], c[near]
+            order = np.lexsort((i, -c))[:k]
+            return i[order], c[order]
+
+        bound = self._add(self.top_at, self.top_block, self.top, ids, q, self.n_blocks)
+        dense = np.zeros(len(self.term_weight))
+        dense[ids] = q
+        for seen, b in enumerate(np.argsort(-bound, kind="stable").tolist()):
+            least = best_c[-1] if len(best_c) == k else 0.0
+            if bound[b] <= 0 or bound[b] + 1e-9 < least:
                 break
+            if seen == FEW and int((bound + 1e-9 >= least).sum()) > 3 * FEW:
+                best_i, best_c = best_i[:0], best_c[:0]
+                return keep(np.arange(len(self.y)), self._add(self.post_at, self.post, self.post_vals, ids, q, len(self.y)))
             lo, hi = b * BLOCK, min(len(self.y), (b + 1) * BLOCK)
             at = self.rows[lo:hi + 1]
             cos = np.add.reduceat(dense[self.cols[at[0]:at[-1]]] * self.vals[at[0]:at[-1]], at[:-1] - at[0])
-            hit = np.nonzero(cos > 0)[0]
-            i, c = np.concatenate([best_i, hit + lo]), np.concatenate([best_c, np.round(cos[hit], 12)])
-            order = np.lexsort((i, -c))[:k]
-            best_i, best_c = i[order], c[order]
+            best_i, best_c = keep(np.arange(lo, hi), cos)
         return best_i, best_c
 
-    def score(self, ids: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        if not len(ids):
-            return self.none, np.zeros(0, np.int64), np.zeros(0)
+    def votes(self, ids: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """(share of label 1 among the neighbours, by squared cosine, shrunk to the base rate; neighbours; cosines)."""
         i, c = self.search(ids, counts)
         w = self.weight[i] * c * c
-        s = (float(w @ self.y[i]) + SHRINK * self.base) / (float(w.sum()) + SHRINK)
-        return min(1.0, max(0.0, s)), i, c
+        return (float(w @ self.y[i]) + SHRINK * self.base) / (float(w.sum()) + SHRINK), i, c
+
+
+def calibration(votes: np.ndarray, y: np.ndarray, weight: np.ndarray, base: float) -> tuple[np.ndarray, np.ndarray]:
+    """(votes, rates): the rate of label 1 as a function of the votes that never falls (pool adjacent
+    violators), each pool shrunk to the base rate by one row; between pools it is interpolated."""
+    pools: list[list[float]] = []
+    for i in np.lexsort((y, votes)).tolist():
+        pools.append([weight[i] * y[i], weight[i], weight[i] * votes[i]])
+        while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
+            last = pools.pop()
+            pools[-1] = [a + b for a, b in zip(pools[-1], last)]
+    at = np.array([p[2] / p[1] for p in pools])
+    return at, np.maximum.accumulate(np.array([(p[0] + base) / (p[1] + 1.0) for p in pools]))
+
+
+def build_index(docs: DataFrame, rows: DataFrame, sizes: dict) -> tuple[list[str], np.ndarray, Index, list[Index]]:
+    """(terms, label 1's favour of each, index of the sample ``rows``, for each fold the index of the
+    others), with idf over ``docs``; what a fold's rows say of terms is not in its index."""
+    terms, counts, totals = term_counts(rows)
+    df, n = document_counts(docs, terms)
+    idf = np.log((1 + n) / (1 + df)) + 1e-3  # a term of all documents keeps a trace of weight
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
+
+    def vectors(frames):
+        number = {t: i for i, t in enumerate(shared.value)}
+        for f in frames:
+            got = [vector(t, number) for t in f.text]
+            yield pd.DataFrame({"did": f.did, "y": f.y, "c": f.c, "ids": [g[0] for g in got], "counts": [g[1] for g in got]})
 
+    got = rows.mapInPandas(vectors, "did long, y int, c long, ids array<long>, counts array<long>").toArrow()
+    lists = [[x.values.to_numpy() for x in got[k]] for k in ("ids", "counts")]
+    examples = sorted(zip(got["did"].to_pylist(), got["y"].to_pylist(), *lists, got["c"].to_pylist()),
+                      key=lambda e: (e[0], e[1], len(e[2]), e[2].tobytes(), e[3].tobytes()))
 
-def build_index(docs: DataFrame, labels: DataFrame, label_id: str = "doc_id", label: str = "toxic") -> tuple[list[str], Index]:
-    """Vocabulary and index; both are bounded by MAX_TERMS and MAX_TOXIC + MAX_CLEAN."""
-    rows, sizes = sample(docs, labels, label_id, label)
-    terms = vocabulary(rows, sizes)
+    def index(folds):
+        a, b = (counts[folds, y].sum(axis=0) for y in (1, 0))
+        plus = favour(a, b, int(totals[folds, 1].sum()), int(totals[folds, 0].sum()))
+        return plus, Index([e[:4] for e in examples if e[4] % FOLDS in folds], idf * (1 + plus), sizes)
 
-    def vectors(frames):
-        matcher = automaton(terms) if terms else None
+    plus, whole = index(list(range(FOLDS)))
+    return terms, plus, whole, [index([g for g in range(FOLDS) if g != f])[1] for f in range(FOLDS)]
+
+
+def fold_votes(rows: DataFrame, terms: list[str], indexes: list[Index]) -> tuple[np.ndarray, np.ndarray]:
+    """(votes, label) of every row of the sample, with the index of the other folds."""
+    shared = rows.sparkSession.sparkContext.broadcast((terms, [vars(i) for i in indexes]))
+
+    def run(frames):
+        terms, plain = shared.value
+        number = {t: i for i, t in enumerate(terms)}
+        held = []
+        for p in plain:
+            held.append(Index.__new__(Index))
+            vars(held[-1]).update(p)
         for f in frames:
-            got = [vector(t, matcher, len(terms)) if terms else (np.zeros(0, int),) * 2 for t in f.text]
-            yield pd.DataFrame({"did": f.did, "y": f.y, "ids": [g[0].tolist() for g in got], "counts": [g[1].tolist() for g in got]})
+            votes = [held[c % FOLDS].votes(*vector(t, number))[0] for t, c in zip(f.text, f.c)]
+            yield pd.DataFrame({"votes": votes, "y": f.y})
 
-    got = rows.mapInPandas(vectors, "did long, y int, ids array<long>, counts array<long>").collect()
-    examples = [(r.did, r.y, np.array(r.ids, dtype=np.int64), np.array(r.counts, dtype=np.int64))
-                for r in sorted(got, key=lambda r: (r.did, r.y, r.ids, r.counts))]
-    return terms, Index(examples, len(terms), sizes)
+    got = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism).mapInPandas(run, "votes double, y int").toArrow()
+    return got["votes"].to_numpy(), got["y"].to_numpy()
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             label_id: str = "doc_id", label: str = "toxic") -> DataFrame:
-    """(did, th, doc_id, held_out, score, predicted, terms, evidence) for every row of ``docs``.
+SCORED = ("did long, th long, score double, terms array<string>, "
+          "evidence array<struct<doc_id: long, label: int, cosine: double>>")
 
-    ``terms``: the vocabulary found, ``evidence``: the nearest examples (doc_id, label,
-    cosine). Texts without any term (null and empty ones among them) get the rate of
-    label 1 among such examples. Without labels every score is 0. Repeated rows are
-    scored alike. An empty table gives an empty result. ``did`` and ``th`` tell a row
-    by its id (null: the smallest long) and the hash of its text.
-    """
-    base = keyed(docs, id_col, text_col)
-    terms, index = build_index(base, labels, label_id, label)
-    shared = base.sparkSession.sparkContext.broadcast((terms, vars(index)))  # plain data: executors need no package
 
+def scored(docs: DataFrame, shared) -> DataFrame:
+    """SCORED of (did, text) rows with the (terms, favour, index, calibration or None) in ``shared``."""
     def run(frames):
-        words, idx = shared.value[0], Index.__new__(Index)
-        vars(idx).update(shared.value[1])
-        matcher = automaton(words) if words else None
+        terms, plus, plain, fit = shared.value  # plain data: executors need no package
+        idx = Index.__new__(Index)
+        vars(idx).update(plain)
+        number = {t: i for i, t in enumerate(terms)}
         for f in frames:
             out = []
             for t in f.text:
-                ids, counts = vector(t, matcher, len(words)) if words else (np.zeros(0, int),) * 2
-                s, i, c = idx.score(ids, counts)
-                out.append((s, [words[k].strip() for k in ids],
-                            [{"doc_id": int(idx.did[a]), "label": int(idx.y[a]), "cosine": float(b)} for a, b in zip(i, c)]))
+                ids, counts = vector(t, number)
+                s, i, c = idx.votes(ids, counts)
+                marks = ids[plus[ids] > 0]
+                marks = marks[np.argsort(-plus[marks], kind="stable")]
+                out.append((s, [terms[k] for k in marks],
+                            [{"doc_id": a, "label": b, "cosine": x} for a, b, x in zip(idx.did[i].tolist(), idx.y[i].tolist(), c.tolist())]))
             score, found, evidence = zip(*out) if out else ((), (), ())
+            if fit is not None:
+                score = np.interp(score, *fit)
             yield pd.DataFrame({"did": f.did, "th": f.th, "score": score, "terms": found, "evidence": evidence})
 
-    scored = base.withColumn("th", F.xxhash64("text")).mapInPandas(
-        run, "did long, th long, score double, terms array<string>, "
-             "evidence array<struct<doc_id: long, label: int, cosine: double>>")
-    return scored.select("did", "th", real_id(F.col("did")).alias("doc_id"), held_out(F.col("did")).alias("held_out"),
-                         "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "terms", "evidence")
+    return docs.withColumn("th", F.xxhash64("text")).select("did", "text", "th").mapInPandas(run, SCORED)
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             label_id: str = "doc_id", label: str = "toxic") -> DataFrame:
+    """(did, th, doc_id, held_out, score, predicted, terms, evidence) for every row of ``docs``.
+
+    ``terms``: the terms found that label 1 favours, the strongest first; a five-letter
+    start has a ``^`` before it. ``evidence``: the nearest examples (doc_id, label,
+    cosine). The calibration is fitted to votes for a quarter of the examples by the
+    others; afterwards an example is a neighbour of any text, its own among them, so
+    that ids are no input of a score. Texts without any term of an example (null and empty ones
+    among them) get the calibrated base rate. Without labels every score is 0. Repeated
+    rows are scored alike. An empty table gives an empty result. ``did`` and ``th`` tell
+    a row by its id (null: the smallest long) and the hash of its text.
+    """
+    base = keyed(docs, id_col, text_col)
+    context = base.sparkSession.sparkContext
+    rows, sizes = sample(base, labels, label_id, label)
+    terms, plus, index, others = build_index(base, rows, sizes)
+    fit = None
+    if index.base:
+        votes, y = fold_votes(rows, terms, others)
+        taken = np.bincount(y, minlength=2)
+        scale = np.array([sizes.get(k, 0) / max(1, taken[k]) for k in (0, 1)])
+        fit = calibration(votes, y, (scale / scale[1])[y], index.base)
+    out = scored(base, context.broadcast((terms, plus, vars(index), fit)))
+    return out.select("did", "th", real_id(F.col("did")).alias("doc_id"), held_out(F.col("did")).alias("held_out"),
+                      "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "terms", "evidence")
 
 
 def op9_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -287,7 +287,7 @@ def test_index_search_is_exact():
     for i in range(400):
         ids = np.sort(rng.choice(60, rng.integers(0, 9), replace=False))
         examples.append((i, int(rng.integers(0, 2)), ids, rng.integers(1, 5, len(ids))))
-    index = Index(examples, 60, {0: 400, 1: 100})
+    index = Index(examples, rng.uniform(0.5, 4, 60), {0: 400, 1: 100})
     dense = np.zeros((len(index.y), 60))
     for k in range(len(index.y)):
         at = slice(index.rows[k], index.rows[k + 1])

@@ -1,19 +1,23 @@
 """Line dedup over a whole corpus, in DataFrame functions only.
 
-Hashes of normalised lines are range-partitioned with document and position as
-secondary sort keys, so that a hash which a third of all documents hold spans
-several partitions. Streaming each sorted partition leaves one row per (hash,
-document); a combined aggregate then finds the hashes of at least ``min_docs``
-documents and the document that keeps them. What goes back to the documents is a
-compressed bitmap (64-line words that lose a line), never text.
+Hashes of normalised lines are range-partitioned by (hash, document) and sorted by
+position within each document, so that a hash which a third of all documents hold spans
+several partitions, in order. One pass over each sorted run marks the first occurrence of
+a hash in a document (a row number over the order, no further exchange). The run a line
+lies in is stored with it; within a run, the documents of a hash are counted and the
+largest id is found over (run, hash), which is never more than one partition of rows.
+A hash that crosses a border of runs is the first or last of its runs, so there are at
+most two per run: their counts are added up over runs and handed back as a table of
+that size. What goes back to the documents is a compressed bitmap (64-line words that
+lose a line), never text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chainlens.llm.common import SPACE, keyed, materialize, real_id
+from chainlens.llm.common import NULL_ID, SPACE, keyed, materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -25,6 +29,30 @@ def line_key(line: Column) -> Column:
     return F.when(ascii_only, F.lower(s)).otherwise(F.translate(s, UPPER, LOWER))
 
 
+def sorted_runs(occ: DataFrame) -> DataFrame:
+    """(h1, h2, did, th, pos, first, run): occurrences in runs, ranges of (hash, document) in order
+    of position. ``first``: whether the document has the hash for the first time."""
+    order = Window.partitionBy("h1", "h2", "did").orderBy("pos", "th")
+    ranged = occ.repartitionByRange("h1", "h2", "did")
+    return materialize(ranged.withColumn("first", F.row_number().over(order) == 1)
+                       .withColumn("run", F.spark_partition_id()), "line-runs")
+
+
+def doomed(runs: DataFrame, min_docs: int) -> DataFrame:
+    """The occurrences that are dropped: their hash is in ``min_docs`` documents or more, and the largest is another."""
+    ends = runs.groupBy("run").agg(F.min(F.struct("h1", "h2")).alias("a"), F.max(F.struct("h1", "h2")).alias("z"))
+    ends = ends.select("run", F.explode(F.array_distinct(F.array("a", "z"))).alias("h")).select("run", "h.*")
+    crossing = materialize(ends.groupBy("h1", "h2").agg(F.count("*").alias("runs")).where("runs > 1").drop("runs"), "line-borders")
+    # at most one row per run, and two numbers each: a few megabytes for 100,000 runs
+    across = runs.join(F.broadcast(crossing), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(
+        F.count_if("first").alias("all_docs"), F.max("did").alias("all_top"))
+    across = materialize(across, "line-crossing")
+    here = Window.partitionBy("run", "h1", "h2")
+    found = runs.withColumns({"docs": F.count_if("first").over(here), "top": F.max("did").over(here)})
+    found = found.join(F.broadcast(across), ["h1", "h2"], "left")
+    return found.where((F.coalesce("all_docs", "docs") >= min_docs) & (F.coalesce("all_top", "top") != F.col("did"))).select("did", "th", "pos")
+
+
 def line_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """Per document that loses lines: (did, th, words array<struct<word, keep>>).
@@ -41,13 +69,8 @@ def line_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
            .select("did", "th", "pos", line_key(F.col("line")).alias("key"))
            .where(F.char_length("key") >= min_chars)
            .select(F.xxhash64("key").alias("h1"), F.hash("key").alias("h2"), "did", "th", "pos"))
-    occ = materialize(occ, "lines")
-    ranged = (occ.repartitionByRange("h1", "h2", "did")
-              .sortWithinPartitions("h1", "h2", F.desc("did"), "pos"))
-    first = ranged.groupBy("h1", "h2", "did").agg(F.min("pos").alias("first_pos"))
-    dups = (first.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("did").alias("keeper"))
-            .where(F.col("n") >= min_docs).drop("n"))
-    gone = occ.join(dups, ["h1", "h2"]).where("did <> keeper")
+    runs = sorted_runs(occ)
+    gone = doomed(runs, min_docs)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("pos") % 64)
     return (gone.groupBy("did", "th", F.floor(F.col("pos") / 64).cast("int").alias("word"))
             .agg(F.bitwise_not(F.bit_or(bit)).alias("keep"))
@@ -73,18 +96,17 @@ def _kept_lines(lines: Column, gone: Column) -> Column:
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """``docs`` (all columns) plus ``_n_lines``, ``_n_dropped``, ``_kept``: the text of the lines that stay."""
-    cols = [F.col(f"`{c}`") for c in docs.columns if c not in ("_did", "_th", "_text")]
-    base = docs.select(*cols, F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("_did"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    base = base.withColumn("_th", F.xxhash64("_text"))
-    marks = bitmaps.select(F.col("did").alias("_did"), F.col("th").alias("_th"), F.col("words").alias("_words"))
-    out = base.join(marks, ["_did", "_th"], "left")
-    out = out.withColumns({"_lines": F.split("_text", "\n", -1), "_gone": dropped_positions(F.col("_words"))})
-    kept = F.when(F.col("_words").isNull(), F.col("_text")).otherwise(
-        F.array_join(_kept_lines(F.col("_lines"), F.col("_gone")), "\n"))
-    return out.select(*cols, F.size("_lines").cast("long").alias("_n_lines"),
-                      F.size("_gone").cast("long").alias("_n_dropped"), kept.alias("_kept"))
+    """(row, n_lines, n_dropped, kept): every row of ``docs`` as a struct (so that no name can
+    clash), its lines before and how many go, and the text of those that stay."""
+    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    base = docs.select(F.struct("*").alias("row"), F.coalesce(quoted(id_col).cast("long"), F.lit(NULL_ID)).alias("did"),
+                       F.coalesce(quoted(text_col), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
+    out = base.join(bitmaps, ["did", "th"], "left")
+    out = out.withColumns({"lines": F.split("text", "\n", -1), "gone": dropped_positions(F.col("words"))})
+    kept = F.when(F.col("words").isNull(), F.col("text")).otherwise(
+        F.array_join(_kept_lines(F.col("lines"), F.col("gone")), "\n"))
+    return out.select("row", F.size("lines").cast("long").alias("n_lines"),
+                      F.size("gone").cast("long").alias("n_dropped"), kept.alias("kept"))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -98,8 +120,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     out = apply_bitmaps(src, line_bitmaps(src, "doc_id", "text", min_chars, min_docs), "doc_id", "text")
-    return out.select("doc_id", F.col("_n_lines").alias("n_lines"),
-                      F.col("_n_dropped").alias("n_dropped"), F.col("_kept").alias("kept"))
+    return out.select("row.doc_id", "n_lines", "n_dropped", "kept")
 
 
 def op6_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -57,6 +57,40 @@ def test_line_bitmaps_span_words(spark):
         assert got[i].kept == want and got[i].n_dropped == (0 if i == 3 else 67)
 
 
+def test_line_runs_are_sorted_ranges(spark):
+    """The plan: a range exchange, the secondary sort under the pass, no exchange or join by the hash alone;
+    a hash in every document, over many runs, still counts once per document."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from chainlens.llm import line_dedup as L
+
+    rows = [(k % 4 if k % 3 else 0, 0, d, d, p) for d in range(60) for p, k in enumerate((0, 1, d, d + 1))]
+    occ = spark.createDataFrame(rows, "h1 long, h2 int, did long, th long, pos int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        runs = L.sorted_runs(occ)
+        assert runs.select("run").distinct().count() > 3
+        assert runs.where("h1 = 0").select("run").distinct().count() > 1  # the hot hash spans runs
+        for least in (2, 3, 16, 61):
+            holders = {}
+            for h, _, d, _, _ in rows:
+                holders.setdefault(h, set()).add(d)
+            want = sorted((d, p) for h, _, d, _, p in rows if len(holders[h]) >= least and d != max(holders[h]))
+            assert sorted((r.did, r.pos) for r in L.doomed(runs, least).collect()) == want
+        plan = L.doomed(runs, 3)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        assert all("run#" in keys for keys in re.findall(r"hashpartitioning\(([^)]*)\)", plan) if "h1#" in keys)
+        order = Window.partitionBy("h1", "h2", "did").orderBy("pos", "th")
+        pass_plan = occ.repartitionByRange("h1", "h2", "did").withColumn("first", F.row_number().over(order) == 1)
+        text = pass_plan._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"Sort \[h1#\d+L? ASC[^\n]*pos#", text) and text.count("Exchange ") == 1 and "rangepartitioning" in text
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_oracles(spark):
     from chainlens.llm import queries as Q
 

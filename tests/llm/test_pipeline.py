@@ -32,7 +32,7 @@ def test_pipeline(spark):
             found = contaminated(before, spark.read.parquet(f"{SF}/benchmark.parquet"))
             assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in before.collect()} - {r.doc_id for r in found.collect()}
     out = P.run(spark, SF)
-    assert out.columns == ["doc_id", "ids", "n_pieces", "round_trip"]
+    assert out.columns == ["doc_id", "ids", "n_pieces", "round_trip", "cost", "second_cost"]
     assert sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in kept.collect())
     assert out.where("not round_trip").count() == 0
 
@@ -50,3 +50,47 @@ def test_dedup_near_keeps_one_row_of_each_group(spark):
     got = [P.dedup_near(spark, d, SF).collect() for d in (df, df.orderBy("text", "source"), df.coalesce(1))]
     assert all(sorted([(r.doc_id, r.text) for r in g], key=repr) == want for g in got)
     assert len({tuple(sorted(map(repr, g))) for g in got}) == 1
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Extra columns whose names the stages use, or that hold a dot, come through unchanged."""
+    import corpus_pipeline as P
+
+    line = "a line that stands in many documents"
+    rows = [(i, f"{line}\nown words {'abcdefgh'[i]} number{i} of this text {'xyzuvwst'[i] * 4}", "en", "s", 7, f"did{i}", i * 10, "k", 3.5, "r")
+            for i in range(8)] + [(None, None, None, None, None, None, None, None, None, None), (8, "", "", "", 0, "", 0, "", 0.0, "")]
+    cols = ("doc_id long, text string, lang string, source string, n_chars long, did string, th long, `a.b` string, _n_dropped double, `row` string")
+    docs = spark.createDataFrame(rows, cols)
+    want = {r.doc_id: (r[5], r[6], r[7], r[8], r[9]) for r in docs.collect()}
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema], name
+        got = out.collect()
+        assert got and all(want[r.doc_id] == (r[5], r[6], r[7], r[8], r[9]) for r in got), name
+        if name == "line dedup":
+            assert sum(line in (r.text or "") for r in got) == 1
+            assert all(r.n_chars == (len(r.text) if r.doc_id in range(7) else r.n_chars) for r in got)
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
+
+
+def test_near_dedup_stage_on_the_table(spark):
+    """The near-dedup stage keeps, of each component that the operator's links give, the smallest id."""
+    import corpus_pipeline as P
+    from chainlens.llm.simhash_dedup import op7_simhash_near_dedup
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = op7_simhash_near_dedup(spark, SF).collect()
+    prints = [(r.doc_id, int(r.fingerprint, 16)) for r in rows]
+    low = {i: i for i, _ in prints}
+
+    def find(i):
+        while low[i] != i:
+            i = low[i]
+        return i
+
+    for k, (i, a) in enumerate(prints):  # a plain run over all pairs
+        for j, b in prints[:k]:
+            if (a ^ b).bit_count() <= 2:
+                x, y = sorted((find(i), find(j)))
+                low[y] = x
+    assert {r.doc_id for r in P.dedup_near(spark, docs, SF).collect()} == {find(i) for i in low}

@@ -19,23 +19,27 @@ from chainlens.llm.toxicity import toxicity
 
 
 def _key(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({"_did": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)),
-                             "_th": F.xxhash64(F.coalesce("text", F.lit("")))})
+    """(row, did, th): every row as a struct, so that no column name can clash, its id and the hash of its text."""
+    return docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("did"),
+                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
+
+
+def _without(docs: DataFrame, bad: DataFrame, name: str) -> DataFrame:
+    """Rows of ``docs`` whose (did, th) is not in ``bad``."""
+    return _key(docs).join(materialize(bad.distinct(), name), ["did", "th"], "left_anti").select("row.*")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator does not reject."""
     scored = toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    bad = materialize(scored.where("predicted = 1").select(F.col("did").alias("_did"), F.col("th").alias("_th")).distinct(), "toxic")
-    return _key(docs).join(bad, ["_did", "_th"], "left_anti").select(docs.columns)
+    return _without(docs, scored.where("predicted = 1").select("did", "th"), "toxic")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that others keep; n_chars follows the text."""
     out = apply_bitmaps(docs, line_bitmaps(docs))
-    text = F.when(F.col("_n_dropped") > 0, F.col("_kept")).otherwise(F.col("text"))
-    size = F.when(F.col("_n_dropped") > 0, F.char_length("_kept").cast("long")).otherwise(F.col("n_chars"))
-    return out.withColumns({"n_chars": size, "text": text}).select(docs.columns)
+    shorter = F.col("row").withField("text", F.col("kept")).withField("n_chars", F.char_length("kept").cast(docs.schema["n_chars"].dataType))
+    return out.select(F.when(F.col("n_dropped") > 0, shorter).otherwise(F.col("row")).alias("row")).select("row.*")
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,23 +49,23 @@ def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     apart by the text."""
     groups = simhash_groups(docs, shingle=3, max_bits=2)
     keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
-        F.min(F.coalesce("doc_id", F.lit(NULL_ID))).alias("_did"), F.min("th").alias("_th"))
-    kept = _key(docs).join(materialize(keep.select("_did", "_th"), "survivors"), ["_did", "_th"], "left_semi")
-    row = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns))
-    return kept.groupBy("_did", "_th").agg(row.alias("_row")).select("_row.*")
+        F.min(F.coalesce("doc_id", F.lit(NULL_ID))).alias("did"), F.min("th").alias("th"))
+    kept = _key(docs).join(materialize(keep.select("did", "th"), "survivors"), ["did", "th"], "left_semi")
+    return kept.groupBy("did", "th").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = materialize(found.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_did"), F.col("th").alias("_th")).distinct(), "leaks")
-    return _key(docs).join(bad, ["_did", "_th"], "left_anti").select(docs.columns)
+    return _without(docs, found.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("did"), "th"), "leaks")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, ids, n_pieces, round_trip): the pieces of every document, decoded back as a check."""
-    out = encode(docs, n=1)
-    return out.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), "round_trip")
+    """(doc_id, ids, n_pieces, round_trip, cost, second_cost): the best segmentation of every document
+    with the cost of the runner-up, decoded back as a check."""
+    out = encode(docs, n=2)
+    return out.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), "round_trip",
+                      F.round("cost", 4).alias("cost"), F.round(F.get("others", F.lit(0))["cost"], 4).alias("second_cost"))
 
 
 STAGES = [

@@ -319,6 +319,7 @@ def scored(docs: DataFrame, shared) -> DataFrame:
             if fit is not None:
                 score = np.interp(score, *fit)
             yield pd.DataFrame({"did": f.did, "th": f.th, "score": score, "terms": found, "evidence": evidence})
+            del f, out
 
     return docs.withColumn("th", F.xxhash64("text")).select("did", "text", "th").mapInPandas(run, SCORED)
 

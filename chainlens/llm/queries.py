@@ -24,5 +24,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_line_dedup": line_dedup.ORACLE_SQL, "op10_quality_rules": quality_rules.ORACLE_SQL,
+    return {"op1_chat_formatting": chat.ORACLE_SQL, "op6_line_dedup": line_dedup.ORACLE_SQL, "op10_quality_rules": quality_rules.ORACLE_SQL,
             "op12_exact_dedup": exact_dedup.ORACLE_SQL}

@@ -95,7 +95,7 @@ def test_oracles(spark):
     from chainlens.llm import queries as Q
 
     con = duckdb.connect()
-    for t in ("documents", "labels", "benchmark"):
+    for t in ("documents", "labels", "benchmark", "conversations"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     for name, sql in Q.oracle_sql().items():
         got, want = Q.queries()[name](spark, SF).toPandas(), con.execute(sql).df()
@@ -259,6 +259,19 @@ def test_decontamination(spark, odd, empty):
     assert contaminated(odd, bench).count() == 0
 
 
+def test_repeated_messages_are_one(spark):
+    """Messages given many times do not multiply with the jumps; of different ones the best score counts."""
+    from chainlens.llm.chat import branches, format_trees
+
+    chain = [(1, k, k - 1 if k else None, "user" if k % 2 == 0 else "assistant", f"turn {k}", 1.0) for k in range(12)]
+    cols = "tree long, node long, parent long, role string, text string, score double"
+    once = spark.createDataFrame(chain, cols)
+    many = spark.createDataFrame(chain * 5 + [(1, 3, 0, "user", "a lower score", 0.5), (1, 3, 2, "zz", "later role", 1.0)], cols)
+    key = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert key(branches(many)) == key(branches(once)) and len(key(branches(once))) == 12
+    assert key(format_trees(many)) == key(format_trees(once))
+
+
 def leaks(spark, items, texts):
     from chainlens.llm.decontam import contaminated
 
@@ -289,6 +302,28 @@ def test_decontamination_of_copies_in_other_case_and_punctuation(spark):
     assert leaks(spark, [item, german], texts) == {(k, k // 7) for k in range(14)}
 
 
+def test_decontamination_with_shared_prompts(spark):
+    """A prompt that many items share is no hit by itself; items are found by their own words, and
+    copies of one item (or items that are the prompt alone) are one class."""
+    from chainlens.llm.decontam import contaminated, prompts
+
+    prompt = "Please read the following question with care and choose the best answer from the list below."
+    own = [f"Which of the {a} rivers near {b} flows {c} towards the great northern sea in spring?"
+           for a in ("red", "blue", "old", "wide", "slow") for b in ("mill", "barn", "hill", "town", "field") for c in ("fast", "south")]
+    items = [f"{prompt} {q}" for q in own] + ["Twelve copies of this single question stand in the benchmark for no good reason at all."] * 12
+    items += [prompt] * 9
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = [f"Text {k}. {prompt} Something else number {k} follows here." for k in range(40)]
+    docs += [f"Before. {items[7]} After.", f"A quiz: {own[31]}", f"See: {items[55]}"]
+    got = contaminated(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), bench).collect()
+    pairs = {(r.doc_id, r.item_id): r.members for r in got}
+    assert pairs[40, 7] == 1 and pairs[41, 31] == 1 and pairs[42, 50] == 12
+    assert {p: n for p, n in pairs.items() if p[0] < 40} == {(k, 62): 9 for k in range(40)}  # the prompt as an item
+    assert not {p for p in pairs if p[0] == 41 and p[1] >= 50} and len(got) <= 40 + 4
+    shared = {(r["items"], r.item_id) for r in prompts(bench).collect()}
+    assert (59, 0) in shared and (12, 50) in shared
+
+
 def test_slots_must_agree():
     from chainlens.llm.decontam import judge
 

@@ -174,15 +174,31 @@ class Index:
         self.vals = np.concatenate([unit[i] for i in order]) if full else np.zeros(0)
         self.rows = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
         self.n_blocks = -(-len(full) // BLOCK)
+        self.invert()
+
+    def invert(self):
+        """The lists by term: (example, value), and (block, largest value)."""
         by = np.argsort(self.cols, kind="stable")
-        self.post = np.repeat(np.arange(len(full), dtype=np.int32), size)[by]
-        self.post_vals = self.vals[by]
-        self.post_at = np.searchsorted(self.cols[by], np.arange(len(self.term_weight) + 1))
-        key = self.cols[by].astype(np.int64) * max(1, self.n_blocks) + self.post // BLOCK
+        terms = self.cols[by].astype(np.int64)
+        every = np.arange(len(self.term_weight) + 1)
+        self.post = np.repeat(np.arange(len(self.y), dtype=np.int32), np.diff(self.rows))[by]
+        self.post_vals, self.post_at = self.vals[by], np.searchsorted(terms, every)
+        key = terms * max(1, self.n_blocks) + self.post // BLOCK
         first = np.nonzero(np.diff(key, prepend=-1))[0]
         self.top = np.maximum.reduceat(self.post_vals, first) if len(first) else np.zeros(0)
         self.top_block = (key[first] % max(1, self.n_blocks)).astype(np.int32)
-        self.top_at = np.searchsorted(key[first] // max(1, self.n_blocks), np.arange(len(self.term_weight) + 1))
+        self.top_at = np.searchsorted(terms[first], every)
+
+    def plain(self) -> dict:
+        """What ``of`` makes the index from: plain data, without the lists by term."""
+        return {k: v for k, v in vars(self).items() if not k.startswith(("post", "top"))}
+
+    @classmethod
+    def of(cls, plain: dict) -> "Index":
+        index = cls.__new__(cls)
+        vars(index).update(plain)
+        index.invert()
+        return index
 
     def unit(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
         w = (1 + np.log(counts)) * self.term_weight[ids] if len(ids) else np.zeros(0)
@@ -278,15 +294,12 @@ def build_index(docs: DataFrame, rows: DataFrame, sizes: dict) -> tuple[list[str
 
 def fold_votes(rows: DataFrame, terms: list[str], indexes: list[Index]) -> tuple[np.ndarray, np.ndarray]:
     """(votes, label) of every row of the sample, with the index of the other folds."""
-    shared = rows.sparkSession.sparkContext.broadcast((terms, [vars(i) for i in indexes]))
+    shared = rows.sparkSession.sparkContext.broadcast((terms, [i.plain() for i in indexes]))
 
     def run(frames):
-        terms, plain = shared.value
+        terms, plain = shared.value  # plain data: executors need no package
         number = {t: i for i, t in enumerate(terms)}
-        held = []
-        for p in plain:
-            held.append(Index.__new__(Index))
-            vars(held[-1]).update(p)
+        held = [Index.of(p) for p in plain]
         for f in frames:
             votes = [held[c % FOLDS].votes(*vector(t, number))[0] for t, c in zip(f.text, f.c)]
             yield pd.DataFrame({"votes": votes, "y": f.y})
@@ -302,9 +315,8 @@ SCORED = ("did long, th long, score double, terms array<string>, "
 def scored(docs: DataFrame, shared) -> DataFrame:
     """SCORED of (did, text) rows with the (terms, favour, index, calibration or None) in ``shared``."""
     def run(frames):
-        terms, plus, plain, fit = shared.value  # plain data: executors need no package
-        idx = Index.__new__(Index)
-        vars(idx).update(plain)
+        terms, plus, plain, fit = shared.value
+        idx = Index.of(plain)
         number = {t: i for i, t in enumerate(terms)}
         for f in frames:
             out = []
@@ -347,7 +359,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         taken = np.bincount(y, minlength=2)
         scale = np.array([sizes.get(k, 0) / max(1, taken[k]) for k in (0, 1)])
         fit = calibration(votes, y, (scale / scale[1])[y], index.base)
-    out = scored(base, context.broadcast((terms, plus, vars(index), fit)))
+    out = scored(base, context.broadcast((terms, plus, index.plain(), fit)))
     return out.select("did", "th", real_id(F.col("did")).alias("doc_id"), held_out(F.col("did")).alias("held_out"),
                       "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "terms", "evidence")
 

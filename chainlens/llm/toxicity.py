@@ -189,17 +189,6 @@ class Index:
         self.top_block = (key[first] % max(1, self.n_blocks)).astype(np.int32)
         self.top_at = np.searchsorted(terms[first], every)
 
-    def plain(self) -> dict:
-        """What ``of`` makes the index from: plain data, without the lists by term."""
-        return {k: v for k, v in vars(self).items() if not k.startswith(("post", "top"))}
-
-    @classmethod
-    def of(cls, plain: dict) -> "Index":
-        index = cls.__new__(cls)
-        vars(index).update(plain)
-        index.invert()
-        return index
-
     def unit(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
         w = (1 + np.log(counts)) * self.term_weight[ids] if len(ids) else np.zeros(0)
         norm = math.sqrt(float(w @ w))
@@ -264,47 +253,65 @@ def calibration(votes: np.ndarray, y: np.ndarray, weight: np.ndarray, base: floa
     return at, np.maximum.accumulate(np.array([(p[0] + base) / (p[1] + 1.0) for p in pools]))
 
 
-def build_index(docs: DataFrame, rows: DataFrame, sizes: dict) -> tuple[list[str], np.ndarray, Index, list[Index]]:
-    """(terms, label 1's favour of each, index of the sample ``rows``, for each fold the index of the
-    others), with idf over ``docs``; what a fold's rows say of terms is not in its index."""
+def build_index(docs: DataFrame, rows: DataFrame, sizes: dict) -> tuple[list[str], dict]:
+    """(terms, examples) of the sample ``rows``: the vectors as flat arrays, idf over ``docs``, and what
+    label 1 adds to each term's weight, by all rows (the last row of ``plus``) and without each fold.
+
+    Plain data of some tens of megabytes at most; tasks make indexes of it (``index_of``)."""
     terms, counts, totals = term_counts(rows)
     df, n = document_counts(docs, terms)
-    idf = np.log((1 + n) / (1 + df)) + 1e-3  # a term of all documents keeps a trace of weight
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def vectors(frames):
         number = {t: i for i, t in enumerate(shared.value)}
         for f in frames:
             got = [vector(t, number) for t in f.text]
-            yield pd.DataFrame({"did": f.did, "y": f.y, "c": f.c, "ids": [g[0] for g in got], "counts": [g[1] for g in got]})
+            yield pd.DataFrame({"did": f.did, "y": f.y, "fold": f.c % FOLDS, "ids": [g[0].astype(np.int32) for g in got],
+                                "counts": [g[1].astype(np.int32) for g in got]})
 
-    got = rows.mapInPandas(vectors, "did long, y int, c long, ids array<long>, counts array<long>").toArrow()
+    got = rows.mapInPandas(vectors, "did long, y int, fold long, ids array<int>, counts array<int>").toArrow()
     lists = [[x.values.to_numpy() for x in got[k]] for k in ("ids", "counts")]
-    examples = sorted(zip(got["did"].to_pylist(), got["y"].to_pylist(), *lists, got["c"].to_pylist()),
-                      key=lambda e: (e[0], e[1], len(e[2]), e[2].tobytes(), e[3].tobytes()))
+    examples = sorted(zip(got["did"].to_pylist(), got["y"].to_pylist(), got["fold"].to_pylist(), *lists),
+                      key=lambda e: (e[0], e[1], len(e[3]), e[3].tobytes(), e[4].tobytes()))
+    flat = [np.concatenate([e[k] for e in examples]) if examples else np.zeros(0, np.int32) for k in (3, 4)]
 
-    def index(folds):
+    def plus(folds):
         a, b = (counts[folds, y].sum(axis=0) for y in (1, 0))
-        plus = favour(a, b, int(totals[folds, 1].sum()), int(totals[folds, 0].sum()))
-        return plus, Index([e[:4] for e in examples if e[4] % FOLDS in folds], idf * (1 + plus), sizes)
+        return favour(a, b, int(totals[folds, 1].sum()), int(totals[folds, 0].sum()))
+
+    parts = [[g for g in range(FOLDS) if g != f] for f in range(FOLDS)] + [list(range(FOLDS))]
+    return terms, {"did": [e[0] for e in examples], "y": [e[1] for e in examples], "fold": [e[2] for e in examples],
+                   "at": np.concatenate([[0], np.cumsum([len(e[3]) for e in examples])]).astype(np.int64), "ids": flat[0], "counts": flat[1],
+                   "idf": np.log((1 + n) / (1 + df)) + 1e-3,  # a term of all documents keeps a trace of weight
+                   "plus": np.array([plus(p) for p in parts]), "sizes": sizes}
 
-    plus, whole = index(list(range(FOLDS)))
-    return terms, plus, whole, [index([g for g in range(FOLDS) if g != f])[1] for f in range(FOLDS)]
 
+def index_of(examples: dict, without: int | None = None) -> Index:
+    """The index of all examples, or of those of the other folds, weighted by what these say of terms."""
+    cut, flat = examples["at"].tolist(), (examples["ids"], examples["counts"])
+    rows = [(d, y, *(x[cut[i]:cut[i + 1]] for x in flat)) for i, (d, y, f) in enumerate(zip(*(examples[k] for k in ("did", "y", "fold"))))
+            if f != without]
+    plus = examples["plus"][FOLDS if without is None else without]
+    return Index(rows, examples["idf"] * (1 + plus), examples["sizes"])
 
-def fold_votes(rows: DataFrame, terms: list[str], indexes: list[Index]) -> tuple[np.ndarray, np.ndarray]:
+
+def fold_votes(rows: DataFrame, terms: list[str], examples: dict) -> tuple[np.ndarray, np.ndarray]:
     """(votes, label) of every row of the sample, with the index of the other folds."""
-    shared = rows.sparkSession.sparkContext.broadcast((terms, [i.plain() for i in indexes]))
+    shared = rows.sparkSession.sparkContext.broadcast((terms, examples))
 
     def run(frames):
-        terms, plain = shared.value  # plain data: executors need no package
-        number = {t: i for i, t in enumerate(terms)}
-        held = [Index.of(p) for p in plain]
-        for f in frames:
-            votes = [held[c % FOLDS].votes(*vector(t, number))[0] for t, c in zip(f.text, f.c)]
+        terms, examples = shared.value  # plain data: executors need no package
+        number, of, index = {t: i for i, t in enumerate(terms)}, None, None
+        for f in frames:  # sorted by fold: one index at a time
+            votes = []
+            for t, fold in zip(f.text, (f.c % FOLDS).tolist()):
+                if fold != of:
+                    of, index = fold, index_of(examples, fold)
+                votes.append(index.votes(*vector(t, number))[0])
             yield pd.DataFrame({"votes": votes, "y": f.y})
 
-    got = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism).mapInPandas(run, "votes double, y int").toArrow()
+    dealt = rows.withColumn("f", F.col("c") % FOLDS).repartition(4 * FOLDS, "f", F.xxhash64("text") % 4).sortWithinPartitions("f").drop("f")
+    got = dealt.mapInPandas(run, "votes double, y int").toArrow()
     return got["votes"].to_numpy(), got["y"].to_numpy()
 
 
@@ -313,10 +320,10 @@ SCORED = ("did long, th long, score double, terms array<string>, "
 
 
 def scored(docs: DataFrame, shared) -> DataFrame:
-    """SCORED of (did, text) rows with the (terms, favour, index, calibration or None) in ``shared``."""
+    """SCORED of (did, text) rows with the (terms, examples, calibration or None) in ``shared``."""
     def run(frames):
-        terms, plus, plain, fit = shared.value
-        idx = Index.of(plain)
+        terms, examples, fit = shared.value
+        idx, plus = index_of(examples), examples["plus"][FOLDS]
         number = {t: i for i, t in enumerate(terms)}
         for f in frames:
             out = []
@@ -352,14 +359,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     base = keyed(docs, id_col, text_col)
     context = base.sparkSession.sparkContext
     rows, sizes = sample(base, labels, label_id, label)
-    terms, plus, index, others = build_index(base, rows, sizes)
+    terms, examples = build_index(base, rows, sizes)
+    taken = np.bincount(examples["y"], minlength=2) if examples["y"] else np.zeros(2)
     fit = None
-    if index.base:
-        votes, y = fold_votes(rows, terms, others)
-        taken = np.bincount(y, minlength=2)
+    if taken[1]:
+        votes, y = fold_votes(rows, terms, examples)
         scale = np.array([sizes.get(k, 0) / max(1, taken[k]) for k in (0, 1)])
-        fit = calibration(votes, y, (scale / scale[1])[y], index.base)
-    out = scored(base, context.broadcast((terms, plus, index.plain(), fit)))
+        fit = calibration(votes, y, (scale / scale[1])[y], sizes[1] / sum(sizes[k] for k in (0, 1) if taken[k]))
+    out = scored(base, context.broadcast((terms, examples, fit)))
     return out.select("did", "th", real_id(F.col("did")).alias("doc_id"), held_out(F.col("did")).alias("held_out"),
                       "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "terms", "evidence")
 

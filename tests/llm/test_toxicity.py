@@ -41,7 +41,8 @@ def test_neighbours_and_votes_equal_brute_force(spark):
 
     base = keyed(spark.read.parquet(f"{SF}/documents.parquet"))
     rows, sizes = T.sample(base, spark.read.parquet(f"{SF}/labels.parquet"))
-    terms, plus, index, _ = T.build_index(base, rows, sizes)
+    terms, examples = T.build_index(base, rows, sizes)
+    index = T.index_of(examples)
     sample = rows.collect()
     texts = {r.did: r.text for r in base.collect()}
     count = {i: T.terms_of(t) for i, t in texts.items()}

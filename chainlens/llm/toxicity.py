@@ -5,8 +5,8 @@ five-letter starts of longer words) are indexed; idf is counted over every docum
 the table, and a term that label 1 favours weighs more, by its likelihood ratio over
 distinct example clusters, so that groups of copies count once. Examples are unit TF-IDF
 vectors in an inverted index with block maxima. Every document finds its exact nearest
-examples by cosine: blocks are visited by falling upper bound until no bound can beat
-the k-th best. Similarity-weighted votes, shrunk towards the base rate, are calibrated
+examples by cosine: the blocks of highest bound give a k-th best, and only blocks whose
+bound reaches it are worked out. Similarity-weighted votes, shrunk towards the base rate, are calibrated
 by a monotone fit to the votes that each quarter of the examples gets from the others;
 the neighbours themselves are the evidence.
 """
@@ -18,6 +18,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +32,8 @@ NEIGHBOURS, BLOCK, SHRINK, THRESHOLD = 15, 64, 0.02, 0.3
 START, CHANCE = 5, 3.84
 #: parts of the sample, each scored by the others for the calibration
 FOLDS = 4
-#: blocks that a search visits one by one before it adds up the postings of all that are left
-FEW = 3
+#: blocks that a search visits to learn a k-th best cosine; queries that are searched together; terms that are common
+FEW, TOGETHER, COMMON = 3, 64, 768
 #: bytes to bytes: ASCII letters and whatever is beyond ASCII stay, the rest is a space
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -104,23 +105,42 @@ def term_counts(rows: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
     return got["term"].to_pylist(), counts, totals
 
 
-def document_counts(docs: DataFrame, terms: list[str]) -> tuple[np.ndarray, int]:
-    """In how many of all documents each term occurs, and how many documents there are."""
+def document_vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
+    """(did, th, gaps, counts) of (did, text) rows: the index terms of each text as the steps between their
+    ascending numbers and how often they occur, both as bytes of 32-bit numbers. Written once, read twice."""
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
-    def count(frames):
+    def run(batches):
         number = {t: i for i, t in enumerate(shared.value)}
-        df, n = np.zeros(len(number) + 1, dtype=np.int64), 0
-        for f in frames:
-            for t in f.text:
-                df[vector(t, number)[0]] += 1
-            n += len(f)
-        df[-1] = n
+        for b in batches:
+            got = [vector(t.as_py(), number) for t in b.column(1)]
+            gaps = [np.diff(ids, prepend=0).astype("<u4").tobytes() for ids, _ in got]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(gaps, pa.binary()), pa.array(
+                [c.astype("<u4").tobytes() for _, c in got], pa.binary())], ["did", "th", "gaps", "counts"])
+
+    out = docs.withColumn("th", F.xxhash64("text")).select("did", "text", "th").mapInArrow(
+        run, "did long, th long, gaps binary, counts binary")
+    return materialize(out, "toxic-vectors")
+
+
+def unpacked(gaps: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(term ids, counts) of a row of ``document_vectors``."""
+    return np.cumsum(np.frombuffer(gaps, "<u4"), dtype=np.int64), np.frombuffer(counts, "<u4").astype(np.int64)
+
+
+def document_counts(vectors: DataFrame, n_terms: int) -> tuple[np.ndarray, int]:
+    """In how many of all documents each term occurs, and how many documents there are."""
+    def count(batches):
+        df = np.zeros(n_terms + 1, dtype=np.int64)
+        for b in batches:
+            for gaps in b.column(0):
+                df[np.cumsum(np.frombuffer(gaps.as_py(), "<u4"), dtype=np.int64)] += 1
+            df[-1] += b.num_rows
         at = np.nonzero(df)[0]
-        yield pd.DataFrame({"id": at, "n": df[at]})
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], ["id", "n"])
 
-    got = docs.select("text").mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
-    df = np.zeros(len(terms) + 1, dtype=np.int64)
+    got = vectors.select("gaps").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(n_terms + 1, dtype=np.int64)
     df[got["id"].to_numpy()] = got["n"].to_numpy()
     return df[:-1], int(df[-1])
 
@@ -144,16 +164,15 @@ def favour(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
 def vector(text: str, number: dict) -> tuple[np.ndarray, np.ndarray]:
     """(term ids, counts) of the index terms in a text, by id."""
     found = terms_of(text)
-    ids = np.fromiter((number.get(t, -1) for t in found), np.int64, len(found))
-    counts = np.fromiter(found.values(), np.int64, len(found))
-    known = ids >= 0
-    ids, counts = ids[known], counts[known]
+    known = list(found.keys() & number.keys())
+    ids = np.fromiter(map(number.__getitem__, known), np.int64, len(known))
+    counts = np.fromiter(map(found.__getitem__, known), np.int64, len(known))
     by = np.argsort(ids)
     return ids[by], counts[by]
 
 
 class Index:
-    """Examples as unit TF-IDF vectors, in blocks of 64: by example, by term, and the maximum of each term by block."""
+    """Examples as unit TF-IDF vectors, in blocks of 64: values by term, and the maximum of each common term by block."""
 
     def __init__(self, examples: list, weight: np.ndarray, class_sizes: dict):
         """examples: (did, y, term ids, counts); weight: idf and more of every term."""
@@ -170,74 +189,80 @@ class Index:
         self.y = np.array([e[1] for e in full], dtype=np.int64)
         self.weight = np.array([scale[e[1]] / max(scale[1], 1e-9) for e in full]) if scale[1] else np.ones(len(full))
         size = np.array([len(e[2]) for e in full], dtype=np.int64)
-        self.cols = np.concatenate([np.asarray(e[2], dtype=np.int32) for e in full]) if full else np.zeros(0, np.int32)
-        self.vals = np.concatenate([unit[i] for i in order]) if full else np.zeros(0)
-        self.rows = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
         self.n_blocks = -(-len(full) // BLOCK)
-        self.invert()
-
-    def invert(self):
-        """The lists by term: (example, value), and (block, largest value)."""
-        by = np.argsort(self.cols, kind="stable")
-        terms = self.cols[by].astype(np.int64)
-        every = np.arange(len(self.term_weight) + 1)
-        self.post = np.repeat(np.arange(len(self.y), dtype=np.int32), np.diff(self.rows))[by]
-        self.post_vals, self.post_at = self.vals[by], np.searchsorted(terms, every)
-        key = terms * max(1, self.n_blocks) + self.post // BLOCK
-        first = np.nonzero(np.diff(key, prepend=-1))[0]
-        self.top = np.maximum.reduceat(self.post_vals, first) if len(first) else np.zeros(0)
-        self.top_block = (key[first] % max(1, self.n_blocks)).astype(np.int32)
-        self.top_at = np.searchsorted(terms[first], every)
+        cols = np.concatenate([np.asarray(e[2], dtype=np.int64) for e in full]) if full else np.zeros(0, np.int64)
+        vals = np.concatenate([unit[i] for i in order]) if full else np.zeros(0)
+        row = np.repeat(np.arange(len(full)), size)
+        # the commonest terms stand as one column of values for each block, the others as lists by term
+        held = np.bincount(cols, minlength=len(self.term_weight))
+        common = np.argsort(-held, kind="stable")[:min(COMMON, int((held > 0).sum()))]
+        self.slot = np.full(len(self.term_weight), -1, dtype=np.int32)
+        self.slot[common] = np.arange(len(common))
+        at, rare = self.slot[cols], self.slot[cols] < 0
+        self.dense = np.zeros((self.n_blocks, len(common), BLOCK))
+        self.dense[row[~rare] // BLOCK, at[~rare], row[~rare] % BLOCK] = vals[~rare]
+        self.most = np.ascontiguousarray(self.dense.max(axis=2).T)  # the block maxima of common terms
+        by = np.nonzero(rare)[0][np.argsort(cols[rare], kind="stable")]
+        self.post, self.post_vals = row[by].astype(np.int32), vals[by]
+        self.post_at = np.searchsorted(cols[by], np.arange(len(self.term_weight) + 1))
 
     def unit(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
         w = (1 + np.log(counts)) * self.term_weight[ids] if len(ids) else np.zeros(0)
         norm = math.sqrt(float(w @ w))
         return w / norm if norm else w
 
-    def _add(self, at: np.ndarray, where: np.ndarray, values: np.ndarray, ids: np.ndarray, q: np.ndarray, n: int) -> np.ndarray:
-        """Sums of q * value over the entries of the query's terms in a list by term."""
-        start, count = at[ids], at[ids + 1] - at[ids]
-        total = int(count.sum())
-        k = np.arange(total) + np.repeat(start - (np.cumsum(count) - count), count)
-        return np.bincount(where[k], np.repeat(q, count) * values[k], minlength=n)
-
-    def search(self, ids: np.ndarray, counts: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """(example numbers, cosines) of the k nearest examples with a cosine above 0, exactly; ties by number."""
-        q = self.unit(ids, counts)
-        best_i, best_c = np.zeros(0, np.int64), np.zeros(0)
-        if not len(ids) or not self.n_blocks:
-            return best_i, best_c
-
-        def keep(i, c):
-            ok = c > 0
-            i, c = np.concatenate([best_i, i[ok]]), np.concatenate([best_c, np.round(c[ok], 12)])
-            if len(c) > 4 * k:
-                near = c >= np.partition(c, len(c) - k)[len(c) - k]
-                i, c = i[near], c[near]
-            order = np.lexsort((i, -c))[:k]
-            return i[order], c[order]
-
-        bound = self._add(self.top_at, self.top_block, self.top, ids, q, self.n_blocks)
-        dense = np.zeros(len(self.term_weight))
-        dense[ids] = q
-        for seen, b in enumerate(np.argsort(-bound, kind="stable").tolist()):
-            least = best_c[-1] if len(best_c) == k else 0.0
-            if bound[b] <= 0 or bound[b] + 1e-9 < least:
-                break
-            if seen == FEW and int((bound + 1e-9 >= least).sum()) > 3 * FEW:
-                best_i, best_c = best_i[:0], best_c[:0]
-                return keep(np.arange(len(self.y)), self._add(self.post_at, self.post, self.post_vals, ids, q, len(self.y)))
-            lo, hi = b * BLOCK, min(len(self.y), (b + 1) * BLOCK)
-            at = self.rows[lo:hi + 1]
-            cos = np.add.reduceat(dense[self.cols[at[0]:at[-1]]] * self.vals[at[0]:at[-1]], at[:-1] - at[0])
-            best_i, best_c = keep(np.arange(lo, hi), cos)
-        return best_i, best_c
-
-    def votes(self, ids: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    def search_many(self, queries: list, k: int = NEIGHBOURS) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each (term ids, counts) the (example numbers, cosines) of the k nearest examples with a cosine
+        above 0, exactly; ties by number.
+
+        Rare terms are added up from their lists. Their largest sum in a block plus what
+        the block maxima of the common terms allow bounds every cosine in the block. The
+        FEW best blocks of each query give a k-th best cosine; then all blocks whose
+        bound reaches it are worked out, each for all queries that need it at once."""
+        n, wide, width = len(queries), self.n_blocks * BLOCK, len(self.y)
+        none = (np.zeros(0, np.int64), np.zeros(0))
+        if not wide or not n:
+            return [none] * n
+        common, parts = np.zeros((n, self.dense.shape[1])), []
+        for i, (ids, counts) in enumerate(queries):
+            q, slot = self.unit(ids, counts), self.slot[ids]
+            common[i, slot[slot >= 0]] = q[slot >= 0]
+            start, count = self.post_at[ids], self.post_at[ids + 1] - self.post_at[ids]
+            parts.append((start, count, q, np.full(len(ids), i * wide)))
+        start, count, q, base = (np.concatenate(x) for x in zip(*parts))
+        at = np.arange(int(count.sum())) + np.repeat(start - (np.cumsum(count) - count), count)
+        rare = np.bincount(np.repeat(base, count) + self.post[at], np.repeat(q, count) * self.post_vals[at],
+                           minlength=n * wide).reshape(n, self.n_blocks, BLOCK)
+        bound = common @ self.most + rare.max(axis=2)
+        cosine = np.full((n, self.n_blocks, BLOCK), -1.0)
+
+        def visit(need):
+            for b in np.nonzero(need.any(axis=0))[0].tolist():
+                who = np.nonzero(need[:, b])[0]
+                cosine[who, b] = common[who] @ self.dense[b] + rare[who, b]
+
+        few = min(FEW, self.n_blocks)
+        first = np.zeros(bound.shape, dtype=bool)
+        np.put_along_axis(first, np.argpartition(-bound, few - 1, axis=1)[:, :few], True, axis=1)
+        visit(first)
+        flat = cosine.reshape(n, wide)
+        least = np.maximum(np.partition(flat, max(0, wide - k), axis=1)[:, max(0, wide - k)], 0.0)
+        visit((bound > 0) & (bound + 1e-9 >= least[:, None]) & ~first)
+        out = []
+        for row in flat[:, :width]:
+            at = np.nonzero(row >= max(np.partition(row, width - k)[width - k] if width > k else 0.0, 1e-12) - 1e-12)[0]
+            c = np.round(row[at], 12)
+            order = np.lexsort((at, -c))[:k]
+            out.append((at[order][c[order] > 0], c[order][c[order] > 0]))
+        return out
+
+    def votes_many(self, queries: list) -> list[tuple[float, np.ndarray, np.ndarray]]:
         """(share of label 1 among the neighbours, by squared cosine, shrunk to the base rate; neighbours; cosines)."""
-        i, c = self.search(ids, counts)
-        w = self.weight[i] * c * c
-        return (float(w @ self.y[i]) + SHRINK * self.base) / (float(w.sum()) + SHRINK), i, c
+        out = []
+        for i, c in self.search_many(queries):
+            w = self.weight[i] * c * c
+            out.append(((float(w @ self.y[i]) + SHRINK * self.base) / (float(w.sum()) + SHRINK), i, c))
+        return out
 
 
 def calibration(votes: np.ndarray, y: np.ndarray, weight: np.ndarray, base: float) -> tuple[np.ndarray, np.ndarray]:
@@ -253,13 +278,14 @@ def calibration(votes: np.ndarray, y: np.ndarray, weight: np.ndarray, base: floa
     return at, np.maximum.accumulate(np.array([(p[0] + base) / (p[1] + 1.0) for p in pools]))
 
 
-def build_index(docs: DataFrame, rows: DataFrame, sizes: dict) -> tuple[list[str], dict]:
-    """(terms, examples) of the sample ``rows``: the vectors as flat arrays, idf over ``docs``, and what
+def build_index(docs: DataFrame, rows: DataFrame, sizes: dict) -> tuple[list[str], dict, DataFrame]:
+    """(terms, examples, the documents' vectors) of the sample ``rows``: the vectors as flat arrays, idf over ``docs``, and what
     label 1 adds to each term's weight, by all rows (the last row of ``plus``) and without each fold.
 
     Plain data of some tens of megabytes at most; tasks make indexes of it (``index_of``)."""
     terms, counts, totals = term_counts(rows)
-    df, n = document_counts(docs, terms)
+    all_vectors = document_vectors(docs, terms)
+    df, n = document_counts(all_vectors, len(terms))
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def vectors(frames):
@@ -283,7 +309,7 @@ def build_index(docs: DataFrame, rows: DataFrame, sizes: dict) -> tuple[list[str
     return terms, {"did": [e[0] for e in examples], "y": [e[1] for e in examples], "fold": [e[2] for e in examples],
                    "at": np.concatenate([[0], np.cumsum([len(e[3]) for e in examples])]).astype(np.int64), "ids": flat[0], "counts": flat[1],
                    "idf": np.log((1 + n) / (1 + df)) + 1e-3,  # a term of all documents keeps a trace of weight
-                   "plus": np.array([plus(p) for p in parts]), "sizes": sizes}
+                   "plus": np.array([plus(p) for p in parts]), "sizes": sizes}, all_vectors
 
 
 def index_of(examples: dict, without: int | None = None) -> Index:
@@ -303,12 +329,12 @@ def fold_votes(rows: DataFrame, terms: list[str], examples: dict) -> tuple[np.nd
         terms, examples = shared.value  # plain data: executors need no package
         number, of, index = {t: i for i, t in enumerate(terms)}, None, None
         for f in frames:  # sorted by fold: one index at a time
-            votes = []
-            for t, fold in zip(f.text, (f.c % FOLDS).tolist()):
+            for fold, part in f.groupby(f.c % FOLDS):
                 if fold != of:
                     of, index = fold, index_of(examples, fold)
-                votes.append(index.votes(*vector(t, number))[0])
-            yield pd.DataFrame({"votes": votes, "y": f.y})
+                for lo in range(0, len(part), TOGETHER):
+                    few = part[lo:lo + TOGETHER]
+                    yield pd.DataFrame({"votes": [v[0] for v in index.votes_many([vector(t, number) for t in few.text])], "y": few.y})
 
     dealt = rows.withColumn("f", F.col("c") % FOLDS).repartition(4 * FOLDS, "f", F.xxhash64("text") % 4).sortWithinPartitions("f").drop("f")
     got = dealt.mapInPandas(run, "votes double, y int").toArrow()
@@ -319,28 +345,33 @@ SCORED = ("did long, th long, score double, terms array<string>, "
           "evidence array<struct<doc_id: long, label: int, cosine: double>>")
 
 
-def scored(docs: DataFrame, shared) -> DataFrame:
-    """SCORED of (did, text) rows with the (terms, examples, calibration or None) in ``shared``."""
-    def run(frames):
+def scored(vectors: DataFrame, shared) -> DataFrame:
+    """SCORED of document vectors with the (terms, examples, calibration or None) in ``shared``."""
+    def run(batches):
         terms, examples, fit = shared.value
         idx, plus = index_of(examples), examples["plus"][FOLDS]
-        number = {t: i for i, t in enumerate(terms)}
-        for f in frames:
-            out = []
-            for t in f.text:
-                ids, counts = vector(t, number)
-                s, i, c = idx.votes(ids, counts)
-                marks = ids[plus[ids] > 0]
-                marks = marks[np.argsort(-plus[marks], kind="stable")]
-                out.append((s, [terms[k] for k in marks],
-                            [{"doc_id": a, "label": b, "cosine": x} for a, b, x in zip(idx.did[i].tolist(), idx.y[i].tolist(), c.tolist())]))
-            score, found, evidence = zip(*out) if out else ((), (), ())
-            if fit is not None:
-                score = np.interp(score, *fit)
-            yield pd.DataFrame({"did": f.did, "th": f.th, "score": score, "terms": found, "evidence": evidence})
-            del f, out
-
-    return docs.withColumn("th", F.xxhash64("text")).select("did", "text", "th").mapInPandas(run, SCORED)
+        marked = plus > 0
+        for whole in batches:
+            for lo in range(0, whole.num_rows, TOGETHER):
+                b = whole.slice(lo, TOGETHER)
+                queries = [unpacked(g.as_py(), c.as_py()) for g, c in zip(b.column(2), b.column(3))]
+                score, found, near, cosines = [], [], [], []
+                for (ids, _), (s, i, c) in zip(queries, idx.votes_many(queries)):
+                    marks = ids[marked[ids]]
+                    score.append(s)
+                    found.append([terms[k] for k in marks[np.argsort(-plus[marks], kind="stable")].tolist()])
+                    near.append(i)
+                    cosines.append(c)
+                if fit is not None:
+                    score = np.interp(score, *fit)
+                cut, i = np.cumsum([0] + [len(x) for x in near]), np.concatenate(near)
+                evidence = pa.StructArray.from_arrays([pa.array(idx.did[i]), pa.array(idx.y[i], pa.int32()), pa.array(np.concatenate(cosines))],
+                                                      ["doc_id", "label", "cosine"])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), b.column(1), pa.array(score, pa.float64()), pa.array(found, pa.list_(pa.string())),
+                     pa.ListArray.from_arrays(pa.array(cut, pa.int32()), evidence)], ["did", "th", "score", "terms", "evidence"])
+
+    return vectors.mapInArrow(run, SCORED)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -359,14 +390,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     base = keyed(docs, id_col, text_col)
     context = base.sparkSession.sparkContext
     rows, sizes = sample(base, labels, label_id, label)
-    terms, examples = build_index(base, rows, sizes)
+    terms, examples, vectors = build_index(base, rows, sizes)
     taken = np.bincount(examples["y"], minlength=2) if examples["y"] else np.zeros(2)
     fit = None
     if taken[1]:
         votes, y = fold_votes(rows, terms, examples)
         scale = np.array([sizes.get(k, 0) / max(1, taken[k]) for k in (0, 1)])
         fit = calibration(votes, y, (scale / scale[1])[y], sizes[1] / sum(sizes[k] for k in (0, 1) if taken[k]))
-    out = scored(base, context.broadcast((terms, examples, fit)))
+    out = scored(vectors, context.broadcast((terms, examples, fit)))
     return out.select("did", "th", real_id(F.col("did")).alias("doc_id"), held_out(F.col("did")).alias("held_out"),
                       "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "terms", "evidence")
 

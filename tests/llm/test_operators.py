@@ -348,28 +348,36 @@ def test_decontamination_finds_planted_passages(spark):
 
 # --- toxicity, quality classifier ------------------------------------------------
 
-def test_index_search_is_exact():
-    from chainlens.llm.toxicity import Index
+@pytest.mark.parametrize("common", [0, 7, 60])
+def test_index_search_is_exact(common, monkeypatch):
+    """Against cosines from plain dictionaries, with none, some and all terms held as block columns."""
+    from chainlens.llm import toxicity as T
 
+    monkeypatch.setattr(T, "COMMON", common)
     rng = np.random.default_rng(2)
-    examples = []
+    weight, examples = rng.uniform(0.5, 4, 60), []
     for i in range(400):
         ids = np.sort(rng.choice(60, rng.integers(0, 9), replace=False))
         examples.append((i, int(rng.integers(0, 2)), ids, rng.integers(1, 5, len(ids))))
-    index = Index(examples, rng.uniform(0.5, 4, 60), {0: 400, 1: 100})
-    dense = np.zeros((len(index.y), 60))
-    for k in range(len(index.y)):
-        at = slice(index.rows[k], index.rows[k + 1])
-        dense[k, index.cols[at]] = index.vals[at]
+    index = T.Index(examples, weight, {0: 400, 1: 100})
+    queries = []
     for _ in range(60):
-        ids = np.sort(rng.choice(60, rng.integers(1, 7), replace=False))
-        counts = rng.integers(1, 4, len(ids))
-        q = np.zeros(60)
-        q[ids] = index.unit(ids, counts)
-        cos = np.round(dense @ q, 12)
-        want = [k for k in np.lexsort((np.arange(len(cos)), -cos))[:15] if cos[k] > 0]
-        got, c = index.search(ids, counts)
-        assert got.tolist() == want and np.allclose(c, cos[want])
+        ids = np.sort(rng.choice(60, rng.integers(0, 7), replace=False))
+        queries.append((ids, rng.integers(1, 4, len(ids))))
+
+    def unit(ids, counts):
+        v = dict(zip(ids.tolist(), (1 + np.log(counts)) * weight[ids])) if len(ids) else {}
+        norm = sum(x * x for x in v.values()) ** 0.5
+        return {t: x / norm for t, x in v.items()}
+
+    vectors = {e[0]: unit(e[2], e[3]) for e in examples}
+    for q, (near, c) in zip(queries, index.search_many(queries)):
+        v = unit(*q)
+        cos = {d: round(sum(x * w[t] for t, x in v.items() if t in w), 10) for d, w in vectors.items()}
+        best = sorted((x for x in cos.values() if x > 0), reverse=True)[:15]
+        assert np.allclose(c, best, atol=1e-9) and len(set(near.tolist())) == len(near)
+        assert all(abs(cos[int(index.did[k])] - x) < 1e-9 for k, x in zip(near, c))
+    assert index.search_many([]) == []
 
 
 def test_toxicity(spark, odd, empty):

@@ -41,7 +41,7 @@ def test_neighbours_and_votes_equal_brute_force(spark):
 
     base = keyed(spark.read.parquet(f"{SF}/documents.parquet"))
     rows, sizes = T.sample(base, spark.read.parquet(f"{SF}/labels.parquet"))
-    terms, examples = T.build_index(base, rows, sizes)
+    terms, examples, _ = T.build_index(base, rows, sizes)
     index = T.index_of(examples)
     sample = rows.collect()
     texts = {r.did: r.text for r in base.collect()}
@@ -74,7 +74,7 @@ def test_neighbours_and_votes_equal_brute_force(spark):
         q = unit(count[i])
         cos = {d: sum(x * v[t] for t, x in q.items() if t in v) for d, v in vectors.items()}
         want = sorted((c for c in cos.values() if c > 0), reverse=True)[:15]
-        s, near, c = index.votes(*T.vector(texts[i], number))
+        s, near, c = index.votes_many([T.vector(texts[i], number)])[0]
         assert np.allclose(c, want, atol=1e-9)
         assert all(abs(cos[int(index.did[k])] - x) < 1e-9 for k, x in zip(near, c))
         taken = Counter(label.values())

@@ -120,7 +120,9 @@ def document_vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
 
     out = docs.withColumn("th", F.xxhash64("text")).select("did", "text", "th").mapInArrow(
         run, "did long, th long, gaps binary, counts binary")
-    return materialize(out, "toxic-vectors")
+    out = materialize(out, "toxic-vectors")
+    shared.destroy()
+    return out
 
 
 def unpacked(gaps: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -190,9 +192,10 @@ class Index:
         self.weight = np.array([scale[e[1]] / max(scale[1], 1e-9) for e in full]) if scale[1] else np.ones(len(full))
         size = np.array([len(e[2]) for e in full], dtype=np.int64)
         self.n_blocks = -(-len(full) // BLOCK)
-        cols = np.concatenate([np.asarray(e[2], dtype=np.int64) for e in full]) if full else np.zeros(0, np.int64)
+        cols = np.concatenate([np.asarray(e[2], dtype=np.int32) for e in full]) if full else np.zeros(0, np.int32)
         vals = np.concatenate([unit[i] for i in order]) if full else np.zeros(0)
-        row = np.repeat(np.arange(len(full)), size)
+        del unit
+        row = np.repeat(np.arange(len(full), dtype=np.int32), size)
         # the commonest terms stand as one column of values for each block, the others as lists by term
         held = np.bincount(cols, minlength=len(self.term_weight))
         common = np.argsort(-held, kind="stable")[:min(COMMON, int((held > 0).sum()))]
@@ -296,6 +299,7 @@ def build_index(docs: DataFrame, rows: DataFrame, sizes: dict) -> tuple[list[str
                                 "counts": [g[1].astype(np.int32) for g in got]})
 
     got = rows.mapInPandas(vectors, "did long, y int, fold long, ids array<int>, counts array<int>").toArrow()
+    shared.destroy()
     lists = [[x.values.to_numpy() for x in got[k]] for k in ("ids", "counts")]
     examples = sorted(zip(got["did"].to_pylist(), got["y"].to_pylist(), got["fold"].to_pylist(), *lists),
                       key=lambda e: (e[0], e[1], len(e[3]), e[3].tobytes(), e[4].tobytes()))
@@ -307,37 +311,41 @@ def build_index(docs: DataFrame, rows: DataFrame, sizes: dict) -> tuple[list[str
 
     parts = [[g for g in range(FOLDS) if g != f] for f in range(FOLDS)] + [list(range(FOLDS))]
     return terms, {"did": [e[0] for e in examples], "y": [e[1] for e in examples], "fold": [e[2] for e in examples],
-                   "at": np.concatenate([[0], np.cumsum([len(e[3]) for e in examples])]).astype(np.int64), "ids": flat[0], "counts": flat[1],
+                   "at": np.concatenate([[0], np.cumsum([len(e[3]) for e in examples])]).astype(np.int64), "ids": flat[0],
+                   "counts": flat[1].astype(np.uint16) if flat[1].max(initial=0) < 1 << 16 else flat[1],
                    "idf": np.log((1 + n) / (1 + df)) + 1e-3,  # a term of all documents keeps a trace of weight
                    "plus": np.array([plus(p) for p in parts]), "sizes": sizes}, all_vectors
 
 
+def example(examples: dict, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """(term ids, counts) of an example."""
+    at = slice(examples["at"][i], examples["at"][i + 1])
+    return examples["ids"][at].astype(np.int64), examples["counts"][at].astype(np.int64)
+
+
 def index_of(examples: dict, without: int | None = None) -> Index:
     """The index of all examples, or of those of the other folds, weighted by what these say of terms."""
-    cut, flat = examples["at"].tolist(), (examples["ids"], examples["counts"])
-    rows = [(d, y, *(x[cut[i]:cut[i + 1]] for x in flat)) for i, (d, y, f) in enumerate(zip(*(examples[k] for k in ("did", "y", "fold"))))
-            if f != without]
-    plus = examples["plus"][FOLDS if without is None else without]
+    rows = [(examples["did"][i], examples["y"][i], *example(examples, i)) for i, f in enumerate(examples["fold"]) if f != without]
+    plus = examples["plus"][-1 if without is None else without]
     return Index(rows, examples["idf"] * (1 + plus), examples["sizes"])
 
 
-def fold_votes(rows: DataFrame, terms: list[str], examples: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(votes, label) of every row of the sample, with the index of the other folds."""
-    shared = rows.sparkSession.sparkContext.broadcast((terms, examples))
+def fold_votes(spark, examples: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(votes, label) of every example, with the index of the other folds; one task for each fold."""
+    shared = spark.sparkContext.broadcast(examples)
 
     def run(frames):
-        terms, examples = shared.value  # plain data: executors need no package
-        number, of, index = {t: i for i, t in enumerate(terms)}, None, None
-        for f in frames:  # sorted by fold: one index at a time
-            for fold, part in f.groupby(f.c % FOLDS):
-                if fold != of:
-                    of, index = fold, index_of(examples, fold)
-                for lo in range(0, len(part), TOGETHER):
-                    few = part[lo:lo + TOGETHER]
-                    yield pd.DataFrame({"votes": [v[0] for v in index.votes_many([vector(t, number) for t in few.text])], "y": few.y})
-
-    dealt = rows.withColumn("f", F.col("c") % FOLDS).repartition(4 * FOLDS, "f", F.xxhash64("text") % 4).sortWithinPartitions("f").drop("f")
-    got = dealt.mapInPandas(run, "votes double, y int").toArrow()
+        examples = shared.value  # plain data: executors need no package
+        for f in frames:
+            for fold in f.id.tolist():
+                index, mine = index_of(examples, fold), [i for i, g in enumerate(examples["fold"]) if g == fold]
+                for lo in range(0, len(mine), TOGETHER):
+                    few = mine[lo:lo + TOGETHER]
+                    got = index.votes_many([example(examples, i) for i in few])
+                    yield pd.DataFrame({"votes": [v[0] for v in got], "y": [examples["y"][i] for i in few]})
+
+    got = spark.range(0, FOLDS, 1, FOLDS).mapInPandas(run, "votes double, y int").toArrow()
+    shared.destroy()
     return got["votes"].to_numpy(), got["y"].to_numpy()
 
 
@@ -346,10 +354,10 @@ SCORED = ("did long, th long, score double, terms array<string>, "
 
 
 def scored(vectors: DataFrame, shared) -> DataFrame:
-    """SCORED of document vectors with the (terms, examples, calibration or None) in ``shared``."""
+    """SCORED of document vectors with the (terms that label 1 favours by id, examples, calibration or None) in ``shared``."""
     def run(batches):
         terms, examples, fit = shared.value
-        idx, plus = index_of(examples), examples["plus"][FOLDS]
+        idx, plus = index_of(examples), examples["plus"][-1]
         marked = plus > 0
         for whole in batches:
             for lo in range(0, whole.num_rows, TOGETHER):
@@ -394,10 +402,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     taken = np.bincount(examples["y"], minlength=2) if examples["y"] else np.zeros(2)
     fit = None
     if taken[1]:
-        votes, y = fold_votes(rows, terms, examples)
+        votes, y = fold_votes(base.sparkSession, examples)
         scale = np.array([sizes.get(k, 0) / max(1, taken[k]) for k in (0, 1)])
         fit = calibration(votes, y, (scale / scale[1])[y], sizes[1] / sum(sizes[k] for k in (0, 1) if taken[k]))
-    out = scored(vectors, context.broadcast((terms, examples, fit)))
+    plus = examples["plus"][-1]
+    out = scored(vectors, context.broadcast(({int(k): terms[k] for k in np.nonzero(plus > 0)[0]}, {**examples, "plus": plus[None]}, fit)))
     return out.select("did", "th", real_id(F.col("did")).alias("doc_id"), held_out(F.col("did")).alias("held_out"),
                       "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "terms", "evidence")
 

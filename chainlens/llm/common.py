@@ -51,6 +51,20 @@ def real_id(did: Column) -> Column:
     return F.nullif(did, F.lit(NULL_ID))
 
 
+def release() -> None:
+    """Give what a finished task no longer uses back to the system: Python workers wait idle for the next stage."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of edges (a, b): rows (node, root), root the smallest node.
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chainlens.llm.common import NULL_ID, components, keyed, materialize, real_id
+from chainlens.llm.common import NULL_ID, components, keyed, materialize, real_id, release
 
 #: every byte value as eight byte lanes of one bit each, lane k for bit k
 _LANES = np.array([sum(((b >> k) & 1) << (8 * k) for k in range(8)) for b in range(256)], dtype=np.uint64)
@@ -67,6 +67,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = [fingerprint(t.as_py(), shingle) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array(np.array(fps, dtype=np.uint64).view(np.int64), pa.int64())], ["did", "th", "fp"])
+        release()
 
     return keyed(docs, id_col, text_col).withColumn("th", F.xxhash64("text")).mapInArrow(run, "did long, th long, fp long")
 

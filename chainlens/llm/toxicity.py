@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainlens.llm.common import keyed, materialize, real_id
+from chainlens.llm.common import keyed, materialize, real_id, release
 
 #: the sample of labelled rows: at most so many of label 1 and of label 0
 MAX_TOXIC, MAX_CLEAN = 2000, 4000
@@ -33,15 +33,23 @@ START, CHANCE = 5, 3.84
 #: parts of the sample, each scored by the others for the calibration
 FOLDS = 4
 #: blocks that a search visits to learn a k-th best cosine; queries that are searched together; terms that are common
-FEW, TOGETHER, COMMON = 3, 64, 768
+FEW, TOGETHER, COMMON = 3, 64, 512
+#: words whose ids a task keeps
+SEEN = 100_000
 #: bytes to bytes: ASCII letters and whatever is beyond ASCII stay, the rest is a space
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 
-def terms_of(text: str) -> Counter:
-    """Counts of the words (lower case; every ASCII byte that is no letter separates) and of the starts of longer words."""
+def words_of(text: str) -> Counter:
+    """Counts of the words (lower case; every ASCII byte that is no letter separates)."""
     words = Counter(text.lower().encode("utf-8", "surrogatepass").translate(_LETTERS).decode("utf-8", "surrogatepass").split(" "))
     words.pop("", None)
+    return words
+
+
+def terms_of(text: str) -> Counter:
+    """Counts of the words and of the starts of longer words."""
+    words = words_of(text)
     for w, n in list(words.items()):
         if len(w) > START:
             words["^" + w[:START]] += n
@@ -111,12 +119,14 @@ def document_vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches):
-        number = {t: i for i, t in enumerate(shared.value)}
+        number, seen = {t: i for i, t in enumerate(shared.value)}, {}
         for b in batches:
-            got = [vector(t.as_py(), number) for t in b.column(1)]
+            got = [vector(t.as_py(), number, seen) for t in b.column(1)]
             gaps = [np.diff(ids, prepend=0).astype("<u4").tobytes() for ids, _ in got]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(gaps, pa.binary()), pa.array(
                 [c.astype("<u4").tobytes() for _, c in got], pa.binary())], ["did", "th", "gaps", "counts"])
+        del number, seen
+        release()
 
     out = docs.withColumn("th", F.xxhash64("text")).select("did", "text", "th").mapInArrow(
         run, "did long, th long, gaps binary, counts binary")
@@ -163,14 +173,28 @@ def favour(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, np.where(a > e1, g, 0.0) - CHANCE))
 
 
-def vector(text: str, number: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(term ids, counts) of the index terms in a text, by id."""
-    found = terms_of(text)
-    known = list(found.keys() & number.keys())
-    ids = np.fromiter(map(number.__getitem__, known), np.int64, len(known))
-    counts = np.fromiter(map(found.__getitem__, known), np.int64, len(known))
-    by = np.argsort(ids)
-    return ids[by], counts[by]
+def vector(text: str, number: dict, seen: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(term ids, counts) of the index terms in a text, by id. ``seen`` keeps the two ids of words met before."""
+    seen = {} if seen is None else seen
+    if len(seen) > SEEN:
+        seen.clear()
+    words = words_of(text)
+
+    def learn(w):  # the ids of the word and of its start, 0 for none, in one number
+        start = number.get("^" + w[:START], -1) if len(w) > START else -1
+        seen[w] = (number.get(w, -1) + 1 << 31) + start + 1
+        return seen[w]
+
+    both = np.fromiter([seen[w] if w in seen else learn(w) for w in words], np.int64, len(words))
+    ids = np.concatenate([both >> 31, both & (1 << 31) - 1]) - 1
+    counts = np.tile(np.fromiter(words.values(), np.int64, len(words)), 2)
+    known = np.nonzero(ids >= 0)[0]
+    by = known[np.argsort(ids[known], kind="stable")]
+    if not len(by):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ids = ids[by]
+    first = np.nonzero(np.diff(ids, prepend=-1))[0]
+    return ids[first], np.add.reduceat(counts[by], first)
 
 
 class Index:
@@ -343,6 +367,8 @@ def fold_votes(spark, examples: dict) -> tuple[np.ndarray, np.ndarray]:
                     few = mine[lo:lo + TOGETHER]
                     got = index.votes_many([example(examples, i) for i in few])
                     yield pd.DataFrame({"votes": [v[0] for v in got], "y": [examples["y"][i] for i in few]})
+                del index
+                release()
 
     got = spark.range(0, FOLDS, 1, FOLDS).mapInPandas(run, "votes double, y int").toArrow()
     shared.destroy()
@@ -378,6 +404,8 @@ def scored(vectors: DataFrame, shared) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(1), pa.array(score, pa.float64()), pa.array(found, pa.list_(pa.string())),
                      pa.ListArray.from_arrays(pa.array(cut, pa.int32()), evidence)], ["did", "th", "score", "terms", "evidence"])
+        del idx
+        release()
 
     return vectors.mapInArrow(run, SCORED)
 

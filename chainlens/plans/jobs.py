@@ -126,15 +126,19 @@ def process_new_batches(spark: SparkSession, txs_path: str, blocks_path: str, la
     return todo
 
 
-def copy_batches(spark: SparkSession, src_path: str, out_path: str, columns: list[str] | None = None,
+def copy_batches(spark: SparkSession, src: str | DataFrame, out_path: str, columns: list[str] | None = None,
                  per_commit: int = 1000) -> DataFrame:
     """Pass-through copy of a batched dataset (or some of its columns), skipping
-    batches present. With nothing pending no data is read and nothing is written."""
+    batches present. Of a folder, the batches come from its listing: with nothing pending
+    no data is read and nothing is written. Of a frame, they come from its rows."""
     path = scratch_path(spark, "copying")
-    pending_states(spark, batch_states(batch_files(spark, src_path)), out_path).write.parquet(path)
+    folder = isinstance(src, str)
+    states = batch_states(batch_files(spark, src)) if folder else src.select(BATCH).distinct()
+    pending_states(spark, states, out_path).write.parquet(path)
     todo = spark.read.parquet(path)
     for rows in commits(todo, per_commit):
-        df = read_batches(spark, src_path, [r[BATCH] for r in rows])
+        ids = [r[BATCH] for r in rows]
+        df = read_batches(spark, src, ids) if folder else src.filter(F.col(BATCH).isin(ids))
         write_batches(df.select(*dict.fromkeys([*(columns or df.columns), BATCH])), out_path)
         record(spark.createDataFrame(rows, todo.schema), out_path)
     return todo

@@ -250,16 +250,22 @@ class Index:
         none = (np.zeros(0, np.int64), np.zeros(0))
         if not wide or not n:
             return [none] * n
-        common, parts = np.zeros((n, self.dense.shape[1])), []
-        for i, (ids, counts) in enumerate(queries):
+        common, rare = np.zeros((n, self.dense.shape[1])), np.zeros((n, wide))
+        for i, (ids, counts) in enumerate(queries):  # one at a time: the postings of a query stay in the cache
             q, slot = self.unit(ids, counts), self.slot[ids]
             common[i, slot[slot >= 0]] = q[slot >= 0]
             start, count = self.post_at[ids], self.post_at[ids + 1] - self.post_at[ids]
-            parts.append((start, count, q, np.full(len(ids), i * wide)))
-        start, count, q, base = (np.concatenate(x) for x in zip(*parts))
-        at = np.arange(int(count.sum())) + np.repeat(start - (np.cumsum(count) - count), count)
-        rare = np.bincount(np.repeat(base, count) + self.post[at], np.repeat(q, count) * self.post_vals[at],
-                           minlength=n * wide).reshape(n, self.n_blocks, BLOCK)
+            has = np.nonzero(count)[0]
+            if not len(has):
+                continue
+            start, count = start[has], count[has]
+            end = np.cumsum(count)
+            at = np.repeat(start - (end - count), count)
+            at += np.arange(end[-1])
+            value = np.repeat(q[has], count)
+            value *= self.post_vals[at]
+            rare[i] = np.bincount(self.post[at], value, minlength=wide)
+        rare = rare.reshape(n, self.n_blocks, BLOCK)
         bound = common @ self.most + rare.max(axis=2)
         cosine = np.full((n, self.n_blocks, BLOCK), -1.0)
 
@@ -276,8 +282,10 @@ class Index:
         least = np.maximum(np.partition(flat, max(0, wide - k), axis=1)[:, max(0, wide - k)], 0.0)
         visit((bound > 0) & (bound + 1e-9 >= least[:, None]) & ~first)
         out = []
-        for row in flat[:, :width]:
-            at = np.nonzero(row >= max(np.partition(row, width - k)[width - k] if width > k else 0.0, 1e-12) - 1e-12)[0]
+        for row, low in zip(flat[:, :width], least):
+            at = np.nonzero(row >= max(low, 1e-12) - 1e-12)[0]
+            if len(at) > k:  # all within rounding of the k-th best or above
+                at = at[row[at] >= np.partition(row[at], len(at) - k)[len(at) - k] - 1e-12]
             c = np.round(row[at], 12)
             order = np.lexsort((at, -c))[:k]
             out.append((at[order][c[order] > 0], c[order][c[order] > 0]))

@@ -229,7 +229,8 @@ class Index:
         self.dense = np.zeros((self.n_blocks, len(common), BLOCK))
         self.dense[row[~rare] // BLOCK, at[~rare], row[~rare] % BLOCK] = vals[~rare]
         self.most = np.ascontiguousarray(self.dense.max(axis=2).T)  # the block maxima of common terms
-        by = np.nonzero(rare)[0][np.argsort(cols[rare], kind="stable")]
+        by = np.nonzero(rare)[0]
+        by = np.sort((cols[by].astype(np.int64) << 32) + by) & (1 << 32) - 1  # by term, then by example
         self.post, self.post_vals = row[by].astype(np.int32), vals[by]
         self.post_at = np.searchsorted(cols[by], np.arange(len(self.term_weight) + 1))
 

@@ -51,6 +51,14 @@ def real_id(did: Column) -> Column:
     return F.nullif(did, F.lit(NULL_ID))
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """At most ``rows`` rows in an Arrow batch of this session: whole texts travel in them, and what a
+    Python worker holds grows with a batch. A smaller setting of the session's own stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def release() -> None:
     """Give what a finished task no longer uses back to the system: Python workers wait idle for the next stage."""
     import ctypes

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainlens.llm.common import keyed, materialize, real_id, release
+from chainlens.llm.common import keyed, materialize, real_id, release, short_batches
 
 #: the sample of labelled rows: at most so many of label 1 and of label 0
 MAX_TOXIC, MAX_CLEAN = 2000, 4000
@@ -434,6 +434,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """
     base = keyed(docs, id_col, text_col)
     context = base.sparkSession.sparkContext
+    short_batches(base.sparkSession)
     rows, sizes = sample(base, labels, label_id, label)
     terms, examples, vectors = build_index(base, rows, sizes)
     taken = np.bincount(examples["y"], minlength=2) if examples["y"] else np.zeros(2)

@@ -33,7 +33,7 @@ START, CHANCE = 5, 3.84
 #: parts of the sample, each scored by the others for the calibration
 FOLDS = 4
 #: blocks that a search visits to learn a k-th best cosine; queries that are searched together; terms that are common
-FEW, TOGETHER, COMMON = 3, 64, 512
+FEW, TOGETHER, COMMON = 3, 64, 1024
 #: words whose ids a task keeps
 SEEN = 100_000
 #: bytes to bytes: ASCII letters and whatever is beyond ASCII stay, the rest is a space

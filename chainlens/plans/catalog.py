@@ -251,14 +251,13 @@ def q_rollups_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 #: the stand-in days are split here; blocks older than LATE_DAY with a number divisible by 7 come late
-SPLIT_DAY, LATE_DAY, CLOSING_DAY = "1998-06-01", "1998-04-01", "2002-01-01"
+SPLIT_DAY, LATE_DAY = "1998-06-01", "1998-04-01"
 
 
 def q_daily_totals_stream(spark: SparkSession, d: str) -> DataFrame:
-    """Q31: daily totals per sequencer from a streamed rollup table, in append mode with a
-    watermark of one day. Three arrivals: the days before SPLIT_DAY; the later days, with
-    some rows of old days whose windows are closed, which are dropped; and one closing
-    row, which moves the watermark past all other days (its own day stays open)."""
+    """Q31: daily totals per sequencer from a streamed rollup table, every row counted. Two
+    arrivals: the days before SPLIT_DAY; then the later days, with some rows of old days,
+    whose totals are corrected, and the rows without a day."""
     from chainlens.plans.jobs import scratch_path
     from chainlens.streaming.incremental import start_daily_totals_stream
 
@@ -267,14 +266,11 @@ def q_daily_totals_stream(spark: SparkSession, d: str) -> DataFrame:
     df = spark.read.parquet(all_rows)
     day = F.to_date("block_datetime")
     late = (day < F.lit(LATE_DAY).cast("date")) & (F.col("block_number") % 7 == 0)
-    old = day < F.lit(SPLIT_DAY).cast("date")
-    closing = spark.range(1).select(F.lit(-1).cast("long").alias("block_number"), F.lit(CLOSING_DAY).cast("timestamp_ntz").alias("block_datetime"),
-                                    F.lit("closing").alias("sequencer_names"), F.lit(0).cast("long").alias("gas_used"),
-                                    F.lit(0).cast("long").alias("n_input_bytes"))
+    first = F.coalesce((day < F.lit(SPLIT_DAY).cast("date")) & ~late, F.lit(False))
     out, ck = scratch_path(spark, "daily"), scratch_path(spark, "ckpt")
-    for arrival in (df.filter(old & ~late), df.filter(late | ~old), closing):
+    for arrival in (df.filter(first), df.filter(~first)):
         arrival.write.mode("append").parquet(src)
-        start_daily_totals_stream(spark, src, out, ck).awaitTermination()
+        start_daily_totals_stream(spark, src, out, ck, mode="complete").awaitTermination()
     return spark.read.parquet(out).withColumn("day", F.col("day").cast("date"))
 
 

@@ -10,8 +10,9 @@ side is matched after a restart too, and replaying a micro-batch after a failure
 rewrites the same partitions: the sink is exactly-once. What reaches the driver is the
 ids of one micro-batch, whose files the driver lists anyway.
 
-T2: per-day totals per sequencer over an arriving rollup table, with a
-watermark on the event time and tumbling one-day windows.
+T2: per-day totals per sequencer over an arriving rollup table: in append mode with a
+watermark on the event time and tumbling one-day windows, in complete mode over every
+row, however late it comes.
 """
 
 from __future__ import annotations
@@ -80,16 +81,18 @@ def start_rollups_stream(spark: SparkSession, txs_path: str, blocks_path: str,
     return w.start()
 
 
-def daily_totals(stream: DataFrame, watermark: str = "1 day") -> DataFrame:
+def daily_totals(stream: DataFrame, watermark: str | None = "1 day") -> DataFrame:
     """T2 transform: rows, gas and calldata per (day, sequencer). Event time is
-    ``block_datetime`` (naive UTC), cast to a timestamp for the watermark."""
+    ``block_datetime`` (naive UTC), cast to a timestamp for the watermark. Without a
+    watermark no row is late, and rows without a time are a day of their own (null)."""
+    sums = [F.count(F.lit(1)).alias("n_txs"), F.sum("gas_used").alias("gas_used"),
+            F.sum("n_input_bytes").alias("n_input_bytes")]
+    if watermark is None:
+        return stream.groupBy(F.to_date("block_datetime").alias("day"), "sequencer_names").agg(*sums)
     t = F.col("block_datetime").cast("timestamp")
-    return (stream.withColumn("_et", t)
-                  .withWatermark("_et", watermark)
-                  .groupBy(F.window("_et", "1 day").alias("w"), "sequencer_names")
-                  .agg(F.count(F.lit(1)).alias("n_txs"),
-                       F.sum("gas_used").alias("gas_used"),
-                       F.sum("n_input_bytes").alias("n_input_bytes")))
+    by_day = stream.withColumn("_et", t).withWatermark("_et", watermark).groupBy(
+        F.window("_et", "1 day").alias("w"), "sequencer_names").agg(*sums)
+    return by_day.select(F.to_date(F.col("w.start")).alias("day"), "sequencer_names", "n_txs", "gas_used", "n_input_bytes")
 
 
 def start_daily_totals_stream(spark: SparkSession, rollups_path: str, out_path: str,
@@ -97,18 +100,16 @@ def start_daily_totals_stream(spark: SparkSession, rollups_path: str, out_path:
                               watermark: str = "1 day",
                               available_now: bool = True) -> StreamingQuery:
     """Daily totals to parquet. In ``append`` mode a day is emitted
-    once the watermark passes it (late rows are dropped); ``complete`` rewrites
-    the whole small result each micro-batch (used to compare with batch)."""
+    once the watermark passes it (late rows are dropped); ``complete`` counts every
+    row and rewrites the whole small result (days by sequencers) each micro-batch."""
     schema = spark.read.parquet(rollups_path).schema
     src = spark.readStream.schema(schema).parquet(rollups_path)
-    agg = daily_totals(src, watermark).select(
-        F.to_date(F.col("w.start")).alias("day"), "sequencer_names", "n_txs",
-        "gas_used", "n_input_bytes")
+    agg = daily_totals(src, None if mode == "complete" else watermark)
 
     def sink(micro: DataFrame, epoch_id: int) -> None:
         # days are partitions, replaced dynamically: a replayed micro-batch
         # rewrites the same days (exactly-once), in append or complete mode
-        (micro.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (micro.repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("day").parquet(out_path))
 
     w = (agg.writeStream.outputMode(mode).foreachBatch(sink)

@@ -185,16 +185,32 @@ def test_micro_batch_reads_its_own_batches_only(spark):
     assert sum(p["numInputRows"] for p in query.recentProgress) == n_files  # a row per file, not per row of data
 
 
-def test_daily_totals_differ_without_watermark(spark, monkeypatch):
-    """The registered query drops the late rows; with an endless watermark it would keep them."""
+def test_daily_totals_query_counts_every_row(spark):
+    """The late rows of the registered query are in its totals."""
     from chainlens.plans import catalog
-    from chainlens.streaming import incremental
 
-    start = incremental.start_daily_totals_stream
-    kept = catalog.q_daily_totals_stream(spark, D).agg(F.sum("n_txs"), F.max("day")).first()
-    monkeypatch.setattr(incremental, "start_daily_totals_stream", lambda *a, **k: start(*a, **{**k, "mode": "complete"}))
-    whole = catalog.q_daily_totals_stream(spark, D).filter("sequencer_names <> 'closing'").agg(F.sum("n_txs"), F.max("day")).first()
-    assert kept[0] < whole[0] and kept[1] == whole[1]
+    rollups = catalog.rollups
+    got = catalog.q_daily_totals_stream(spark, D).select("day", "sequencer_names", "n_txs", "gas_used", "n_input_bytes")
+    want = rollups(spark, D).groupBy(F.to_date("block_datetime").alias("day"), "sequencer_names").agg(
+        F.count("*").alias("n_txs"), F.sum("gas_used").alias("gas_used"), F.sum("n_input_bytes").alias("n_input_bytes"))
+    late = rollups(spark, D).filter(f"to_date(block_datetime) < date'{catalog.LATE_DAY}' and block_number % 7 = 0")
+    assert late.count() > 0 and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_daily_totals_complete_mode_keeps_late_and_undated_rows(spark):
+    import datetime as dt
+
+    from chainlens.plans.jobs import scratch_path
+    from chainlens.streaming.incremental import start_daily_totals_stream
+
+    schema = "block_datetime timestamp_ntz, sequencer_names string, gas_used long, n_input_bytes long"
+    src, out, ck = (scratch_path(spark, f"complete-{k}") for k in ("src", "out", "ck"))
+    day = lambda d: dt.datetime(2024, 1, d)
+    for rows in ([(day(1), "a", 1, 1), (day(9), "a", 2, 2)], [(day(1), "a", 4, 4), (None, "a", 8, 8), (None, "b", None, 1)]):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(src)
+        start_daily_totals_stream(spark, src, out, ck, mode="complete").awaitTermination()
+    got = {(r.day, r.sequencer_names): (r.n_txs, r.gas_used) for r in spark.read.parquet(out).collect()}
+    assert got == {(dt.date(2024, 1, 1), "a"): (2, 5), (dt.date(2024, 1, 9), "a"): (1, 2), (None, "a"): (1, 8), (None, "b"): (1, None)}
 
 
 def test_pending_batches_prune_folders(spark):

@@ -18,8 +18,8 @@ order column, e.g. ``block_number div C``):
    into the next bucket, so ``lag(x, n)`` inside ``part + bucket`` is exact.
    Each bucket holds at most ``K + max(n)`` rows, whatever the skew.
 
-A trailing ``n``-row mean is then ``(cs[rn] - cs[rn-n]) / n`` (prefix sums,
-O(rows) instead of O(rows * n)), null unless the frame holds ``n`` non-null
+A trailing ``n``-row mean is then ``(cs[rn] - cs[rn-n]) / n`` (prefix sums of a bucket
+and its halo, O(rows) instead of O(rows * n)), null unless the frame holds ``n`` non-null
 values, which is the ``min_periods = window`` rule of the surveyed library.
 """
 
@@ -52,6 +52,13 @@ def _exact_sum_type(dt: T.DataType) -> str:
     return "double"
 
 
+def _keys_over(part_cols: Sequence[str], w) -> list[Column]:
+    """The columns ``part_cols`` read off the window ``w``. A not-null filter that Spark infers from
+    the caller's join then stays above the window: what is below it equals the plan of
+    the caller's rows, whose exchange is reused."""
+    return [F.lag(c, 0).over(w).alias(c) for c in part_cols]
+
+
 def _exclusive_sums(totals: DataFrame, part_cols: Sequence[str], chunk: str,
                     sums: Mapping[str, tuple[str, str]]) -> DataFrame:
     """(*part_cols, chunk, *sums): for each ``out -> (column, type)`` the sum over the
@@ -63,7 +70,7 @@ def _exclusive_sums(totals: DataFrame, part_cols: Sequence[str], chunk: str,
 
     if part_cols:
         w = Window.partitionBy(*part_cols).orderBy(chunk)
-        return totals.select(*part_cols, chunk, *[before(c, k, w).alias(o) for o, (c, k) in sums.items()])
+        return totals.select(*_keys_over(part_cols, w), chunk, *[before(c, k, w).alias(o) for o, (c, k) in sums.items()])
     t = totals.withColumn("_grp", chunk_col(chunk, GROUP_CHUNKS))
     groups = t.groupBy("_grp").agg(*[F.sum(c).alias(c) for c, _ in sums.values()])
     groups = groups.select("_grp", *[before(c, k, Window.orderBy("_grp")).alias(f"{o}_grp")
@@ -118,6 +125,16 @@ def add_positions(df: DataFrame, part_cols: Sequence[str], chunk: str,
     return out.withColumns(res).drop(*drop)
 
 
+def halo_buckets(df: DataFrame, part_cols: Sequence[str], max_n: int, rn: str = RN, bucket_rows: int | None = None):
+    """(rows with ``_bkt`` and ``_halo``, the window over ``part + bucket`` by ``rn``): each row
+    in its bucket, the last ``max_n`` rows of a bucket also in the next one, as its halo."""
+    k = max(bucket_rows or DEFAULT_BUCKET_ROWS, 4 * max_n)
+    base = F.floor((F.col(rn) - 1) / F.lit(k)).cast("bigint")
+    copies = F.when(F.pmod(F.col(rn) - 1, F.lit(k)) >= F.lit(k - max_n), F.array(base, base + 1)).otherwise(F.array(base))
+    d = df.withColumn("_bkt", F.explode(copies)).withColumn("_halo", F.col("_bkt") != base)
+    return d, Window.partitionBy(*part_cols, "_bkt").orderBy(rn)
+
+
 def lag_positions(df: DataFrame, part_cols: Sequence[str], cols: Sequence[str],
                   ns: Sequence[int], rn: str = RN,
                   bucket_rows: int | None = None) -> DataFrame:
@@ -128,18 +145,9 @@ def lag_positions(df: DataFrame, part_cols: Sequence[str], cols: Sequence[str],
     with ``max(ns) / K`` extra rows.
     """
     ns = sorted({int(n) for n in ns})
-    max_n = max(ns)
-    k = max(bucket_rows or DEFAULT_BUCKET_ROWS, 4 * max_n)
-    base = F.floor((F.col(rn) - 1) / F.lit(k)).cast("bigint")
-    in_halo = F.pmod(F.col(rn) - 1, F.lit(k)) >= F.lit(k - max_n)
-    d = (df.withColumn("_b0", base)
-           .withColumn("_bkt", F.explode(F.when(in_halo, F.array(base, base + 1))
-                                          .otherwise(F.array(base)))))
-    w = Window.partitionBy(*part_cols, "_bkt").orderBy(rn)
+    d, w = halo_buckets(df, part_cols, max(ns), rn, bucket_rows)
     lags = {f"_lag{n}_{c}": F.lag(c, n).over(w) for n in ns for c in cols}
-    return (d.withColumns(lags)
-             .filter(F.col("_bkt") == F.col("_b0"))
-             .drop("_bkt", "_b0"))
+    return d.withColumns(lags).filter(~F.col("_halo")).drop("_bkt", "_halo")
 
 
 def rolling_means(df: DataFrame, value: str, part_cols: Sequence[str], chunk: str,
@@ -153,16 +161,23 @@ def rolling_means(df: DataFrame, value: str, part_cols: Sequence[str], chunk: st
     """
     part_cols = list(part_cols)
     narrow = df.select(*dict.fromkeys([*part_cols, chunk, *order_cols, value]))
-    pos = add_positions(narrow, part_cols, chunk, order_cols, value)
-    pos = pos.select(*part_cols, chunk, LRN, RN, CS, CC)
-    lagged = lag_positions(pos, part_cols, [CS, CC], windows.values(), RN, bucket_rows)
+    pos = add_positions(narrow, part_cols, chunk, order_cols).select(*part_cols, chunk, LRN, RN, value)
+    # only the values travel: prefix sums are taken inside a bucket and its halo
+    st, ns = _exact_sum_type(df.schema[value].dataType), sorted(set(windows.values()))
+    d, w = halo_buckets(pos, part_cols, max(ns), RN, bucket_rows)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    keys = [f"_key{i}" for i in range(len(part_cols))]
+    d = d.withColumns(dict(zip(keys, _keys_over(part_cols, w)))).withColumns({CS: F.coalesce(F.sum(F.col(value).cast(st)).over(run), F.lit(0).cast(st)),
+                       CC: F.count(value).over(run)})
+    d = d.withColumns({f"_lag{n}_{c}": F.lag(c, n).over(w) for n in ns for c in (CS, CC)})
     outs = {}
     for name, n in windows.items():
         s = F.col(CS) - F.coalesce(F.col(f"_lag{n}_{CS}"), F.lit(0))
         c = F.col(CC) - F.coalesce(F.col(f"_lag{n}_{CC}"), F.lit(0))
         outs[name] = F.when((F.col(RN) >= n) & (c == n),
                             s.cast("double") / F.lit(float(n)))
-    return lagged.withColumns(outs).select(*part_cols, chunk, LRN, *windows.keys())
+    return d.filter(~F.col("_halo")).withColumns(outs).select(
+        *[F.col(k).alias(c) for k, c in zip(keys, part_cols)], chunk, LRN, *windows.keys())
 
 
 def lag_diff(df: DataFrame, cols: Mapping[str, str], n: int, part_cols: Sequence[str],

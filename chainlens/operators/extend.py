@@ -49,7 +49,11 @@ def mempool_sightings(txs: DataFrame, mempool: DataFrame) -> DataFrame:
     their transactions. Only the hash and place of a transaction travel to the mempool."""
     m = _suffix_clashes(mempool, set(txs.columns), {"hash"}, "_mempool")
     places = txs.select("transaction_hash", BATCH, CHUNK).filter(F.col("transaction_hash").isNotNull())
-    places = places.repartition("transaction_hash").dropDuplicates()  # the join below needs no other exchange
+    # the join below needs no other exchange; keys as aggregates keep not-null filters of later
+    # joins above, so that the exchange of the wide rows is reused
+    places = places.repartition("transaction_hash").groupBy("transaction_hash", BATCH, CHUNK).agg(
+        F.max(BATCH).alias("_batch"), F.max(CHUNK).alias("_place")).select(
+        "transaction_hash", F.col("_batch").alias(BATCH), F.col("_place").alias(CHUNK))
     return places.join(m, places["transaction_hash"] == m["hash"], "inner").drop(m["hash"])
 
 

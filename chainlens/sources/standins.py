@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from chainlens.constants import PAIR_CREATED_TOPIC0, SEQUENCER_NAMES, SWAP_TOPIC0
 from chainlens.functions.numeric import to_epoch_seconds
+from chainlens.functions.series import chunk_col
+from chainlens.operators.extend import DEFAULT_CHUNK_BLOCKS
 
 BLOCKS_PER_BATCH = 5000
 
@@ -43,13 +45,18 @@ def blocks(spark: SparkSession, sf_dir: str, per_batch: int = BLOCKS_PER_BATCH)
 
 
 def _lineitem_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items numbered within their order. Orders go by batch and chunk of order numbers, the
+    places ``extend`` and batched folders put them, so that rows are not shuffled again there."""
     li = read_table(spark, sf_dir, "lineitem")
-    w = Window.partitionBy("l_orderkey").orderBy(*LINEITEM_COLS)
-    return li.withColumn("idx", (F.row_number().over(w) - 1).cast("bigint"))
+    places = [_batch("l_orderkey", BLOCKS_PER_BATCH), chunk_col("l_orderkey", DEFAULT_CHUNK_BLOCKS)]
+    w = Window.partitionBy(*places, "l_orderkey").orderBy(*LINEITEM_COLS)
+    # the hash reads its order off the window: a filter on it stays above, and the exchange below is reused
+    return li.repartition(*places).withColumns({"idx": (F.row_number().over(w) - 1).cast("bigint"),
+                                                "_order": F.lag("l_orderkey", 0).over(w)})
 
 
 def _tx_hash() -> F.Column:
-    return F.concat(F.lit("0x"), F.col("l_orderkey").cast("string"), F.lit("-"),
+    return F.concat(F.lit("0x"), F.col("_order").cast("string"), F.lit("-"),
                     F.col("idx").cast("string"))
 
 

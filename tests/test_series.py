@@ -214,3 +214,36 @@ def test_positions_without_keys_across_chunk_groups(spark, monkeypatch):
     for k, r in enumerate(got):
         total += k % 7
         assert (r[series.RN], r[series.CS], r[series.CC]) == (k + 1, total, k + 1)
+
+
+def test_wide_rows_are_exchanged_once(spark):
+    """No branch of the plan filters the transactions below their exchange, so that it is reused, and
+    rows that lie in their places already are not shuffled again."""
+    from chainlens.operators.extend import extend_txs_blocks
+    from chainlens.sources import standins as S
+
+    d = "/root/testdata/sf0.001"
+    for m in (None, S.mempool(spark, d)):
+        df = extend_txs_blocks(S.transactions(spark, d, extra=m is not None), S.blocks(spark, d), m)
+        df.write.format("noop").mode("overwrite").save()
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        scans = [x for x in plan.split("\n") if "lineitem.parquet" in x]
+        assert len(scans) == 1, plan
+        assert "isnotnull(FLOOR((cast(l_orderkey" not in plan
+
+
+def test_rolling_means_of_sparse_values_match_brute_force(spark):
+    import random
+
+    from chainlens.functions.series import rolling_means
+
+    rnd = random.Random(3)
+    rows = [(p, i // 7, i, None if rnd.random() < 0.02 else rnd.randrange(10**15)) for p in (0, 1) for i in range(90)]
+    df = spark.createDataFrame(rows, "p long, c long, i long, v long")
+    got = {(r.p, r.c, r._lrn): (r.a, r.b) for r in rolling_means(df, "v", ["p"], "c", ["i"], {"a": 3, "b": 10}, 40).collect()}
+    for p in (0, 1):
+        v = [r[3] for r in rows if r[0] == p]
+        for i in range(90):
+            want = tuple(sum(f) / n if len(f := v[max(0, i - n + 1):i + 1]) == n and None not in f else None for n in (3, 10))
+            assert got[p, i // 7, i % 7 + 1] == want

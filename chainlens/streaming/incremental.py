@@ -59,21 +59,24 @@ def paired_batches(arriving: DataFrame) -> DataFrame:
 
 def start_rollups_stream(spark: SparkSession, txs_path: str, blocks_path: str,
                          labels: DataFrame, out_path: str, checkpoint: str,
-                         available_now: bool = True, max_files_per_trigger: int | None = 10_000,
-                         **extend_kw) -> StreamingQuery:
+                         available_now: bool = True, max_files_per_trigger: int | None = 1_000_000,
+                         per_commit: int = 1000, **extend_kw) -> StreamingQuery:
     """Incremental, exactly-once rollup job over ``block_batch`` folders.
 
     ``max_files_per_trigger`` bounds a micro-batch, per side, when a large backlog is
     caught up (``availableNow`` still drains it, in several micro-batches). A batch that
-    gets more files later is written again, whole."""
+    gets more files later is written again, whole, so the bound is wide: a file is one
+    short row here, and a batch whose files fall into several micro-batches is computed in
+    each. The work is bounded by batches: ``per_commit`` are read and written at a time."""
     files = arriving_files(spark, txs_path, TXS, max_files_per_trigger).unionByName(
         arriving_files(spark, blocks_path, BLOCKS, max_files_per_trigger))
 
     def process(micro: DataFrame, epoch_id: int) -> None:
         s = micro.sparkSession
         ids = sorted(r[0] for r in micro.collect())
-        if ids:
-            t, b = read_batches(s, txs_path, ids), read_batches(s, blocks_path, ids)
+        for i in range(0, len(ids), per_commit):
+            some = ids[i:i + per_commit]
+            t, b = read_batches(s, txs_path, some), read_batches(s, blocks_path, some)
             write_batches(rollup_transactions(t, b, labels, **extend_kw), out_path)
 
     w = paired_batches(files).writeStream.outputMode("append").foreachBatch(process).option("checkpointLocation", checkpoint)

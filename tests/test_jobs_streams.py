@@ -224,3 +224,34 @@ def test_pending_batches_prune_folders(spark):
     assert filters and ">= 1" in filters[0] and "<= 3" in filters[0]
     assert {r[0] for r in got.select("block_batch").distinct().collect()} == {1, 3}
     assert id_range(ids.limit(0)) == (None, None)
+
+
+def test_stream_computes_each_batch_once_in_bounded_commits(spark, monkeypatch):
+    from chainlens.plans.jobs import scratch_path, write_batches
+    from chainlens.streaming import incremental
+
+    t, b, l = S.transactions(spark, D, 300), S.blocks(spark, D, 300), S.sequencer_labels(spark, D)
+    tx, bl, out, ck = (scratch_path(spark, f"once-{k}") for k in ("txs", "blocks", "out", "ck"))
+    write_batches(t.filter("block_batch < 3").repartition(7), tx)
+    write_batches(b.filter("block_batch < 3"), bl)
+    read, seen = incremental.read_batches, []
+    monkeypatch.setattr(incremental, "read_batches", lambda s, p, ids: seen.append((p, list(ids))) or read(s, p, ids))
+    incremental.start_rollups_stream(spark, tx, bl, l, out, ck, per_commit=2).awaitTermination()
+    assert [ids for p, ids in seen if p == tx] == [[0, 1], [2]]
+    assert {r[0] for r in spark.read.parquet(out).select("block_batch").distinct().collect()} == {0, 1, 2}
+
+
+def test_batched_copy_has_few_files_a_batch(spark):
+    """A batch's rows lie in the tasks of its chunks, whatever the number of tasks."""
+    import glob
+
+    from chainlens.plans.jobs import scratch_path, write_batches
+
+    path, keep = scratch_path(spark, "few-files"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_batches(S.transactions(spark, D), path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", keep)
+    batches = glob.glob(f"{path}/block_batch=*")
+    assert batches and all(len(glob.glob(f"{x}/*.parquet")) <= 6 for x in batches)

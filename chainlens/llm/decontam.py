@@ -17,8 +17,10 @@ A window that more than eight items hold (a prompt such as "choose the best answ
 an item that stands in the benchmark many times) says nothing about one of them: each
 item is sought by the windows that are its own or nearly so. Items that have no such
 window are classes by their set of windows, and the smallest id of a class stands for
-it. So a document that holds a prompt alone is no hit, and no window joins a document
-with more items than that.
+it. So a document that holds a prompt alone is no hit of ``contaminated``, and no window
+joins a document with more items than that. ``shared_links`` does the rest exactly, by all
+windows of all items, between classes of documents and of items that have the same
+windows; ``leaks`` adds it as one row per document with the number of its items.
 
 Before the shuffle the windows of documents pass a Bloom filter of the benchmark's
 windows. Its size is fixed (512 KB) whatever the benchmark's; a larger benchmark only
@@ -244,30 +246,21 @@ def prompts(benchmark: DataFrame, item_col: str = "item_id", item_text: str = "t
             .select("items", real_id(F.col("item")).alias("item_id"), "positions"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", item_text: str = "text", shared_by: int = SHARED_BY) -> DataFrame:
-    """(doc_id, th, item_id, n_windows, n_matched, containment, run_words, replaced, members): leaked items by document.
-
-    A pair is reported when at least 0.8 of the item's windows are in the document,
-    consistently, or a run of at least 13 words is. The share is taken over all windows
-    of the item or over those with three fixed words (which alone can match when values
-    are replaced), whichever is larger; ``n_windows`` and ``n_matched`` are of that base. An
-    windows that more than ``shared_by`` items hold count only for items that have no other
-    (``members``: the items with the same windows that the row stands for, 1 else); an
-    item under five words is one window of its raw words. Null or empty texts match
-    nothing. Repeated rows are reported once (``th`` is the hash of the text). Null ids
-    come back null. Empty tables: empty result.
-    """
-    items = keyed(benchmark, item_col, item_text).withColumnRenamed("did", "item")
-    bench = materialize(own_windows(template_windows(items, ["item"]).distinct(), shared_by), "bench-windows")
+def _found(docs: DataFrame, bench: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(windows of ``docs`` that are in ``bench``, sizes of the items, windows of the items)."""
     at = lambda form: F.sort_array(F.collect_set(F.when(F.col("form") == form, F.col("pos"))))
     sizes = bench.groupBy("item").agg(F.countDistinct("pos").alias("n_all"), at(TEMPLATE).alias("templates"),
                                       at(RAW).alias("poor"), F.min("form").alias("least"), F.max("members").alias("members"))
     short = [-r.form for r in bench.where("form < 0").select("form").distinct().collect()]
-    bench = bench.select("item", F.col("pos").alias("ipos"), "h", F.col("slots").alias("islots"))
+    parts = bench.select("item", F.col("pos").alias("ipos"), "h", F.col("slots").alias("islots"))
     base = keyed(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
     found = template_windows(base, ["did", "th"], window_bloom(bench), sorted(short))
     found = found.select("did", "th", F.col("pos").alias("dpos"), "h", F.col("slots").alias("dslots"))
+    return found, sizes, parts
+
+
+def _judged(found: DataFrame, bench: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The pairs (did, th, item) that pass, with their figures."""
     share_of = lambda n: F.ceil(n * CONTAINED)
     n_templates = F.size("templates")
     # a run of 13 words is covered by three windows at least
@@ -295,11 +288,83 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     judged = pairs.mapInArrow(run, "did long, th long, item long, n_windows long, n_matched long, run_words long, replaced boolean, "
                               "members long")
     share = F.col("n_matched") / F.col("n_windows")
-    return judged.where((share >= CONTAINED) | (F.col("run_words") >= RUN_WORDS)).select(
-        real_id(F.col("did")).alias("doc_id"), "th", real_id(F.col("item")).alias("item_id"),
-        "n_windows", "n_matched", share.alias("containment"), "run_words", "replaced", "members")
+    return judged.where((share >= CONTAINED) | (F.col("run_words") >= RUN_WORDS)).withColumn("containment", share)
+
+
+def _public(judged: DataFrame) -> DataFrame:
+    return judged.select(real_id(F.col("did")).alias("doc_id"), "th", real_id(F.col("item")).alias("item_id"),
+                         "n_windows", "n_matched", "containment", "run_words", "replaced", "members")
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 item_col: str = "item_id", item_text: str = "text", shared_by: int = SHARED_BY) -> DataFrame:
+    """(doc_id, th, item_id, n_windows, n_matched, containment, run_words, replaced, members): leaked items by document.
+
+    A pair is reported when at least 0.8 of the item's windows are in the document,
+    consistently, or a run of at least 13 words is. The share is taken over all windows
+    of the item or over those with three fixed words (which alone can match when values
+    are replaced), whichever is larger; ``n_windows`` and ``n_matched`` are of that base.
+    Windows that more than ``shared_by`` items hold count only for items that have no other
+    (``members``: the items with the same windows that the row stands for, 1 else); an
+    item under five words is one window of its raw words. Null or empty texts match
+    nothing. Repeated rows are reported once (``th`` is the hash of the text). Null ids
+    come back null. Empty tables: empty result.
+    """
+    items = keyed(benchmark, item_col, item_text).withColumnRenamed("did", "item")
+    bench = materialize(own_windows(template_windows(items, ["item"]).distinct(), shared_by), "bench-windows")
+    found, sizes, parts = _found(docs, bench, id_col, text_col)
+    return _public(_judged(found, parts, sizes))
+
+
+def item_classes(bench: DataFrame) -> DataFrame:
+    """(columns of ``bench``, members): all windows of one item (the smallest id) for each set of placed
+    windows, with the number of items that have that set."""
+    placed = F.sort_array(F.collect_set(F.struct("h", "form", "pos", "slots")))
+    one = bench.groupBy("item").agg(F.xxhash64(placed).alias("windows")).groupBy("windows").agg(
+        F.min("item").alias("item"), F.count("*").alias("members"))
+    return bench.join(one.select("item", "members"), "item")
+
+
+def shared_links(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 item_col: str = "item_id", item_text: str = "text", shared_by: int = SHARED_BY) -> tuple[DataFrame, DataFrame] | None:
+    """What the shared windows hide from ``contaminated``, with no window left out: (links of classes, classes).
+
+    Every document that holds a window of more than ``shared_by`` items is judged by all its
+    windows against all windows of all items. Documents whose windows are the same at the
+    same distances are one class, and so are items; each pair of classes is judged once.
+    Links: (class_id, item, its figures, members); classes: (did, th, class_id). None if no window is shared."""
+    items = keyed(benchmark, item_col, item_text).withColumnRenamed("did", "item")
+    every = materialize(template_windows(items, ["item"]).distinct(), "all-windows")
+    shared = every.groupBy("h").agg(F.countDistinct("item").alias("n")).where(F.col("n") > shared_by).select("h")
+    if shared.isEmpty():
+        return None
+    found, sizes, parts = _found(docs, materialize(item_classes(every), "item-classes"), id_col, text_col)
+    found = materialize(found.distinct().join(every.select("h").distinct(), "h", "left_semi"), "found-windows")
+    found = found.join(found.join(shared, "h", "left_semi").select("did", "th").distinct(), ["did", "th"], "left_semi")
+    by_doc = found.groupBy("did", "th").agg(F.min("dpos").alias("first"), F.sort_array(F.collect_set(F.struct("h", "dpos", "dslots"))).alias("w"))
+    same = F.xxhash64(F.transform("w", lambda x: F.struct(x["h"], x["dpos"] - F.col("first"), x["dslots"])))
+    classes = materialize(by_doc.select("did", "th", same.alias("class_id")), "document-classes")
+    one = classes.groupBy("class_id").agg(F.min(F.struct("did", "th")).alias("one")).select("class_id", "one.*")
+    judged = _judged(found.join(one, ["did", "th"], "left_semi"), parts, sizes)
+    return materialize(judged.join(one, ["did", "th"]).drop("did", "th"), "class-links"), classes
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
+    """All that leaked: the rows of ``contaminated`` (``class_id`` null) and, for each document that
+    shared windows link to items, one row with its class (``class_id``), the item it holds most of,
+    and in ``members`` the number of all items it is linked to; ``shared_links`` lists them by class."""
+    own = contaminated(docs, benchmark, **kw).withColumn("class_id", F.lit(None).cast("long"))
+    rest = shared_links(docs, benchmark, **kw)
+    if rest is None:
+        return own
+    links, classes = rest
+    figures = ["n_windows", "n_matched", "containment", "run_words", "replaced"]
+    best = F.max_by(F.struct("item", *figures), F.struct("containment", "run_words", -F.col("item")))
+    of_class = links.groupBy("class_id").agg(best.alias("best"), F.sum("members").alias("members"))
+    return own.unionByName(classes.join(of_class, "class_id").select("did", "th", "class_id", "best.*", "members").select(
+        real_id(F.col("did")).alias("doc_id"), "th", real_id(F.col("item")).alias("item_id"), *figures, "members", "class_id"))
 
 
 def op2_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
-    out = contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    out = leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return out.drop("th")

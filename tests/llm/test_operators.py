@@ -324,6 +324,29 @@ def test_decontamination_with_shared_prompts(spark):
     assert (59, 0) in shared and (12, 50) in shared
 
 
+def test_leaks_count_every_item_of_shared_windows(spark):
+    """With ``leaks`` no window is left out: a document's links are those of a join by all windows."""
+    from chainlens.llm.decontam import contaminated, leaks, shared_links
+
+    prompt = "Please read the following question with care and choose the best answer from the list below."
+    tail = "Explain how the quick engineer repaired the broken bridge before the heavy storm reached our village today."
+    items = [f"{prompt} Which river number{k} is long?" for k in range(12)] + [f"Topic{k} {tail}" for k in range(10)] + [prompt] * 9
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = [f"Text {k}. {prompt} Something else follows here {k}." for k in range(6)]
+    docs += [f"Before. {tail}", f"{prompt} Between. {tail}", items[3], "Nothing of that kind here at all.", None]
+    docs = spark.createDataFrame(list(enumerate(docs)) + [(None, prompt)], "doc_id long, text string")
+    want = {}
+    for r in contaminated(docs, bench, shared_by=10**9).collect():
+        want[r.doc_id] = want.get(r.doc_id, 0) + r.members
+    got = leaks(docs, bench)
+    rest = {r.doc_id: r for r in got.where("class_id is not null").collect()}
+    assert {d: r.members for d, r in rest.items()} == want and want[0] == 21 and want[6] == 10 and want[7] == 31
+    assert len({rest[k].class_id for k in range(6)}) == 1 and rest[0].item_id == 22
+    links, classes = shared_links(docs, bench)
+    assert links.where(f"class_id = {rest[0].class_id}").count() == 13  # 12 items and one class of 9, judged once
+    assert 6 not in {r.doc_id for r in contaminated(docs, bench).collect() if r.item_id < 10}
+
+
 def test_slots_must_agree():
     from chainlens.llm.decontam import judge
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainlens.llm.common import NULL_ID, materialize
-from chainlens.llm.decontam import contaminated
+from chainlens.llm.decontam import leaks
 from chainlens.llm.line_dedup import apply_bitmaps, line_bitmaps
 from chainlens.llm.sentencepiece_lattice import encode
 from chainlens.llm.simhash_dedup import simhash_groups
@@ -56,7 +56,7 @@ def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return _without(docs, found.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("did"), "th"), "leaks")
 
 

@@ -6,19 +6,20 @@ the table, and a term that label 1 favours weighs more, by its likelihood ratio
 distinct example clusters, so that groups of copies count once. Examples are unit TF-IDF
 vectors in an inverted index with block maxima. Every document finds its exact nearest
 examples by cosine: the blocks of highest bound give a k-th best, and only blocks whose
-bound reaches it are worked out. Similarity-weighted votes, shrunk towards the base rate, are calibrated
-by a monotone fit to the votes that each quarter of the examples gets from the others;
-the neighbours themselves are the evidence.
+bound reaches it are worked out, in single precision; the examples that may be among the
+nearest within its rounding are worked out again in double precision. Similarity-weighted
+votes, shrunk towards the base rate, are calibrated by a monotone fit to the votes that each
+quarter of the examples gets from the others; the neighbours themselves are the evidence.
 """
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,9 +34,9 @@ START, CHANCE = 5, 3.84
 #: parts of the sample, each scored by the others for the calibration
 FOLDS = 4
 #: blocks that a search visits to learn a k-th best cosine; queries that are searched together; terms that are common
-FEW, TOGETHER, COMMON = 3, 64, 1024
-#: words whose ids a task keeps
-SEEN = 100_000
+FEW, TOGETHER, COMMON = 3, 256, 1024
+#: words whose ids a task keeps; bytes of text whose words are looked up together; terms of queries that are searched together
+SEEN, SLICE, HELD = 100_000, 1 << 21, 1 << 18
 #: bytes to bytes: ASCII letters and whatever is beyond ASCII stay, the rest is a space
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -120,11 +121,11 @@ def document_vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
 
     def run(batches):
         number, seen = {t: i for i, t in enumerate(shared.value)}, {}
-        for b in batches:
-            got = [vector(t.as_py(), number, seen) for t in b.column(1)]
-            gaps = [np.diff(ids, prepend=0).astype("<u4").tobytes() for ids, _ in got]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(gaps, pa.binary()), pa.array(
-                [c.astype("<u4").tobytes() for _, c in got], pa.binary())], ["did", "th", "gaps", "counts"])
+        for whole in batches:
+            for lo, n in groups(pc.binary_length(whole.column(1)).to_numpy(zero_copy_only=False), len(whole), SLICE):
+                b = whole.slice(lo, n)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *packed(*vectors_of(b.column(1).to_pylist(), number, seen))],
+                                                 ["did", "th", "gaps", "counts"])
         del number, seen
         release()
 
@@ -135,9 +136,44 @@ def document_vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
     return out
 
 
-def unpacked(gaps: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(term ids, counts) of a row of ``document_vectors``."""
-    return np.cumsum(np.frombuffer(gaps, "<u4"), dtype=np.int64), np.frombuffer(counts, "<u4").astype(np.int64)
+def groups(size: np.ndarray, rows: int, most: int):
+    """(first row, number of rows) of consecutive rows: at most ``rows`` and of ``most`` in all, or one row alone."""
+    end, at = np.cumsum(size, dtype=np.int64), 0
+    while at < len(end):
+        done = int(end[at - 1]) if at else 0
+        n = min(rows, max(1, int(np.searchsorted(end, done + most, "right")) - at))
+        yield at, n
+        at += n
+
+
+def spans(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of every range, one range after the other."""
+    end = np.cumsum(count)
+    at = np.repeat(start - (end - count), count)
+    at += np.arange(len(at))
+    return at
+
+
+def packed(ids: np.ndarray, counts: np.ndarray, size: np.ndarray) -> list[pa.Array]:
+    """The columns gaps and counts of ``document_vectors``, of the terms of consecutive texts."""
+    cut = np.concatenate([[0], np.cumsum(size)])
+    gaps, first = np.diff(ids, prepend=0), cut[:-1][size > 0]
+    gaps[first] = ids[first]
+    off = pa.py_buffer((4 * cut).astype(np.int32))
+    return [pa.Array.from_buffers(pa.binary(), len(size), [None, off, pa.py_buffer(x.astype("<u4"))]) for x in (gaps, counts)]
+
+
+def unpacked(gaps: pa.Array, counts: pa.Array | None = None) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+    """(term ids, counts, number of terms) of rows of ``document_vectors``, one row after the other."""
+    def numbers(col):
+        col = col.cast(pa.large_binary())
+        off = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1]
+        raw = np.frombuffer(col.buffers()[2], np.uint8)[off[0]:off[-1]] if off[-1] > off[0] else np.zeros(0, np.uint8)
+        return raw.view("<u4").astype(np.int64), (off - off[0]) // 4
+
+    steps, cut = numbers(gaps)
+    size, total = np.diff(cut), np.concatenate([[0], np.cumsum(steps)])
+    return total[1:] - np.repeat(total[cut[:-1]], size), None if counts is None else numbers(counts)[0], size
 
 
 def document_counts(vectors: DataFrame, n_terms: int) -> tuple[np.ndarray, int]:
@@ -145,8 +181,8 @@ def document_counts(vectors: DataFrame, n_terms: int) -> tuple[np.ndarray, int]:
     def count(batches):
         df = np.zeros(n_terms + 1, dtype=np.int64)
         for b in batches:
-            for gaps in b.column(0):
-                df[np.cumsum(np.frombuffer(gaps.as_py(), "<u4"), dtype=np.int64)] += 1
+            for lo, n in groups(pc.binary_length(b.column(0)).to_numpy(zero_copy_only=False) // 4, len(b), HELD):
+                df += np.bincount(unpacked(b.column(0).slice(lo, n))[0], minlength=n_terms + 1)
             df[-1] += b.num_rows
         at = np.nonzero(df)[0]
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], ["id", "n"])
@@ -173,28 +209,39 @@ def favour(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, np.where(a > e1, g, 0.0) - CHANCE))
 
 
-def vector(text: str, number: dict, seen: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(term ids, counts) of the index terms in a text, by id. ``seen`` keeps the two ids of words met before."""
-    seen = {} if seen is None else seen
+def vectors_of(texts: list[str], number: dict, seen: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(term ids, counts, number of terms) of the index terms of each text, by id, one text after the other: the terms
+    of ``terms_of``, every different word looked up once. ``seen`` keeps the two ids of words met before."""
     if len(seen) > SEEN:
         seen.clear()
-    words = words_of(text)
 
-    def learn(w):  # the ids of the word and of its start, 0 for none, in one number
+    def learn(b):  # the ids of the word and of its start, 0 for none, in one number
+        w = b.decode("utf-8", "surrogatepass")
         start = number.get("^" + w[:START], -1) if len(w) > START else -1
-        seen[w] = (number.get(w, -1) + 1 << 31) + start + 1
-        return seen[w]
+        seen[b] = (number.get(w, -1) + 1 << 31) + start + 1
+        return seen[b]
 
-    both = np.fromiter([seen[w] if w in seen else learn(w) for w in words], np.int64, len(words))
-    ids = np.concatenate([both >> 31, both & (1 << 31) - 1]) - 1
-    counts = np.tile(np.fromiter(words.values(), np.int64, len(words)), 2)
-    known = np.nonzero(ids >= 0)[0]
-    by = known[np.argsort(ids[known], kind="stable")]
-    if not len(by):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    ids = ids[by]
-    first = np.nonzero(np.diff(ids, prepend=-1))[0]
-    return ids[first], np.add.reduceat(counts[by], first)
+    words = pc.split_pattern(pa.array([t.lower().encode("utf-8", "surrogatepass").translate(_LETTERS) for t in texts], pa.large_binary()), " ")
+    row, coded = pc.list_parent_indices(words).to_numpy().astype(np.int64) << 32, words.flatten().dictionary_encode()
+    both = np.fromiter((seen[w] if w in seen else learn(w) for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist()), np.int64, len(coded.dictionary))
+    both = both[coded.indices.to_numpy()]
+    keys = [(x, x > 0) for x in (both >> 31, both & (1 << 31) - 1)]
+    keys = np.sort(np.concatenate([row[known] + x[known] - 1 for x, known in keys]))
+    first = np.nonzero(np.diff(keys, prepend=-1))[0]
+    counts, keys = np.diff(first, append=len(keys)), keys[first]
+    return keys & (1 << 32) - 1, counts, np.bincount(keys >> 32, minlength=len(texts))
+
+
+def vector(text: str, number: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(term ids, counts) of the index terms in a text, by id."""
+    return vectors_of([text], number, {})[:2]
+
+
+def joined(vectors: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(term ids, counts, number of terms) of (term ids, counts), one after the other."""
+    none = np.zeros(0, np.int64)
+    ids, counts = (np.concatenate([v[k] for v in vectors] or [none]) for k in (0, 1))
+    return ids.astype(np.int64, copy=False), counts, np.array([len(v[0]) for v in vectors], dtype=np.int64)
 
 
 class Index:
@@ -203,99 +250,133 @@ class Index:
     def __init__(self, examples: list, weight: np.ndarray, class_sizes: dict):
         """examples: (did, y, term ids, counts); weight: idf and more of every term."""
         self.term_weight = np.asarray(weight, dtype=np.float64)
-        taken = {y: max(1, sum(e[1] == y for e in examples)) for y in (0, 1)}
-        scale = {y: class_sizes.get(y, 0) / taken[y] for y in (0, 1)}  # rows that an example stands for
-        total = sum(scale[e[1]] for e in examples)
-        self.base = sum(scale[e[1]] for e in examples if e[1]) / total if total else 0.0
-        unit = [self.unit(np.asarray(e[2], dtype=np.int64), np.asarray(e[3])) for e in examples]
-        top = [int(e[2][np.argmax(u)]) if len(u) and u.any() else -1 for e, u in zip(examples, unit)]
-        order = sorted((i for i in range(len(examples)) if top[i] >= 0), key=lambda i: (top[i], examples[i][0], i))
-        full = [examples[i] for i in order]
-        self.did = np.array([e[0] for e in full], dtype=np.int64)
-        self.y = np.array([e[1] for e in full], dtype=np.int64)
-        self.weight = np.array([scale[e[1]] / max(scale[1], 1e-9) for e in full]) if scale[1] else np.ones(len(full))
-        size = np.array([len(e[2]) for e in full], dtype=np.int64)
-        self.n_blocks = -(-len(full) // BLOCK)
-        cols = np.concatenate([np.asarray(e[2], dtype=np.int32) for e in full]) if full else np.zeros(0, np.int32)
-        vals = np.concatenate([unit[i] for i in order]) if full else np.zeros(0)
-        del unit
-        row = np.repeat(np.arange(len(full), dtype=np.int32), size)
-        # the commonest terms stand as one column of values for each block, the others as lists by term
+        did, y = (np.array([e[k] for e in examples], dtype=np.int64) for k in (0, 1))
+        taken = {k: max(1, int((y == k).sum())) for k in (0, 1)}
+        scale = np.array([class_sizes.get(k, 0) / taken[k] for k in (0, 1)])  # rows that an example stands for
+        total = float(scale[y].sum())
+        self.base = float(scale[y] @ y) / total if total else 0.0
+        ids, counts, size = joined([e[2:] for e in examples])
+        unit, row = self.unit(ids, counts, size)
+        most = np.zeros(len(examples))
+        np.maximum.at(most, row, unit)
+        best = np.nonzero((unit > 0) & (unit == most[row]))[0][::-1]
+        top = np.full(len(examples), -1, dtype=np.int64)
+        top[row[best]] = ids[best]  # the first term of the largest value
+        order = np.lexsort((did, top))
+        order = order[top[order] >= 0]
+        self.did, self.y = did[order], y[order]
+        self.weight = scale[self.y] / max(scale[1], 1e-9) if scale[1] else np.ones(len(order))
+        self.n_blocks = -(-len(order) // BLOCK)
+        at = spans((np.cumsum(size) - size)[order], size[order])
+        cols, vals = ids[at].astype(np.int32), unit[at]
+        known: dict = {}  # equal vectors, to the first of them
+        end = np.concatenate([[0], np.cumsum(size[order])]).tolist()
+        self.same = np.array([known.setdefault(xxhash.xxh128_digest(cols[a:z].tobytes() + vals[a:z].tobytes()), i)
+                              for i, (a, z) in enumerate(zip(end, end[1:]))], dtype=np.int64)
+        del ids, counts, unit, at, row, best, known
+        row = np.repeat(np.arange(len(order), dtype=np.int32), size[order])
+        # the commonest terms stand as columns of a value for each example, the others as lists by term
         held = np.bincount(cols, minlength=len(self.term_weight))
         common = np.argsort(-held, kind="stable")[:min(COMMON, int((held > 0).sum()))]
         self.slot = np.full(len(self.term_weight), -1, dtype=np.int32)
         self.slot[common] = np.arange(len(common))
         at, rare = self.slot[cols], self.slot[cols] < 0
-        self.dense = np.zeros((self.n_blocks, len(common), BLOCK))
-        self.dense[row[~rare] // BLOCK, at[~rare], row[~rare] % BLOCK] = vals[~rare]
-        self.most = np.ascontiguousarray(self.dense.max(axis=2).T)  # the block maxima of common terms
+        self.dense, self.rest = np.zeros((2, self.n_blocks * BLOCK, len(common)), dtype=np.float32)
+        self.dense[row[~rare], at[~rare]] = vals[~rare]  # and what single precision leaves of each value
+        self.rest[row[~rare], at[~rare]] = vals[~rare] - self.dense[row[~rare], at[~rare]]
+        self.most = np.ascontiguousarray(self.dense.reshape(self.n_blocks, BLOCK, len(common)).max(axis=1).T)  # their block maxima
         by = np.nonzero(rare)[0]
         by = np.sort((cols[by].astype(np.int64) << 32) + by) & (1 << 32) - 1  # by term, then by example
-        self.post, self.post_vals = row[by].astype(np.int32), vals[by]
-        self.post_at = np.searchsorted(cols[by], np.arange(len(self.term_weight) + 1))
-
-    def unit(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        w = (1 + np.log(counts)) * self.term_weight[ids] if len(ids) else np.zeros(0)
-        norm = math.sqrt(float(w @ w))
-        return w / norm if norm else w
+        self.post, self.post_vals = row[by], vals[by]
+        self.post_n = np.where(self.slot < 0, held, 0)
+        self.post_at = np.cumsum(self.post_n) - self.post_n
+        #: a sum of so many products of single precision, none below 0, is off by less than this share of it
+        self.off = (len(common) + 16) * 2.0 ** -24
+
+    def unit(self, ids: np.ndarray, counts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(values, row numbers) of unit vectors, one after the other."""
+        row = np.repeat(np.arange(len(size)), size)
+        w = (1 + np.log(counts.astype(np.float64))) * self.term_weight[ids]
+        norm = np.sqrt(np.bincount(row, w * w, minlength=len(size)))
+        return w / np.where(norm > 0, norm, 1.0)[row], row
 
     def search_many(self, queries: list, k: int = NEIGHBOURS) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each (term ids, counts) the (example numbers, cosines) of the k nearest examples with a cosine
-        above 0, exactly; ties by number.
+        above 0, exactly; ties by number."""
+        return self.search(*joined(queries), k) if queries else []
+
+    def search(self, ids: np.ndarray, counts: np.ndarray, size: np.ndarray, k: int = NEIGHBOURS) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``search_many`` of queries whose terms stand one after the other.
 
         Rare terms are added up from their lists. Their largest sum in a block plus what
         the block maxima of the common terms allow bounds every cosine in the block. The
         FEW best blocks of each query give a k-th best cosine; then all blocks whose
-        bound reaches it are worked out, each for all queries that need it at once."""
-        n, wide, width = len(queries), self.n_blocks * BLOCK, len(self.y)
+        bound reaches it are worked out, each for all queries that need it at once. For common
+        terms that is single precision; an example that its rounding (``off``) may leave among
+        the k nearest is worked out again in double precision, equal examples once."""
+        n, wide, width = len(size), self.n_blocks * BLOCK, len(self.y)
         none = (np.zeros(0, np.int64), np.zeros(0))
         if not wide or not n:
             return [none] * n
-        common, rare = np.zeros((n, self.dense.shape[1])), np.zeros((n, wide))
-        for i, (ids, counts) in enumerate(queries):  # one at a time: the postings of a query stay in the cache
-            q, slot = self.unit(ids, counts), self.slot[ids]
-            common[i, slot[slot >= 0]] = q[slot >= 0]
-            start, count = self.post_at[ids], self.post_at[ids + 1] - self.post_at[ids]
-            has = np.nonzero(count)[0]
-            if not len(has):
-                continue
-            start, count = start[has], count[has]
-            end = np.cumsum(count)
-            at = np.repeat(start - (end - count), count)
-            at += np.arange(end[-1])
-            value = np.repeat(q[has], count)
-            value *= self.post_vals[at]
-            rare[i] = np.bincount(self.post[at], value, minlength=wide)
+        q, row = self.unit(ids, counts, size)
+        slot = self.slot[ids]
+        at = np.nonzero(slot >= 0)[0]
+        common, rare = np.zeros((n, self.dense.shape[1]), dtype=np.float32), np.zeros((n, wide))
+        common[row[at], slot[at]] = q[at]
+        q_common, slot, q_cut = q[at], slot[at], np.searchsorted(row[at], np.arange(n + 1)).tolist()
+        has = np.nonzero(self.post_n[ids])[0]
+        start, count, value = self.post_at[ids[has]], self.post_n[ids[has]], q[has]
+        cut = np.searchsorted(row[has], np.arange(n + 1)).tolist()
+        for i, (a, z) in enumerate(zip(cut, cut[1:])):  # one at a time: the postings of a query stay in the cache
+            if a < z:
+                at, v = spans(start[a:z], count[a:z]), np.repeat(value[a:z], count[a:z])
+                v *= self.post_vals[at]
+                rare[i] = np.bincount(self.post[at], v, minlength=wide)
         rare = rare.reshape(n, self.n_blocks, BLOCK)
         bound = common @ self.most + rare.max(axis=2)
-        cosine = np.full((n, self.n_blocks, BLOCK), -1.0)
+        cosine = np.full((n, self.n_blocks, BLOCK), -1.0, dtype=np.float32)
+        blocks = self.dense.reshape(self.n_blocks, BLOCK, -1)
 
         def visit(need):
             for b in np.nonzero(need.any(axis=0))[0].tolist():
                 who = np.nonzero(need[:, b])[0]
-                cosine[who, b] = common[who] @ self.dense[b] + rare[who, b]
+                who = who if 2 * len(who) < n else slice(None)  # of most queries it costs less to take all
+                cosine[who, b] = common[who] @ blocks[b].T + rare[who, b]
+
+        def reach(known):  # the least that may be a k-th best, given cosines of some examples
+            last = known.shape[1] - min(k, known.shape[1])
+            return np.maximum(np.partition(known, last, axis=1)[:, last:last + 1].astype(np.float64) * (1 - 3 * self.off), 1e-13)
 
         few = min(FEW, self.n_blocks)
-        first = np.zeros(bound.shape, dtype=bool)
-        np.put_along_axis(first, np.argpartition(-bound, few - 1, axis=1)[:, :few], True, axis=1)
+        best, first = np.argpartition(-bound, few - 1, axis=1)[:, :few], np.zeros(bound.shape, dtype=bool)
+        np.put_along_axis(first, best, True, axis=1)
         visit(first)
-        flat = cosine.reshape(n, wide)
-        least = np.maximum(np.partition(flat, max(0, wide - k), axis=1)[:, max(0, wide - k)], 0.0)
-        visit((bound > 0) & (bound + 1e-9 >= least[:, None]) & ~first)
-        out = []
-        for row, low in zip(flat[:, :width], least):
-            at = np.nonzero(row >= max(low, 1e-12) - 1e-12)[0]
-            if len(at) > k:  # all within rounding of the k-th best or above
-                at = at[row[at] >= np.partition(row[at], len(at) - k)[len(at) - k] - 1e-12]
-            c = np.round(row[at], 12)
+        visit((bound >= reach(np.take_along_axis(cosine, best[:, :, None], axis=1).reshape(n, -1))) & ~first)
+        flat, rare = cosine.reshape(n, wide), rare.reshape(n, wide)
+        found, which = np.nonzero(flat[:, :width] >= reach(flat))
+        cut, out = np.searchsorted(found, np.arange(n + 1)).tolist(), []
+        for i in range(n):
+            at, mine = which[cut[i]:cut[i + 1]], slice(q_cut[i], q_cut[i + 1])
+            once, again = np.unique(self.same[at], return_inverse=True) if len(at) > 2 * k else (at, slice(None))
+            c = [np.zeros(0)]
+            for lo in range(0, len(once), BLOCK):
+                few = once[lo:lo + BLOCK]
+                here = np.ix_(few, slot[mine])
+                c.append((self.dense[here] + self.rest[here].astype(np.float64)) @ q_common[mine] + rare[i, few])
+            c = np.round(np.concatenate(c), 12)[again]
             order = np.lexsort((at, -c))[:k]
-            out.append((at[order][c[order] > 0], c[order][c[order] > 0]))
+            order = order[c[order] > 0]
+            out.append((at[order], c[order]))
         return out
 
     def votes_many(self, queries: list) -> list[tuple[float, np.ndarray, np.ndarray]]:
         """(share of label 1 among the neighbours, by squared cosine, shrunk to the base rate; neighbours; cosines)."""
+        return self.votes(*joined(queries)) if queries else []
+
+    def votes(self, ids: np.ndarray, counts: np.ndarray, size: np.ndarray) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """``votes_many`` of queries whose terms stand one after the other."""
         out = []
-        for i, c in self.search_many(queries):
+        for i, c in self.search(ids, counts, size):
             w = self.weight[i] * c * c
             out.append(((float(w @ self.y[i]) + SHRINK * self.base) / (float(w.sum()) + SHRINK), i, c))
         return out
@@ -353,7 +434,7 @@ def build_index(docs: DataFrame, rows: DataFrame, sizes: dict) -> tuple[list[str
 def example(examples: dict, i: int) -> tuple[np.ndarray, np.ndarray]:
     """(term ids, counts) of an example."""
     at = slice(examples["at"][i], examples["at"][i + 1])
-    return examples["ids"][at].astype(np.int64), examples["counts"][at].astype(np.int64)
+    return examples["ids"][at], examples["counts"][at]
 
 
 def index_of(examples: dict, without: int | None = None) -> Index:
@@ -372,8 +453,8 @@ def fold_votes(spark, examples: dict) -> tuple[np.ndarray, np.ndarray]:
         for f in frames:
             for fold in f.id.tolist():
                 index, mine = index_of(examples, fold), [i for i, g in enumerate(examples["fold"]) if g == fold]
-                for lo in range(0, len(mine), TOGETHER):
-                    few = mine[lo:lo + TOGETHER]
+                for lo, n in groups(np.diff(examples["at"])[mine], TOGETHER, HELD):
+                    few = mine[lo:lo + n]
                     got = index.votes_many([example(examples, i) for i in few])
                     yield pd.DataFrame({"votes": [v[0] for v in got], "y": [examples["y"][i] for i in few]})
                 del index
@@ -395,23 +476,21 @@ def scored(vectors: DataFrame, shared) -> DataFrame:
         idx, plus = index_of(examples), examples["plus"][-1]
         marked = plus > 0
         for whole in batches:
-            for lo in range(0, whole.num_rows, TOGETHER):
-                b = whole.slice(lo, TOGETHER)
-                queries = [unpacked(g.as_py(), c.as_py()) for g, c in zip(b.column(2), b.column(3))]
-                score, found, near, cosines = [], [], [], []
-                for (ids, _), (s, i, c) in zip(queries, idx.votes_many(queries)):
-                    marks = ids[marked[ids]]
-                    score.append(s)
-                    found.append([terms[k] for k in marks[np.argsort(-plus[marks], kind="stable")].tolist()])
-                    near.append(i)
-                    cosines.append(c)
+            for lo, n in groups(pc.binary_length(whole.column(2)).to_numpy(zero_copy_only=False) // 4, TOGETHER, HELD):
+                b = whole.slice(lo, n)
+                ids, counts, size = unpacked(b.column(2), b.column(3))
+                score, near, cosines = zip(*idx.votes(ids, counts, size))
                 if fit is not None:
                     score = np.interp(score, *fit)
+                at = np.nonzero(marked[ids])[0]
+                row, marks = np.repeat(np.arange(n), size)[at], ids[at]
+                found = pa.array([terms[k] for k in marks[np.lexsort((-plus[marks], row))].tolist()], pa.string())
                 cut, i = np.cumsum([0] + [len(x) for x in near]), np.concatenate(near)
                 evidence = pa.StructArray.from_arrays([pa.array(idx.did[i]), pa.array(idx.y[i], pa.int32()), pa.array(np.concatenate(cosines))],
                                                       ["doc_id", "label", "cosine"])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), pa.array(score, pa.float64()), pa.array(found, pa.list_(pa.string())),
+                    [b.column(0), b.column(1), pa.array(score, pa.float64()),
+                     pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32()), found),
                      pa.ListArray.from_arrays(pa.array(cut, pa.int32()), evidence)], ["did", "th", "score", "terms", "evidence"])
         del idx
         release()

@@ -133,3 +133,58 @@ def test_many_texts_of_one_labelled_id(spark):
     finally:
         T.MAX_TOXIC = old
     assert T.toxicity(docs, labels).count() == len(rows)
+
+
+def test_words_of_many_texts_are_looked_up_once():
+    """Terms and counts as ``terms_of`` has them, also of odd texts; each different word costs one look-up, however many texts hold it."""
+    from chainlens.llm import toxicity as T
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *args):
+            Counted.asked += 1
+            return super().get(*args)
+
+    odd = ["", " ", "a", "One one ONE, two-two", "\u039f\u0394\u039f\u03a3 \u03a3 \u03a3a\n\u0130stanbul stra\u00dfe", "na\u00efvet\u00e9 \u2028 x\u00a0y", "long" * 3000, "lone \ud800 half", "^five five^"]
+    texts = odd + [f"shared words of every text {'abcdefgh'[k % 8]}" for k in range(300)] + odd
+    count = [T.terms_of(t) for t in texts]
+    terms = sorted({t for c in count[:-1] for t in c if t != "two"})
+    ids, counts, size = T.vectors_of(texts, Counted({t: i for i, t in enumerate(terms)}), {})
+    cut = np.concatenate([[0], np.cumsum(size)])
+    for k, c in enumerate(count):
+        at = slice(cut[k], cut[k + 1])
+        assert {terms[i]: n for i, n in zip(ids[at].tolist(), counts[at].tolist())} == {t: n for t, n in c.items() if t != "two"}
+        assert (np.diff(ids[at]) > 0).all()
+    assert Counted.asked <= 2 * len({w for t in texts for w in [*T.words_of(t), ""]})
+    gaps, many = T.packed(ids, counts, size)
+    for lo, n in T.groups(size, 7, 40):  # as rows of any slice
+        got = T.unpacked(gaps.slice(lo, n), many.slice(lo, n))
+        assert all((a == b).all() for a, b in zip(got, (ids[cut[lo]:cut[lo + n]], counts[cut[lo]:cut[lo + n]], size[lo:lo + n])))
+    parts = list(T.groups(size, 7, 40))
+    assert [lo for lo, _ in parts] == [0, *np.cumsum([n for _, n in parts])[:-1]] and sum(n for _, n in parts) == len(texts)
+    assert all(n <= 7 and (n == 1 or size[lo:lo + n].sum() <= 40) for lo, n in parts)
+
+
+def test_search_tells_what_single_precision_does_not():
+    """Block columns are of single precision: cosines that differ by 1e-9 keep their order, and of 500 equal
+    examples the first ones are the neighbours."""
+    from chainlens.llm import toxicity as T
+
+    rng = np.random.default_rng(3)
+    weight = np.concatenate([[1.0, 1.0], 1e-4 * (1 + 1e-4 * rng.permutation(300))])
+    examples = [(i, i % 2, np.array([0, 1, 2 + i]), np.array([2, 3, 1])) for i in range(300)]
+    examples += [(1000 + i, 0, np.array([0, 2]), np.array([1, 1])) for i in range(500)]
+    index = T.Index(examples, weight, {0: 650, 1: 150})
+    assert index.dense.dtype == np.float32
+    rows = {e[0]: (1 + np.log(e[3])) * weight[e[2]] for e in examples}
+    rows = {d: (e[2], v / np.sqrt(v @ v)) for (d, v), e in zip(rows.items(), examples)}
+    for q in ([0, 1], [0]):
+        own = np.zeros(len(weight))
+        own[q] = 1 / np.sqrt(len(q))
+        cos = {d: float(own[ids] @ v) for d, (ids, v) in rows.items()}
+        (near, c), = index.search_many([(np.array(q), np.ones(len(q), np.int64))])
+        assert np.allclose(c, sorted(cos.values(), reverse=True)[:15], rtol=0, atol=2e-12)
+        assert all(abs(cos[int(index.did[k])] - x) < 2e-12 for k, x in zip(near, c))
+    assert index.did[near].tolist() == list(range(1000, 1015))
+    assert len(index.search_many([(np.array([0, 1]), np.array([1, 1]))] * 600)) == 600

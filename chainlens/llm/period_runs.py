@@ -93,7 +93,7 @@ def common_suffix(levels: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.
     out = np.zeros(len(a), dtype=np.int64)
     for k in range(len(levels) - 1, -1, -1):
         at = a - out - (1 << k)
-        same = (at >= 0) & (levels[k][np.maximum(at, 0)] == levels[k][b - out - (1 << k)])
+        same = (at >= 0) & (levels[k][np.maximum(at, 0)] == levels[k][np.maximum(b - out - (1 << k), 0)])
         out += same.astype(np.int64) << k
     return out
 

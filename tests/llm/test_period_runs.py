@@ -1,6 +1,7 @@
 """Periodic runs against a quadratic brute force."""
 
 import hashlib
+import itertools
 import math
 import random
 import zlib
@@ -54,6 +55,16 @@ def test_equals_brute_force(length, exponent):
         assert runs == brute(w, length, exponent), w
 
 
+@pytest.mark.parametrize("length,exponent", [(2, 2), (6, 4)])
+def test_each_text_alone(length, exponent):
+    """A text that is searched alone: a step back by a power of two may reach beyond its start."""
+    from chainlens.llm.period_runs import word_runs
+
+    alone = [[b"w%d" % (k % p) for k in range(n)] for p in (1, 2, 3, 7) for n in (8, 9, 17, 33, 34, 64, 130)]
+    for w in itertools.chain(alone, texts()):
+        assert word_runs([w], length, exponent) == [brute(w, length, exponent)], w
+
+
 def test_next_smaller():
     from chainlens.llm.period_runs import next_smaller
 

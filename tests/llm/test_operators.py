@@ -509,6 +509,42 @@ def test_round_trip(spark, odd, empty, pieces):
     assert all(r.cost <= o.cost + 1e-9 for r in got for o in r.others) and encode(empty).count() == 0
 
 
+def test_further_segmentations_are_whole(spark, pieces):
+    """The others are segmentations of the whole text, none equal to the best, as a search of the text as one chunk finds them."""
+    from chainlens.llm.sentencepiece_lattice import MARK, decode, encode, nbest, op4_sentencepiece
+
+    texts = ["the theory of many readers", "ontiontion", "of ontiontionth is It%%%", "x", "", "onthe re é龘 " + "abc" * 30, "a\nb\tc  d"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for n in (2, 4):
+        for r in encode(df, n=n).collect():
+            want = nbest((" " + texts[r.doc_id]).replace(" ", MARK), pieces, n)
+            got = [(r.cost, tuple(r.ids))] + [(o.cost, tuple(o.ids)) for o in r.others]
+            assert np.allclose([c for c, _ in got], [c for c, _ in want]) and len({x for _, x in got}) == len(want), texts[r.doc_id]
+            assert all(decode(x, pieces) == texts[r.doc_id] for _, x in got)
+            if len({round(c, 9) for c, _ in want}) == len(want):
+                assert [x for _, x in got] == [x for _, x in want]
+    known = {r.doc_id: r.text or "" for r in table(spark, "documents").collect()}
+    cost = dict(pieces["ids"].values())
+    for r in op4_sentencepiece(spark, SF).collect():
+        ids = [int(x) for x in r.second_ids.split(",")]
+        assert decode(ids, pieces) == known[r.doc_id] and r.cost <= r.second_cost
+        assert hashlib.sha256(r.second_ids.encode()).hexdigest() != r.ids_sha256
+        assert np.isclose(sum(cost.get(i, pieces["byte_cost"]) for i in ids), r.second_cost, rtol=0, atol=1e-3)
+
+
+def test_two_best_of_many_chunks_at_once(pieces, spark):
+    from chainlens.llm.sentencepiece_lattice import Encoder, two_best
+
+    e = Encoder(pieces)
+    e.encode_many([r.text or "" for r in table(spark, "documents").limit(40).collect()] + ["ontiontion"])
+    cost = dict(pieces["ids"].values())
+    for chunk, k in list(e.kept.items())[:4000] + [("▁ontiontion", e.kept["▁ontiontion"])]:
+        gap, total, ids, _ = two_best(chunk, pieces)
+        got = tuple(e.pool[e.second_at[k]:e.second_at[k] + e.second_count[k]].tolist())
+        assert bool(got) == (gap < np.inf) and got != ids
+        assert not got or np.isclose(sum(cost.get(i, pieces["byte_cost"]) for i in got), total + gap)
+
+
 # --- chat ------------------------------------------------------------------------
 
 def test_template_is_reversible():
